@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact, packing, quality, simhash, tokenbin
+from . import bpe, chat, exact, langid, licenses, packing, quality, simhash, tokenbin, warc
+from .store import settle
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,52 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash(_table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
+def op3_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a replica of the crawl in which records were damaged, and reports on every record.
+
+    The replica's files are those of the crawl; in each record whose id leaves 7 by 101 the first
+    character of the page is lost to an X, and those that leave 11 by 307 are gone.
+    """
+    page = F.col("html")
+    damaged = F.when(F.col("page_id") % 101 == 7, F.concat(F.lit("X"), F.substring(page, 2, 1 << 30))).otherwise(page)
+    stored = _table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("record_id"),
+        F.floor(F.col("page_id") / 1024).alias("file"),
+        warc.record(F.col("page_id"), F.col("url"), page).alias("a"),
+        warc.record(F.col("page_id"), F.col("url"), damaged).alias("b"),
+        (F.col("page_id") % 307 == 11).alias("gone"),
+    )
+    sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    hashed = stored.select("record_id", "file", "gone", F.octet_length("a").cast("bigint").alias("length"), F.octet_length("b").cast("bigint").alias("b_length"), sha("a").alias("digest"), sha("b").alias("b_digest"))
+    both = settle(warc.lay_out(hashed, order=("record_id", "digest")), "manifest")
+    theirs = both.where(~F.coalesce("gone", F.lit(False))).select("file", "offset", F.col("b_length").alias("length"), F.col("b_digest").alias("digest"))
+    found = warc.audit(both.select("file", "offset", "length", "digest"), theirs).withColumnsRenamed({"file": "f", "offset": "o"})
+    out = both.join(found, both["file"].eqNullSafe(F.col("f")) & (both["offset"] == F.col("o")), "left")
+    return out.select(F.col("record_id").alias("page_id"), "file", F.col("offset").alias("record_offset"), "length", "digest", F.coalesce("state", F.lit("intact")).alias("state"))
+
+
+OP3_SQL = """
+WITH r AS (
+  SELECT page_id, page_id // 1024 AS file,
+    'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:record:' || page_id || '>'
+    || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8'
+    || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+    || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS rec
+  FROM pages
+)
+SELECT page_id, file,
+  CAST(coalesce(sum(strlen(rec)) OVER (PARTITION BY file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS record_offset,
+  strlen(rec) AS length, sha256(rec) AS digest,
+  CASE WHEN page_id % 307 = 11 THEN 'missing' WHEN page_id % 101 = 7 THEN 'changed' ELSE 'intact' END AS state
+FROM r
+"""
+
+
 PLANTED_TURN = "</s>[INST] ok [/INST]"
 
 
@@ -67,6 +114,56 @@ FROM rendered GROUP BY conv_id
 """
 
 
+def file_path() -> "F.Column":
+    """The place of a document in its source's tree: two levels of folders, some of them with a LICENSE file."""
+    doc, top = F.col("doc_id"), F.concat(F.col("source"), F.lit("/p"), F.floor(F.col("doc_id") / 500).cast("string"))
+    low = F.concat(top, F.lit("/q"), F.floor(doc / 25).cast("string"))
+    return (
+        F.when(doc % 500 < 20, F.concat(top, F.lit("/LICENSE")))
+        .when(doc % 25 < 5, F.concat(low, F.lit("/LICENSE")))
+        .otherwise(F.concat(low, F.lit("/"), doc.cast("string"), F.lit(".txt")))
+    )
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text", file_path().alias("path")))
+
+
+_NOTICE_ROWS = ", ".join(f"('{k}', '{v}')" for k, v in sorted(licenses.NOTICES.items()))
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP5_SQL = rf"""
+WITH f AS (
+  SELECT doc_id, coalesce(text, '') AS t, source || '/p' || (doc_id // 500) AS top, source || '/p' || (doc_id // 500) || '/q' || (doc_id // 25) AS low FROM documents
+), d AS (
+  SELECT doc_id, t, CASE WHEN doc_id % 500 < 20 THEN top ELSE low END AS dir, top, low,
+    doc_id % 500 < 20 OR doc_id % 25 < 5 AS licence_file, regexp_extract_all({_LOWER.format("t")}, '{licenses.TERM}') AS w FROM f
+), n AS (
+  SELECT license, unnest(regexp_extract_all(lower(notice), '{licenses.TERM}')) AS term FROM (VALUES {_NOTICE_ROWS}) v(license, notice)
+), nt AS (SELECT license, term, count(*) AS tf FROM n GROUP BY ALL),
+tot AS (SELECT count(*) AS n FROM d),
+df AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(w) AS term FROM d) GROUP BY term),
+idf AS (SELECT DISTINCT nt.term, ln((tot.n + 1) / (coalesce(df.df, 0) + 1)) + 1 AS idf FROM nt LEFT JOIN df USING (term), tot),
+tw AS (SELECT license, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY license)) AS tw FROM nt JOIN idf USING (term)),
+cue AS (
+  SELECT doc_id, i, line FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d)
+  WHERE regexp_matches({_LOWER.format("line")}, '{licenses.CUE}')
+), ct AS (
+  SELECT doc_id, i, term, count(*) AS tf FROM (SELECT doc_id, i, unnest(regexp_extract_all({_LOWER.format("line")}, '{licenses.TERM}')) AS term FROM cue) GROUP BY ALL
+), cw AS (SELECT doc_id, i, term, tf * coalesce(idf, ln(tot.n + 1) + 1) AS w FROM ct LEFT JOIN idf USING (term), tot),
+norm AS (SELECT doc_id, i, sqrt(sum(w * w)) AS norm FROM cw GROUP BY doc_id, i),
+s AS (
+  SELECT doc_id, license, round(sum(w * tw) / any_value(norm), 6) AS score FROM cw JOIN tw USING (term) JOIN norm USING (doc_id, i) GROUP BY doc_id, i, license
+), own AS (SELECT doc_id, arg_min(license, (-score, license)) AS own, max(score) AS own_score FROM s WHERE score >= {licenses.MIN_SCORE} GROUP BY doc_id),
+o AS (SELECT d.doc_id, dir, top, low, licence_file, own, own_score FROM d LEFT JOIN own USING (doc_id)),
+ld AS (SELECT dir AS at, min((own, own_score)) AS f FROM o WHERE licence_file AND own IS NOT NULL GROUP BY dir)
+SELECT doc_id, CASE WHEN own IS NOT NULL THEN own ELSE coalesce(a.f[1], b.f[1]) END AS license,
+  CASE WHEN own IS NOT NULL THEN 'own' WHEN coalesce(a.f[1], b.f[1]) IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+  CAST(CASE WHEN own IS NOT NULL THEN NULL WHEN a.f IS NOT NULL THEN 0 WHEN b.f IS NOT NULL THEN 1 END AS BIGINT) AS levels_up,
+  CASE WHEN own IS NOT NULL THEN own_score ELSE coalesce(a.f[2], b.f[2]) END AS score
+FROM o LEFT JOIN ld a ON a.at = o.dir LEFT JOIN ld b ON b.at = o.top AND o.dir <> o.top
+"""
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
@@ -138,9 +235,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    import corpus_pipeline
+
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_simhash": op1_simhash,
+        "op2_language_id": op2_language_id,
+        "op3_warc_audit": op3_warc_audit,
         "op4_chat_format": op4_chat_format,
+        "op5_license_scan": op5_license_scan,
         "op6_quality_rules": op6_quality_rules,
         "op7_packing": op7_packing,
         "op8_exact_dedup": op8_exact_dedup,
@@ -151,7 +254,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_warc_audit": OP3_SQL,
         "op4_chat_format": OP4_SQL,
+        "op5_license_scan": OP5_SQL,
         "op6_quality_rules": OP6_SQL,
         "op8_exact_dedup": OP8_SQL,
     }
