@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import queries as _queries
+from .sql import SQL
+
 FLAGSHIP = "company_rollup"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    """The public functions of the query module, in its order."""
+    return {
+        name: f
+        for name, f in vars(_queries).items()
+        if inspect.isfunction(f) and f.__module__ == _queries.__name__ and not name.startswith("_")
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
