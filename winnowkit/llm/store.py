@@ -6,12 +6,22 @@ reading it back, so a lost executor costs a re-run of one step and never a resul
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever folder they start in."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a fresh temporary one only where none is configured."""
     found = spark.conf.get("spark.checkpoint.dir", None)
