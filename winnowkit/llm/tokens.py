@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import islice
 
@@ -20,7 +21,7 @@ import numpy as np
 
 #: Plain characters: tab, line ends, printable ASCII, and Latin letters that are their own NFC form.
 _LETTERS = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u0148\u014a-\u017e"
-_PLAIN = re.compile(rf"[\t\n\r -~{_LETTERS}]*")
+_PLAIN = rf"[\t\n\r -~{_LETTERS}]"
 #: White space of any kind before a space: the text doesn't fall apart there.
 _SPACES = r"\s\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f-\u2064\u3000\ufeff"
 _WIDE = re.compile(rf"[{_SPACES}] ")
@@ -34,7 +35,7 @@ _WORD_RULE = re.compile(rf"{_CLITICS}|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+")
 
 SUB_BATCH_CHARS = 2_000_000
 PIECES_KEPT = 400_000
-WORDS_KEPT = 400_000
+WORDS_KEPT = 800_000
 LONGEST_KEPT = 64
 
 
@@ -88,7 +89,10 @@ class LibraryEncoder:
         self.tok.no_padding()
         spec = json.loads(self.tok.to_str())
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        # A piece with the first character of a special token is left to the library.
+        firsts = "".join(re.escape(t["content"][0]) for t in spec["added_tokens"])
+        self.plain = re.compile(rf"(?:(?![{firsts}]){_PLAIN})*" if firsts else f"(?:{_PLAIN})*")
         pre = spec["pre_tokenizer"] or {}
         inner = pre.get("pretokenizers") or [{}]
         if pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and not spec["normalizer"]:
@@ -96,7 +100,7 @@ class LibraryEncoder:
         elif inner[0].get("pattern", {}).get("Regex") == _WORD_FILE_PATTERN:
             self.rule, self.lower = _WORD_RULE, True
         else:
-            self.rule = None
+            self.rule, self.plain = None, re.compile(r"(?!)")
         self.alphabet = {b: c for b, c in byte_alphabet().items() if chr(b) != c}
         self.model = self.tok.model
         self.first: dict[str, bytes] = {}
@@ -132,12 +136,11 @@ class LibraryEncoder:
             table.clear()
         long: dict[str, bytes] = {}
         hard = []
-        for p in need:
-            if p in table:
-                continue
-            s = before + p
-            if self.rule is not None and _PLAIN.fullmatch(s) and not any(x in s for x in self.special):
-                ids = self._plain(s)
+        plain, one_word = self.plain.fullmatch, self._plain
+        for p in need.difference(table):
+            alpha = p.isalpha()
+            if alpha and p.isascii() and self.rule is not None or plain(p):
+                ids = one_word(before + p, alpha)
                 if len(p) > LONGEST_KEPT:
                     long[p] = ids
                 else:
@@ -150,19 +153,27 @@ class LibraryEncoder:
                 (long if len(p) > LONGEST_KEPT else table)[p] = np.array(e.ids, self.dtype).tobytes()
         return long
 
-    def _plain(self, s: str) -> bytes:
-        words, out = self.words, []
-        for w in self.rule.findall(s.lower() if self.lower else s):
-            ids = words.get(w)
-            if ids is None:
-                mapped = w.encode().decode("latin-1").translate(self.alphabet)
-                ids = np.array([t.id for t in self.model.tokenize(mapped)], self.dtype).tobytes()
-                if len(w) <= LONGEST_KEPT:
-                    if len(words) >= WORDS_KEPT:
-                        words.clear()
-                    words[w] = ids
-            out.append(ids)
-        return b"".join(out)
+    def _plain(self, s: str, one: bool) -> bytes:
+        """Ids of a plain piece; ``one`` tells that it is a single word."""
+        if self.lower:
+            s = s.lower()
+        table = self.words
+        if one:
+            w = s.lstrip(" ") if self.lower else s
+            return table[w] if w in table else self._word(w)
+        return b"".join([table[w] if w in table else self._word(w) for w in self.rule.findall(s)])
+
+    def _word(self, w: str) -> bytes:
+        if w.isascii() and w.isalnum():
+            mapped = w
+        else:
+            mapped = w.encode().decode("latin-1").translate(self.alphabet)
+        ids = array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+        if len(w) <= LONGEST_KEPT:
+            if len(self.words) >= WORDS_KEPT:
+                self.words.clear()
+            self.words[w] = ids
+        return ids
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
