@@ -222,6 +222,17 @@ def open_shards(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/shards")
 
 
+def _checksums(shard: ShardReader, starts: np.ndarray, ends: np.ndarray) -> Iterator[int]:
+    """crc32 of each document's ids; documents side by side are read together, up to SEGMENT ids."""
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + SEGMENT, "right")))
+        ids = shard.tokens(int(starts[first]), int(ends[last - 1] - starts[first])).astype("<u4")
+        for a, b in zip((starts[first:last] - starts[first]).tolist(), (ends[first:last] - starts[first]).tolist(), strict=True):
+            yield zlib.crc32(ids[a:b])
+        first = last
+
+
 def read_documents(shards: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
     """One row a document from the files: (key, start, n_tokens, ids_crc32)."""
 
@@ -234,7 +245,7 @@ def read_documents(shards: DataFrame, folder: str, key: str = "doc_id") -> DataF
                     ends = np.append(shard.starts[1:], shard.n_tokens)
                     for at in range(0, shard.n_docs, 8192):
                         s, e = shard.starts[at : at + 8192], ends[at : at + 8192]
-                        crc = [zlib.crc32(shard.tokens(int(a), int(b - a)).astype("<u4")) for a, b in zip(s, e, strict=True)]
+                        crc = list(_checksums(shard, s, e))
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(shard.doc_ids[at : at + 8192], mask=shard.null[at : at + 8192]), pa.array(s + row["base"]), pa.array(e - s), pa.array(crc, pa.int64())],
                             [key, "start", "n_tokens", "ids_crc32"],
