@@ -71,6 +71,7 @@ def pack(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = library_encoder(path or tokenizer_path("byte_bpe_50k.json"))
+        end = enc.dtype.type(end_id).tobytes()
         next_id = TaskContext.get().partitionId() << 32
         keys: list = []
         out: list[list] = [[] for _ in _COLUMNS]
@@ -104,7 +105,7 @@ def pack(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: st
             ids_of = batch.column(0).to_pylist()
             for at, run_texts in sub_batches(batch.column(1).to_pylist()):
                 for k, raw in zip(ids_of[at:], enc.encode(run_texts), strict=False):
-                    ids = np.append(np.frombuffer(raw, enc.dtype).astype("<u4"), np.uint32(end_id)).astype("<u4")
+                    ids = np.frombuffer(raw + end, enc.dtype).astype("<u4")
                     full = len(ids) - len(ids) % sequence
                     for s in range(0, full, sequence):
                         emit(k, s, sequence, zlib.crc32(ids[s : s + sequence]), len(ids), next_id, 0)

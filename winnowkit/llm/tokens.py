@@ -164,8 +164,8 @@ class LibraryEncoder:
         return b"".join([table[w] if w in table else self._word(w) for w in self.rule.findall(s)])
 
     def _word(self, w: str) -> bytes:
-        if w.isascii() and w.isalnum():
-            mapped = w
+        if w.isascii():
+            mapped = w if w.isalnum() else w.translate(self.alphabet)
         else:
             mapped = w.encode().decode("latin-1").translate(self.alphabet)
         ids = array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
