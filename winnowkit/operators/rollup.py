@@ -13,6 +13,7 @@ from ..functions import guards as g
 from ..functions.careers import careers_link
 from ..functions.hosts import ends_with_any, host_url, normalize_host
 from ..functions.keys import newest_first, tier_rank
+from .graph import durable
 
 
 @dataclass(frozen=True)
@@ -80,8 +81,17 @@ def _earliest(value: Column) -> Column:
 
 
 def companies(rows: DataFrame) -> DataFrame:
-    """One row a company from judged rows; two shuffled aggregations for the lists, one for all the rest."""
-    kept = rows.where(F.col("drop_reason").isNull()).withColumn("category", F.coalesce("category", F.lit(fixed.UNKNOWN_CATEGORY)))
+    """One row a company from judged rows.
+
+    Four aggregations read the kept rows, so what they need is written to the shared folder once
+    and the records are parsed and judged once.
+    """
+    kept = durable(
+        rows.where(F.col("drop_reason").isNull()).select(
+            "key", "ord", "host", "places", "careers", "source", "enriched_name", "posting_name", "profile", "published", "title",
+            F.coalesce("category", F.lit(fixed.UNKNOWN_CATEGORY)).alias("category"),
+        )
+    )
     published = F.coalesce(F.col("published"), F.lit(""))
     link_order = F.struct(tier_rank(F.col("careers.tier")).alias("r"), newest_first(published).alias("d"), F.col("ord"))
     linked = F.col("careers.url").isNotNull()
