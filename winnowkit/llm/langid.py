@@ -7,8 +7,8 @@ descent in numpy, on the driver, from windows of words out of a bounded sample o
 ``sample_per_language`` rows of each language, picked by a hash of the key, one long and one
 short window each. Windows are cut in the executors, so a few MB reach the driver at any corpus
 size. A fifth of the sampled rows is held back to calibrate: it sets the temperature of the
-softmax and the score under which a prediction is rejected: one half, or less where that would
-reject more than ``max_rejected`` of the calibration windows.
+softmax and the score under which a prediction is rejected, at most ``max_rejected`` of the
+calibration windows.
 
 Prediction reads whole texts. The layer is folded into the table beforehand, so a run of bytes
 costs one look-up of a few numbers.
@@ -178,8 +178,8 @@ def train(windows: list[tuple[int, str, bytes]], s: Settings = Settings()) -> Mo
     temperatures = np.geomspace(0.05, 20, 60)
     loss = [-np.log(np.maximum(softmax(logit / t)[at, truth], 1e-12)).mean() for t in temperatures]
     model.temperature = float(temperatures[int(np.argmin(loss))])
-    # Rejected is what has no language of over one half, and never more than max_rejected of the windows.
-    model.threshold = min(0.5, float(np.quantile(softmax(logit / model.temperature).max(axis=1), s.max_rejected)))
+    # The calibrated quantile alone decides: at most max_rejected of the windows fall below it, whatever the number of languages.
+    model.threshold = float(np.quantile(softmax(logit / model.temperature).max(axis=1), s.max_rejected))
     return model
 
 
