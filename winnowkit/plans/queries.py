@@ -283,7 +283,7 @@ def seen_diff(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def store_merge(spark: SparkSession, sf: str) -> DataFrame:
-    now = _screened_table(spark, sf).where("ord % 3 <> 0")
+    now = _screened_table(spark, sf)
     store = durable(_store(spark, sf))
     after = seen.merge(store, durable(seen.classify(now, store)), "2024-02-02")
     return after.select("object_id", _join("keys", ","), "band", "first_surfaced", "last_surfaced", "surfaced_count", "title", "company")
