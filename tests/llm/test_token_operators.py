@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from winnowkit.llm import bpe, packing, tokenbin, tokens
@@ -146,3 +147,13 @@ def test_token_files(spark, table):
     odd = spark.createDataFrame([(5, "b"), (None, None), (5, "b")], "doc_id bigint, text string")
     rows = sorted((r.start, r.doc_id) for r in tokenbin.write_and_read(odd).collect())
     assert [r[1] for r in rows] == [None, 5, 5]
+
+
+def test_each_shard_is_read_by_a_task_of_its_own(spark, table, tmp_path):
+    folder = f"file://{tmp_path}/tokens"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is too small for several shards
+    shards = tokenbin.write_tokens(table.repartition(3), folder)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    read = tokenbin.read_documents(tokenbin.open_shards(spark, folder), folder)
+    tasks = read.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert shards.count() > 1 and len(tasks) == read.rdd.getNumPartitions() == shards.count()

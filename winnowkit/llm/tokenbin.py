@@ -251,10 +251,12 @@ def read_documents(shards: DataFrame, folder: str, key: str = "doc_id") -> DataF
                             [key, "start", "n_tokens", "ids_crc32"],
                         )
 
-    # One row a shard, so the running sum is over a small table.
+    # One row a shard, so the running sum is over a small table. The rows are dealt out to a stated number of
+    # tasks, one a shard: adaptive execution would put them all into one, for they are tiny and their files aren't.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     placed = shards.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
-    return placed.repartition("shard").mapInArrow(run, f"`{key}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    dealt = placed.repartitionByRange(max(1, shards.count()), "shard")
+    return dealt.mapInArrow(run, f"`{key}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def write_and_read(docs: DataFrame, path: str | None = None, folder: str | None = None) -> DataFrame:
