@@ -4,14 +4,19 @@ A text is lower-cased, everything but letters becomes one space, and each run of
 bytes is hashed to a row of an embedding table. The mean of the rows goes through a linear
 layer and a softmax. The table and the layer are trained together by stochastic gradient
 descent in numpy, on the driver, from windows of words out of a bounded sample of labelled rows:
-``sample_per_language`` rows of each language, picked by a hash of the key, one long and one
-short window each. Windows are cut in the executors, so a few MB reach the driver at any corpus
-size. A fifth of the sampled rows is held back to calibrate: it sets the temperature of the
-softmax and the score under which a prediction is rejected, at most ``max_rejected`` of the
-calibration windows.
+``sample_per_language`` rows of each of the ``most_languages`` most frequent labels, picked by a
+hash of the key, one long and one short window each (``long_window`` and 3 to ``short_window``
+words). Windows are cut in the executors, so a few MB reach the driver at any corpus size.
 
-Prediction reads whole texts. The layer is folded into the table beforehand, so a run of bytes
-costs one look-up of a few numbers.
+A fifth of the sampled rows is held back to calibrate. It sets the temperature of the softmax and
+two limits that a prediction is rejected beyond, each so that half of ``error_rate`` of the
+calibration windows is: the least probability of the likeliest language, and the most surprise.
+Surprise is the mean negative log frequency, among the training windows, of the runs of bytes; its
+distance from the mean shrinks with the root of their number, up to ``whole`` runs. So text of
+no learned language is rejected although the softmax must give it to one.
+
+Prediction reads whole texts. The layer is folded into the table beforehand, with the surprise as
+one more column, so a run of bytes costs one look-up of a few numbers.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0 and rejected. With
 no labelled rows at all, every text is. A null key is not held out, and its row is predicted like
@@ -39,7 +44,7 @@ _CHUNK = 1 << 20
 
 @dataclass(frozen=True)
 class Settings:
-    buckets: int = 1 << 16
+    buckets: int = 1 << 17
     dim: int = 16
     sample_per_language: int = 1500
     long_window: int = 40
@@ -47,7 +52,9 @@ class Settings:
     epochs: int = 6
     batch: int = 64
     rate: float = 20.0
-    max_rejected: float = 0.002
+    error_rate: float = 0.002
+    whole: int = 512
+    most_languages: int = 1000
     seed: int = 7
 
 
@@ -75,26 +82,32 @@ def normal_bytes(text: str) -> bytes:
 @dataclass
 class Model:
     languages: list[str]
-    table: np.ndarray  # (buckets, languages): embeddings times layer
+    table: np.ndarray  # (buckets, languages + 1): embeddings times layer, and the surprise of each bucket
     bias: np.ndarray
     temperature: float = 1.0
-    threshold: float = 0.0
-
-    def logits(self, raw: bytes) -> np.ndarray:
-        total, n = np.zeros(len(self.languages)), 0
+    least: float = 0.0  # of the likeliest language's probability
+    usual: float = 0.0  # surprise of the calibration windows
+    most: float = float("inf")  # how far above that, times the root of the number of runs
+    whole: int = 512
+
+    def measure(self, raw: bytes) -> tuple[np.ndarray, float]:
+        """Logits of the languages, and the standing of the surprise: (its mean - usual) * root of the runs."""
+        total, n = np.zeros(len(self.languages) + 1), 0
         for at in range(0, len(raw), _CHUNK):
             f = features(raw[at : at + _CHUNK + 3], len(self.table))
             total += self.table[f].sum(axis=0, dtype=np.float64)
             n += len(f)
-        return total / max(n, 1) + self.bias
+        mean = total / max(n, 1)
+        return mean[:-1] + self.bias, float((mean[-1] - self.usual) * min(n, self.whole) ** 0.5)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, rejected)."""
         if not self.languages or not text or not has_letter(text):
             return UNKNOWN, 0.0, True
-        p = softmax(self.logits(normal_bytes(text)) / self.temperature)
+        logits, strange = self.measure(normal_bytes(text))
+        p = softmax(logits / self.temperature)
         i = int(np.argmax(p))
-        return self.languages[i], float(p[i]), bool(p[i] < self.threshold)
+        return self.languages[i], float(p[i]), bool(p[i] < self.least or strange > self.most)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -110,12 +123,11 @@ def sample_windows(docs: DataFrame, key: str, text: str, label: str, s: Settings
     """(part, language, normalised window) from the rows that may be learned from."""
     ours = docs.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(label).cast("string").alias("l"))
     ours = ours.where(F.col("k").isNotNull() & F.col("l").isNotNull() & ~held_out(F.col("k")))
-    counts = {r["l"]: r["n"] for r in ours.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a language
-    if not counts:
-        return []
+    counts = ours.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(s.most_languages)
     scale = 1 << 30
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(scale, scale * s.sample_per_language // n))])
-    chosen = ours.where(F.pmod(F.xxhash64("k", F.lit(s.seed)), F.lit(scale)) < share[F.col("l")])
+    shares = F.broadcast(counts.select(F.col("l").alias("of"), (F.lit(float(scale * s.sample_per_language)) / F.col("n")).alias("share")))  # a row a language
+    place = F.pmod(F.xxhash64("k", F.lit(s.seed)), F.lit(scale))
+    chosen = ours.join(shares, F.col("l") == F.col("of")).where(place < F.col("share"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,7 +151,7 @@ def sample_windows(docs: DataFrame, key: str, text: str, label: str, s: Settings
 def train(windows: list[tuple[int, str, bytes]], s: Settings = Settings()) -> Model:
     languages = sorted({lang for _, lang, _ in windows})
     if not languages:
-        return Model([], np.zeros((s.buckets, 0), np.float32), np.zeros(0))
+        return Model([], np.zeros((s.buckets, 1), np.float32), np.zeros(0))
     label = np.array([languages.index(lang) for _, lang, _ in windows])
     fit = np.array([part % 5 != 0 for part, _, _ in windows]) if len(windows) >= 50 else np.ones(len(windows), bool)
     feats = [features(w, s.buckets) for _, _, w in windows]
@@ -170,16 +182,24 @@ def train(windows: list[tuple[int, str, bytes]], s: Settings = Settings()) -> Mo
             emb[uniq] -= rate * np.add.reduceat(grown[order_f], first, axis=0)
             layer -= 0.05 * rate * (mean.T @ p)
             bias -= 0.05 * rate * p.sum(axis=0)
-    model = Model(languages, (emb @ layer).astype(np.float32), bias.astype(np.float64))
+    seen = np.zeros(s.buckets) + 0.5
+    for i in rows:
+        np.add.at(seen, feats[i], 1)
+    table = np.column_stack([emb @ layer, -np.log(seen / seen.sum())]).astype(np.float32)
+    model = Model(languages, table, bias.astype(np.float64), whole=s.whole)
     check = np.flatnonzero(~fit) if (~fit).any() else rows
-    logit = np.stack([model.logits(windows[i][2]) for i in check])
+    n = np.array([min(len(feats[i]), s.whole) for i in check])
+    model.usual = float(np.average([table[feats[i], -1].mean() if len(feats[i]) else 0.0 for i in check], weights=n))
+    measured = [model.measure(windows[i][2]) for i in check]
+    logit, strange = np.stack([m[0] for m in measured]), np.array([m[1] for m in measured])
     truth = label[check]
     at = np.arange(len(check))
     temperatures = np.geomspace(0.05, 20, 60)
     loss = [-np.log(np.maximum(softmax(logit / t)[at, truth], 1e-12)).mean() for t in temperatures]
     model.temperature = float(temperatures[int(np.argmin(loss))])
-    # The calibrated quantile alone decides: at most max_rejected of the windows fall below it, whatever the number of languages.
-    model.threshold = float(np.quantile(softmax(logit / model.temperature).max(axis=1), s.max_rejected))
+    # The calibrated quantiles alone decide, whatever the number of languages.
+    model.least = float(np.quantile(softmax(logit / model.temperature).max(axis=1), s.error_rate / 2))
+    model.most = float(np.quantile(strange, 1 - s.error_rate / 2))
     return model
 
 
