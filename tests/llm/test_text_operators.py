@@ -3,11 +3,14 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
-from winnowkit.llm import chat, exact, licenses, quality
+from winnowkit.llm import chat, exact, licenses, quality, store
 
 DOCS = "doc_id bigint, text string, source string, n_chars bigint, lines string, digest string, row int, keep_id int"
 
@@ -63,7 +66,9 @@ def frequency_rows():
     return rows
 
 
-def test_frequent_lines_are_removed_and_depleted_documents_rejected(spark):
+@pytest.mark.parametrize("most", [store.BROADCAST_ROWS, 0])
+def test_frequent_lines_are_removed_and_depleted_documents_rejected(spark, monkeypatch, most):
+    monkeypatch.setattr(store.small, "__defaults__", (None, most))
     limits = quality.Limits(min_docs=10, max_share=0.1, min_kept=0.6, min_words=3)
     rows = frequency_rows()
     got = {r.doc_id: r.kept for r in quality.quality(docs(spark, rows), limits=limits).collect()}
@@ -100,15 +105,57 @@ def test_index_outlives_its_batch(spark, tmp_path):
     assert again.buckets == 4 and again.table().count() == 2
     got = {r.doc_id: (r.keep_id, r.kept) for r in again.add(docs(spark, [(3, "A", "s"), (4, "c", "s"), (1, "a", "s")])).collect()}
     assert got == {3: (1, False), 4: (4, True), 1: (1, False)}
-    plan = docs(spark, [(7, "q", "s")]).select(exact.digest_of(F.col("text")).alias("digest")).hint("merge").join(again.table(), "digest", "left_anti")
-    assert "SortMergeJoin" in plan._jdf.queryExecution().toString()
-
-
-def test_keep_rows(spark):
-    d = docs(spark, [(1, "A", "s"), (2, "a", "s"), (2, "a", "s"), (3, "b", "s"), (None, "n", "s"), (None, "m", "s")])
-    index = exact.DigestIndex(spark, exact.new_path(spark, "t"), 4)
-    kept = exact.keep_rows(d, index.add(d))
-    assert kept.columns == d.columns and sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [(-1, "m"), (-1, "n"), (2, "a"), (3, "b")]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("digest_index")]
+
+
+def test_a_batch_that_is_added_again_keeps_the_same_rows(spark, tmp_path):
+    one = docs(spark, [(1, "a", "s"), (2, "b", "s"), (3, "A", "s"), (None, "n", "s"), (None, "n", "s")])
+    two = docs(spark, [(9, "a", "s"), (10, "c", "s")])
+    index = exact.DigestIndex(spark, f"file://{tmp_path}/index", 4)
+    verdicts = lambda d, b: sorted(((r.doc_id or 0, r.keep_id or 0, r.kept) for r in index.add(d, batch=b).collect()))
+    first, second = verdicts(one, "one"), verdicts(two, "two")
+    assert [x[0] for x in first if x[2]] == [0, 2, 3] and [x[0] for x in second if x[2]] == [10]
+    assert verdicts(one, "one") == first and verdicts(two, "two") == second and index.table().count() == 4
+    # A crash in the append: part of the batch's digests are in the index.
+    part = exact.DigestIndex(spark, f"file://{tmp_path}/part", 4)
+    part.add(one.where("doc_id = 2"), batch="one")
+    assert sorted((r.doc_id or 0, r.keep_id or 0, r.kept) for r in part.add(one, batch="one").collect()) == first
+
+
+def test_a_compacted_index_is_read_in_order(spark, tmp_path):
+    index = exact.DigestIndex(spark, f"file://{tmp_path}/index", 4)
+    for i in range(3):
+        index.add(docs(spark, [(10 * i + j, f"t{i}-{j}", "s") for j in range(8)]))
+    before = sorted(tuple(r) for r in index.table().collect())
+    index.compact()
+    assert sorted(tuple(r) for r in index.table().collect()) == before and len(list(tmp_path.glob("index/b4/*"))) == 1
+    assert 1 <= len(list(tmp_path.glob("index/b4/g1/*.parquet"))) <= 4
+    index = exact.DigestIndex(spark, f"file://{tmp_path}/index", 8)
+    assert (index.buckets, index.generation) == (4, 1)
+    new = docs(spark, [(7, "q", "s"), (8, "t0-0", "s")]).select(exact.digest_of(F.col("text")).alias("digest")).hint("merge")
+    with index._registered() as name:
+        plan = new.join(spark.table(name), "digest", "left_anti")
+        assert plan.count() == 1
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and text.count("Sort [digest") == 1  # only the new digests are sorted
+
+
+def test_batches(spark):
+    a, b = docs(spark, [(5, "x", "s"), (6, "y", "s")]), docs(spark, [(1, "X", "s"), (2, "z", "s"), (None, "z", "s")])
+    got = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact.dedup_batches([a, b]).collect()}
+    assert got == {(5, 5, 2, True), (6, 6, 1, True), (1, 5, 2, False), (2, 2, 2, True), (None, 2, 2, False)}
+    assert exact.dedup_batches([a.limit(0), b.limit(0)]).collect() == []
+
+
+def test_keep_rows(spark, monkeypatch):
+    rows = [(1, "A", "s"), (2, "a", "s"), (2, "a", "s"), (3, "b", "s"), (None, "n", "s"), (None, "m", "s"), (4, None, "s"), (5, "", "s")]
+    d = docs(spark, rows).withColumn("m", F.lit("clash"))
+    for most in (store.BROADCAST_ROWS, 0):  # the way without a broadcast too
+        monkeypatch.setattr(store.small, "__defaults__", (None, most))
+        kept = exact.keep_rows(d)
+        assert kept.columns == d.columns and sorted((r.doc_id or -1, r.text) for r in kept.collect()) == [(-1, "m"), (-1, "n"), (2, "a"), (3, "b"), (5, "")]
+    assert sorted(r.doc_id for r in exact.keep_rows(docs(spark, rows[3:4] + rows[6:])).collect()) == [3, 5]
+    assert exact.keep_rows(d.limit(0)).collect() == []
 
 
 def chats(spark, rows):
@@ -138,12 +185,60 @@ def test_license_scan(spark):
     rows = [
         (1, "code\nLicensed under the Apache License, Version 2.0.\nmore", "a/b/x.txt"), (2, "no notice, though a license is named", "a/b/c/y.txt"), (3, "Released under the MIT License.", "a/b/LICENSE"),
         (4, None, "a/z.txt"), (5, "", None), (6, "This work is licensed under the GNU General Public License, version 3.", "LICENSE"), (7, "plain", "other/deep/er/f"),
-        (7, "plain", "other/deep/er/f"), (8, "LICENSED UNDER CC BY-NC 4.0", "c.txt"),
+        (7, "plain", "other/deep/er/f"), (8, "LICENSED UNDER CC BY-NC 4.0", "c.txt"), (9, "License", None), (10, "the license of the work", None), (11, "word " * 200_000, None),
     ]
-    d = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, path string, score int")
+    d = spark.createDataFrame([(*r, 1, "x", "y") for r in rows], "doc_id bigint, text string, path string, score int, own string, term string")
     got = sorted((r.doc_id, r.license, r.origin, r.levels_up) for r in licenses.scan(d).collect())
     assert got == [
         (1, "Apache-2.0", "own", None), (2, "MIT", "inherited", 1), (3, "MIT", "own", None), (4, "GPL-3.0", "inherited", 1), (5, None, "none", None),
         (6, "GPL-3.0", "own", None), (7, "GPL-3.0", "inherited", 3), (7, "GPL-3.0", "inherited", 3), (8, "CC-BY-NC-4.0", "own", None),
+        (9, None, "none", None), (10, None, "none", None), (11, None, "none", None),
     ]
     assert licenses.scan(d.limit(0)).collect() == []
+
+
+def full(name):
+    return (Path(licenses.__file__).parent / "license_texts" / f"{name}.txt").read_text()
+
+
+def comment(text, mark):
+    return "\n".join(f"{mark} {line}".rstrip() for line in text.strip().split("\n"))
+
+
+def license_cases():
+    apache_header = licenses.FORMS["Apache-2.0"][-1]
+    bsd = full("BSD-3-Clause").replace("the copyright holder nor the names of its", "Acme Corp nor the names of its").replace("Copyright (c)", "Copyright (c) 2019, Acme Corp\nAll rights reserved.")
+    code = "\npackage main\n\nimport os\nfunc main() { run(os.Args) }\n" * 20
+    return [
+        *[(name, full(name)) for name in ("MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "ISC", "CC0-1.0", "Unlicense", "BSD-2-Clause", "BSD-3-Clause")],
+        ("MIT", full("MIT").replace("Copyright (c)", "Copyright (c) 2024 Jane Roe and contributors").replace("\n", "\r\n")),
+        ("BSD-3-Clause", bsd), ("Apache-2.0", f"// Copyright 2020 The Authors\n//\n{comment(apache_header, '//')}\n{code}"),
+        ("Apache-2.0", "/*\n" + comment("\n".join(textwrap.wrap(apache_header, 70)), " *") + "\n */" + code), ("GPL-3.0", comment("\n".join(textwrap.wrap(licenses.FORMS["GPL-3.0"][-1], 60)), "#") + "\nimport x" + code),
+        ("MIT", "# SPDX-License-Identifier: MIT\nimport x" + code), ("Apache-2.0", "// SPDX-License-Identifier: Apache-2.0" + code), ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"),
+        ("MIT", "MIT License"), ("Apache-2.0", "Apache License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("MPL-2.0", "Mozilla Public License Version 2.0"), ("MIT", "// Licensed under the MIT license."),
+        (None, code), (None, "the software is provided to any person"), (None, "All rights reserved. This license may not be used."),
+    ]
+
+
+def test_real_licence_texts_and_headers(spark):
+    prose = ["the quick brown fox of the house is in and of the software world", "a person may use the copy of the work or not"] * 20
+    rows = [(i, text, None) for i, (_, text) in enumerate(license_cases())] + [(1000 + i, f"{p} w{i}", None) for i, p in enumerate(prose)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, path string")
+    got = {r.doc_id: r.license for r in licenses.scan(d).collect()}
+    assert [got[i] for i in range(len(license_cases()))] == [name for name, _ in license_cases()]
+    assert all(got[1000 + i] is None for i in range(len(prose)))
+
+
+def test_parts_without_a_telling_term_can_not_reach_the_score():
+    listed = licenses.templates()
+    rnd = random.Random(2)
+    for frequency, total in (({}, 10), ({"the": 900, "of": 800, "license": 700, "software": 90, "permission": 3}, 1000)):
+        unit, idf, other = licenses.template_weights(listed, frequency, total)
+        telling = set(licenses.telling_terms(unit, idf, licenses.MIN_SCORE))
+        assert telling < set(idf) and abs(sum(w * w for w in unit[0].values()) - 1) < 1e-9
+        for vector in unit:
+            words = [t for t in vector if t not in telling]  # the part that is most like the template
+            for _ in range(20):
+                tf = {t: vector[t] / idf[t] * rnd.choice((1, 1, 1, 0.5)) for t in words}
+                norm = sum((n * idf[t]) ** 2 for t, n in tf.items()) ** 0.5 or 1
+                assert sum(n * idf[t] * vector[t] for t, n in tf.items()) / norm < licenses.MIN_SCORE

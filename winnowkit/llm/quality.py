@@ -9,7 +9,8 @@ characters is depleted and rejected.
 
 The texts are read once: counts and line hashes go to a table in the shared folder. Counting
 aggregates map-side, so a line or host with a third of all rows costs one row a task; the way
-back from frequent lines to documents is a plain join, which adaptive execution splits.
+back from frequent lines to documents is a plain join, which adaptive execution splits. Texts
+are not shuffled unless the rows with removed lines are too many to broadcast.
 
 Defined results: a null text has no words and fails the base rules, as an empty one does. A
 null host is a host of its own. Repeated rows and equal keys are separate rows with equal
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import settle
+from .store import settle, small
 from .textnorm import SPACE, SPACE_CHARS, WORD, lower_ascii
 
 
@@ -99,12 +100,21 @@ def frequent_lines(measured: DataFrame, limits: Limits = Limits()) -> DataFrame:
     ).select("host", "h")
 
 
-def verdicts(measured: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """``measured`` (with host, row and lines) with removed: array of line hashes, kept and no lines."""
+def _hits(measured: DataFrame, limits: Limits) -> DataFrame:
+    """(hit_row, removed_chars, removed): the rows that have a line above the limits, settled."""
     bad = settle(frequent_lines(measured, limits), "frequent").select(F.col("host").alias("bad_host"), F.col("h").alias("bad_h"))
     lines = measured.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.h", "x.n")
     hit = lines.join(bad, lines["host"].eqNullSafe(bad["bad_host"]) & (lines["h"] == bad["bad_h"]))
     hit = hit.groupBy(F.col("row").alias("hit_row")).agg(F.sum("n").alias("removed_chars"), F.collect_set("h").alias("removed"))
+    return settle(hit, "hits")
+
+
+def verdicts(measured: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """``measured`` (with host, row and lines) with removed: array of line hashes, kept and no lines.
+
+    The rows with removed lines go to the others, which stay where they are, if they hold few enough hashes in all.
+    """
+    hit = small(_hits(measured, limits), F.size("removed") + 2)
     out = measured.join(hit, F.col("row") == F.col("hit_row"), "left")
     total = F.aggregate("lines", F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"])
     left = total - F.coalesce("removed_chars", F.lit(0))
@@ -125,8 +135,7 @@ def filter_quality(docs: DataFrame, key: str = "doc_id", text: str = "text", hos
     """The documents that are kept, without the lines above the limits. Columns as in ``docs``."""
     carry = {"host": F.col(host), "row": F.monotonically_increasing_id(), "doc": F.struct(*docs.columns)}
     measured = settle(measure(docs, carry, text, limits), "measured")
-    ruled = verdicts(measured.drop("doc"), limits).where("kept").select("row", "removed")
-    docs2 = measured.select("row", "doc").join(ruled, "row")
+    docs2 = verdicts(measured, limits).where("kept").select("doc", "removed")
     stays = lambda line: ~F.array_contains(F.col("removed"), F.xxhash64(normalised_line(line))) | (F.btrim(line, F.lit(SPACE_CHARS)) == "")
     lines = F.split(F.col("doc")[text], "\n", -1)
     cleaned = F.when(F.col("removed").isNull(), F.col("doc")[text]).otherwise(F.array_join(F.filter(lines, stays), "\n"))

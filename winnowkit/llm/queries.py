@@ -130,32 +130,33 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text", file_path().alias("path")))
 
 
-_NOTICE_ROWS = ", ".join(f"('{k}', '{v}')" for k, v in sorted(licenses.NOTICES.items()))
+_QUOTE = lambda x: "'" + x.replace("'", "''") + "'"
+_TEMPLATE_ROWS = ", ".join(f"({_QUOTE(name)}, {_QUOTE(x)})" for name, x in licenses.templates())
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 OP5_SQL = rf"""
-WITH f AS (
-  SELECT doc_id, coalesce(text, '') AS t, source || '/p' || (doc_id // 500) AS top, source || '/p' || (doc_id // 500) || '/q' || (doc_id // 25) AS low FROM documents
+WITH f AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, source || '/p' || (doc_id // 500) AS top, source || '/p' || (doc_id // 500) || '/q' || (doc_id // 25) AS low FROM documents
 ), d AS (
-  SELECT doc_id, t, CASE WHEN doc_id % 500 < 20 THEN top ELSE low END AS dir, top, low,
-    doc_id % 500 < 20 OR doc_id % 25 < 5 AS licence_file, regexp_extract_all({_LOWER.format("t")}, '{licenses.TERM}') AS w FROM f
+  SELECT r, doc_id, t, CASE WHEN doc_id % 500 < 20 THEN top ELSE low END AS dir, top, low, doc_id % 500 < 20 OR doc_id % 25 < 5 AS licence_file, string_split(t, chr(10)) AS lines FROM f
 ), n AS (
-  SELECT license, unnest(regexp_extract_all(lower(notice), '{licenses.TERM}')) AS term FROM (VALUES {_NOTICE_ROWS}) v(license, notice)
-), nt AS (SELECT license, term, count(*) AS tf FROM n GROUP BY ALL),
+  SELECT license, i, unnest(regexp_extract_all({_LOWER.format("x")}, '{licenses.TERM}')) AS term
+  FROM (SELECT license, x, row_number() OVER (ORDER BY license, x) AS i FROM (VALUES {_TEMPLATE_ROWS}) v(license, x))
+), nt AS (SELECT license, i, term, count(*) AS tf FROM n GROUP BY ALL),
 tot AS (SELECT count(*) AS n FROM d),
-df AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(w) AS term FROM d) GROUP BY term),
-idf AS (SELECT DISTINCT nt.term, ln((tot.n + 1) / (coalesce(df.df, 0) + 1)) + 1 AS idf FROM nt LEFT JOIN df USING (term), tot),
-tw AS (SELECT license, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY license)) AS tw FROM nt JOIN idf USING (term)),
-cue AS (
-  SELECT doc_id, i, line FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d)
-  WHERE regexp_matches({_LOWER.format("line")}, '{licenses.CUE}')
+df AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT r, unnest(regexp_extract_all({_LOWER.format("t")}, '{licenses.TERM}')) AS term FROM d) GROUP BY term),
+idf AS MATERIALIZED (SELECT DISTINCT nt.term, ln((tot.n + 1) / (coalesce(df.df, 0) + 1)) + 1 AS idf FROM nt LEFT JOIN df USING (term), tot),
+tw AS MATERIALIZED (SELECT license, i, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY i)) AS tw FROM nt JOIN idf USING (term)),
+pt AS (
+  SELECT r, unnest(list_distinct(list_concat([t, array_to_string(lines[:greatest(coalesce(list_position(list_transform(lines, lambda l: regexp_matches(l, '{licenses.COMMENT}')), false), 0) - 1, 0)], chr(10))],
+    regexp_split_to_array(t, '{licenses.EMPTY_LINES}'), lines))) AS part FROM d
 ), ct AS (
-  SELECT doc_id, i, term, count(*) AS tf FROM (SELECT doc_id, i, unnest(regexp_extract_all({_LOWER.format("line")}, '{licenses.TERM}')) AS term FROM cue) GROUP BY ALL
-), cw AS (SELECT doc_id, i, term, tf * coalesce(idf, ln(tot.n + 1) + 1) AS w FROM ct LEFT JOIN idf USING (term), tot),
-norm AS (SELECT doc_id, i, sqrt(sum(w * w)) AS norm FROM cw GROUP BY doc_id, i),
+  SELECT r, part, term, count(*) AS tf FROM (SELECT r, part, unnest(regexp_extract_all({_LOWER.format("part")}, '{licenses.TERM}')) AS term FROM pt) GROUP BY ALL
+), cw AS MATERIALIZED (SELECT r, part, term, tf * coalesce(idf, ln(tot.n + 1) + 1) AS w FROM ct LEFT JOIN idf USING (term), tot),
+norm AS (SELECT r, part, sqrt(sum(w * w)) AS norm FROM cw GROUP BY r, part),
 s AS (
-  SELECT doc_id, license, round(sum(w * tw) / any_value(norm), 6) AS score FROM cw JOIN tw USING (term) JOIN norm USING (doc_id, i) GROUP BY doc_id, i, license
-), own AS (SELECT doc_id, arg_min(license, (-score, license)) AS own, max(score) AS own_score FROM s WHERE score >= {licenses.MIN_SCORE} GROUP BY doc_id),
-o AS (SELECT d.doc_id, dir, top, low, licence_file, own, own_score FROM d LEFT JOIN own USING (doc_id)),
+  SELECT r, license, round(sum(w * tw) / any_value(norm), 6) AS score FROM cw JOIN tw USING (term) JOIN norm USING (r, part) GROUP BY r, part, i, license
+), own AS (SELECT r, arg_min(license, (-score, license)) AS own, max(score) AS own_score FROM s WHERE score >= {licenses.MIN_SCORE} GROUP BY r),
+o AS (SELECT d.r, doc_id, dir, top, low, licence_file, own, own_score FROM d LEFT JOIN own USING (r)),
 ld AS (SELECT dir AS at, min((own, own_score)) AS f FROM o WHERE licence_file AND own IS NOT NULL GROUP BY dir)
 SELECT doc_id, CASE WHEN own IS NOT NULL THEN own ELSE coalesce(a.f[1], b.f[1]) END AS license,
   CASE WHEN own IS NOT NULL THEN 'own' WHEN coalesce(a.f[1], b.f[1]) IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
@@ -170,36 +171,36 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = r"""
-WITH d AS (
-  SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), l AS (
-  SELECT doc_id, source, line, length(line) AS n,
+  SELECT r, source, line, length(line) AS n,
     translate(regexp_replace(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+', ' ', 'g'),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
-  FROM (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS line FROM d)
+  FROM (SELECT r, source, unnest(string_split(t, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), dup AS (
-  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l GROUP BY doc_id
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM l GROUP BY r
 ), win AS (
-  SELECT doc_id, i, w[i:i+4] AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+  SELECT r, i, w[i:i+4] AS win FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
 ), twice AS (
-  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS c FROM win) WHERE c > 1
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS c FROM win) WHERE c > 1
 ), rep AS (
-  SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id
+  SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY r
 ), docs_of AS (
   SELECT source, count(*) AS docs FROM d GROUP BY source
 ), bad AS (
-  SELECT f.source, f.norm FROM (SELECT source, norm, count(DISTINCT doc_id) AS n FROM l GROUP BY source, norm) f
+  SELECT f.source, f.norm FROM (SELECT source, norm, count(DISTINCT r) AS n FROM l GROUP BY source, norm) f
   JOIN docs_of USING (source) WHERE f.n > 10 AND f.n > docs * CAST(0.1 AS DOUBLE)
 ), cut AS (
-  SELECT doc_id, sum(n) AS total, sum(CASE WHEN bad.norm IS NULL THEN n ELSE 0 END) AS stays, count(bad.norm) AS removed
-  FROM l LEFT JOIN bad USING (source, norm) GROUP BY doc_id
+  SELECT r, sum(n) AS total, sum(CASE WHEN bad.norm IS NULL THEN n ELSE 0 END) AS stays, count(bad.norm) AS removed
+  FROM l LEFT JOIN bad USING (source, norm) GROUP BY r
 ), base AS (
   SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
     coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
     coalesce(removed > 0 AND stays < total * CAST(0.3 AS DOUBLE), false) AS depleted
-  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN cut USING (doc_id)
+  FROM d LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN cut USING (r)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
@@ -213,7 +214,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact.exact_dedup(_table(spark, sf_dir, "documents"))
+    """All documents in two batches, the one with the larger ids first: what the second repeats is found in the index."""
+    docs = _table(spark, sf_dir, "documents")
+    half = docs.agg(F.floor((F.min("doc_id") + F.max("doc_id")) / 2)).first()[0]
+    newer = F.coalesce(F.col("doc_id") > F.lit(half), F.lit(False))
+    return exact.dedup_batches([docs.where(newer), docs.where(~newer)])
 
 
 OP8_SQL = """
