@@ -3,6 +3,9 @@
 import random
 import re
 
+import numpy as np
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from winnowkit.llm import jaccard, simhash
 
@@ -72,3 +75,26 @@ def test_stage_takes_out_copies_that_fingerprints_miss(spark, tmp_path):
     assert sum(n > simhash.THRESHOLD for n in far) > 10
     d = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, d, str(tmp_path)).collect()} == set(range(30))
+
+
+def test_bitmaps_never_differ_in_more_places_than_the_sets_have_terms_alone(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(300):
+        a = np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 700))).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: int(rng.integers(0, len(a) + 1))], rng.integers(0, 1 << 63, int(rng.integers(1, 900))).astype(np.uint64)]))
+        rows.append((jaccard.parity(a).view(np.int64).tolist(), jaccard.parity(b).view(np.int64).tolist(), len(np.setxor1d(a, b))))
+    assert {len(r[0]) * 64 for r in rows} >= {64, 256, 1024}
+    d = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>, n int")
+    found = d.select(jaccard._differing(F.col("a"), F.col("b")).alias("d"), "n").collect()
+    assert all(0 < r.d <= r.n for r in found if r.n) and sum(r.d > 0.3 * r.n for r in found) > 100
+
+
+def test_odd_tables(spark):
+    """Clashing column names, very long texts, null and repeated keys, and an empty table."""
+    long = "a b c d e f g h i j " * 20_000
+    rows = [(1, long, "x", "k"), (2, long + "tail", "x", "k"), (None, "same words here once more", "x", "k"), (None, "same words here once more", "x", "k"), (4, None, "x", "k"), (5, "", "x", "k"), (6, "one", "x", "k")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, digest string, k string")
+    kept = jaccard.keep_representatives(d)
+    assert kept.columns == d.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 4, 6]
+    assert jaccard.keep_representatives(d.limit(0)).collect() == []

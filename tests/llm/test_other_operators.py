@@ -5,10 +5,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tests.llm.test_near_duplicates import brute as brute_near
 from winnowkit.llm import langid, packing, simhash, warc
 from winnowkit.llm.components import components
 
@@ -68,27 +71,36 @@ def test_simhash_components(spark):
     assert simhash.simhash(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
 
 
-def test_crowded_anchors_are_split(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "MOST", 64)
-    rng = np.random.default_rng(4)
+def ball(n, rng):
+    """A dense ball: far more members of an anchor than a task may hold."""
     fps = {0}
-    while len(fps) < 600:  # a dense ball: far more members of an anchor than a task may hold
+    while len(fps) < n:
         x = 0
         for b in rng.choice(64, rng.integers(1, 5), replace=False):
             x |= 1 << int(b)
         fps.add(x)
-    fps = np.array(sorted(fps), np.uint64)
-    key, order = simhash.anchors_of(fps)[1], None
+    return np.array(sorted(fps), np.uint64)
+
+
+def test_crowded_anchors_are_found():
+    fps = ball(600, np.random.default_rng(4))
     index, anchor = simhash.anchors_of(fps)
     order = np.argsort(anchor, kind="stable")
-    import pyarrow as pa
-
     batches = [pa.RecordBatch.from_arrays([pa.array(anchor[order][i : i + 97]), pa.array(fps[index][order][i : i + 97].view(np.int64))], ["a", "fp"]) for i in range(0, len(order), 97)]
-    rows = [r for b in simhash._compare(3)(iter(batches)) for r in b.to_pylist()]
-    crowd = {(r["a"], r["b"]) for r in rows if r["kind"] == 1}
-    sizes = dict(zip(*np.unique(key, return_counts=True), strict=True))
-    assert {a for a, _ in crowd} == {a for a, n in sizes.items() if n > 64}
-    links = simhash.links(spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp bigint"))
+    rows = [r for b in simhash._compare(3, 64)(iter(batches)) for r in b.to_pylist()]
+    sizes = dict(zip(*np.unique(anchor, return_counts=True), strict=True))
+    assert {r["a"] for r in rows if r["kind"] == 1} == {a for a, n in sizes.items() if n > 64}
+
+
+@pytest.mark.parametrize("most", [64, 12])
+def test_crowded_anchors_are_split(spark, monkeypatch, most):
+    """Down to cells so small that some are too large again and are split a second time."""
+    fps, written, settle = ball(600, np.random.default_rng(4)), [], simhash.settle
+    monkeypatch.setattr(simhash, "settle", lambda df, name, path=None: written.append((name, settle(df, name, path))) or written[-1][1])
+    links = simhash.links(spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp bigint"), most=most)
+    crowded = [d for name, d in written if name == "crowded"]
+    assert written[0][0] == "found" and written[0][1].where("kind = 1").count() > 100 and len(crowded) >= (1 if most == 64 else 2)
+    assert crowded[0].where("kind = 0").count() > 0 and crowded[-1].where("kind = 1").count() == 0
     got = {r.node: r.root for r in components(links).collect()}
     want = brute_components(fps)
     signed = fps.view(np.int64).tolist()
@@ -206,8 +218,7 @@ def test_pipeline(spark, tmp_path):
         key = texts[d].lower()
         last[key] = max(d, last.get(key, d))
     unique = sorted(last.values())
-    root = brute_components(np.array([brute_fingerprint(texts[d]) for d in unique], np.uint64))
-    want = {unique[r] for r in root}
+    want = {c for _, c in brute_near([(d, texts[d]) for d in unique])}
     assert {r.doc_id for r in docs.collect()} == want
     assert not want & set(range(20)) and len(want) < len(unique)
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()

@@ -8,9 +8,10 @@ either. Each distinct fingerprint is replicated to all anchors within distance 2
 (17 at most), and compared in full inside each anchor.
 
 Equal fingerprints are one, so copies cost nothing here. Inside an anchor only a spanning forest of
-the links is returned: exact, and never more rows than members. An anchor with more than ``MOST``
-members is handed out again in square cells of chunks, so no task holds more than two chunks;
-nothing is capped. The links become components in the shared folder.
+the links is returned: exact, and never more rows than members. An anchor with more than ``most``
+members is handed out again in cells, each of two chunks of it, and a cell that is still too large
+is split in the same way by another hash, until none is left; so no task holds more than a cell
+and nothing is capped. The links become components in the shared folder.
 
 Defined results: a null text has no words; texts without words have fingerprint zero, and so are
 linked to each other. The component of a document is the smallest non-null key it reaches; null
@@ -20,7 +21,7 @@ columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import settle
+from .store import drop_matches, settle
 
 THRESHOLD = 3
 MOST = 8192
@@ -48,11 +49,20 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
     starts = np.cumsum(lengths) - lengths
     ends = (starts + lengths - 1)[shingle - 1 :] if len(words) >= shingle else np.array([len(flat)])
-    ones = np.zeros(64, np.int64)
     digest = xxhash.xxh64_intdigest
-    for at in range(0, n, _BLOCK):
+
+    def hashes(at: int) -> np.ndarray:
         s, e = starts[at : min(n, at + _BLOCK)].tolist(), ends[at : at + _BLOCK].tolist()
-        h = np.fromiter([digest(flat[a:b], seed) for a, b in zip(s, e, strict=True)], np.uint64, len(s))
+        return np.fromiter([digest(flat[a:b], seed) for a, b in zip(s, e, strict=True)], np.uint64, len(s))
+
+    return majority(map(hashes, range(0, n, _BLOCK)))
+
+
+def majority(blocks: Iterable[np.ndarray]) -> int:
+    """The fingerprint of shingles whose hashes come in blocks: the bits set in over half of them."""
+    ones, n = np.zeros(64, np.int64), 0
+    for h in blocks:
+        n += len(h)
         ones += np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
@@ -121,10 +131,10 @@ def forest(fp: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
     return out
 
 
-def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+def _sorted_runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """Whole batches of (group, fp) rows, sorted by group; the last group waits for the next batch.
 
-    A group of more than MOST rows comes in parts of its own, flagged, none of them held back.
+    A group of more than ``most`` rows comes in parts of its own, flagged, none of them held back.
     """
     key, fp, large = np.zeros(0, np.int64), np.zeros(0, np.uint64), None
     for batch in batches:
@@ -140,7 +150,7 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray
             cut = int(np.searchsorted(key, key[-1], "left"))  # where the last group begins
             starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             sizes = np.diff(np.append(starts, len(key)))
-            big = np.flatnonzero(sizes > MOST)
+            big = np.flatnonzero(sizes > most)
             if len(big):
                 s = int(starts[big[0]])
                 if s:
@@ -186,10 +196,10 @@ def _found(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["kind", "a", "b"])
 
 
-def _compare(threshold: int):
+def _compare(threshold: int, most: int = MOST):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Links (kind 0), and members of groups that are too large for one task (kind 1: group, fp)."""
-        for key, fp, large in _sorted_runs(batches):
+        for key, fp, large in _sorted_runs(batches, most):
             if large:
                 yield _found(1, key, fp)
                 continue
@@ -200,7 +210,7 @@ def _compare(threshold: int):
     return run
 
 
-def links(fps: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def links(fps: DataFrame, threshold: int = THRESHOLD, most: int = MOST) -> DataFrame:
     """(a, b): links among distinct fingerprints (column fp) whose components are those of all links."""
     if threshold > THRESHOLD:
         raise ValueError("the anchors cover differences of up to 3 bits")
@@ -211,35 +221,44 @@ def links(fps: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             i, anchor = anchors_of(fp.view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(fp[i])], ["anchor", "fp"])
 
-    members = fps.select("fp").mapInArrow(replicate, "anchor bigint, fp bigint")
+    # A count of partitions that adaptive execution leaves alone: rows grow 31-fold here, which it can't foresee.
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = fps.select("fp").repartition(tasks, "fp").mapInArrow(replicate, "anchor bigint, fp bigint")
     dealt = members.repartition("anchor").sortWithinPartitions("anchor")
-    found = settle(dealt.mapInArrow(_compare(threshold), _FOUND), "found")
-    near_ones = found.where("kind = 0").select("a", "b")
-    crowd = found.where("kind = 1").select(F.col("a").alias("anchor"), F.col("b").alias("fp"))
+    found = settle(dealt.mapInArrow(_compare(threshold, most), _FOUND), "found")
+    out, level = found.where("kind = 0").select("a", "b"), 0
+    while not (crowd := found.where("kind = 1")).isEmpty():
+        level += 1
+        cells = _cells(crowd.select(F.col("a").alias("anchor"), F.col("b").alias("fp")), most, level)
+        dealt = cells.repartition("cell").sortWithinPartitions("cell")
+        found = settle(dealt.mapInArrow(_compare(threshold, most), _FOUND), "crowded")
+        out = out.union(found.where("kind = 0").select("a", "b"))
+    return out
+
+
+def _cells(crowd: DataFrame, most: int, level: int) -> DataFrame:
+    """(cell, fp): each pair of chunks of an anchor as a cell, so that any two members meet in one.
+
+    A chunk has most / 4 members on average, half of what two may fill a cell with: hashed chunks
+    vary in size. Every level hashes anew, and has at least two chunks, so that cells shrink.
+    """
     sizes = crowd.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    if sizes.isEmpty():
-        return near_ones
-    half = MOST // 2
-    chunks = F.ceil(F.col("n") * 2 / half).cast("int")  # twice as many as needed: hashed chunks vary in size
-    mine = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    cells = (
+    chunks = F.greatest(F.ceil(F.col("n") * 4 / most), F.lit(3)).cast("int")
+    return (
         crowd.join(sizes, "anchor")
         .withColumn("chunks", chunks)
-        .withColumn("c", mine)
+        .withColumn("c", F.pmod(F.xxhash64("fp", F.lit(level)), F.col("chunks")).cast("int"))
         .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select(F.xxhash64("anchor", F.least("c", "o"), F.greatest("c", "o")).alias("cell"), "fp")
+        .select(F.xxhash64("anchor", F.least("c", "o"), F.greatest("c", "o"), F.lit(level)).alias("cell"), "fp")
         .distinct()
     )
-    more = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_compare(threshold), _FOUND)
-    more = settle(more, "crowded")
-    return near_ones.union(more.where("kind = 0").select("a", "b"))
 
 
-def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, most: int = MOST) -> DataFrame:
     """One row a document: (key, fingerprint, component_id)."""
     fp = settle(fingerprints(docs, key, text), "fingerprints")
     distinct = fp.groupBy("fp").agg(F.min(key).alias("low"))
-    roots = components(links(distinct, threshold))
+    roots = components(links(distinct, threshold, most))
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     by_fp = settle(rooted.join(ids, "root").select(F.col("fp").alias("node"), "component_id"), "classes")
@@ -255,5 +274,5 @@ def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text
     a null key stay.
     """
     found = simhash(docs, key, text, threshold)
-    dropped = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("__wk_key")).distinct()
-    return docs.join(dropped, docs[key] == F.col("__wk_key"), "left_anti")
+    dropped = settle(found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("k")).distinct(), "near-copies")
+    return drop_matches(docs, F.col(key), dropped, "k")
