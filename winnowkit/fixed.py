@@ -131,3 +131,18 @@ EXCLUDED_SAMPLE = 25
 REPORT_WIDE_CITIES = 5
 EMPTY_PAGES_TO_STOP = 2
 SEARCH_ENGINE = "https://duckduckgo.com/?q="
+BAR_WIDTH = 40
+#: Shares of what was reported, from which on a run counts as complete or partial.
+COVERAGE_COMPLETE, COVERAGE_PARTIAL = 0.9, 0.6
+
+# --- result pages, captures and search links ---------------------------------------------------------------
+PAGE_DATA_OPEN = '<script id="__NEXT_DATA__" type="application/json">'
+PAGE_DATA_CLOSE = "</script>"
+REDIRECT_FIELD = "__N_REDIRECT"
+FIRST_PAGE_LABEL = "ssr"
+CAPTURE_FORMAT = "-capture/1"
+WINDOW_FIELD = "dateFetchedPastNDays"
+SEARCH_PATH = "/classic"
+DAILY_WINDOW_DAYS = 2
+SPAN_WARNING_HOURS = 6.0
+TOTAL_RECORDS, TOTAL_COMPANIES = "ssrTotalCount", "ssrCompanyCount"

@@ -19,7 +19,8 @@ def newest_first(date: Column) -> Column:
 
 
 def fallback_key(company: Column, title: Column, cities: Column) -> Column:
-    return F.concat_ws("|", F.lower(company), squeeze(title), F.array_join(F.array_sort(cities), ","))
+    """The company as it is spelled, the title in its compared form, and the cities in order."""
+    return F.concat_ws("|", company, squeeze(title), F.array_join(F.array_sort(cities), ","))
 
 
 def match_keys(object_id: Column, alternates: Column, cluster: Column) -> Column:
@@ -49,9 +50,27 @@ def posting_key(object_id: Column) -> Column:
     return F.concat(F.lit(fixed.POSTING_PREFIX), object_id)
 
 
-def record_key(object_id: Column, other_id: Column) -> Column:
-    """The id of a record as a string; empty and zero ids fall through to the other field."""
-    def usable(c: Column) -> Column:
-        return F.when(~F.coalesce(c, F.lit("")).isin("", "0", "false"), c)
+def record_key(record: Column) -> Column:
+    """The id of a raw record (VARIANT) as a string: ``objectID`` unless it is empty, zero or false, else ``id`` as it is.
 
-    return F.coalesce(usable(object_id), usable(other_id))
+    Only a record with neither is without a key. Lists and objects give their JSON text.
+    """
+
+    (first, nothing), (other, _) = _shown(record, "$.objectID"), _shown(record, "$.id")
+    return F.when(nothing, other).otherwise(first)
+
+
+def own_id(record: Column) -> Column:
+    """``objectID`` of a raw record as a string; null where it is missing, empty, zero or false."""
+    shown, nothing = _shown(record, "$.objectID")
+    return F.when(~nothing, shown)
+
+
+def _shown(record: Column, path: str) -> tuple[Column, Column]:
+    """A value as a string, and whether it is missing, empty, zero or false."""
+    found = F.try_variant_get(record, path, "variant")
+    kind, text = F.schema_of_variant(found), F.try_variant_get(record, path, "string")
+    number = F.rlike(kind, F.lit("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"))
+    shown = F.when(kind == "BOOLEAN", F.initcap(text)).when((kind == "STRING") | number, text).when(kind != "VOID", F.to_json(found))
+    empty = (shown.isin("", "[]", "{}")) | (kind == "BOOLEAN") & (shown == "False") | number & (F.try_variant_get(record, path, "double") == 0)
+    return shown, F.coalesce(empty, F.lit(True))

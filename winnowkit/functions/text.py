@@ -55,9 +55,14 @@ def level_signature(raw_title: Column) -> Column:
     return F.array_join(F.array_sort(F.array_union(words, numbers)), "+")
 
 
+def folded(text: Column) -> Column:
+    """The text in lower case, with the letters that case-insensitive matching takes for ``i`` and ``s``."""
+    return F.lower(F.translate(text, "\u0130\u0131\u017f", "iis"))
+
+
 def says(text: Column, pattern: str) -> Column:
-    """Whether the pattern is found, in any case; false for null."""
-    return F.coalesce(F.rlike(text, F.lit("(?iu)" + pattern)), F.lit(False))
+    """Whether the pattern, which is in lower case, is found in a folded text; false for null."""
+    return F.coalesce(F.rlike(text, F.lit(pattern)), F.lit(False))
 
 
 def html_escape(text: Column) -> Column:

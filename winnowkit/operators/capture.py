@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,8 +19,8 @@ def end_markers(ends: DataFrame) -> DataFrame:
 
 
 def summary(pages: DataFrame) -> DataFrame:
-    """(state, pages, last_page, missing, first_at, last_at, span_hours) of the latest pages."""
-    at = F.to_timestamp("captured_at") if dict(pages.dtypes)["captured_at"] == "string" else F.col("captured_at").cast("timestamp")
+    """(state, pages, last_page, missing, first_at, last_at, span_hours) of the latest pages; stamps that can't be read have no time."""
+    at = F.try_to_timestamp("captured_at") if dict(pages.dtypes)["captured_at"] == "string" else F.col("captured_at").cast("timestamp")
     seen = pages.groupBy("state").agg(
         F.count(F.lit(1)).alias("pages"), F.max("page").alias("last_page"), F.array_sort(F.collect_set("page")).alias("numbers"),
         F.min("captured_at").alias("first_at"), F.max("captured_at").alias("last_at"),
@@ -48,3 +48,21 @@ def unmatched(searches: DataFrame, captures: DataFrame) -> DataFrame:
 
 def replay(pages: DataFrame, max_pages: int) -> DataFrame:
     return pages.where(F.col("page") <= max_pages)
+
+
+def complete(pages: DataFrame, records: DataFrame, ends: DataFrame) -> DataFrame:
+    """(state, last_page_records, complete): whether the last page of results was captured.
+
+    It was if the highest page has no records, or the end was seen on that very page. ``pages`` are
+    the latest (state, page), ``records`` theirs, ``ends`` the last end markers.
+    """
+    last = pages.groupBy("state").agg(F.max("page").alias("page"))
+    n = records.groupBy("state", "page").agg(F.count(F.lit(1)).alias("n"))
+    found = last.join(n, ["state", "page"], "left").join(ends.select("state", F.col("page").alias("end")), "state", "left")
+    n = F.coalesce("n", F.lit(0))
+    return found.select("state", n.alias("last_page_records"), ((n == 0) | F.coalesce(F.col("end") == F.col("page"), F.lit(False))).alias("complete"))
+
+
+def gap_days(previous: Column, started: Column) -> Column:
+    """Days from the end of the run before to a capture's first page."""
+    return (F.unix_micros(started) - F.unix_micros(previous)) / F.lit(86_400e6)

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.keys import newest_first
 from ..functions.text import jaccard, level_signature, strip, tokens
+from ..tables import settle
 
+#: Token sets of a group that one task folds at a time.
+FOLD = 4096
 #: Groups are cut down to their first members in two steps, so that a hot group is no one task's burden.
 SALTS = 32
 
@@ -19,8 +24,6 @@ def first_members(rows: DataFrame, group: list[str], order: str, n: int) -> Data
 
     Each salted part of a group is cut to n rows first; at most SALTS * n of a group meet.
     """
-    from pyspark.sql import Window
-
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(SALTS)))
     part = Window.partitionBy(*group, "_salt").orderBy(order)
     cut = salted.withColumn("_n", F.row_number().over(part)).where(F.col("_n") <= n)
@@ -43,11 +46,26 @@ def mean_similarity(rows: DataFrame, group: str, text: str, order: str = "ord",
     return members.select(group, mean.alias("similarity"))
 
 
+def _nth(v: DataFrame, nth: int) -> float:
+    """The nth smallest v: by a histogram whose range narrows until one value is left in it."""
+    while True:
+        low, high = v.agg(F.min("v"), F.max("v")).first()
+        if low == high:
+            return low
+        width = (high - low) / 4096
+        bucket = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(4095)) if width else F.when(F.col("v") == low, 0).otherwise(1)
+        for b, size in sorted(tuple(r) for r in v.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()):
+            if nth <= size:
+                break
+            nth -= size
+        v = v.where(bucket == b)
+
+
 def exclusive_percentile(values: DataFrame, column: str, percent: int = fixed.CALIBRATION_PERCENTILE) -> tuple[float | None, int]:
     """(value, n): the percentile by exclusive interpolation, exact at any size.
 
     A histogram of at most 4,097 rows tells in which narrow ranges the two order statistics lie;
-    only the distinct values of those ranges are ranked.
+    those are divided again until one value is left.
     """
     v = values.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
     low, high, n = v.agg(F.min("v"), F.max("v"), F.count(F.lit(1))).first()
@@ -70,11 +88,7 @@ def exclusive_percentile(values: DataFrame, column: str, percent: int = fixed.CA
             before += size
     value = {}
     for rank, (b, nth) in found.items():
-        from pyspark.sql import Window
-
-        inside = v.where(bucket == b).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-        upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-        value[rank] = inside.withColumn("upto", upto).where(F.col("upto") >= nth).agg(F.min("v")).first()[0]
+        value[rank] = _nth(v.where(bucket == b), nth)
     rest = at - 100 * j
     return (value[j] * (100 - rest) + value[j + 1] * rest) / 100, n
 
@@ -86,45 +100,99 @@ def calibrate(postings: DataFrame, group: str = "cluster_key", text: str = "requ
     return (value, n) if n >= fixed.MIN_CALIBRATION_GROUPS else (fixed.DEFAULT_SIMILARITY, n)
 
 
-def greedy_groups(rows: DataFrame, group: list[str], text: str, level: Column, threshold: float, order: str = "ord") -> DataFrame:
+def _similar_from(a: frozenset, b: frozenset, threshold: float) -> bool:
+    """Whether the Jaccard similarity of two token sets, none of them empty, is ``threshold`` or more."""
+    low, high = sorted((len(a), len(b)))
+    if low < threshold * high:
+        return False
+    both = len(a & b)
+    return both / (low + high - both) >= threshold
+
+
+def _fold(threshold: float):
+    """Stream (g, kind, id, w) sorted by group, kind, id; kind 0 are anchors, 1 rows that may become some, 2 rows that may not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, anchors = None, []
+        for batch in batches:
+            out = []
+            for g, kind, i, w in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if g != group:
+                    group, anchors = g, []
+                tokens = frozenset(w)
+                found = None if kind == 0 else next((a for a, t in anchors if _similar_from(tokens, t, threshold)), None)
+                if kind == 0 or kind == 1 and found is None:
+                    anchors.append((i, tokens))
+                    found = i
+                if kind:
+                    out.append((i, found))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["id", "anchor"])
+
+    return run
+
+
+def greedy_groups(rows: DataFrame, group: list[str], text: str, level: Column, threshold: float, order: str = "ord", most: int = FOLD) -> DataFrame:
     """(order, anchor): the first member of the subgroup that each row belongs to.
 
     In order, a row joins the first subgroup of its group whose first member has its level and a
     similar text; else it starts one. Blank texts stay alone. Levels never mix, so they split
     the groups; rows with the same tokens always share their fate, so each token set enters the
-    fold once.
+    fold once, as the hashes of its tokens.
+
+    A task folds a group as a stream and holds its anchors. Of a group of over ``most`` sets only about
+    the first ``most`` are folded; the others are compared with the anchors this gave in as many tasks
+    as they need, and those that join none go through another round. That gives the same anchors: a
+    row's is the first similar one, and an anchor of an earlier round comes first.
     """
-    keyed = rows.select(*group, F.col(order).alias("_ord"), level.alias("_level"), tokens(F.col(text)).alias("_w"), (F.coalesce(strip(F.col(text)), F.lit("")) == "").alias("_blank"))
-    alone = keyed.where(F.col("_blank") | (F.size("_w") == 0)).select(F.col("_ord").alias(order), F.col("_ord").alias("anchor"))
-    live = keyed.where(~F.col("_blank") & (F.size("_w") > 0)).withColumn("_set", F.xxhash64(F.array_sort("_w")))
     by = [*group, "_level"]
-    sets = live.groupBy(*by, "_set").agg(F.min("_ord").alias("_ord"), F.min_by("_w", "_ord").alias("_w"))
-    start = F.struct(
-        F.array().cast("array<struct<id:bigint,w:array<string>>>").alias("anchors"),
-        F.array().cast("array<struct<set:bigint,anchor:bigint>>").alias("found"),
+    keyed = rows.select(*group, F.col(order).cast("bigint").alias("_ord"), level.alias("_level"), tokens(F.col(text)).alias("_w"), (F.coalesce(strip(F.col(text)), F.lit("")) == "").alias("_blank"))
+    keyed = keyed.select(
+        "_ord", "_blank", F.to_json(F.struct(*by)).alias("_g"), F.array_sort(F.transform("_w", lambda t: F.xxhash64(t))).alias("_w")
     )
-
-    def step(acc: Column, m: Column) -> Column:
-        hits = F.filter(acc["anchors"], lambda a: jaccard(a["w"], m["w"]) >= threshold)
-
-        def grown(h: Column) -> Column:
-            anchor = F.coalesce(F.get(h, F.lit(0))["id"], m["id"])
-            own = F.array(F.struct(m["id"].alias("id"), m["w"].alias("w")))
-            return F.struct(
-                F.when(F.size(h) > 0, acc["anchors"]).otherwise(F.concat(acc["anchors"], own)).alias("anchors"),
-                F.concat(acc["found"], F.array(F.struct(m["set"].alias("set"), anchor.alias("anchor")))).alias("found"),
-            )
-
-        return F.transform(F.array(hits), grown)[0]  # binds the hits once
-
-    member = F.struct(F.col("_ord").cast("bigint").alias("id"), F.col("_set").alias("set"), F.col("_w").alias("w"))
-    folded = sets.groupBy(*by).agg(F.array_sort(F.collect_list(member)).alias("m")).withColumn("acc", F.aggregate("m", start, step))
-    found = folded.select(*[F.col(c).alias(f"f_{c}") for c in by], F.explode("acc.found").alias("f"))
-    same = F.col("_set") == F.col("f.set")
-    for c in by:
-        same = same & live[c].eqNullSafe(found[f"f_{c}"])
-    joined = live.join(found, same).select(F.col("_ord").alias(order), F.col("f.anchor").alias("anchor"))
-    return joined.union(alone)
+    keyed = settle(keyed, "token-sets")
+    lonely = F.col("_blank") | (F.size("_w") == 0)
+    alone = keyed.where(lonely).select(F.col("_ord").alias(order), F.col("_ord").alias("anchor"))
+    live = keyed.where(~lonely).withColumn("_set", F.xxhash64("_w"))
+    sets = live.groupBy("_g", "_set").agg(F.min("_ord").alias("id"), F.first("_w").alias("w"))
+    pending, found = settle(sets.select("_g", "_set", "id", "w"), "sets"), None
+    every = pending
+    while True:
+        sizes = pending.groupBy("_g").agg(F.count(F.lit(1)).alias("n"))
+        large = settle(sizes.where(F.col("n") > most).withColumnRenamed("_g", "_lg"), "large")
+        if large.isEmpty():
+            head, rest = pending.withColumn("cut", F.lit(None).cast("bigint")), None
+        else:
+            cut = _cuts(pending, large, most)
+            marked = settle(pending.join(cut, F.col("_g") == F.col("_cg"), "left").drop("_cg"), "marked")
+            head, rest = marked.where("cut is null or id <= cut"), marked.where("id > cut").select("_g", "_set", "id", "w")
+        folding = head.select("_g", F.lit(1).alias("kind"), "id", "w").repartition("_g").sortWithinPartitions("_g", "id")
+        done = settle(folding.mapInArrow(_fold(threshold), "id bigint, anchor bigint"), "folded")
+        found = done if found is None else found.union(done)
+        if rest is None:
+            break
+        anchors = head.where("cut is not null").join(done.where("id = anchor").select("anchor"), F.col("id") == F.col("anchor"), "left_semi")
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        dealt = anchors.select("_g", F.lit(0).alias("kind"), "id", "w", salts.alias("salt")).union(
+            rest.select("_g", F.lit(2).alias("kind"), "id", "w", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+        )
+        dealt = dealt.select(F.concat_ws(" ", F.col("salt").cast("string"), "_g").alias("_g"), "kind", "id", "w")
+        dealt = dealt.repartition("_g").sortWithinPartitions("_g", "kind", "id")
+        joined = settle(dealt.mapInArrow(_fold(threshold), "id bigint, anchor bigint"), "joined")
+        found = found.union(joined.where("anchor is not null"))
+        open_ = joined.where("anchor is null").select(F.col("id").alias("_id"))
+        pending = settle(rest.join(open_, F.col("id") == F.col("_id"), "left_semi"), "sets")
+    anchor_of = every.select("_g", "_set", F.col("id").alias("_id")).join(found, F.col("_id") == F.col("id")).select(F.col("_g").alias("_fg"), F.col("_set").alias("_fs"), "anchor")
+    placed = live.join(settle(anchor_of, "anchors"), (F.col("_g") == F.col("_fg")) & (F.col("_set") == F.col("_fs")))
+    return placed.select(F.col("_ord").alias(order), "anchor").union(alone)
+
+
+def _cuts(pending: DataFrame, large: DataFrame, most: int) -> DataFrame:
+    """(_cg, cut): for each large group an id with about ``most`` ids up to it, by a sketch of bounded size."""
+    ids = pending.join(large, F.col("_g") == F.col("_lg")).select("_g", "id")
+    shares = F.array(*[F.lit(2.0**-k) for k in range(1, 31)])
+    found = ids.groupBy(F.col("_g").alias("_cg")).agg(F.percentile_approx("id", shares, 2000).alias("q"), F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
+    k = F.greatest(F.lit(1), F.least(F.lit(30), F.ceil(F.log2(F.col("n") / F.lit(most))).cast("int")))
+    return found.select("_cg", F.greatest(F.element_at("q", k), F.col("low")).alias("cut"))
 
 
 def representative_order() -> Column:
@@ -135,42 +203,51 @@ def representative_order() -> Column:
 
 
 def merge(postings: DataFrame, group: str) -> DataFrame:
-    """The surviving posting of each group, with the others' ids and urls, distinct, in order.
+    """The surviving posting of each group, with the others' ids and urls, distinct, in order, and ``_first``, the group's first ord.
 
-    Minima and lists are aggregated map-side; only ids and urls of a group come together.
+    The survivor and the count are aggregated map-side. Of each id and url of a group one row is
+    left before they meet: what comes together is what the surviving row then holds.
     """
     best = postings.groupBy(group).agg(
         F.min_by(F.struct(*[c for c in postings.columns if c != group]), representative_order()).alias("r"),
-        F.count(F.lit(1)).alias("duplicate_count"),
-        F.array_sort(F.collect_list(F.struct("ord", "object_id", "apply_url"))).alias("all"),
+        F.count(F.lit(1)).alias("duplicate_count"), F.min("ord").alias("_first"),
+    )
+    best = settle(best, "survivors")
+    chosen = best.select(F.col("r.ord").alias("_chosen"))
+    others = postings.join(chosen, F.col("ord") == F.col("_chosen"), "left_anti").select(
+        F.col(group).alias("_of"), "ord", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in ("object_id", "apply_url")])).alias("x")
     )
-    others = F.filter("all", lambda m: m["ord"] != F.col("r.ord"))
-    listed = lambda f: F.array_distinct(F.transform(F.filter(others, lambda m: F.coalesce(m[f], F.lit("")) != ""), lambda m: m[f]))
+    others = others.where(F.coalesce("x.value", F.lit("")) != "").groupBy("_of", "x.field", "x.value").agg(F.min("ord").alias("at"))
+    lists = others.groupBy("_of").agg(F.array_sort(F.collect_list(F.struct("at", "field", "value"))).alias("all"))
+    listed = lambda f: F.coalesce(F.transform(F.filter("all", lambda m: m["field"] == f), lambda m: m["value"]), F.array().cast("array<string>"))
     skip = {group, "duplicate_count", "alternate_object_ids", "alternate_apply_urls"}
-    return best.select(
+    return best.join(lists, F.col(group) == F.col("_of"), "left").select(
         F.col(group), *[F.col(f"r.{c}").alias(c) for c in postings.columns if c not in skip], F.col("duplicate_count").cast("int").alias("duplicate_count"),
-        listed("object_id").alias("alternate_object_ids"), listed("apply_url").alias("alternate_apply_urls"),
+        listed("object_id").alias("alternate_object_ids"), listed("apply_url").alias("alternate_apply_urls"), "_first",
     )
 
 
 def deduplicate(postings: DataFrame, threshold: float | None = None) -> tuple[DataFrame, float]:
-    """(survivors, threshold): vendor clusters merge as they are, the rest by similarity inside a fallback key."""
+    """(survivors, threshold): vendor clusters merge as they are, the rest by similarity inside a fallback key.
+
+    ``place`` tells the survivors' order: clusters as they were first seen, then fallback keys as they
+    were, the subgroups of one side by side.
+    """
     if threshold is None:
         threshold, _ = calibrate(postings)
-    clustered = postings.where(F.col("cluster_key").isNotNull()).withColumn("_g", F.col("cluster_key")).withColumn("_path", F.lit(0))
-    rest = postings.where(F.col("cluster_key").isNull())
-    anchors = greedy_groups(rest, ["fallback_key"], "requirements", level_signature(F.col("raw_title")), threshold)
-    grouped = rest.join(anchors, "ord").withColumn("_path", F.lit(1))
-    from pyspark.sql import Window
-
+    postings = postings.withColumn("_sub", F.lit(0).cast("bigint"))
+    clustered = postings.where(F.col("cluster_key").isNotNull()).withColumns({"_path": F.lit(0), "_g": F.col("cluster_key")})
+    rest = postings.where(F.col("cluster_key").isNull()).drop("_sub")
+    anchors = settle(greedy_groups(rest, ["fallback_key"], "requirements", level_signature(F.col("raw_title")), threshold), "anchor-of")
+    grouped = rest.join(anchors, "ord").withColumnRenamed("anchor", "_sub").withColumns({"_path": F.lit(1), "_g": F.col("fallback_key")})
+    both = clustered.unionByName(grouped).withColumn("_key", F.struct("_path", "_g", "_sub"))
+    out = settle(merge(both.drop("_path", "_g", "_sub"), "_key"), "merged")
     # Subgroups of a fallback key are numbered by their anchors; the first has no number.
-    subs = grouped.select("fallback_key", "anchor").distinct()
-    nth = F.row_number().over(Window.partitionBy("fallback_key").orderBy("anchor")) - 1
-    subs = subs.select(F.col("anchor"), F.when(nth == 0, F.col("fallback_key")).otherwise(F.concat("fallback_key", F.lit("#"), nth.cast("string"))).alias("_g"))
-    grouped = grouped.join(subs, "anchor").drop("anchor")
-    both = clustered.unionByName(grouped)
-    out = merge(both.withColumn("_key", F.struct("_path", "_g")), "_key")
-    return out.withColumn("dedup_key", F.col("_key._g")).drop("_key", "_g"), threshold
+    within = Window.partitionBy("_key._path", "_key._g")
+    nth = F.row_number().over(within.orderBy("_key._sub")) - 1
+    name = F.when(nth == 0, F.col("_key._g")).otherwise(F.concat("_key._g", F.lit("#"), nth.cast("string")))
+    numbered = out.withColumns({"dedup_key": name, "place": F.struct(F.col("_key._path").alias("path"), F.min("_first").over(within).alias("key"), F.col("_key._sub").alias("sub"))})
+    return numbered.drop("_key", "_first"), threshold
 
 
 def dedup_counters(postings: DataFrame, survivors: DataFrame) -> dict[str, int]:

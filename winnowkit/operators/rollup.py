@@ -38,7 +38,8 @@ def company_inputs(records: DataFrame, variant: str = "record") -> DataFrame:
         F.coalesce(F.try_variant_get(v, "$._geoloc", "array<variant>"), F.array().cast("array<variant>")),
         lambda x: F.struct(*[coordinate(x, f).alias(f) for f in ("lat", "lon", "lng")]),
     )
-    profile = F.to_json(F.struct(*[F.try_variant_get(v, f"{firm}.{f}", "variant").alias(f) for f in fixed.PROFILE_FIELDS]))
+    given = lambda x: F.when(F.schema_of_variant(x) != "VOID", x)
+    profile = F.to_json(F.struct(*[given(F.try_variant_get(v, f"{firm}.{f}", "variant")).alias(f) for f in fixed.PROFILE_FIELDS]))
     return records.select(
         "ord", g.text_at(v, "$.source").alias("source"), g.true_at(v, "$.is_expired").alias("is_expired"),
         g.text_at(v, f"{firm}.homepage_uri").alias("homepage"), labels.alias("labels"), points.alias("points"),
@@ -97,6 +98,7 @@ def companies(rows: DataFrame) -> DataFrame:
     linked = F.col("careers.url").isNotNull()
     main = kept.groupBy("key").agg(
         F.count(F.lit(1)).alias("posting_count"),
+        F.min("ord").alias("ord"),
         F.max("host").alias("website_host"),
         F.coalesce(_earliest(F.coalesce("enriched_name", "posting_name")), F.max("host"), F.first("key")).alias("name"),
         F.min_by(F.when(linked, F.col("careers")), F.when(linked, link_order)).alias("careers"),
@@ -118,7 +120,7 @@ def companies(rows: DataFrame) -> DataFrame:
             F.coalesce("careers.tier", F.lit("none")).alias("careers_tier"), F.round("distance_miles", 2).alias("distance_miles"),
             F.coalesce("locations", F.array().cast("array<string>")).alias("locations"), "posting_count", "category_counts",
             "software_posting_count", F.coalesce("sample_titles", F.array().cast("array<string>")).alias("sample_titles"),
-            "latest_published_at", "sources", "observed_names", "profile",
+            "latest_published_at", "sources", "observed_names", "profile", "ord",
         )
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.hosts import ends_with_any
-from ..functions.text import level_signature, says
+from ..functions.text import folded, level_signature, says
 
 
 @dataclass(frozen=True)
@@ -30,15 +30,21 @@ def clearance_text() -> Column:
 
 #: What several rules look at, each computed once a row: name -> column of the posting or of names above it.
 SIGNALS: list[dict[str, Callable[[], Column]]] = [
-    {"_tools": lambda: F.array_join("tools", " | "), "_haystack": clearance_text, "_flag": lambda: F.coalesce(F.col("role_type") == "People Manager", F.lit(False))},
+    # Each text is folded once; the patterns are in lower case.
+    {
+        "_tools": lambda: folded(F.array_join("tools", " | ")),
+        "_haystack": lambda: folded(clearance_text()),
+        "_title": lambda: folded(F.col("title")),
+        "_flag": lambda: F.coalesce(F.col("role_type") == "People Manager", F.lit(False)),
+    },
     {
         "_backend": lambda: says(F.col("_tools"), fixed.BACKEND_TOOLS),
         "_builds": lambda: says(F.col("_tools"), fixed.BUILD_TOOLS),
-        "_manager_title": lambda: says(F.col("title"), fixed.MANAGEMENT_TITLE) | says(F.col("raw_title"), fixed.MANAGEMENT_TITLE),
+        "_manager_title": lambda: says(F.col("_title"), fixed.MANAGEMENT_TITLE) | says(folded(F.col("raw_title")), fixed.MANAGEMENT_TITLE),
         "_level": lambda: level_signature(F.col("raw_title")),
     },
     # The vendor's flag counts where a title or the requirements bear it out.
-    {"_manages": lambda: F.col("_flag") & (F.col("_manager_title") | says(F.col("requirements"), fixed.MANAGEMENT_LANGUAGE))},
+    {"_manages": lambda: F.col("_flag") & (F.col("_manager_title") | says(folded(F.col("requirements")), fixed.MANAGEMENT_LANGUAGE))},
 ]
 
 
@@ -49,7 +55,7 @@ def with_signals(postings: DataFrame) -> DataFrame:
 
 
 def _titles(pattern: str) -> Column:
-    return says(F.col("title"), pattern)
+    return says(F.col("_title"), pattern)
 
 
 REJECT: list[Rule] = [
@@ -108,33 +114,42 @@ def screen(postings: DataFrame, settings: Screen = Screen()) -> DataFrame:
 
     A rejected posting lists no demotions. A near miss is one that only the pay floor rejects.
     """
-    out = with_signals(postings).withColumns({"reject_reasons": reasons(REJECT, settings), "_demoted": reasons(DEMOTE, settings)})
-    out = out.withColumn("_strong", strong_case(settings, F.col("_demoted")))
-    rejected = F.size("reject_reasons") > 0
+    out = with_signals(postings).withColumn("reject_reasons", reasons(REJECT, settings))
+    rejected, only_pay = F.size("reject_reasons") > 0, F.col("reject_reasons") == F.array(F.lit("comp below floor"))
+    # Only what isn't rejected, or is for its pay alone, needs the rest of the rules.
+    out = out.withColumn("_open", ~rejected | only_pay)
+    out = out.withColumn("_demoted", F.when(F.col("_open"), reasons(DEMOTE, settings)).otherwise(F.array().cast("array<string>")))
+    out = out.withColumn("_strong", F.col("_open") & strong_case(settings, F.col("_demoted")))
     return out.withColumns(
         {
             "band": F.when(rejected, "rejected").when(F.col("_strong"), "strong").otherwise("possible"),
             "demote_reasons": F.when(rejected, F.array().cast("array<string>")).otherwise(F.col("_demoted")),
-            "near_miss": (F.col("reject_reasons") == F.array(F.lit("comp below floor"))) & F.col("_strong"),
+            "near_miss": only_pay & F.col("_strong"),
         }
     ).select(*postings.columns, "band", "reject_reasons", "demote_reasons", "near_miss")
 
 
 def reason_counts(screened: DataFrame, column: str = "reject_reasons") -> DataFrame:
-    """(reason, n), most frequent first, ties by the first posting that has it."""
-    each = screened.select("ord", F.posexplode(column).alias("place", "reason"))
-    return each.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ord", "place")).alias("first")).orderBy(F.desc("n"), "first").select("reason", "n")
+    """(reason, n), most frequent first, ties by the first posting that has it.
+
+    Counted by whole lists of reasons first, of which there are few, so the rules run once a posting.
+    """
+    lists = screened.groupBy(F.col(column).alias("r")).agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord"))
+    each = lists.select("ord", "n", F.posexplode("r").alias("place", "reason"))
+    return each.groupBy("reason").agg(F.sum("n").alias("n"), F.min(F.struct("ord", "place")).alias("first")).orderBy(F.desc("n"), "first").select("reason", "n")
 
 
 def sole_reason_counts(screened: DataFrame) -> DataFrame:
-    return screened.where(F.size("reject_reasons") == 1).groupBy(F.col("reject_reasons")[0].alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    lists = screened.groupBy(F.col("reject_reasons").alias("r")).agg(F.count(F.lit(1)).alias("n"))
+    return lists.where(F.size("r") == 1).groupBy(F.col("r")[0].alias("reason")).agg(F.sum("n").alias("n"))
 
 
 def funnel(screened: DataFrame, scraped: int | None = None) -> DataFrame:
-    """One row of counts through the screen."""
+    """One row of counts through the screen; duplicates are what deduplication took out of the ``scraped`` records before it."""
     n = F.count(F.lit(1))
+    scraped = F.lit(scraped).cast("bigint") if scraped is not None else n
     return screened.agg(
-        (F.lit(scraped).cast("bigint") if scraped is not None else n).alias("scraped"), n.alias("screened"),
+        scraped.alias("scraped"), (scraped - n).alias("duplicates"), n.alias("screened"),
         F.count_if(F.col("band") == "rejected").alias("rejected"), F.count_if(F.col("band") == "strong").alias("strong"),
         F.count_if(F.col("band") == "possible").alias("possible"), F.count_if("near_miss").alias("near_misses"),
     )

@@ -8,30 +8,79 @@ from pyspark.sql import functions as F
 from .. import fixed
 
 
-def land(rows: DataFrame, pages: DataFrame | None = None, stop_after: int = fixed.EMPTY_PAGES_TO_STOP) -> DataFrame:
+def land(rows: DataFrame, pages: DataFrame | None = None, stop_after: int = fixed.EMPTY_PAGES_TO_STOP, max_pages: int | None = None) -> DataFrame:
     """Records (search, page, pos, key) with is_new (to its search), stop_page and written (first of the run).
 
     A search stops at its first page without records, or at the second page in a row that brought
     nothing new to it. Records without a key always count as new. ``pages`` (search, page) names
-    pages that came back, empty ones too; without it, the pages are those of the records.
+    pages that came back, empty ones too; without it, the pages are those of the records. No page
+    after number ``max_pages`` is read.
     """
     if stop_after != 2:
         raise ValueError("the stop rule looks at two pages in a row")
+    if max_pages is not None:
+        rows, pages = rows.where(F.col("page") <= max_pages), None if pages is None else pages.where(F.col("page") <= max_pages)
     keyless = F.col("key").isNull()
     own = Window.partitionBy("search", F.when(keyless, F.monotonically_increasing_id()), "key").orderBy("page", "pos")
     marked = rows.withColumn("is_new", keyless | (F.row_number().over(own) == 1))
-    counts = marked.groupBy("search", "page").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_new").alias("new"))
-    if pages is not None:
-        counts = pages.select("search", "page").distinct().join(counts, ["search", "page"], "left").fillna(0, ["n", "new"])
-    before = F.lag("new").over(Window.partitionBy("search").orderBy("page"))
-    stops = counts.withColumn("before", before).groupBy("search").agg(
-        F.coalesce(F.min(F.when((F.col("n") == 0) | ((F.col("new") == 0) & (F.col("before") == 0)), F.col("page"))), F.max("page")).alias("stop_page")
-    )
+    stops = _stops(marked, pages).select("search", "stop_page")
     kept = marked.join(stops, "search").where(F.col("page") <= F.col("stop_page"))
     run = Window.partitionBy(F.when(keyless, F.monotonically_increasing_id()), "key").orderBy("search", "page", "pos")
     return kept.withColumn("written", F.col("is_new") & (keyless | (F.row_number().over(run) == 1)))
 
 
+def _counts(marked: DataFrame, pages: DataFrame | None) -> DataFrame:
+    """(search, page, n, new) of all pages."""
+    counts = marked.groupBy("search", "page").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_new").alias("new"))
+    if pages is None:
+        return counts
+    return pages.select("search", "page").distinct().join(counts, ["search", "page"], "left").fillna(0, ["n", "new"])
+
+
+def _stops(marked: DataFrame, pages: DataFrame | None) -> DataFrame:
+    """(search, stop_page, cause): the page that ended each search, and whether it was empty, stale, or just the last."""
+    before = F.lag("new").over(Window.partitionBy("search").orderBy("page"))
+    cause = F.when(F.col("n") == 0, "empty").when((F.col("new") == 0) & (F.col("before") == 0), "stale")
+    ended = _counts(marked, pages).withColumn("before", before).withColumn("cause", cause)
+    first = F.min(F.when(F.col("cause").isNotNull(), F.struct("page", "cause")))
+    return ended.groupBy("search").agg(first.alias("f"), F.max("page").alias("last")).select(
+        "search", F.coalesce("f.page", "last").alias("stop_page"), F.coalesce("f.cause", F.lit("last")).alias("cause")
+    )
+
+
+def search_results(landed: DataFrame, pages: DataFrame, max_pages: int) -> DataFrame:
+    """(search, pages_fetched, stop_reason) of landed searches; ``pages`` are those that came back."""
+    read = pages.select("search", "page").distinct().where(F.col("page") <= max_pages)
+    stops = _stops(landed, read)
+    # What a search read after its stop is not in ``landed``, so a later page looks empty; the stop comes first.
+    fetched = read.join(stops, "search").where(F.col("page") <= F.col("stop_page")).groupBy("search", "cause").agg(F.count(F.lit(1)).alias("pages_fetched"))
+    reason = (
+        F.when(F.col("cause") == "empty", "empty page")
+        .when(F.col("cause") == "stale", f"{fixed.EMPTY_PAGES_TO_STOP} consecutive pages with no new records")
+        .when(F.col("pages_fetched") > max_pages, f"reached max_pages={max_pages}")
+        .otherwise("no more pages")
+    )
+    return fetched.select("search", "pages_fetched", reason.alias("stop_reason"))
+
+
+def stop_reason(searches: list[tuple[str, str]]) -> str:
+    """One search's reason as it is; several, each with its name."""
+    if len(searches) == 1:
+        return searches[0][1]
+    return "; ".join(f"{name}: {reason}" for name, reason in searches) or "unknown"
+
+
+def totals(reported: DataFrame) -> DataFrame:
+    """(search, name, value) of (search, page, totals: map<string,double>): the last page that reports a total has it."""
+    each = reported.select("search", "page", F.explode("totals").alias("name", "value"))
+    return each.groupBy("search", "name").agg(F.max_by("value", "page").alias("value"))
+
+
+def total_of(found: DataFrame, name: str) -> DataFrame:
+    """One row (total): one total summed over searches, null where none reported it."""
+    return found.where(F.col("name") == name).agg(F.sum("value").alias("total"))
+
+
 def page_counts(landed: DataFrame) -> DataFrame:
     """(search, page, received, new, written)."""
     return landed.groupBy("search", "page").agg(

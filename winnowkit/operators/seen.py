@@ -1,19 +1,32 @@
 """The store of postings that were surfaced before, as a versioned table.
 
-All look-ups see the version from before the run. A posting is matched by the first of its sorted
-keys that any entry holds; where several entries hold a key, the one put last owns it. Surfaced
-postings are then recorded in order, and suppressed ones teach the store their keys. An entry
-keeps its first object id, the best band it was ever shown at, and the union of its keys;
-entries that a posting bridges aren't joined.
+All look-ups of a run's classification see the version from before the run. A posting is matched by
+the first of its sorted keys that any entry holds; where several entries hold a key, the one put
+last owns it. Entries are put in the order in which a store is written: by first surfacing and
+company, then as they were put. Then surfaced postings are recorded in input order, and after them
+suppressed ones teach the store their keys; here each look-up sees what the postings before it
+left. A posting that finds an entry adds its keys to it and puts it anew, so that it owns all of
+its keys from then on; a surfaced one that finds none makes an entry. An entry keeps its first
+object id, the best band it was ever shown at, and the union of its keys. Of two entries
+with the same object id the one put last stays.
+
+That order only matters among postings and entries that share keys, so each connected set of those
+is worked through by itself, as a stream of its rows in one pass. What a task holds are
+the entries and keys of one set; entries that no posting's key leads to stay as they are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import fixed
 from ..functions.keys import band_rank, match_keys, posting_key
-from .graph import connected
+from ..tables import discard, settle
+from .graph import components
 from .visited import applied_companies
 
 ENTRY_DDL = (
@@ -23,13 +36,17 @@ ENTRY_DDL = (
 SURFACED = ("strong", "possible")
 
 
+#: The place of an entry among all: which is put last, and the order of the written store.
+PUT_ORDER = ("first_surfaced", "company", "put_seq")
+
+
 def empty_store(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ENTRY_DDL)
 
 
 def owners(store: DataFrame) -> DataFrame:
     """(key, owner): the entry put last of those that hold the key."""
-    return store.select("object_id", "put_seq", F.explode("keys").alias("key")).groupBy("key").agg(F.max_by("object_id", "put_seq").alias("owner"))
+    return store.select("object_id", *PUT_ORDER, F.explode("keys").alias("key")).groupBy("key").agg(F.max_by("object_id", F.struct(*PUT_ORDER)).alias("owner"))
 
 
 def look_up(postings: DataFrame, store: DataFrame) -> DataFrame:
@@ -76,90 +93,93 @@ def label_counts(store: DataFrame) -> DataFrame:
     return store.agg(F.count_if("opened").alias("opened"), F.count_if("applied").alias("applied"), F.count_if("company_applied").alias("company_applied"))
 
 
-def _fold_new(new: DataFrame) -> DataFrame:
-    """(ord, lead): the posting whose entry each new posting of a run ends up in.
-
-    In order, a new posting that shares a key with entries made earlier in the run joins one of
-    them (its first such key decides, and of its owners the one put last); else it makes an entry.
-    Only postings that share keys can meet, so each connected set of those, near copies that
-    deduplication left apart, is folded by itself.
-    """
-    keys = new.select("ord", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("low")).where("n > 1")
-    links = keys.join(shared, "key").select(F.col("ord").alias("a"), F.col("low").alias("b"))
-    sets = connected(links)
-    loose = new.join(sets, "ord", "left_anti").select("ord", F.col("ord").alias("lead"))
-    member = F.struct("ord", "keys")
-    grouped = new.select("ord", "keys").join(sets, "ord").groupBy("root").agg(F.array_sort(F.collect_list(member)).alias("m"))
-    start = F.struct(
-        F.array().cast("array<struct<key:string,late:bigint,lead:bigint>>").alias("index"),
-        F.array().cast("array<struct<ord:bigint,lead:bigint>>").alias("found"),
-    )
-
-    def step(acc, m):
-        held = F.filter(acc["index"], lambda e: F.array_contains(m["keys"], e["key"]))
-        first = F.get(F.array_sort(held), F.lit(0))  # by key, then put last
-        lead = F.coalesce(first["lead"], m["ord"])
-        late = -F.size(acc["found"]).cast("bigint")
-
-        def put(x):
-            mine = F.transform(m["keys"], lambda k: F.struct(k.alias("key"), late.alias("late"), x.alias("lead")))
-            again = F.transform(
-                acc["index"],
-                lambda e: F.struct(e["key"].alias("key"), F.when(e["lead"] == x, late).otherwise(e["late"]).alias("late"), e["lead"].alias("lead")),
-            )
-            found = F.array(F.struct(m["ord"].alias("ord"), x.alias("lead")))
-            return F.struct(F.concat(again, mine).alias("index"), F.concat(acc["found"], found).alias("found"))
-
-        return F.transform(F.array(lead), put)[0]
-
-    folded = grouped.select(F.explode(F.aggregate("m", start, step)["found"]).alias("f")).select("f.ord", "f.lead")
-    return loose.unionByName(folded)
+def _linked(rows: DataFrame) -> DataFrame:
+    """``rows`` (row, keys) with root: the same for all rows that keys connect."""
+    nodes = settle(rows.select("row", F.explode(F.transform("keys", lambda k: F.xxhash64(k))).alias("node")), "nodes")
+    first = nodes.groupBy("row").agg(F.min("node").alias("low"))
+    links = nodes.join(first, "row").where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    found = components(links)
+    placed = first.join(found, F.col("low") == F.col("node"), "left").select("row", F.coalesce("root", "low").alias("root"))
+    return rows.join(settle(placed, "sets"), "row")
+
+
+class _Set:
+    """The entries of one connected set while its rows are worked through, with the owner of each key."""
+
+    def __init__(self):
+        self.entries: dict[str, dict] = {}
+        self.owner: dict[str, str] = {}
+
+    def put(self, entry: dict) -> None:
+        self.entries.pop(entry["object_id"], None)
+        self.entries[entry["object_id"]] = entry
+        for key in entry["keys"]:
+            self.owner[key] = entry["object_id"]
+
+    def work(self, row: dict, today: str) -> None:
+        if row["phase"] == 0:
+            self.put(row)
+            return
+        held = next((self.owner[k] for k in row["keys"] if k in self.owner), None)
+        if held is None:
+            if row["phase"] == 1:
+                self.put(row | {"first_surfaced": today, "last_surfaced": today, "surfaced_count": 1, "opened": False, "applied": False, "company_applied": False})
+            return
+        old = self.entries[held]
+        new = old | {"keys": sorted({*old["keys"], *row["keys"]}), "put_seq": row["put_seq"]}
+        if row["phase"] == 1:
+            rank = lambda band: fixed.BAND_RANKS.get(band, 0)
+            new |= {"band": max(old["band"], row["band"], key=rank), "last_surfaced": today, "surfaced_count": old["surfaced_count"] + 1}
+        self.put(new)
 
 
 def merge(store: DataFrame, classified: DataFrame, today: str) -> DataFrame:
     """The next version of the store."""
-    surfaced = classified.where("action <> 'suppressed'")
-    new = surfaced.where("action = 'new'")
-    leads = new.join(_fold_new(new), "ord")
-    best = lambda b: F.max_by(b, band_rank(F.col(b)))
-    made = leads.groupBy("lead").agg(
-        F.min_by(F.struct("object_id", F.coalesce(F.nullif("raw_title", F.lit("")), "title").alias("title"), "company", F.coalesce("company_host", F.lit("")).alias("company_host")), "ord").alias("first"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("keys"), best("band").alias("band"),
-        F.count(F.lit(1)).alias("surfaced_count"), F.max("ord").alias("at"),
-    )
-    made = made.select(
-        "first.object_id", "keys", "band", F.lit(today).alias("first_surfaced"), F.lit(today).alias("last_surfaced"), "surfaced_count",
-        *[F.lit(False).alias(c) for c in ("opened", "applied", "company_applied")], "first.title", "first.company", "first.company_host",
-        F.struct(F.lit(1).alias("round"), "at").alias("put"),
+    columns = [c.split(" ")[0] for c in ENTRY_DDL.split(", ")]
+    marked = lambda keys: F.concat(keys, F.array(F.concat(F.lit("oid:"), F.col("object_id"))))
+    top, wide = store.agg(F.coalesce(F.max("put_seq"), F.lit(0))).first()[0], 1 << 40
+    late = F.col("action") == "suppressed"
+    phase = F.when(late, 2).otherwise(1)
+    events = classified.select(
+        phase.alias("phase"), F.coalesce("object_id", F.lit("")).alias("object_id"), "keys", "band",
+        *[F.lit(None).cast(k).alias(c) for c, k in (("first_surfaced", "string"), ("last_surfaced", "string"), ("surfaced_count", "bigint"), ("opened", "boolean"), ("applied", "boolean"), ("company_applied", "boolean"))],
+        F.coalesce(F.nullif("raw_title", F.lit("")), "title").alias("title"), "company", F.coalesce("company_host", F.lit("")).alias("company_host"),
+        (F.lit(top + 1) + F.col("ord") + (phase - 1) * F.lit(wide)).alias("put_seq"),
     )
-    # One entry an object id: postings without an id, or with the same one, replace each other.
-    made = made.groupBy("object_id").agg(F.max_by(F.struct(*[c for c in made.columns if c != "object_id"]), "put").alias("m")).select("object_id", "m.*")
-    again = classified.where("owner is not null")
-    touch = again.groupBy(F.col("owner").alias("_owner")).agg(
-        F.flatten(F.collect_list("keys")).alias("_keys"), F.max_by(F.when(F.col("action") == "promoted", F.col("band")), F.when(F.col("action") == "promoted", band_rank(F.col("band")))).alias("_band"),
-        F.count_if(F.col("action") == "promoted").alias("_n"),
-        F.max(F.struct((F.col("action") == "suppressed").alias("late"), F.col("ord").alias("at"))).alias("_put"),
-    )
-    old = store.join(touch, F.col("object_id") == F.col("_owner"), "left")
-    shown = F.coalesce("_n", F.lit(0)) > 0
-    kept = old.select(
-        "object_id", F.when(F.col("_keys").isNotNull(), F.array_sort(F.array_union("keys", "_keys"))).otherwise(F.col("keys")).alias("keys"),
-        F.coalesce("_band", "band").alias("band"), "first_surfaced", F.when(shown, F.lit(today)).otherwise(F.col("last_surfaced")).alias("last_surfaced"),
-        (F.col("surfaced_count") + F.coalesce("_n", F.lit(0))).alias("surfaced_count"), "opened", "applied", "company_applied", "title", "company", "company_host",
-        F.when(F.col("_owner").isNull(), F.struct(F.lit(0).alias("round"), F.col("put_seq").alias("at")))
-        .otherwise(F.struct(F.when(F.col("_put.late"), 2).otherwise(1).alias("round"), F.col("_put.at").alias("at"))).alias("put"),
-    )
-    kept = kept.join(made.select("object_id"), "object_id", "left_anti")
-    both = kept.unionByName(made)
-    # Later puts get larger numbers: untouched entries keep theirs, which the next version's offset stays above.
-    offset = store.agg(F.coalesce(F.max("put_seq"), F.lit(0)).alias("top"))
-    wide = F.lit(1 << 40)
-    return both.crossJoin(offset).withColumn("put_seq", F.when(F.col("put.round") == 0, F.col("put.at")).otherwise(F.col("top") + 1 + F.col("put.at") + (F.col("put.round") - 1) * wide)).select(*[c.split(" ")[0] for c in ENTRY_DDL.split(", ")])
-
-
-def renumber(store: DataFrame) -> DataFrame:
-    """Put numbers made dense again by their order, for a store that is written out."""
-    from pyspark.sql import Window
-
-    return store.withColumn("put_seq", F.row_number().over(Window.orderBy("put_seq")).cast("bigint"))
+    events = settle(events.withColumn("row", F.struct("put_seq", "object_id").cast("string")), "events")
+    # Only entries that hold a key, or have the id, of some posting of the run take part.
+    asked = events.select(F.explode(marked(F.col("keys"))).alias("asked")).distinct()
+    held = store.select("object_id", F.explode(marked(F.col("keys"))).alias("key"))
+    touched = settle(held.join(asked, F.col("key") == F.col("asked")).groupBy("object_id").agg(F.collect_set("key").alias("shared")).withColumnRenamed("object_id", "of"), "touched")
+    old = store.join(touched, F.col("object_id") == F.col("of")).withColumn("phase", F.lit(0)).withColumn("row", F.concat(F.lit("old "), F.col("object_id")))
+    linked = _linked(old.select("row", F.col("shared").alias("keys")).union(events.select("row", marked(F.col("keys")))))
+    rows = old.select("phase", "row", *columns).unionByName(events.select("phase", "row", *columns)).join(linked.select("row", "root"), "row")
+    order: list[Column] = [F.col("root"), F.col("phase"), *[F.when(F.col("phase") == 0, F.col(c)) for c in PUT_ORDER[:2]], F.col("put_seq")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root, state, out = None, _Set(), []
+        entries = lambda: out.extend(state.entries.values())
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["root"] != root:
+                    entries()
+                    root, state = row["root"], _Set()
+                state.work(row, today)
+            if len(out) >= 4096:
+                yield pa.RecordBatch.from_pylist([{c: e[c] for c in columns} for e in out], schema)
+                out = []
+        entries()
+        yield pa.RecordBatch.from_pylist([{c: e[c] for c in columns} for e in out], schema)
+
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
+    schema = pa.schema([(c.split(" ")[0], kinds[c.split(" ")[1]]) for c in ENTRY_DDL.split(", ")])
+    dealt = rows.select("root", "phase", *columns).repartition("root").sortWithinPartitions(*order)
+    made = settle(dealt.mapInArrow(run, ENTRY_DDL), "entries")
+    out = store.join(touched.select("of"), F.col("object_id") == F.col("of"), "left_anti").select(*columns).unionByName(made)
+    discard(events)
+    return out
+
+
+def in_order(store: DataFrame) -> DataFrame:
+    """The entries in the order in which a store is written."""
+    return store.orderBy(*PUT_ORDER)

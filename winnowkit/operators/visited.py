@@ -24,19 +24,19 @@ def visited_hosts(log: DataFrame) -> DataFrame:
 def remaining(companies: DataFrame, log: DataFrame, host: str = "website_host") -> DataFrame:
     """Companies that the log doesn't have; one without a host can't be matched and stays."""
     hosts = visited_hosts(log).select(F.col("host").alias("_h"))
-    return companies.join(hosts, companies[host] == F.col("_h"), "left_anti")
+    return companies.join(hosts, normalize_host(companies[host]) == F.col("_h"), "left_anti")
 
 
 def excluded(companies: DataFrame, log: DataFrame, host: str = "website_host") -> DataFrame:
     """Companies that the log has, with applied."""
     hosts = visited_hosts(log).select(F.col("host").alias("_h"), F.col("applied"))
-    return companies.join(hosts, companies[host] == F.col("_h")).drop("_h")
+    return companies.join(hosts, normalize_host(companies[host]) == F.col("_h")).drop("_h")
 
 
 def filter_counters(companies: DataFrame, log: DataFrame, host: str = "website_host") -> DataFrame:
     """One row: companies, kept, excluded, excluded_applied, kept_unmatchable."""
     hosts = visited_hosts(log).select(F.col("host").alias("_h"), F.col("applied"))
-    marked = companies.join(hosts, companies[host] == F.col("_h"), "left")
+    marked = companies.join(hosts, normalize_host(companies[host]) == F.col("_h"), "left")
     return marked.agg(
         F.count(F.lit(1)).alias("companies"), F.count_if(F.col("_h").isNull()).alias("kept"), F.count_if(F.col("_h").isNotNull()).alias("excluded"),
         F.count_if(F.coalesce("applied", F.lit(False))).alias("excluded_applied"), F.count_if(F.col(host).isNull()).alias("kept_unmatchable"),

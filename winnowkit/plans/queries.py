@@ -9,7 +9,7 @@ from ..functions import careers, geo, guards, hosts, keys, text
 from ..operators import capture, dedup, rollup, rules, scrape, seen, visited
 from ..operators.graph import durable
 from ..sources import pages as page_source
-from . import base, reports
+from . import base, diagnostics, reports
 from .base import postings, raw_postings, table
 
 HOME = (38.9531, -77.4565)
@@ -67,7 +67,7 @@ def haversine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def html_escape(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("page_id", text.html_escape(page_source.embedded(F.col("html"), "<article>", "</article>")).alias("escaped"))
+    return table(spark, sf, "pages").select("page_id", text.html_escape(F.col("html")).alias("escaped"))
 
 
 def url_quote(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,12 +97,13 @@ def search_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def search_union(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return scrape.union_searches([o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0")], "o_orderkey")
+    return scrape.union_searches([o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0"), o], "o_orderkey")
 
 
 def _captures(spark: SparkSession, sf: str) -> DataFrame:
+    """Captured pages whose numbers leave out every fourth."""
     e = table(spark, sf, "events")
-    return e.select((F.col("user_id") % 50).alias("state"), (F.col("event_id") % 13).alias("page"), F.col("ts").alias("captured_at"), F.col("event_id").alias("pos"), "value")
+    return e.select((F.col("user_id") % 50).alias("state"), F.floor((F.col("event_id") % 13) * 4 / 3).alias("page"), F.col("ts").alias("captured_at"), F.col("event_id").alias("pos"), "value")
 
 
 def latest_capture(spark: SparkSession, sf: str) -> DataFrame:
@@ -110,8 +111,7 @@ def latest_capture(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def capture_summary(spark: SparkSession, sf: str) -> DataFrame:
-    odd = capture.latest_pages(_captures(spark, sf)).where("(state + page) % 4 <> 0")
-    return capture.summary(odd).select("state", "pages", "last_page", F.round("span_hours", 6).alias("span_hours"), F.array_join("missing", ",").alias("missing"))
+    return capture.summary(capture.latest_pages(_captures(spark, sf))).select("state", "pages", "last_page", F.round("span_hours", 6).alias("span_hours"), F.array_join("missing", ",").alias("missing"))
 
 
 # --- companies ---------------------------------------------------------------------------------------
@@ -254,6 +254,13 @@ def screen_funnel(spark: SparkSession, sf: str) -> DataFrame:
     return rules.funnel(_screened(spark, sf))
 
 
+def funnel_dry_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The funnel in which duplicates are counted behind the rejections, as (step, n)."""
+    f = diagnostics.funnel_figures(_screened_table(spark, sf))
+    steps = {k: f[k] for k in ("records", "rejected", "duplicates", "near_misses")} | {f"band {b}": n for b, n in f["bands"].items()} | {f"demoted {k}": n for k, n in f["demote_reasons"].items()}
+    return spark.createDataFrame(sorted(steps.items()), "step string, n bigint")
+
+
 def flag_audit(spark: SparkSession, sf: str) -> DataFrame:
     return rules.flag_audit(_screened(spark, sf))
 
@@ -278,8 +285,7 @@ def _store(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def seen_diff(spark: SparkSession, sf: str) -> DataFrame:
-    now = _screened_table(spark, sf).where("ord % 3 <> 0 or ord % 2 = 0")
-    return seen.classify(now, _store(spark, sf)).select("ord", "owner", "action")
+    return seen.classify(_screened_table(spark, sf), _store(spark, sf)).select("ord", "owner", "action")
 
 
 def store_merge(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,17 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import queries as _queries
+from . import raw as _raw
 from .sql import SQL
 
 FLAGSHIP = "company_rollup"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """The public functions of the query module, in its order."""
+    """The public functions of the query modules, in their order."""
     return {
         name: f
-        for name, f in vars(_queries).items()
-        if inspect.isfunction(f) and f.__module__ == _queries.__name__ and not name.startswith("_")
+        for module in (_queries, _raw)
+        for name, f in vars(module).items()
+        if inspect.isfunction(f) and f.__module__ == module.__name__ and not name.startswith("_")
     }
 
 

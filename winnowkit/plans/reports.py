@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+from urllib.parse import urlencode
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -11,6 +14,7 @@ from ..functions.keys import posting_key
 from ..functions.text import dollars, html_escape, strip
 from ..operators.rules import shortlist_order
 from ..operators.visited import applied_companies
+from ..tables import settle
 
 
 def _text(c: str) -> Column:
@@ -105,13 +109,22 @@ def shortlist_rows(screened: DataFrame, applied_hosts: DataFrame, bands: tuple[s
 
 
 def number(rows: DataFrame, order: list[Column]) -> DataFrame:
-    """Rows numbered from 1 in order. A report is for one reader, so it is small."""
-    return rows.withColumn("n", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    """Rows numbered from 1 in order. Ranges of rows are sorted in tasks of their own; their sizes give the numbers."""
+    row = F.monotonically_increasing_id()
+    mask = F.lit((1 << 33) - 1)
+    ranges = rows.orderBy(*order).withColumns({"_range": F.shiftright(row, 33), "_row": row.bitwiseAND(mask)})
+    ranges = settle(ranges, "sorted")
+    sizes, start, starts = sorted(tuple(r) for r in ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()), 1, []  # a row a task
+    for at, n in sizes:
+        starts.append((at, start))
+        start += n
+    begun = rows.sparkSession.createDataFrame(starts, "_at bigint, _start bigint")
+    return ranges.join(F.broadcast(begun), F.col("_range") == F.col("_at")).withColumn("n", F.col("_start") + F.col("_row")).drop("_range", "_row", "_at", "_start")
 
 
 def company_rows(companies: DataFrame) -> DataFrame:
-    """(n, row): nearest first, unknown distances last."""
-    numbered = number(companies, [F.col("distance_miles").asc_nulls_last(), F.col("name").asc(), F.col("key").asc()])
+    """(n, row): nearest first, unknown distances last, ties in input order."""
+    numbered = number(companies, [F.col("distance_miles").asc_nulls_last(), F.col("ord").asc()])
     name = F.coalesce(F.nullif(html_escape(F.col("name")), F.lit("")), F.nullif(html_escape(F.col("website_host")), F.lit("")), F.lit("(unnamed)"))
     url = entry_url(F.col("careers_url"), F.col("website_host"))
     listed = F.transform("locations", lambda x: strip(F.substring_index(x, ",", 1)))
@@ -119,7 +132,7 @@ def company_rows(companies: DataFrame) -> DataFrame:
     posts = F.concat(F.col("posting_count").cast("string"), F.when(F.col("software_posting_count") > 0, F.concat(F.lit(" ("), F.col("software_posting_count").cast("string"), F.lit(" sw)"))).otherwise(""))
     career = F.when(_text("careers_url") == "", "-").otherwise(F.concat(F.lit('<a href="'), html_escape(F.col("careers_url")), F.lit('">careers</a>')))
     cells = F.concat(
-        _td(F.col("n").cast("string")), _td(F.coalesce(F.format_string("%.1f", F.col("distance_miles")), F.lit("-")), "num"), _td(career),
+        _td(F.col("n").cast("string")), _td(F.when(F.col("distance_miles").isNotNull(), F.format_string("%.1f", F.col("distance_miles"))).otherwise("-"), "num"), _td(career),
         _td(F.when(url.isNull(), name).otherwise(_queued(url, F.col("website_host"), name))),
         _td(F.concat(F.lit('<a href="'), html_escape(search_link(F.coalesce(F.nullif(_text("name"), F.lit("")), _text("website_host")))), F.lit('">search</a>'))),
         _td(_or(html_escape(F.array_join(listed, ", ")), "-")), _td(posts, "num"), _td(_or(shown, "-"), "titles"),
@@ -130,32 +143,53 @@ def company_rows(companies: DataFrame) -> DataFrame:
 
 STYLE = "body { font-family: sans-serif } table { border-collapse: collapse } th, td { border: 1px solid #ccc; padding: 4px } td.num { text-align: right }"
 COMPANY_HEADERS = ["#", "Miles", "Careers", "Company", "Find", "Locations", "Posts", "Sample titles", "Latest"]
-SHORTLIST_HEADERS = ["#", "Band", "Title", "Company", "Pay", "Seniority", "Location", "Tools", "Published", "Apply"]
+SHORTLIST_HEADERS = ["#", "Band", "Title", "Company", "Compensation", "Seniority", "Location", "Tools", "Posted", "Apply"]
 
 
-def page(rows: DataFrame, headers: list[str], title: str, note: str = "") -> str:
-    """The whole page. Its rows come to the driver: a report is what one person reads."""
+def write_page(rows: DataFrame, headers: list[str], title: str, path: str, said: str, note: str = "") -> int:
+    """Write a page to a local file, row by row as they come from the tasks; the number of rows. ``said`` may name it as {n}."""
     import html
+    from datetime import datetime
 
+    n = rows.count()
     head = "".join(f"<th>{html.escape(h)}</th>" for h in headers)
-    body = "\n".join(r["row"] for r in rows.orderBy("n").collect())
-    return f'<!DOCTYPE html>\n<html><head><meta charset="utf-8"><title>{html.escape(title)}</title><style>{STYLE}</style></head>\n<body><h1>{html.escape(title)}</h1><p class="meta">{html.escape(note)}</p>\n<table><thead><tr>{head}</tr></thead><tbody>\n{body}\n</tbody></table></body></html>\n'
+    said = f"{said.replace('{n}', str(n))} Generated {datetime.now():%Y-%m-%d %H:%M}."
+    with open(path, "w", encoding="utf-8") as out:
+        out.write(f'<!DOCTYPE html>\n<html lang="en"><head><meta charset="utf-8"><title>{html.escape(title)}</title><style>{STYLE}</style></head>\n<body><h1>{html.escape(title)}</h1>\n')
+        out.write("".join(f'<p class="meta">{html.escape(x)}</p>\n' for x in (said, note) if x))
+        out.write(f"<table><thead><tr>{head}</tr></thead><tbody>\n")
+        for r in rows.orderBy("n").toLocalIterator():
+            out.write(r["row"] + "\n")
+        out.write("</tbody></table></body></html>\n")
+    return n
+
+
+def search_url(site: str, state: dict) -> str:
+    """The link that opens a search by hand."""
+    return f"{site.rstrip('/')}{fixed.SEARCH_PATH}?{urlencode({'searchState': json.dumps(state, separators=(',', ':'), ensure_ascii=False)})}"
 
 
-def daily_histogram(rows: DataFrame, date: str, width: int = 40) -> DataFrame:
-    """(day, n, bar): counts by day with a bar scaled to the busiest."""
+def daily_histogram(rows: DataFrame, date: str, width: int = fixed.BAR_WIDTH) -> DataFrame:
+    """(day, n, bar): counts by day with a bar scaled to the busiest, at least one sign long."""
     days = rows.where(F.coalesce(F.col(date), F.lit("")) != "").groupBy(F.substring(date, 1, 10).alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    top_n = days.agg(F.max("n").alias("top"))
-    return days.crossJoin(F.broadcast(top_n)).select("day", "n", F.repeat(F.lit("#"), F.floor(F.col("n") * width / F.col("top")).cast("int")).alias("bar"))
+    days = settle(days, "days")  # a row a day
+    top = days.agg(F.max("n")).first()[0] or 1
+    signs = F.greatest(F.lit(1), F.bround(F.col("n") / F.lit(top) * width).cast("int"))
+    return days.select("day", "n", F.repeat(F.lit("#"), signs).alias("bar"))
 
 
 def top(rows: DataFrame, column: str, n: int) -> DataFrame:
     return rows.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc(column)).limit(n)
 
 
-def scrape_verdict(unique: int, reported: int | None) -> str:
-    """How much of what was reported a run has: complete from 0.9, partial from 0.6."""
-    if not reported:
+def share(part: Column, whole: Column) -> Column:
+    """A percentage with one decimal; a dash for a share of nothing."""
+    return F.when(whole == 0, "-").otherwise(F.concat(F.format_number(part / whole * 100, 1), F.lit("%")))
+
+
+def coverage_verdict(companies: int, reported: float | None) -> str:
+    """How much of the reported companies a run has."""
+    if not reported or not companies:
         return "unknown"
-    share = unique / reported
-    return "complete" if share >= 0.9 else "partial" if share >= 0.6 else "thin"
+    part = companies / reported
+    return "complete" if part >= fixed.COVERAGE_COMPLETE else "partial" if part >= fixed.COVERAGE_PARTIAL else "thin"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .. import fixed
 from .base import SQL as P
+from .raw import LINE, PAYLOAD
 
 SP = r"[\s\x{a0}]"
 
@@ -110,9 +111,7 @@ SELECT s_suppkey, round(6371000.0 * 2 * asin(sqrt(pow(sin(radians(lat - 38.9531)
 FROM (SELECT s_suppkey, CAST(s_suppkey % 90 - 45.5 AS DOUBLE) AS lat, CAST(s_suppkey * 7 % 360 - 180.25 AS DOUBLE) AS lon FROM supplier)"""
 ESCAPED = "replace(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
 SQL["html_escape"] = f"""
-SELECT page_id, {ESCAPED.format("coalesce(body, '')")} AS escaped FROM (
-  SELECT page_id, CASE WHEN contains(html, '<article>') AND contains(substr(html, strpos(html, '<article>')), '</article>')
-    THEN split_part(substr(html, strpos(html, '<article>') + 9), '</article>', 1) END AS body FROM pages)"""
+SELECT page_id, {ESCAPED.format("coalesce(html, '')")} AS escaped FROM pages"""
 SQL["url_quote"] = "SELECT p_partkey, replace(url_encode(p_name || ' *~b/&'), '%20', '+') AS quoted FROM part"
 SQL["match_keys"] = f"""
 {P} SELECT ord, array_to_string(list_sort(list_filter(['id:' || object_id, 'id:x' || object_id, 'cluster:' || cluster_key], lambda v: v IS NOT NULL)), ',') AS match_keys FROM p"""
@@ -132,16 +131,16 @@ w AS (SELECT *, is_new AND (key IS NULL OR row_number() OVER (PARTITION BY key O
 SQL["page_counts"] = LANDED + "SELECT search, page, count(*) AS received, count_if(is_new) AS new, count_if(written) AS written FROM w GROUP BY search, page"
 SQL["search_counts"] = LANDED + """SELECT search, max(stop_page) AS stop_page, count(*) AS received, count_if(is_new) AS unique_records,
   count_if(is_new AND NOT written) AS overlap, count_if(key IS NULL) AS keyless FROM w GROUP BY search"""
-SQL["search_union"] = "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN 0 ELSE 1 END AS search FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0"
+SQL["search_union"] = "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN 0 WHEN o_orderkey % 3 = 0 THEN 1 ELSE 2 END AS search FROM orders"
 LATEST = """
 WITH latest AS (
-  SELECT user_id % 50 AS state, event_id % 13 AS page, event_id AS pos, ts, value FROM events
+  SELECT user_id % 50 AS state, (event_id % 13) * 4 // 3 AS page, event_id AS pos, ts, value FROM events
   QUALIFY row_number() OVER (PARTITION BY user_id % 50, event_id % 13 ORDER BY ts DESC, event_id DESC) = 1
 ) """
 SQL["latest_capture"] = LATEST + "SELECT state, page, pos, value FROM latest"
-SQL["capture_summary"] = LATEST + """, o AS (SELECT * FROM latest WHERE (state + page) % 4 <> 0)
+SQL["capture_summary"] = LATEST + """
 SELECT state, count(*) AS pages, max(page) AS last_page, round((epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(3.6e9 AS DOUBLE), 6) AS span_hours,
-  array_to_string(list_filter(range(0, max(page) + 1), lambda v: NOT list_contains(list(page), v)), ',') AS missing FROM o GROUP BY state"""
+  array_to_string(list_filter(range(0, max(page) + 1), lambda v: NOT list_contains(list(page), v)), ',') AS missing FROM latest GROUP BY state"""
 
 # --- companies
 NEWER = "list_transform(list_filter(string_split({}, ''), lambda ch: ch <> ''), lambda ch: -ord(ch))"
@@ -166,7 +165,7 @@ j AS (
     WHEN host IS NULL AND careers_url IS NULL THEN 'unidentifiable' END AS drop_reason FROM c
 ), g AS (SELECT * FROM j WHERE drop_reason IS NULL)"""
 COMPANIES = JUDGED + f""", main AS (
-  SELECT key, count(*) AS posting_count, max(host) AS website_host,
+  SELECT key, count(*) AS posting_count, min(ord) AS ord, max(host) AS website_host,
     coalesce(arg_min(coalesce(enriched, posting_name), ord) FILTER (WHERE coalesce(enriched, posting_name) IS NOT NULL), max(host), key) AS name,
     arg_min({{'url': careers_url, 'tier': tier}}, (CASE tier WHEN 'host' THEN 0 WHEN 'host_and_segments' THEN 0 WHEN 'board' THEN 1 ELSE 2 END, {NEWER.format('published_at')}, ord))
       FILTER (WHERE careers_url IS NOT NULL) AS careers,
@@ -187,10 +186,10 @@ COMPANIES = JUDGED + f""", main AS (
       QUALIFY row_number() OVER (PARTITION BY key, title ORDER BY category <> 'Software Development', published_at DESC, ord) = 1)) WHERE n <= 3 GROUP BY key
 ), co AS (
   SELECT key, name, website_host, careers.url AS careers_url, coalesce(careers.tier, 'none') AS careers_tier, distance_miles, coalesce(locations, '') AS locations, posting_count,
-    category_counts, software_posting_count, coalesce(sample_titles, '') AS sample_titles, latest_published_at, sources, observed_names, profile
+    category_counts, software_posting_count, coalesce(sample_titles, '') AS sample_titles, latest_published_at, sources, observed_names, profile, ord
   FROM main JOIN cat USING (key) LEFT JOIN loc USING (key) LEFT JOIN ti USING (key)
 )"""
-SQL["company_rollup"] = COMPANIES + " SELECT * FROM co"
+SQL["company_rollup"] = COMPANIES + " SELECT * EXCLUDE (ord) FROM co"
 SQL["company_drops"] = JUDGED + " SELECT coalesce(drop_reason, 'kept') AS drop_reason, count(*) AS n FROM j GROUP BY 1"
 SQL["company_tiers"] = COMPANIES + " SELECT careers_tier, count(*) AS n FROM co GROUP BY 1"
 SQL["company_ambiguous"] = COMPANIES + " SELECT key, observed_names FROM co WHERE website_host IS NOT NULL AND contains(observed_names, '|')"
@@ -223,7 +222,7 @@ def similar(key: str) -> str:
 ), si_{key} AS (SELECT g, avg(s) AS similarity FROM pr_{key} GROUP BY g)"""
 
 
-Q = P + f""", q AS (SELECT *, concat_ws('|', lower(company), regexp_replace(lower(trim(title)), '\\s+', ' ', 'g'), array_to_string(list_sort({listed('cities')}), ',')) AS fallback_key FROM p)"""
+Q = P + f""", q AS (SELECT *, concat_ws('|', company, regexp_replace(lower(trim(title)), '\\s+', ' ', 'g'), array_to_string(list_sort({listed('cities')}), ',')) AS fallback_key FROM p)"""
 SQL["cluster_similarity"] = Q + similar("cluster_key") + """
 SELECT DISTINCT m.g AS cluster_key, round(similarity, 9) AS similarity FROM mem_cluster_key m LEFT JOIN si_cluster_key USING (g)"""
 SQL["calibration"] = Q + similar("cluster_key") + """
@@ -290,14 +289,14 @@ def _labels(rules: list[tuple[str, str]]) -> str:
 
 
 SCREENED = P + f""", h AS (SELECT *, {host('homepage')} AS company_host FROM p),
-r AS (SELECT *, {_labels(_REJECT)} AS rejects, {_labels(_DEMOTE)} AS demoted FROM h),
-s AS (SELECT *, {_BACKEND} AND len(demoted) = 0 AND (coalesce(seniority_level = 'Senior Level', false) OR {senior('raw_title')} OR coalesce(comp_max >= 120000, false)) AS strong FROM r),
-v AS (SELECT *, CASE WHEN len(rejects) > 0 THEN 'rejected' WHEN strong THEN 'strong' ELSE 'possible' END AS band, rejects = ['comp below floor'] AND strong AS near_miss FROM s)
+ruled AS (SELECT *, {_labels(_REJECT)} AS rejects, {_labels(_DEMOTE)} AS demoted FROM h),
+strong AS (SELECT *, {_BACKEND} AND len(demoted) = 0 AND (coalesce(seniority_level = 'Senior Level', false) OR {senior('raw_title')} OR coalesce(comp_max >= 120000, false)) AS strong FROM ruled),
+v AS (SELECT *, CASE WHEN len(rejects) > 0 THEN 'rejected' WHEN strong THEN 'strong' ELSE 'possible' END AS band, rejects = ['comp below floor'] AND strong AS near_miss FROM strong)
 """
 SQL["screen_bands"] = SCREENED + "SELECT ord, band, near_miss, array_to_string(rejects, '; ') AS reject_reasons, CASE WHEN len(rejects) > 0 THEN '' ELSE array_to_string(demoted, '; ') END AS demote_reasons FROM v"
 SQL["reason_counts"] = SCREENED + "SELECT reason, count(*) AS n FROM (SELECT unnest(rejects) AS reason FROM v) GROUP BY reason"
 SQL["sole_reasons"] = SCREENED + "SELECT rejects[1] AS reason, count(*) AS n FROM v WHERE len(rejects) = 1 GROUP BY 1"
-SQL["screen_funnel"] = SCREENED + """SELECT count(*) AS scraped, count(*) AS screened, count_if(band = 'rejected') AS rejected, count_if(band = 'strong') AS strong,
+SQL["screen_funnel"] = SCREENED + """SELECT count(*) AS scraped, CAST(0 AS BIGINT) AS duplicates, count(*) AS screened, count_if(band = 'rejected') AS rejected, count_if(band = 'strong') AS strong,
   count_if(band = 'possible') AS possible, count_if(near_miss) AS near_misses FROM v"""
 SQL["flag_audit"] = SCREENED + f"""SELECT {_FLAG} AS manager_flag, {_TITLED} AS manager_title, coalesce(seniority_level = 'Senior Level', false) AS senior_field, {senior('raw_title')} AS senior_title,
   count(*) AS n FROM v GROUP BY ALL"""
@@ -305,11 +304,11 @@ SQL["flag_audit"] = SCREENED + f"""SELECT {_FLAG} AS manager_flag, {_TITLED} AS
 # --- the seen store
 STORE = SCREENED + f""", st AS (
   SELECT object_id, list_sort(list_filter(['id:' || object_id, CASE WHEN ord % 8 = 0 THEN 'id:o' || (ord + 1) END, 'cluster:' || cluster_key], lambda x: x IS NOT NULL)) AS keys,
-    CASE WHEN ord % 4 = 0 THEN 'possible' ELSE 'strong' END AS band, ord AS put_seq, coalesce(company_host, '') AS company_host FROM v WHERE ord % 2 = 0
-), ow AS (SELECT key, arg_max(object_id, put_seq) AS owner FROM (SELECT object_id, put_seq, unnest(keys) AS key FROM st) GROUP BY key)
+    CASE WHEN ord % 4 = 0 THEN 'possible' ELSE 'strong' END AS band, ord AS put_seq, title, company, coalesce(company_host, '') AS company_host FROM v WHERE ord % 2 = 0
+), ow AS (SELECT key, arg_max(object_id, (company, put_seq)) AS owner FROM (SELECT object_id, company, put_seq, unnest(keys) AS key FROM st) GROUP BY key)
 """
 SQL["seen_diff"] = STORE + """, n AS (
-  SELECT ord, band, unnest(list_filter(['id:' || object_id, 'cluster:' || cluster_key], lambda x: x IS NOT NULL)) AS key FROM v WHERE band <> 'rejected' AND (ord % 3 <> 0 OR ord % 2 = 0)
+  SELECT ord, band, unnest(list_filter(['id:' || object_id, 'cluster:' || cluster_key], lambda x: x IS NOT NULL)) AS key FROM v WHERE band <> 'rejected'
 ), f AS (SELECT n.ord, any_value(n.band) AS band, arg_min(ow.owner, key) FILTER (WHERE ow.owner IS NOT NULL) AS owner FROM n LEFT JOIN ow USING (key) GROUP BY n.ord)
 SELECT ord, owner, CASE WHEN owner IS NULL THEN 'new' WHEN f.band = 'strong' AND st.band = 'possible' THEN 'promoted' ELSE 'suppressed' END AS action
 FROM f LEFT JOIN st ON st.object_id = f.owner"""
@@ -321,6 +320,231 @@ FROM st LEFT JOIN mk USING (object_id)"""
 
 # --- diagnostics
 SQL["daily_histogram"] = P + """, d AS (SELECT substr(published_at, 1, 10) AS day, count(*) AS n FROM p WHERE published_at <> '' GROUP BY 1)
-SELECT day, n, repeat('#', CAST(floor(n * 40 / (SELECT max(n) FROM d)) AS INT)) AS bar FROM d"""
+SELECT day, n, repeat('#', greatest(1, CAST(round_even(n / (SELECT max(n) FROM d) * 40, 0) AS INT))) AS bar FROM d"""
 SQL["top_sources"] = P + " SELECT source, count(*) AS n FROM p GROUP BY source ORDER BY n DESC, source LIMIT 5"
 SQL["coverage"] = P + " SELECT count(*) AS postings, round(avg(CAST(cluster_key IS NOT NULL AS INT)), 4) AS cluster_key_share, count_if(trim(requirements) = '') AS blank_requirements FROM p"
+
+# --- greedy groups, in lockstep: round i takes the i-th member of every group
+ALIKE = f"{JACCARD.format(a='a.w', b='m.w')} >= "
+
+
+def greedy(members: str, by: str, level: str, threshold: float) -> str:
+    """CTE ``greedy`` (by, id, anchor): members has by, level, id and tokens w, none of them empty."""
+    keys = ", ".join(f"m.{c}" for c in by.split(", "))
+    same = " AND ".join(f"m.{c} IS NOT DISTINCT FROM r.{c}" for c in by.split(", "))
+    return f"""
+m AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY {by}, {level} ORDER BY id) AS i FROM {members}),
+r AS (
+  SELECT {keys}, m.{level}, m.i, m.id, m.id AS anchor, [{{'id': m.id, 'w': m.w}}] AS anchors FROM m WHERE i = 1
+  UNION ALL
+  SELECT {keys}, m.{level}, m.i, m.id, coalesce(list_filter(r.anchors, lambda a: {ALIKE} {threshold})[1].id, m.id) AS anchor,
+    CASE WHEN len(list_filter(r.anchors, lambda a: {ALIKE} {threshold})) > 0 THEN r.anchors ELSE list_append(r.anchors, {{'id': m.id, 'w': m.w}}) END
+  FROM r JOIN m ON {same} AND m.{level} IS NOT DISTINCT FROM r.{level} AND m.i = r.i + 1
+), greedy AS MATERIALIZED (SELECT {by}, id, anchor FROM r)"""
+
+
+_DOCS = f"d AS MATERIALIZED (SELECT doc_id AS id, lang, source, doc_id % 3 AS lv, {TOKENS.format('text')} AS w FROM documents), live AS (SELECT * FROM d WHERE len(w) > 0)"
+SQL["greedy_dedup"] = f"WITH RECURSIVE {_DOCS}, {greedy('live', 'lang, source', 'lv', 0.44)} SELECT id AS ord, anchor FROM greedy UNION ALL SELECT id, id FROM d WHERE len(w) = 0"
+
+_RQ = Q.replace("WITH p AS", "WITH RECURSIVE p AS", 1)
+SQL["representatives"] = (
+    _RQ
+    + f""", fb AS MATERIALIZED (SELECT ord AS id, fallback_key, {level('raw_title')} AS lv, {TOKENS.format('requirements')} AS w FROM q WHERE cluster_key IS NULL),
+live AS (SELECT * FROM fb WHERE len(w) > 0), {greedy('live', 'fallback_key', 'lv', 0.6)},
+grouped AS (SELECT fallback_key, id, anchor FROM greedy UNION ALL SELECT fallback_key, id, id FROM fb WHERE len(w) = 0),
+numbered AS (SELECT *, dense_rank() OVER (PARTITION BY fallback_key ORDER BY anchor) - 1 AS sub FROM grouped),
+t AS (
+  SELECT q.*, '0' || cluster_key AS grp, cluster_key AS name FROM q WHERE cluster_key IS NOT NULL
+  UNION ALL SELECT q.*, '1' || q.fallback_key || '#' || sub, CASE WHEN sub = 0 THEN q.fallback_key ELSE q.fallback_key || '#' || sub END FROM q JOIN numbered ON q.ord = numbered.id
+)"""
+    + MERGED.format(g="grp", t="t").replace("SELECT grp AS k,", "SELECT grp AS k, any_value(name) AS dedup_key,")
+    + " SELECT object_id, dedup_key, duplicate_count, alternate_object_ids, coalesce(alternate_apply_urls, '') AS alternate_apply_urls FROM ag LEFT JOIN un USING (k)"
+)
+
+# --- the store after a run, in lockstep: step i takes the i-th row of every set that shares keys
+_FIND = "list_filter(s.es, lambda e: list_contains(e.keys, list_filter(x.keys, lambda k: len(list_filter(s.es, lambda e2: list_contains(e2.keys, k))) > 0)[1]))[-1]"
+SQL["store_merge"] = (
+    STORE.replace("WITH p AS", "WITH RECURSIVE p AS", 1)
+    + """, n AS (
+  SELECT ord, band, unnest(list_filter(['id:' || object_id, 'cluster:' || cluster_key], lambda x: x IS NOT NULL)) AS key FROM v WHERE band <> 'rejected'
+), f AS (SELECT n.ord, any_value(n.band) AS band, arg_min(ow.owner, key) FILTER (WHERE ow.owner IS NOT NULL) AS owner FROM n LEFT JOIN ow USING (key) GROUP BY n.ord),
+act AS (SELECT f.ord, CASE WHEN owner IS NOT NULL AND NOT (f.band = 'strong' AND st.band = 'possible') THEN 2 ELSE 1 END AS phase FROM f LEFT JOIN st ON st.object_id = f.owner),
+rows0 AS (
+  SELECT 0 AS phase, object_id, keys, band, title, company, put_seq AS ord FROM st
+  UNION ALL SELECT phase, object_id, list_sort(list_filter(['id:' || object_id, 'cluster:' || cluster_key], lambda x: x IS NOT NULL)), band, coalesce(nullif(raw_title, ''), title), company, ord FROM v JOIN act USING (ord)
+), ck AS (SELECT ord, cluster_key AS c FROM p WHERE cluster_key IS NOT NULL),
+-- rows that share a key share this name: a posting's cluster, or that of the one beside it whose id a stored entry has too
+placed AS (
+  SELECT r.*, coalesce(own.c, after.c, before.c, 'p' || CAST(CASE WHEN r.ord % 8 = 1 THEN r.ord - 1 ELSE r.ord END AS VARCHAR)) AS grp
+  FROM rows0 r LEFT JOIN ck own ON own.ord = r.ord LEFT JOIN ck after ON r.ord % 8 = 0 AND after.ord = r.ord + 1 LEFT JOIN ck before ON r.ord % 8 = 1 AND before.ord = r.ord - 1
+), x AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY phase, CASE WHEN phase = 0 THEN company END, ord) AS i FROM placed),
+"""
+    + f"""s AS (
+  SELECT grp, 0 AS i, [] :: STRUCT(object_id VARCHAR, keys VARCHAR[], band VARCHAR, f VARCHAR, l VARCHAR, n BIGINT, title VARCHAR, company VARCHAR)[] AS es FROM x WHERE i = 1
+  UNION ALL
+  SELECT s.grp, x.i, CASE
+    WHEN x.phase = 0 THEN list_append(s.es, {{'object_id': x.object_id, 'keys': x.keys, 'band': x.band, 'f': '2024-01-01', 'l': '2024-01-01', 'n': 1, 'title': x.title, 'company': x.company}})
+    WHEN {_FIND} IS NULL AND x.phase = 1 THEN list_append(s.es, {{'object_id': x.object_id, 'keys': x.keys, 'band': x.band, 'f': '2024-02-02', 'l': '2024-02-02', 'n': 1, 'title': x.title, 'company': x.company}})
+    WHEN {_FIND} IS NULL THEN s.es
+    ELSE list_append(list_filter(s.es, lambda e: e.object_id <> {_FIND}.object_id), {{'object_id': {_FIND}.object_id, 'keys': list_sort(list_distinct(list_concat({_FIND}.keys, x.keys))),
+      'band': CASE WHEN x.phase = 1 AND x.band = 'strong' THEN 'strong' ELSE {_FIND}.band END, 'f': {_FIND}.f, 'l': CASE WHEN x.phase = 1 THEN '2024-02-02' ELSE {_FIND}.l END,
+      'n': {_FIND}.n + CASE WHEN x.phase = 1 THEN 1 ELSE 0 END, 'title': {_FIND}.title, 'company': {_FIND}.company}}) END
+  FROM s JOIN x ON x.grp = s.grp AND x.i = s.i + 1
+), last AS (SELECT unnest(arg_max(es, i)) AS e FROM s GROUP BY grp)
+SELECT e.object_id, array_to_string(e.keys, ',') AS keys, e.band, e.f AS first_surfaced, e.l AS last_surfaced, e.n AS surfaced_count, e.title, e.company FROM last"""
+)
+
+# --- reports
+ESC = ESCAPED.format
+
+
+def queued(url: str, key: str, label: str) -> str:
+    return f"""'<a href="' || {ESC(url)} || '" data-visit-open data-visit-key="' || {ESC(key)} || '" data-visit-mark="auto">' || {label} || '</a>'"""
+
+
+def dash(x: str) -> str:
+    return f"CASE WHEN {x} = '' THEN '-' ELSE {x} END"
+
+
+_QUOTED = "replace(url_encode({}), '%20', '+')"
+_HEADS = "list_transform(list_filter(string_split({}, '|'), lambda v: v <> ''), lambda v: trim(split_part(v, ',', 1)))"
+SQL["company_page"] = COMPANIES + f""", placed AS (
+  SELECT *, row_number() OVER (ORDER BY distance_miles NULLS LAST, ord) AS n, {host("regexp_extract(careers_url, '^[a-zA-Z][a-zA-Z0-9+.\\-]*://([^/?#]*)', 1)")} AS link_host FROM co
+), shown AS (
+  SELECT *, CASE WHEN website_host IS NULL THEN NULL WHEN link_host = website_host OR ends_with(link_host, '.' || website_host) THEN careers_url ELSE 'https://' || website_host END AS url,
+    coalesce(nullif({ESC('name')}, ''), nullif({ESC('website_host')}, ''), '(unnamed)') AS label FROM placed
+)
+SELECT n, '<tr><td>' || n || '</td><td class="num">' || coalesce(format('{{:.1f}}', distance_miles), '-') || '</td><td>'
+  || CASE WHEN careers_url IS NULL THEN '-' ELSE '<a href="' || {ESC('careers_url')} || '">careers</a>' END || '</td><td>'
+  || CASE WHEN url IS NULL THEN label ELSE {queued('url', 'website_host', 'label')} END || '</td><td><a href="' || {ESC("('" + fixed.SEARCH_ENGINE + "' || " + _QUOTED.format("name || ' careers'") + ")")} || '">search</a></td><td>'
+  || {dash(ESC(f"array_to_string({_HEADS.format('locations')}, ', ')"))} || '</td><td class="num">' || posting_count || CASE WHEN software_posting_count > 0 THEN ' (' || software_posting_count || ' sw)' ELSE '' END
+  || '</td><td class="titles">' || CASE WHEN sample_titles = '' THEN '-' ELSE replace({ESC('sample_titles')}, '|', '<br>') END || '</td><td class="num">'
+  || CASE WHEN coalesce(latest_published_at, '') = '' THEN '-' ELSE {ESC('substr(latest_published_at, 1, 10)')} END || '</td></tr>' AS row
+FROM shown"""
+
+
+def capped(items: str, shown: str, n: int) -> str:
+    return f"array_to_string({shown}[:{n}], ', ') || CASE WHEN len({items}) > {n} THEN ' +' || (len({items}) - {n}) ELSE '' END"
+
+
+_LABELS = "CASE WHEN len(demoted) > 0 THEN '<br><span class=\"flag\">' || " + ESC("array_to_string(demoted, ', ')") + " || '</span>' ELSE '' END"
+_CITIES = listed("cities")
+SQL["shortlist_page"] = (
+    SCREENED.rstrip()
+    + VISITS
+    + f""", {LINKS.strip()}, sl AS (
+  SELECT v.*, list_filter({_CITIES}, lambda c: true) AS cl, {listed('tools')} AS tl, row_number() OVER (ORDER BY CASE band WHEN 'strong' THEN 0 ELSE 1 END, coalesce(v.comp_max, 0) DESC, lower(v.company), v.ord) AS n,
+    EXISTS (SELECT 1 FROM vh WHERE vh.applied AND (vh.host = v.company_host OR ends_with(vh.host, '.' || v.company_host))) AS sent, link.careers_url,
+    {host("regexp_extract(link.careers_url, '^[a-zA-Z][a-zA-Z0-9+.\\-]*://([^/?#]*)', 1)")} AS link_host
+  FROM v JOIN (SELECT ord, careers_url FROM link) link ON link.ord = v.ord WHERE band <> 'rejected'
+), y AS (
+  SELECT *, CASE WHEN company_host IS NULL THEN NULL WHEN link_host = company_host OR ends_with(link_host, '.' || company_host) THEN careers_url ELSE 'https://' || company_host END AS url, trim(apply_url) AS au FROM sl
+)
+SELECT n, '<tr class="' || band || '"><td class="num">' || n || '</td><td><span class="band ' || band || '">' || band || '</span>' || {_LABELS} || '</td><td>'
+  || coalesce(nullif({ESC('raw_title')}, ''), {ESC('title')}) || '</td><td>'
+  || CASE WHEN url IS NULL THEN {ESC('company')} ELSE {queued('url', 'company_host', ESC('company'))} || CASE WHEN sent THEN '<br><span class="applied">resume sent</span>' ELSE '' END END || '</td><td class="num">'
+  || CASE WHEN comp_max IS NULL THEN '<span class="unknown">not stated</span>' ELSE
+       CASE WHEN comp_min IS NOT NULL AND comp_min <> comp_max THEN '$' || format('{{:,}}', comp_min) || ' - $' || format('{{:,}}', comp_max) ELSE '$' || format('{{:,}}', comp_max) END
+       || CASE WHEN comp_frequency = 'Hourly' OR len(cl) >= 5 THEN ' <span class="flag">(' || concat_ws(', ', CASE WHEN comp_frequency = 'Hourly' THEN 'hourly' END, CASE WHEN len(cl) >= 5 THEN len(cl) || ' metros' END) || ')</span>' ELSE '' END END || '</td><td>'
+  || coalesce(seniority_level, '-') || '</td><td>' || {dash(ESC(capped('cl', "list_transform(cl, lambda c: split_part(c, ',', 1))", fixed.CITIES_SHOWN)))} || '<br><span class="flag"></span></td><td class="tools">'
+  || CASE WHEN len(tl) = 0 THEN '<span class="unknown">none listed</span>' ELSE {ESC(capped('tl', 'tl', fixed.TOOLS_SHOWN))} END || '</td><td class="num">'
+  || CASE WHEN published_at = '' THEN '-' ELSE substr(published_at, 1, 10) END || '</td><td class="num">'
+  || CASE WHEN au = '' THEN '<span class="unknown">-</span>' ELSE {queued('au', "('job:' || object_id)", "'apply'")} END || '</td></tr>' AS row
+FROM y"""
+)
+SQL["funnel_dry_run"] = SCREENED + f""", k AS (SELECT v.*, coalesce(cluster_key, concat_ws('|', company, regexp_replace(lower(trim(title)), '\\s+', ' ', 'g'), array_to_string(list_sort({_CITIES}), ','))) AS dk FROM v),
+kept AS (SELECT * FROM k WHERE band <> 'rejected' QUALIFY row_number() OVER (PARTITION BY dk ORDER BY ord) = 1)
+SELECT 'records' AS step, count(*) AS n FROM v UNION ALL SELECT 'rejected', count_if(band = 'rejected') FROM v
+UNION ALL SELECT 'duplicates', (SELECT count(*) FROM v WHERE band <> 'rejected') - (SELECT count(*) FROM kept)
+UNION ALL SELECT 'near_misses', count(DISTINCT dk) FROM k WHERE near_miss
+UNION ALL SELECT 'band ' || band, count(*) FROM kept GROUP BY band
+UNION ALL SELECT 'demoted ' || d, count(*) FROM (SELECT unnest(demoted) AS d FROM kept) GROUP BY d"""
+
+# --- raw input: the same texts, read by DuckDB's JSON functions
+RAW = P + f", raw AS MATERIALIZED (SELECT p.*, CAST({LINE} AS JSON) AS j FROM p)"
+_J, _F, _I = "$.v5_processed_job_data.", "$.enriched_company_data.", "$.job_information."
+
+
+def jtext(path: str) -> str:
+    return f"CASE WHEN json_type(j, '{path}') = 'VARCHAR' THEN nullif({strip(f"json_extract_string(j, '{path}')")}, '') END"
+
+
+def jnum(path: str) -> str:
+    return f"CASE WHEN json_type(j, '{path}') IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN CAST(trunc(CAST(json_extract(j, '{path}') AS DOUBLE)) AS BIGINT) END"
+
+
+def jtrue(path: str) -> str:
+    return f"coalesce(CAST(json_extract(j, '{path}') AS VARCHAR) = 'true' AND json_type(j, '{path}') = 'BOOLEAN', false)"
+
+
+def jitems(path: str) -> str:
+    return f"CASE WHEN json_type(j, '{path}') = 'ARRAY' THEN CAST(json_extract(j, '{path}') AS JSON[]) ELSE CAST([] AS JSON[]) END"
+
+
+def jstrings(path: str) -> str:
+    one = f"CASE WHEN json_type(x) = 'VARCHAR' THEN nullif({strip("json_extract_string(x, '$')")}, '') END"
+    return f"list_filter(list_transform({jitems(path)}, lambda x: {one}), lambda x: x IS NOT NULL)"
+
+
+def money(x: str) -> str:
+    return f"CASE WHEN {x} > 25000 AND {x} < 600000 THEN CAST({x} AS INT) END"
+
+
+_BAD = "coalesce(NOT ({0} > 25000 AND {0} < 600000), false)"
+SQL["raw_project"] = RAW + f""", a AS (
+  SELECT *, {jnum(_J + 'yearly_min_compensation')} AS lo, {jnum(_J + 'yearly_max_compensation')} AS hi, coalesce({jtext(_I + 'job_title_raw')}, {jtext(_I + 'title')}, '') AS rt,
+    coalesce({jtext(_F + 'name')}, {jtext(_J + 'company_name')}, '(unknown)') AS firm, {jstrings(_J + 'workplace_cities')} AS cl, {jtext('$.liberal_dedup_cluster')} AS cluster FROM raw
+), b AS (SELECT *, coalesce({jtext(_J + 'core_job_title')}, rt) AS tt FROM a)
+SELECT coalesce({jtext('$.objectID')}, {jtext('$.id')}, '') AS object_id, cluster AS cluster_key, coalesce(cluster, '') AS dedup_key,
+  concat_ws('|', firm, trim(regexp_replace(lower(tt), '\\s+', ' ', 'g')), array_to_string(list_sort(cl), ',')) AS fallback_key, 1 AS duplicate_count, '' AS alternate_object_ids, '' AS alternate_apply_urls,
+  tt AS title, rt AS raw_title, firm AS company, {host(jtext(_F + 'homepage_uri'))} AS company_host, {jtext(_J + 'job_category')} AS job_category, {jtext(_J + 'seniority_level')} AS seniority_level,
+  {jtext(_J + 'role_type')} AS role_type, {jtext(_J + 'position_employer_type')} AS employer_type, CAST({jnum(_J + 'min_industry_and_role_yoe')} AS INT) AS min_years_experience, {jtext(_J + 'workplace_type')} AS workplace_type,
+  array_to_string(cl, '|') AS cities, CAST(len(cl) AS INT) AS city_count, {money('lo')} AS comp_min, {money('hi')} AS comp_max, {jtext(_J + 'listed_compensation_frequency')} AS comp_frequency,
+  {jtrue(_J + 'is_compensation_transparent')} AS comp_transparent, {_BAD.format('lo')} OR {_BAD.format('hi')} AS comp_implausible, array_to_string({jstrings(_J + 'commitment')}, '|') AS commitment,
+  {jtext(_J + 'security_clearance')} AS security_clearance, array_to_string({jstrings(_J + 'licenses_or_certifications')}, '|') AS certifications, coalesce({jtext(_J + 'requirements_summary')}, '') AS requirements,
+  array_to_string({jstrings(_J + 'technical_tools')}, '|') AS tools, {jtext(_J + 'air_travel_requirement')} AS air_travel, coalesce({jtext('$.source')}, '') AS source, {jtext('$.apply_url')} AS apply_url,
+  {jtext(_J + 'estimated_publish_date')} AS published_at, {jtrue('$.is_expired')} AS is_expired
+FROM b"""
+_ID = """CASE WHEN json_type(j, '$.objectID') = 'VARCHAR' THEN nullif(json_extract_string(j, '$.objectID'), '')
+  WHEN json_type(j, '$.objectID') IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN nullif(CAST(json_extract(j, '$.objectID') AS VARCHAR), '0') END"""
+_OTHER = """CASE json_type(j, '$.id') WHEN 'VARCHAR' THEN json_extract_string(j, '$.id') WHEN 'BOOLEAN' THEN CASE CAST(json_extract(j, '$.id') AS VARCHAR) WHEN 'true' THEN 'True' ELSE 'False' END END"""
+SQL["raw_keys"] = RAW + f" SELECT coalesce({_ID}, {_OTHER}) AS key, count(*) AS n FROM raw GROUP BY 1"
+SQL["raw_coverage"] = RAW + f""", d AS (SELECT *, CASE WHEN json_type(j, '{_J}estimated_publish_date') = 'VARCHAR' THEN substr(json_extract_string(j, '{_J}estimated_publish_date'), 1, 10) END AS day,
+  CASE WHEN {jtext(_F + 'name')} IS NOT NULL THEN json_extract_string(j, '{_F}name') END AS firm FROM raw)
+SELECT count(*) AS records, count(DISTINCT {_ID}) AS distinct_ids, count(DISTINCT {host(jtext(_F + 'homepage_uri'))}) AS company_hosts, count(DISTINCT firm) AS company_names, count_if({jtrue('$.is_expired')}) AS expired,
+  min(day) AS first_day, max(day) AS last_day, CAST(date_diff('day', CAST(min(day) AS DATE), CAST(max(day) AS DATE)) + 1 AS INT) AS span_days FROM d"""
+_RP = f"""rp AS MATERIALIZED (SELECT ord, j, {jtext('$.apply_url')} AS apply_url, {jtext('$.source')} AS source, {jtrue('$.is_expired')} AS expired, {host(jtext(_F + 'homepage_uri'))} AS host,
+  {jtext(_F + 'name')} AS enriched_name, coalesce({jtext(_J + 'core_job_title')}, {jtext(_I + 'title')}, '-') AS title,
+  CASE WHEN json_type(j, '{_F}year_founded') = 'UBIGINT' OR json_type(j, '{_F}year_founded') = 'BIGINT' THEN '{{"year_founded":' || CAST(json_extract(j, '{_F}year_founded') AS VARCHAR) || '}}' END AS profile FROM raw)"""
+_COORD = "CASE WHEN json_type(pts[i], '$.{0}') IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN CAST(json_extract(pts[i], '$.{0}') AS DOUBLE) END"
+SQL["raw_companies"] = RAW + f""", {_RP}, {LINKS.strip().replace("FROM p", "FROM rp", 1)}, c AS (
+  SELECT ord, {jitems(_J + 'workplace_cities')} AS labels, {jitems('$._geoloc')} AS pts FROM rp
+), pl AS (
+  SELECT ord, i, CASE WHEN json_type(l) = 'VARCHAR' THEN nullif({strip("json_extract_string(l, '$')")}, '') END AS label, {_COORD.format('lat')} AS lat, coalesce(nullif({_COORD.format('lon')}, 0), {_COORD.format('lng')}) AS lon
+  FROM (SELECT ord, unnest(labels) AS l, generate_subscripts(labels, 1) AS i, pts FROM c)
+), pd AS (
+  SELECT *, list_filter(list_transform(string_split(label, ','), lambda x: trim(x)), lambda x: x <> '') AS parts, 6371000.0 * 2 * asin(sqrt(pow(sin(radians(lat - 38.9531) / 2), 2)
+    + cos(radians(38.9531)) * cos(radians(lat)) * pow(sin(radians(lon + 77.4565) / 2), 2))) / 1609.344 AS d FROM pl WHERE label IS NOT NULL
+), near AS (SELECT * FROM pd WHERE NOT (len(parts) >= 3 AND lower(parts[-2]) = 'maryland') AND (d IS NULL OR d <= 150)),
+pa AS (SELECT ord, string_agg(concat_ws('@', label, CAST(round(d, 1) AS VARCHAR)), '|' ORDER BY d IS NULL, d, i) AS places FROM near GROUP BY ord),
+z AS (SELECT link.*, coalesce(pa.places, '') AS places, link.ord IN (SELECT ord FROM pd) AS located FROM link LEFT JOIN pa USING (ord))
+SELECT coalesce(host, careers_url) AS key, CASE WHEN lower(source) = 'usagov' THEN 'excluded_source' WHEN expired THEN 'expired' WHEN ends_with(host, '.gov') OR ends_with(host, '.mil') THEN 'excluded_website_tld'
+  WHEN located AND places = '' THEN 'no_qualifying_location' WHEN host IS NULL AND careers_url IS NULL THEN 'unidentifiable' ELSE 'kept' END AS drop_reason, places, enriched_name, title, profile, count(*) AS n
+FROM z GROUP BY ALL"""
+
+_PAGES = "SELECT DISTINCT event_id % 3 AS search, event_id // 150 AS page FROM events"
+SQL["page_records"] = """SELECT event_id % 3 AS search, event_id // 150 AS page, CAST(row_number() OVER (PARTITION BY event_id % 3, event_id // 150 ORDER BY event_id) - 1 AS INT) AS pos, 'e' || event_id AS key
+FROM events WHERE (event_id // 150) % 4 <> 3"""
+SQL["page_totals"] = f"""WITH g AS ({_PAGES}), t AS (SELECT search, page, CAST({PAYLOAD.replace("items", "'0'")} AS JSON) AS j FROM g),
+o AS (SELECT search, page, coalesce(json_extract(j, '$.pageProps'), j) AS o FROM t), k AS (SELECT search, page, o, unnest(json_keys(o)) AS name FROM o),
+v AS (SELECT search, page, name, json_extract(o, '$.' || name) AS x FROM k)
+SELECT search, page, name, CAST(x AS DOUBLE) AS value FROM v
+WHERE (starts_with(lower(name), 'nb') OR regexp_matches(lower(name), 'total|count|numhits|numpages')) AND json_type(x) IN ('BIGINT', 'UBIGINT', 'DOUBLE')"""
+SQL["capture_files"] = """WITH e AS (
+  SELECT user_id % 20 AS s, event_id % 13 AS page, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS stamp, date_trunc('second', ts) AS t, event_id FROM events
+), l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY s, page ORDER BY stamp DESC, event_id DESC) = 1)
+SELECT '{"dateFetchedPastNDays":' || s || ',"q":"s' || s || '"}' AS state, count(*) AS pages, max(page) AS last_page, CASE WHEN max(page) = 12 THEN 0 ELSE 1 END AS last_page_records,
+  max(page) >= 11 AS complete, round((epoch_us(max(t)) - epoch_us(min(t))) / CAST(3.6e9 AS DOUBLE), 6) AS span_hours,
+  array_to_string(list_filter(range(0, max(page) + 1), lambda v: NOT list_contains(list(page), v)), ',') AS missing FROM l GROUP BY s"""
+SQL["visit_log"] = """SELECT CASE c_custkey % 10 WHEN 0 THEN 'posting' WHEN 1 THEN 'unusable' ELSE 'company' END AS kind,
+  CASE WHEN c_custkey % 10 > 1 THEN lower(replace(c_name, '#', '-')) || '.example.com' END AS host, c_custkey % 5 = 0 AS applied, count(*) AS n FROM customer GROUP BY ALL"""

@@ -6,20 +6,33 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: Bits of a place in a file: 8 TB; the rest number up to a million files.
+_PLACE_BITS = 43
+
+
 class BadRecord(ValueError):
     """A line isn't a JSON object."""
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
-    """(ord, line, record, file): blank lines skipped, ord in reading order.
+    """(ord, line, record, file): blank lines skipped, ord by file name, then by place in the file.
 
-    Numbers run within each file's splits in order; gzip files are one split each.
+    Within a file, a row's number is where its split begins plus its number in the task. A split that
+    isn't its file's last has the full split size and so a task of its own, and a line has more
+    than no bytes, so the numbers rise with the lines whatever the sizes and the parallelism.
     """
-    lines = spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"), F.col("_metadata.file_path").alias("file")
+    found = spark.read.text(path)
+    files = sorted(found.inputFiles())
+    plain = lambda c: F.regexp_replace(c, r"^(\w+):/+", "$1:/")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    lines = found.select(
+        (F.col("_metadata.file_block_start") + row).alias("place"), F.col("value").alias("line"), F.col("_metadata.file_path").alias("file")
     )
     lines = lines.where(F.regexp_replace("line", r"(?U)^\s+|\s+$", "") != "")
-    return lines.withColumn("record", F.try_parse_json("line"))
+    ranks = spark.createDataFrame(list(enumerate(files)), "rank bigint, path string").select("rank", plain(F.col("path")).alias("path"))
+    ranked = lines.join(F.broadcast(ranks), plain(F.col("file")) == F.col("path"))  # a row a file
+    number = F.shiftleft(F.col("rank"), _PLACE_BITS) + F.col("place")
+    return ranked.select(number.alias("ord"), "line", "file", F.try_parse_json("line").alias("record"))
 
 
 def malformed(records: DataFrame) -> DataFrame:

@@ -1,7 +1,10 @@
 """New raw files as they arrive, through the same batch functions.
 
 The model is run-to-run state, so a stream is a row of small runs: each micro-batch of lines is
-projected, screened and appended. Rows that repeat an object id inside the watermark are dropped.
+projected, screened and written to a folder of its own, which a batch that runs again replaces.
+Of rows of a batch with the same object id one stays; rows without an id all stay. Repeats across
+batches are left to the seen store, as they are between batch runs. A line that isn't a JSON object
+fails its batch, as it fails a batch run, unless a folder for such lines is given.
 """
 
 from __future__ import annotations
@@ -10,20 +13,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.text import strip
 from ..operators import postings, rules
+from ..sources import jsonl
 
 
-def screened_stream(spark: SparkSession, folder: str, settings: rules.Screen = rules.Screen(), delay: str = "1 hour") -> DataFrame:
-    """Screened postings of the JSON lines that land in ``folder``."""
-    lines = spark.readStream.schema("value string").text(folder).select(F.current_timestamp().alias("arrived"), F.col("value").alias("line"))
-    records = lines.where(F.trim("line") != "").select("arrived", F.try_parse_json("line").alias("record"), F.xxhash64("line").alias("ord"))
-    flat = postings.project(records.where("record is not null").select("record", "ord"))
-    return rules.screen(flat, settings)
+def read_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(ord, line, file, record) of the lines that land in ``folder``."""
+    lines = spark.readStream.schema("value string").text(folder).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+    return lines.where(strip(F.col("line")) != "").select(F.monotonically_increasing_id().alias("ord"), "line", "file", F.try_parse_json("line").alias("record"))
 
 
-def start(spark: SparkSession, folder: str, out: str, checkpoint: str, settings: rules.Screen = rules.Screen()) -> StreamingQuery:
-    def put(batch: DataFrame, epoch: int) -> None:
-        # One folder an epoch: a batch that runs again replaces what it wrote.
-        batch.dropDuplicates(["object_id"]).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+def screen_batch(lines: DataFrame, settings: rules.Screen) -> DataFrame:
+    """Screened postings of a batch of whole records, one for each object id."""
+    flat = postings.project(lines.select("ord", "record"))
+    known = flat.where("object_id <> ''").dropDuplicates(["object_id"])
+    return rules.screen(known.unionByName(flat.where("object_id = ''")), settings)
+
 
-    return screened_stream(spark, folder, settings).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).start()
+def start(spark: SparkSession, folder: str, out: str, checkpoint: str, settings: rules.Screen = rules.Screen(), bad: str | None = None) -> StreamingQuery:
+    """Write each batch to ``out``/epoch=n, and its lines that aren't JSON objects to ``bad``/epoch=n."""
+
+    def put(batch: DataFrame, epoch: int) -> None:
+        lines = batch.drop("record")  # VARIANT columns are made again: a batch is read several times
+        lines = lines.withColumn("record", F.try_parse_json("line"))
+        wrong = jsonl.malformed(lines)
+        if bad:
+            wrong.write.mode("overwrite").json(f"{bad}/epoch={epoch}")
+        elif (first := wrong.first()) is not None:
+            raise jsonl.BadRecord(f"{first['file']}: not a JSON object: {first['line'][:160]}")
+        good = lines.where(F.startswith(F.schema_of_variant("record"), F.lit("OBJECT")))
+        screen_batch(good, settings).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    return read_lines(spark, folder).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).start()
