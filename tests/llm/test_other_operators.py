@@ -1,5 +1,6 @@
 """SimHash, language ID, WARC audit and the pipeline against brute force."""
 
+import gzip
 import random
 import re
 import zlib
@@ -189,11 +190,74 @@ def test_merkle_audit(spark):
     assert len(warc.audit(ours.limit(0), ours).collect()) == len(rows)
 
 
-def test_records_are_laid_out_in_order(spark):
+def test_every_node_has_at_most_fanout_children(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FANOUT", 4)
+    monkeypatch.setattr(warc, "RANGE", 100)
+    rows = [(f, i * 60, 60, f"{f}-{i}") for f in (1, 2) for i in range(500)]
+    ours = spark.createDataFrame(rows, "file bigint, offset bigint, length bigint, digest string")
+    levels = warc.tree(ours)
+    assert len(levels) - 1 == warc.height(ours) == 5  # 300 ranges
+    for level, above in zip(levels, levels[1:], strict=False):
+        assert max(r["count"] for r in level.groupBy("file", "parent").count().collect()) <= 4
+        assert {(r.file, r.parent) for r in level.collect()} == {(r.file, r.node) for r in above.collect()}
+    assert levels[-1].count() == 2
+    other = ours.withColumn("digest", F.when((F.col("file") == 2) & (F.col("offset") == 17_940), "x").otherwise(F.col("digest")))
+    assert [tuple(r) for r in warc.audit(ours, other).collect()] == [(2, 17_940, "changed")]
+
+
+def crawl(spark, rows):
+    return spark.createDataFrame([(*r, 1, "x") for r in rows], "record_id bigint, file bigint, url string, html string, offset int, path string")
+
+
+def test_damage_on_disk_is_found(spark, tmp_path):
+    rnd = random.Random(1)
+    rows = [(i, i // 50, f"http://h/{i}", "".join(rnd.choice("abc<é日>\n") for _ in range(rnd.choice((0, 50, 4000))))) for i in range(200)]
+    rows += [(300, None, None, None), (301, None, "u", "x" * 3_000_000), (302, 9, "same", "same"), (302, 9, "same", "same")]
+    here, there = f"file://{tmp_path}/a", f"file://{tmp_path}/b"
+    index = warc.write(crawl(spark, rows), here)
+    assert index.count() == len(rows)
+    for r in index.collect():  # the files are WARCs that any reader of gzip members reads
+        raw = (tmp_path / "a" / r.path).read_bytes()
+        text = gzip.decompress(raw[r["at"] : r["at"] + r["size"]]).decode()
+        assert gzip.decompress(raw).decode()[: 8] == "WARC/1.1" and f"urn:record:{r.record_id}>" in text and len(text.encode()) == r.length
+    ours = warc.measure(index, here)
+    twin = warc.copy(index, here, there)
+    assert warc.audit(ours, warc.measure(twin, there)).collect() == []
+    places, want = {(r.record_id, r.file): r for r in twin.collect()}, {}
+    for i in (3, 77, 301):
+        r = places[(i, None if i == 301 else i // 50)]
+        path = tmp_path / "b" / r.path
+        raw = bytearray(path.read_bytes())
+        raw[r["at"] + r["size"] // 2] ^= 1
+        path.write_bytes(raw)
+        want[(r.file, r["at"])] = "changed"
+    r = places[(120, 2)]
+    path = tmp_path / "b" / r.path
+    raw = bytearray(path.read_bytes())
+    raw[r["at"] : r["at"] + r["size"]] = bytes(r["size"])
+    path.write_bytes(raw)
+    want[(2, r["at"])] = "missing"
+    path = tmp_path / "b" / places[(199, 3)].path
+    path.write_bytes(path.read_bytes()[: places[(180, 3)]["at"]])  # a cut end
+    want |= {(3, places[(i, 3)]["at"]): "missing" for i in range(180, 200)}
+    (tmp_path / "b" / places[(302, 9)].path).unlink()
+    want |= {(9, r["at"]): "missing" for r in twin.where("file = 9").collect()}
+    for c in (tmp_path / "b").glob(".*.crc"):
+        c.unlink()
+    assert {(r.file, r.offset): r.state for r in warc.audit(ours, warc.measure(twin, there)).collect()} == want
+
+
+def test_an_empty_crawl(spark, tmp_path):
+    index = warc.write(crawl(spark, []), f"file://{tmp_path}/a")
+    twin = warc.copy(index, f"file://{tmp_path}/a", f"file://{tmp_path}/b")
+    ours, theirs = warc.measure(index, f"file://{tmp_path}/a"), warc.measure(twin, f"file://{tmp_path}/b")
+    assert index.collect() == [] == ours.collect() == warc.audit(ours, theirs).collect()
+
+
+def test_a_record(spark):
     pages = spark.createDataFrame([(2, None, "é"), (1, "http://x", None)], "id bigint, url string, html string")
-    recs = pages.select(F.lit(0).alias("file"), F.col("id").alias("record_id"), warc.record(F.col("id"), F.col("url"), F.col("html")).alias("r"))
-    recs = warc.lay_out(recs.withColumn("length", F.octet_length("r").cast("bigint"))).orderBy("record_id").collect()
-    assert recs[0].offset == 0 and recs[1].offset == len(recs[0].r.encode()) and "Content-Length: 2\r\n\r\né\r\n\r\n" in recs[1].r
+    recs = {r.id: r.r for r in pages.select("id", warc.record(F.col("id"), F.col("url"), F.col("html")).alias("r")).collect()}
+    assert recs[2].endswith("WARC-Target-URI: \r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: 2\r\n\r\né\r\n\r\n") and "Content-Length: 0\r\n" in recs[1]
 
 
 def test_pipeline(spark, tmp_path):

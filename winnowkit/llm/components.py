@@ -1,38 +1,7 @@
-"""Connected components of links, by alternating large-star and small-star rounds.
-
-Each round rewrites the links in a few shuffles and is written to the shared folder, so lineage
-stays short. Minima are aggregated map-side, and the joins back are plain ones that adaptive
-execution splits, so a node with very many links is no one task's burden.
-"""
+"""Connected components of links: those of the core."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from .store import delete, new_path, settle
-
+from ..operators.graph import components
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``links`` (a, b: bigint); root is the smallest node it reaches."""
-    spark = links.sparkSession
-    path = new_path(spark, "links")
-    now = settle(
-        links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links", path
-    )
-    seen = None
-    while True:
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == seen or not mark[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
-        seen = mark
-        both = now.union(now.select("b", "a"))
-        low = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, F.col("a") == F.col("u")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low2 = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
-        small = large.join(low2, F.col("a") == F.col("u")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        after = small.union(low2).distinct()
-        path2 = new_path(spark, "links")
-        now = settle(after, "links", path2)
-        delete(spark, path)
-        path = path2
+__all__ = ["components"]

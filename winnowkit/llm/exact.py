@@ -84,8 +84,10 @@ class DigestIndex:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def _append(self, rows: DataFrame, name: str, location: str) -> None:
+        # All of a bucket goes to one task, into however many tasks the rows are dealt: a file a bucket.
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
         (
-            rows.repartition(self.buckets, "digest")
+            rows.repartition(self.buckets, bucket)
             .write.format("parquet")
             .bucketBy(self.buckets, "digest")
             .sortBy("digest")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, exact, langid, licenses, packing, quality, simhash, tokenbin, warc
-from .store import on_workers, settle
+from .store import new_path, on_workers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,28 +29,29 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def _harm(record_id: int, raw: bytes) -> bytes:
+    """What befell the replica: of some records a byte was flipped, of others all are zeros."""
+    if record_id % 307 == 11:
+        return bytes(len(raw))
+    if record_id % 101 == 7:
+        at = len(raw) // 2
+        return raw[:at] + bytes([raw[at] ^ 0x40]) + raw[at + 1 :]
+    return raw
+
+
 def op3_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audits a replica of the crawl in which records were damaged, and reports on every record.
-
-    The replica's files are those of the crawl; in each record whose id leaves 7 by 101 the first
-    character of the page is lost to an X, and those that leave 11 by 307 are gone.
-    """
-    page = F.col("html")
-    damaged = F.when(F.col("page_id") % 101 == 7, F.concat(F.lit("X"), F.substring(page, 2, 1 << 30))).otherwise(page)
-    stored = _table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("record_id"),
-        F.floor(F.col("page_id") / 1024).alias("file"),
-        warc.record(F.col("page_id"), F.col("url"), page).alias("a"),
-        warc.record(F.col("page_id"), F.col("url"), damaged).alias("b"),
-        (F.col("page_id") % 307 == 11).alias("gone"),
-    )
-    sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
-    hashed = stored.select("record_id", "file", "gone", F.octet_length("a").cast("bigint").alias("length"), F.octet_length("b").cast("bigint").alias("b_length"), sha("a").alias("digest"), sha("b").alias("b_digest"))
-    both = settle(warc.lay_out(hashed, order=("record_id", "digest")), "manifest")
-    theirs = both.where(~F.coalesce("gone", F.lit(False))).select("file", "offset", F.col("b_length").alias("length"), F.col("b_digest").alias("digest"))
-    found = warc.audit(both.select("file", "offset", "length", "digest"), theirs).withColumnsRenamed({"file": "f", "offset": "o"})
-    out = both.join(found, both["file"].eqNullSafe(F.col("f")) & (both["offset"] == F.col("o")), "left")
-    return out.select(F.col("record_id").alias("page_id"), "file", F.col("offset").alias("record_offset"), "length", "digest", F.coalesce("state", F.lit("intact")).alias("state"))
+    """Stores the crawl as WARC files and a replica of them with damaged bytes, audits what stands in both, and reports on every record."""
+    pages = _table(spark, sf_dir, "pages")
+    pages = pages.select(F.col("page_id").alias("record_id"), F.floor(F.col("page_id") / 1024).alias("file"), "url", "html")
+    here, there = new_path(spark, "crawl"), new_path(spark, "replica")
+    index = warc.write(pages, here)
+    ours, theirs = warc.measure(index, here), warc.measure(warc.copy(index, here, there, _harm), there)
+    found = warc.audit(ours, theirs).withColumnsRenamed({"file": "f", "offset": "o"})
+    out = ours.join(found, ours["file"].eqNullSafe(F.col("f")) & (ours["offset"] == F.col("o")), "left")
+    return out.select(
+        F.col("record_id").alias("page_id"), "file", "record_offset", F.col("record_length").alias("length"), F.col("record_digest").alias("digest"),
+        F.coalesce("state", F.lit("intact")).alias("state"),
+    )
 
 
 OP3_SQL = """

@@ -1,84 +1,14 @@
-"""Intermediate tables in the folder that all executors share.
-
-Multi-step operators cut lineage by writing a table below ``spark.checkpoint.dir`` and
-reading it back, so a lost executor costs a re-run of one step and never a result.
-"""
+"""Intermediate tables: those of the core, and Arrow's view of the shared folder."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-from pathlib import Path
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: At most so many rows of keys are broadcast, counted first: some 50 MB as a hash table.
-BROADCAST_ROWS = 500_000
-
-
-def on_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, whatever folder they start in."""
-    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a fresh temporary one only on a local master with none configured."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.split("[")[0] == "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="winnow-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses; it is deleted when the JVM ends."""
-    on_workers(spark)
-    path = f"{shared_dir(spark)}/winnow-{uuid.uuid4().hex}-{name}"
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return path
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def settle(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """``df`` written to the shared folder and read again."""
-    spark = df.sparkSession
-    path = path or new_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete settled tables that nothing reads any more, before the JVM ends."""
-    for t in tables:
-        for folder in {f.rpartition("/")[0] for f in t.inputFiles()}:
-            delete(t.sparkSession, folder)
-
+from ..tables import BROADCAST_ROWS, delete, discard, drop_matches, new_path, on_workers, settle, shared_dir, small
 
-def small(df: DataFrame, weight: Column | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
-    """A settled table of keys, marked for broadcast if its rows (or their weights) are counted and few enough."""
-    n = df.count() if weight is None else df.agg(F.sum(weight)).first()[0] or 0
-    return F.broadcast(df) if n <= most else df
+__all__ = ["BROADCAST_ROWS", "delete", "discard", "drop_matches", "file_system", "new_path", "on_workers", "settle", "shared_dir", "small"]
 
 
-def drop_matches(docs: DataFrame, value: Column, dropped: DataFrame, column: str) -> DataFrame:
-    """The rows of ``docs`` whose ``value`` isn't in ``column`` of the settled table ``dropped``.
+def file_system(uri: str):
+    """(Arrow's file system of a URI or local path, the path in it)."""
+    from pyarrow import fs
 
-    Rows of docs stay where they are as long as ``dropped`` is small enough to broadcast; beyond
-    that the two meet in a shuffle. A null value matches nothing.
-    """
-    out = docs.withColumn("__wk_value", value)
-    keys = small(dropped.select(F.col(column).alias("__wk_dropped")))
-    return out.join(keys, F.col("__wk_value") == F.col("__wk_dropped"), "left_anti").drop("__wk_value")
+    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)

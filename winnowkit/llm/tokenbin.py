@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import new_path, settle
+from .store import file_system, new_path, settle
 from .tokens import library_encoder, sub_batches, tokenizer_path
 
 SEGMENT = 1 << 20
@@ -179,12 +179,6 @@ class _ShardWriter:
         self._put(_FOOT.pack(directory, len(self.segments), len(self.doc_ids), self.n_tokens, b"DACSHARD"))
 
 
-def _file_system(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
-
-
 def write_tokens(docs: DataFrame, folder: str, path: str | None = None, key: str = "doc_id", text: str = "text", end_id: int = 1) -> DataFrame:
     """Write the shards of ``docs`` to ``folder`` (a URI that all executors reach); the table of shards.
 
@@ -194,7 +188,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, key: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = library_encoder(path or tokenizer_path("word_bpe_49k.json"))
         context = TaskContext.get()
-        fs, base = _file_system(folder)
+        fs, base = file_system(folder)
         name = f"shard-{context.partitionId():05d}-{uuid.uuid4().hex}.dac"
         writer = None
         for batch in batches:
@@ -237,7 +231,7 @@ def read_documents(shards: DataFrame, folder: str, key: str = "doc_id") -> DataF
     """One row a document from the files: (key, start, n_tokens, ids_crc32)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = _file_system(folder)
+        fs, base = file_system(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 with fs.open_input_file(f"{base}/{row['file']}") as f:
