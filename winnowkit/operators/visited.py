@@ -45,5 +45,6 @@ def filter_counters(companies: DataFrame, log: DataFrame, host: str = "website_h
 
 def applied_companies(rows: DataFrame, applied_hosts: DataFrame, host: str = "company_host") -> DataFrame:
     """``rows`` with company_applied: a résumé went to the host or to one below it."""
-    found = covered_by(applied_hosts, "host", rows.select(normalize_host(F.col(host)).alias("o")), "o").select(F.col("owner").alias("_o")).distinct()
+    sent = applied_hosts.select(normalize_host(F.col("host")).alias("host"))
+    found = covered_by(sent, "host", rows.select(normalize_host(F.col(host)).alias("o")), "o").select(F.col("owner").alias("_o")).distinct()
     return rows.join(found, normalize_host(rows[host]) == F.col("_o"), "left").withColumn("company_applied", F.col("_o").isNotNull()).drop("_o")

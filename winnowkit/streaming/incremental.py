@@ -19,9 +19,9 @@ from ..sources import jsonl
 
 
 def read_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """(ord, line, file, record) of the lines that land in ``folder``."""
+    """(line, file) of the lines that land in ``folder``."""
     lines = spark.readStream.schema("value string").text(folder).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
-    return lines.where(strip(F.col("line")) != "").select(F.monotonically_increasing_id().alias("ord"), "line", "file", F.try_parse_json("line").alias("record"))
+    return lines.where(strip(F.col("line")) != "")
 
 
 def screen_batch(lines: DataFrame, settings: rules.Screen) -> DataFrame:
@@ -35,8 +35,7 @@ def start(spark: SparkSession, folder: str, out: str, checkpoint: str, settings:
     """Write each batch to ``out``/epoch=n, and its lines that aren't JSON objects to ``bad``/epoch=n."""
 
     def put(batch: DataFrame, epoch: int) -> None:
-        lines = batch.drop("record")  # VARIANT columns are made again: a batch is read several times
-        lines = lines.withColumn("record", F.try_parse_json("line"))
+        lines = batch.select(F.monotonically_increasing_id().alias("ord"), "line", "file", F.try_parse_json("line").alias("record"))
         wrong = jsonl.malformed(lines)
         if bad:
             wrong.write.mode("overwrite").json(f"{bad}/epoch={epoch}")
