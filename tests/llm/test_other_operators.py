@@ -260,6 +260,31 @@ def test_a_record(spark):
     assert recs[2].endswith("WARC-Target-URI: \r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: 2\r\n\r\né\r\n\r\n") and "Content-Length: 0\r\n" in recs[1]
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Null and repeated ids, clashing columns, very long texts, and an empty table, stage by stage."""
+    rnd = random.Random(4)
+    words = ["kato", "mira", "suka", "tomi", "rasu", "neko"]
+    make = lambda n: " ".join(rnd.choice(words) + rnd.choice(words) + rnd.choice(words) for _ in range(n))
+    rows = [(i, make(80), "aa") for i in range(80)]
+    long = make(30_000)
+    rows += [(None, rows[0][1], "aa"), (None, make(60), None), (7, make(90), "aa"), (7, rows[7][1], "aa"), (200, long, "aa"), (201, long + " end", None), (202, None, None), (203, "", "aa")]
+    other = make(70)
+    rows += [(None, other, "aa"), (None, other, "aa")]
+    ddl = "doc_id bigint, text string, lang string, source string, n_chars bigint, row int, digest string, m string, k int, h bigint, component_id int, rejected boolean"
+    df = spark.createDataFrame([(d, t, lang, None, len(t or ""), 1, "x", "y", 2, 3, 4, None) for d, t, lang in rows], ddl)
+    docs = df
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == df.columns
+        empty = stage(spark, df.limit(0), str(tmp_path))
+        assert empty.columns == df.columns and empty.collect() == []
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.text) for r in docs.collect())
+    want = sorted([(d, t) for d, t, _ in rows[:80]] + [(-1, rows[81][1]), (7, rows[82][1]), (200, long), (-1, other)])
+    assert got == want and all(r.digest == "x" and r.m == "y" and r.source is None for r in docs.collect())
+    assert {r.doc_id for r in corpus_pipeline.pack(spark, docs, str(tmp_path)).collect()} == {r.doc_id for r in docs.collect()}
+    assert corpus_pipeline.pack(spark, df.limit(0), str(tmp_path)).collect() == []
+
+
 def test_pipeline(spark, tmp_path):
     rnd = random.Random(3)
     words = {"aa": ["kato", "mira", "suka", "tomi", "rasu"], "bb": ["scheib", "untgr", "ölmsch", "eibunt", "grölm"]}
