@@ -44,6 +44,18 @@ def test_library_encoder(name):
         assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode(ODD)] == ids_of(name)
 
 
+def test_long_texts_are_taken_in_parts(monkeypatch):
+    monkeypatch.setattr(tokens, "SUB_BATCH_CHARS", 40)
+    monkeypatch.setattr(tokens, "WORDS_KEPT", 30)  # the table is emptied in the middle of texts
+    plain = ["Ab cd's  ef\n gh 12 x" * 60, "a" * 500, " " * 300 + "b", "tab\t \n new  lines\r\n " * 40, "Ölm über ñandú " * 50]
+    for t in plain:
+        assert "".join(tokens.segments(t)) == t
+    assert len(list(tokens.segments(plain[0]))) > 10
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        enc = tokens.LibraryEncoder(tokenizer_path(name))
+        assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode(plain + ODD)] == ids_of(name, plain + ODD)
+
+
 def test_numpy_rounds_and_queue():
     coder = bpe.NumpyBPE(tokenizer_path("byte_bpe_50k.json"))
     texts = [t or "" for t in ODD]

@@ -1,10 +1,10 @@
 """Encoding many texts with the tokenizers library, without encoding any word twice in a row.
 
-A text falls apart, without changing its ids, before every space that follows something other
-than white space. Those pieces repeat, so their ids are kept in a bounded table. A piece that
-isn't there and holds only plain Latin characters is split by the same pattern as in the
-tokenizer's file and its words go to the library's model, whose ids are kept as well; any
-other piece goes through the library's whole encoder. The tables only save time: they are
+A text of plain Latin characters is split by the same pattern as in the tokenizer's file, and its
+words go to the library's model. Words repeat, so their ids are kept in a bounded table. Any
+other text falls apart, without changing its ids, before every space that follows something other
+than white space; pieces that are plain are treated in the same way, the others go through the
+library's whole encoder, and the ids of pieces are kept too. The tables only save time: they are
 emptied when full, and what is encoded never depends on them.
 """
 
@@ -14,7 +14,7 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -26,6 +26,7 @@ _PLAIN = rf"[\t\n\r -~{_LETTERS}]"
 _SPACES = r"\s\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f-\u2064\u3000\ufeff"
 _WIDE = re.compile(rf"[{_SPACES}] ")
 _ENDS_WIDE = re.compile(rf"[{_SPACES}]\Z")
+_APART = re.compile(rf"(?<=[^ {_SPACES}])(?= )")
 
 #: The two split patterns as the tokenizers' files have them, and the same for plain characters.
 _CLITICS = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -77,6 +78,34 @@ def sub_batches(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
         yield at, run
 
 
+def segments(text: str) -> Iterator[str]:
+    """A text in parts of about SUB_BATCH_CHARS, cut before a space that follows something other than white space."""
+    at = 0
+    while len(text) - at > SUB_BATCH_CHARS:
+        cut = _APART.search(text, at + SUB_BATCH_CHARS)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:] if at else text
+
+
+class _Words(dict):
+    """word -> ids as bytes, made when they are asked for; emptied when full, and long words aren't kept."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.encode(word)
+        if len(word) <= LONGEST_KEPT:
+            if len(self) >= WORDS_KEPT:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class LibraryEncoder:
     """Ids of the tokenizers library for a tokenizer file, as little-endian bytes of ``dtype``."""
 
@@ -91,8 +120,10 @@ class LibraryEncoder:
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         # A piece with the first character of a special token is left to the library.
-        firsts = "".join(re.escape(t["content"][0]) for t in spec["added_tokens"])
-        self.plain = re.compile(rf"(?:(?![{firsts}]){_PLAIN})*" if firsts else f"(?:{_PLAIN})*")
+        firsts = "".join(t["content"][0] for t in spec["added_tokens"])
+        unlike = re.escape(firsts)
+        self.plain = re.compile(rf"(?:(?![{unlike}]){_PLAIN})*" if firsts else f"(?:{_PLAIN})*")
+        self.plain_bytes = bytes(b for b in (9, 10, 13, *range(32, 127)) if chr(b) not in firsts)
         pre = spec["pre_tokenizer"] or {}
         inner = pre.get("pretokenizers") or [{}]
         if pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and not spec["normalizer"]:
@@ -100,12 +131,13 @@ class LibraryEncoder:
         elif inner[0].get("pattern", {}).get("Regex") == _WORD_FILE_PATTERN:
             self.rule, self.lower = _WORD_RULE, True
         else:
-            self.rule, self.plain = None, re.compile(r"(?!)")
+            self.rule, self.plain, self.plain_bytes = None, re.compile(r"(?!)"), b""
         self.alphabet = {b: c for b, c in byte_alphabet().items() if chr(b) != c}
+        self.space = self.alphabet[32]
         self.model = self.tok.model
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = _Words(self._word)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
@@ -113,7 +145,26 @@ class LibraryEncoder:
             out += self._encode_run(run)
         return out
 
+    def is_plain(self, text: str) -> bool:
+        """Whether there are plain characters only, none of which begins a special token."""
+        rest = text.encode("utf-8", "surrogatepass").translate(None, self.plain_bytes)  # what isn't plain ASCII
+        return self.rule is not None and (not rest or self.plain.fullmatch(rest.decode("utf-8", "surrogatepass")) is not None)
+
     def _encode_run(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes | None] = []
+        get, other = self.words.__getitem__, []
+        for i, text in enumerate(texts):
+            if self.is_plain(text):
+                parts = segments(text) if len(text) > SUB_BATCH_CHARS else (text,)
+                out.append(b"".join([b"".join(map(get, self.rule.findall(p.lower() if self.lower else p))) for p in parts]))
+            else:
+                out.append(None)
+                other.append(i)
+        for i, ids in zip(other, self._encode_pieces([texts[i] for i in other]), strict=True):
+            out[i] = ids
+        return out
+
+    def _encode_pieces(self, texts: list[str]) -> list[bytes]:
         split = [split_pieces(t) for t in texts]
         need: set[str] = set()
         for pieces in split:
@@ -136,15 +187,10 @@ class LibraryEncoder:
             table.clear()
         long: dict[str, bytes] = {}
         hard = []
-        plain, one_word = self.plain.fullmatch, self._plain
         for p in need.difference(table):
-            alpha = p.isalpha()
-            if alpha and p.isascii() and self.rule is not None or plain(p):
-                ids = one_word(before + p, alpha)
-                if len(p) > LONGEST_KEPT:
-                    long[p] = ids
-                else:
-                    table[p] = ids
+            if self.is_plain(p):
+                s = (before + p).lower() if self.lower else before + p
+                (long if len(p) > LONGEST_KEPT else table)[p] = b"".join(map(self.words.__getitem__, self.rule.findall(s)))
             else:
                 hard.append(p)
         for i in range(0, len(hard), 256):
@@ -153,27 +199,16 @@ class LibraryEncoder:
                 (long if len(p) > LONGEST_KEPT else table)[p] = np.array(e.ids, self.dtype).tobytes()
         return long
 
-    def _plain(self, s: str, one: bool) -> bytes:
-        """Ids of a plain piece; ``one`` tells that it is a single word."""
-        if self.lower:
-            s = s.lower()
-        table = self.words
-        if one:
-            w = s.lstrip(" ") if self.lower else s
-            return table[w] if w in table else self._word(w)
-        return b"".join([table[w] if w in table else self._word(w) for w in self.rule.findall(s)])
-
     def _word(self, w: str) -> bytes:
-        if w.isascii():
-            mapped = w if w.isalnum() else w.translate(self.alphabet)
-        else:
+        if not w.isascii():
             mapped = w.encode().decode("latin-1").translate(self.alphabet)
-        ids = array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
-        if len(w) <= LONGEST_KEPT:
-            if len(self.words) >= WORDS_KEPT:
-                self.words.clear()
-            self.words[w] = ids
-        return ids
+        elif w.isalnum():
+            mapped = w
+        elif w[0] == " " and w[1:].isalnum():
+            mapped = self.space + w[1:]
+        else:
+            mapped = w.translate(self.alphabet)
+        return array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
