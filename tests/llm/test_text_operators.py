@@ -166,11 +166,13 @@ def test_chat_round_trip(spark):
     rnd = random.Random(5)
     bits = ["<s>", "</s>", "[INST]", "[/INST]", "&l;", "&a;", "&", "<", "[", "s>", "/INST]", "é", "\n", "日", " "]
     rows = [(c, t, rnd.choice(["user", "assistant", "system", "<s>", None]), "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 8)))) for c in range(80) for t in range(rnd.randint(1, 5))]
-    rows += [(500, 0, "user", None), (500, 0, "user", None), (None, 1, "assistant", "x"), (501, None, "assistant", "late"), (501, 0, "assistant", "x" * 200_000)]
+    rows += [(500, 0, "user", None), (500, 0, "user", None), (None, 1, "assistant", "x"), (None, 1, "assistant", "x"), (None, 2, "user", "y"), (501, None, "assistant", "late"), (501, 0, "assistant", "x" * 200_000)]
     formatted = chat.format_chats(chats(spark, rows))
-    back = {r.conv_id: r for r in chat.read_back(formatted).collect()}
+    every = chat.read_back(formatted).collect()
+    assert sorted([(t.role, t.text) for t in r.turns] for r in every if r.conv_id is None) == [[("assistant", "x")], [("assistant", "x")], [("user", "y")]]
+    back = {r.conv_id: r for r in every if r.conv_id is not None}
     by = {}
-    for c, t, role, text in rows:
+    for c, t, role, text in [r for r in rows if r[0] is not None]:
         by.setdefault(c, []).append((t is not None, t, role or "", text or ""))
     assert set(back) == set(by)
     for c, turns in by.items():

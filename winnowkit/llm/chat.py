@@ -15,8 +15,9 @@ conversation that would differ even then fails the query instead of being writte
 
 Defined results: a null text or role counts as empty. Turns are ordered by turn (nulls
 first), then role, then text, so ties and repeated rows stay, in a stable order. Rows with a
-null conversation id form one conversation. No rows give no conversations. Other columns are
-not read. A conversation is one string value, so a single one must fit Spark's 2 GB limit.
+null conversation id belong to no other row: each is a conversation of one turn. No rows give no
+conversations. Other columns are not read. A conversation is one string value, so a single one
+must fit Spark's 2 GB limit.
 """
 
 from __future__ import annotations
@@ -84,6 +85,7 @@ def format_chats(rows: DataFrame, template: Template = Template()) -> DataFrame:
     t = template
     turns = rows.select(
         "conv_id",
+        F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("alone"),
         "turn",
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
@@ -93,13 +95,13 @@ def format_chats(rows: DataFrame, template: Template = Template()) -> DataFrame:
     returns = alone & (one["role"] == F.col("role")) & (one["text"] == F.col("text"))
     turns = turns.withColumn("ok", F.coalesce(returns, F.lit(False)))
     turns = turns.select(
-        "conv_id", "turn", "role", "text",
+        "conv_id", "alone", "turn", "role", "text",
         F.when(F.col("ok"), F.col("role")).otherwise(escape(F.col("role"))).alias("r1"),
         F.when(F.col("ok"), F.col("text")).otherwise(escape(F.col("text"))).alias("b1"),
         escape(F.col("role")).alias("r2"),
         escape(F.col("text")).alias("b2"),
     )
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    order = Window.partitionBy("conv_id", "alone").orderBy("turn", "role", "text")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     fixed = len(t.turn_open) + len(t.body_open) + len(t.turn_close)
     to_body = len(t.turn_open) + len(t.body_open)
@@ -109,7 +111,7 @@ def format_chats(rows: DataFrame, template: Template = Template()) -> DataFrame:
         return past + F.length(r) + F.lit(to_body + 1)
 
     turns = turns.withColumns({"n": F.row_number().over(order), "at1": place("r1", "b1"), "at2": place("r2", "b2")})
-    whole = turns.groupBy("conv_id").agg(
+    whole = turns.groupBy("conv_id", "alone").agg(
         F.array_sort(F.collect_list(F.struct("n", "role", "text", "r1", "b1", "at1", "r2", "b2", "at2"))).alias("t")
     )
 

@@ -96,9 +96,9 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP4_SQL = r"""
 WITH turns AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
-  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, NULL, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, NULL, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), sized AS (
   SELECT *, regexp_matches(role, '</?s>|\[/?INST\]|&[abl];') OR regexp_matches(text, '</?s>|\[/?INST\]|&[abl];') AS clash FROM turns
 ), rendered AS (
@@ -112,7 +112,7 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
-FROM rendered GROUP BY conv_id
+FROM rendered GROUP BY conv_id, alone
 """
 
 
