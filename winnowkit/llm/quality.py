@@ -34,7 +34,7 @@ class Limits:
     max_repeat_percent: int = 20
     window: int = 5
     min_docs: int = 10
-    max_share: float = 0.10
+    max_share: float = 0.01
     min_kept: float = 0.30
 
 

@@ -192,7 +192,7 @@ WITH d AS MATERIALIZED (
   SELECT source, count(*) AS docs FROM d GROUP BY source
 ), bad AS (
   SELECT f.source, f.norm FROM (SELECT source, norm, count(DISTINCT r) AS n FROM l GROUP BY source, norm) f
-  JOIN docs_of USING (source) WHERE f.n > 10 AND f.n > docs * CAST(0.1 AS DOUBLE)
+  JOIN docs_of USING (source) WHERE f.n > 10 AND f.n > docs * CAST(0.01 AS DOUBLE)
 ), cut AS (
   SELECT r, sum(n) AS total, sum(CASE WHEN bad.norm IS NULL THEN n ELSE 0 END) AS stays, count(bad.norm) AS removed
   FROM l LEFT JOIN bad USING (source, norm) GROUP BY r
