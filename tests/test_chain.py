@@ -247,3 +247,15 @@ def test_capture_states_and_visit_logs(spark, tmp_path):
     (tmp_path / "w.json").write_text("[1]")
     with pytest.raises(visitlog.BadVisitLog):
         visitlog.read(spark, str(tmp_path / "w.json"))
+
+
+def test_a_store_as_json_lines(spark, tmp_path):
+    from winnowkit.operators import seen
+
+    rows = [{"object_id": "b", "keys": ["id:b"], "band": "strong", "first_surfaced": "d2", "company": "B", "surfaced_count": 3, "opened": True}, {"object_id": "a", "first_surfaced": "d1"}]
+    found = seen.from_records(jsonl.read(spark, str(write_lines(tmp_path / "store.jsonl", rows))))
+    by = {r.object_id: r for r in found.collect()}
+    assert (by["a"]["keys"], by["a"].band, by["a"].surfaced_count, by["a"].opened, by["a"].company) == ([], "possible", 1, False, "") and by["b"].opened
+    lines = [json.loads(r.value) for r in seen.to_lines(found).collect()]
+    assert [x["object_id"] for x in lines] == ["a", "b"] and lines[1]["keys"] == ["id:b"] and "put_seq" not in lines[0]
+    assert sorted(seen.from_records(jsonl.read(spark, str(write_lines(tmp_path / "again.jsonl", lines)))).drop("put_seq").collect()) == sorted(found.drop("put_seq").collect())

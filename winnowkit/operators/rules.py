@@ -163,6 +163,17 @@ def flag_audit(screened: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+def flag_reliability(screened: DataFrame) -> DataFrame:
+    """One row: how often the vendor's manager flag and seniority field disagree with the posting."""
+    s = with_signals(screened)
+    senior_field, senior = F.coalesce(F.col("seniority_level") == "Senior Level", F.lit(False)), senior_level(F.col("_level"))
+    alone, leveled = F.col("_flag") & ~F.col("_manages"), F.col("_level") != ""
+    return s.agg(
+        F.count(F.lit(1)).alias("postings"), F.count_if("_flag").alias("flagged"), F.count_if(alone).alias("uncorroborated"), F.count_if(alone & F.col("_backend")).alias("uncorroborated_backend"),
+        F.count_if(leveled).alias("leveled_titles"), F.count_if(leveled & senior & ~senior_field).alias("senior_title_only"), F.count_if(leveled & ~senior & senior_field).alias("senior_field_only"),
+    )
+
+
 #: Order of shortlists: band, then pay, then company.
 def shortlist_order(lower_company: bool = False) -> list[Column]:
     rank = F.when(F.col("band") == "strong", 0).when(F.col("band") == "possible", 1).otherwise(2)

@@ -44,6 +44,24 @@ def empty_store(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ENTRY_DDL)
 
 
+def from_records(records: DataFrame) -> DataFrame:
+    """Entries of a store that was written as JSON lines (record: VARIANT, ord): what is missing takes its default."""
+    v = F.col("record")
+    text = lambda f, default="": F.coalesce(F.try_variant_get(v, f"$.{f}", "string"), F.lit(default))
+    flag = lambda f: F.coalesce(F.try_variant_get(v, f"$.{f}", "boolean"), F.lit(False))
+    return records.select(
+        text("object_id").alias("object_id"), F.coalesce(F.try_variant_get(v, "$.keys", "array<string>"), F.array().cast("array<string>")).alias("keys"), text("band", "possible").alias("band"),
+        text("first_surfaced").alias("first_surfaced"), text("last_surfaced").alias("last_surfaced"), F.coalesce(F.try_variant_get(v, "$.surfaced_count", "bigint"), F.lit(1)).alias("surfaced_count"),
+        *[flag(f).alias(f) for f in ("opened", "applied", "company_applied")], *[text(f).alias(f) for f in ("title", "company", "company_host")], F.col("ord").alias("put_seq"),
+    )
+
+
+def to_lines(store: DataFrame) -> DataFrame:
+    """(value): the entries as JSON lines, in the order in which a store is written."""
+    fields = [c.split(" ")[0] for c in ENTRY_DDL.split(", ")][:-1]
+    return in_order(store).select(F.to_json(F.struct(*fields)).alias("value"))
+
+
 def owners(store: DataFrame) -> DataFrame:
     """(key, owner): the entry put last of those that hold the key."""
     return store.select("object_id", *PUT_ORDER, F.explode("keys").alias("key")).groupBy("key").agg(F.max_by("object_id", F.struct(*PUT_ORDER)).alias("owner"))

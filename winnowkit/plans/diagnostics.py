@@ -78,7 +78,8 @@ def scrape_report(spark: SparkSession, records_path: str, meta_path: str) -> dic
     collapsed = flat.select(F.when(F.col(keys[1]).isNotNull(), F.struct(F.col(keys[1]).alias("a"), F.lit(None).cast("string").alias("b"))).otherwise(F.struct(F.col("company").alias("a"), F.col("title").alias("b"))).alias("k"), F.col(keys[1]).isNotNull().alias("by"))
     windows = [w for s in searches if isinstance(w := (s.get("searchState") or {}).get(fixed.WINDOW_FIELD), int) and not isinstance(w, bool)]
     rows = lambda df: [r.asDict() for r in df.collect()]
-    listed = lambda c: rows(flat.groupBy(c).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), c).limit(50))
+    by = lambda c: flat.groupBy(c).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), c).limit(50)
+    listed = lambda c: rows(by(c).withColumn("share", reports.share(F.col("n"), F.lit(counts["records"]))))
     return counts | {
         "stop_reason": meta.get("stop_reason"), "reported": reported, "collapsed": collapsed.distinct().count(),
         "keys": {k: dedup.key_structure(flat, k).first().asDict() for k in keys}, "days": rows(reports.daily_histogram(flat, "published").orderBy("day")),

@@ -95,6 +95,28 @@ def search_counts(spark: SparkSession, sf: str) -> DataFrame:
     return scrape.search_counts(scrape.land(_visits(spark, sf)))
 
 
+def search_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Why each search ended, with a ceiling that one in three reaches."""
+    v = _visits(spark, sf).withColumn("page", F.floor(F.col("page") * (1 + F.col("search")) / 2))
+    read = v.select("search", "page").distinct()
+    return scrape.search_results(scrape.land(v, read, max_pages=40), read, 40)
+
+
+def previous_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest good one of the runs that events stand in for."""
+    metas = table(spark, sf, "events").select("event_id", F.col("ts").alias("finished_at"), (F.col("event_id") % 5).alias("records"), F.when(F.col("event_id") % 3 == 0, "failed").alias("error"))
+    return scrape.previous_runs(metas).select("event_id", "records")
+
+
+def capture_match(spark: SparkSession, sf: str) -> DataFrame:
+    """Searches with the captures that serve them, by users' events: the widest window, then the first."""
+    e = table(spark, sf, "events")
+    window = F.when(F.col("event_id") % 4 > 0, F.col("event_id") % 4 * 7)
+    known = e.select(F.concat(F.lit("s"), F.col("event_id").cast("string")).alias("state"), (F.col("user_id") % 97).cast("string").alias("base"), window.cast("bigint").alias("window"), F.col("event_id").cast("int").alias("pos"))
+    wanted = e.select((F.col("user_id") % 101).cast("string").alias("base")).distinct().withColumn("name", F.concat(F.lit("n"), F.col("base")))
+    return capture.match(wanted, known)
+
+
 def search_union(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return scrape.union_searches([o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0"), o], "o_orderkey")
@@ -145,6 +167,12 @@ def company_drops(spark: SparkSession, sf: str) -> DataFrame:
     return rollup.drop_counts(rollup.judged(_company_rows(spark, sf), OPTIONS))
 
 
+def company_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Companies with a website and the others, which go to tables of their own."""
+    found = rollup.companies(rollup.judged(_company_rows(spark, sf), OPTIONS))
+    return found.groupBy("has_website").agg(F.count(F.lit(1)).alias("companies"), F.sum("posting_count").alias("postings"), F.count_if(F.col("distance_miles").isNull()).alias("without_distance"))
+
+
 def company_tiers(spark: SparkSession, sf: str) -> DataFrame:
     return rollup.tier_counts(rollup.companies(rollup.judged(_company_rows(spark, sf), OPTIONS)))
 
@@ -211,6 +239,19 @@ def representatives(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("object_id", "dedup_key", F.col("duplicate_count").cast("bigint").alias("duplicate_count"), _join("alternate_object_ids"), _join("alternate_apply_urls"))
 
 
+def dedup_counters(spark: SparkSession, sf: str) -> DataFrame:
+    p = durable(postings(spark, sf))
+    counts = dedup.dedup_counters(p, dedup.deduplicate(p, 0.6)[0])
+    return spark.createDataFrame(sorted(counts.items()), "counter string, n bigint")
+
+
+def postings_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The places of the survivors in the order in which postings are written."""
+    kept = dedup.deduplicate(durable(postings(spark, sf)), 0.6)[0].select("object_id", "published_at", "company", "title", "place")
+    order = [keys.newest_first(F.col("published_at")), F.col("company"), F.col("title"), F.col("place")]
+    return reports.number(kept, order).select("n", "object_id")
+
+
 def cluster_merge(spark: SparkSession, sf: str) -> DataFrame:
     p = postings(spark, sf).where("cluster_key is not null")
     return dedup.merge(p, "cluster_key").select("cluster_key", "object_id", F.col("duplicate_count").cast("bigint").alias("duplicate_count"), _join("alternate_object_ids"), _join("alternate_apply_urls"))
@@ -271,6 +312,10 @@ def shortlist_page(spark: SparkSession, sf: str) -> DataFrame:
     return reports.shortlist_rows(_screened_table(spark, sf), applied).select("n", "row")
 
 
+def flag_reliability(spark: SparkSession, sf: str) -> DataFrame:
+    return rules.flag_reliability(postings(spark, sf))
+
+
 # --- the seen store --------------------------------------------------------------------------------------------
 def _store(spark: SparkSession, sf: str) -> DataFrame:
     """An earlier run's store: the first half of the postings, one entry a cluster or posting."""
@@ -288,6 +333,17 @@ def seen_diff(spark: SparkSession, sf: str) -> DataFrame:
     return seen.classify(_screened_table(spark, sf), _store(spark, sf)).select("ord", "owner", "action")
 
 
+def diff_counters(spark: SparkSession, sf: str) -> DataFrame:
+    judged = seen.classify(_screened_table(spark, sf), _store(spark, sf))
+    return judged.groupBy("action", "band").agg(F.count(F.lit(1)).alias("n"))
+
+
+def shortlist_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The places of the postings that are shown, in the order in which a shortlist is written."""
+    shown = seen.shortlist(seen.classify(_screened_table(spark, sf), _store(spark, sf)))
+    return reports.number(shown.select("ord", "band", "comp_max", "company"), rules.shortlist_order()).select("n", "ord")
+
+
 def store_merge(spark: SparkSession, sf: str) -> DataFrame:
     now = _screened_table(spark, sf)
     store = durable(_store(spark, sf))
@@ -301,6 +357,12 @@ def visit_labels(spark: SparkSession, sf: str) -> DataFrame:
     return seen.label(_store(spark, sf), opened, applied).select("object_id", "opened", "applied", "company_applied")
 
 
+def label_counts(spark: SparkSession, sf: str) -> DataFrame:
+    applied = visited.visited_hosts(_log(spark, sf)).where("applied").select("host")
+    opened = table(spark, sf, "orders").where("o_orderkey % 7 = 0").select(F.concat(F.lit("job:o"), F.col("o_orderkey").cast("string")).alias("key"), (F.col("o_orderkey") % 2 == 0).alias("applied"))
+    return seen.label_counts(seen.label(_store(spark, sf), opened, applied))
+
+
 # --- diagnostics ----------------------------------------------------------------------------------------------------
 def daily_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return reports.daily_histogram(postings(spark, sf), "published_at")

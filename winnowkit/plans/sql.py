@@ -394,6 +394,33 @@ placed AS (
 SELECT e.object_id, array_to_string(e.keys, ',') AS keys, e.band, e.f AS first_surfaced, e.l AS last_surfaced, e.n AS surfaced_count, e.title, e.company FROM last"""
 )
 
+_ACT = SQL["seen_diff"].replace("SELECT ord, owner, CASE", "SELECT f.ord, f.band, CASE").rstrip()
+SQL["diff_counters"] = _ACT.replace("\nSELECT f.ord, f.band, CASE", "\n, a AS (SELECT f.ord, f.band, CASE") + ") SELECT action, band, count(*) AS n FROM a GROUP BY ALL"
+SQL["shortlist_order"] = _ACT.replace("\nSELECT f.ord, f.band, CASE", "\n, a AS (SELECT f.ord, f.band, CASE") + """)
+SELECT row_number() OVER (ORDER BY CASE a.band WHEN 'strong' THEN 0 ELSE 1 END, coalesce(v.comp_max, 0) DESC, v.company, v.ord) AS n, v.ord FROM a JOIN v USING (ord) WHERE action <> 'suppressed'"""
+SQL["label_counts"] = STORE + VISITS + """, ids AS (SELECT object_id, substr(k, 4) AS id FROM (SELECT object_id, unnest(keys) AS k FROM st) WHERE starts_with(k, 'id:')),
+mk AS (SELECT i.object_id, bool_or(o_orderkey % 2 = 0) AS applied FROM ids i JOIN orders ON i.id = 'o' || o_orderkey AND o_orderkey % 7 = 0 GROUP BY 1)
+SELECT count(mk.object_id) AS opened, count_if(coalesce(mk.applied, false)) AS applied, count_if(st.company_host IN (SELECT host FROM vh WHERE vh.applied)) AS company_applied FROM st LEFT JOIN mk USING (object_id)"""
+SQL["dedup_counters"] = SQL["representatives"].replace(" SELECT object_id, dedup_key,", " , z AS (SELECT object_id, dedup_key,") + """)
+SELECT 'postings' AS counter, (SELECT count(*) FROM p) AS n UNION ALL SELECT 'survivors', count(*) FROM z UNION ALL SELECT 'merged_groups', count_if(duplicate_count > 1) FROM z
+UNION ALL SELECT 'duplicates', CAST(sum(duplicate_count - 1) AS BIGINT) FROM z"""
+SQL["postings_order"] = SQL["representatives"].replace("SELECT q.*, '0' || cluster_key AS grp, cluster_key AS name FROM q", "SELECT q.*, '0' || cluster_key AS grp, cluster_key AS name, 0 AS path, 0 AS sub FROM q").replace(
+    "ELSE q.fallback_key || '#' || sub END FROM q JOIN", "ELSE q.fallback_key || '#' || sub END, 1, sub FROM q JOIN"
+).replace(" SELECT object_id, dedup_key,", " , z AS (SELECT object_id, dedup_key,") + f""")
+, place AS (SELECT object_id, published_at, company, title, path, sub, min(ord) OVER (PARTITION BY path, CASE WHEN path = 0 THEN cluster_key ELSE fallback_key END) AS first FROM t)
+SELECT row_number() OVER (ORDER BY {NEWER.format('published_at')}, company, title, path, first, sub) AS n, object_id FROM place JOIN (SELECT object_id FROM z) USING (object_id)"""
+SQL["search_results"] = LANDED.replace("CAST(floor(event_id / 150) AS BIGINT) AS page", "CAST(floor(event_id // 150 * (1 + event_id % 3) / 2) AS BIGINT) AS page").replace("FROM events\n", "FROM events WHERE floor(event_id // 150 * (1 + event_id % 3) / 2) <= 40\n") + """
+, a AS (SELECT search, min(page) FILTER (WHERE new = 0 AND before = 0) AS stale, max(page) AS last FROM l GROUP BY search), n AS (SELECT a.search, stale, count(*) AS pages_fetched FROM c JOIN a USING (search) WHERE page <= coalesce(stale, last) GROUP BY ALL)
+SELECT search, pages_fetched, CASE WHEN stale IS NOT NULL THEN '2 consecutive pages with no new records' WHEN pages_fetched > 40 THEN 'reached max_pages=40' ELSE 'no more pages' END AS stop_reason FROM n"""
+SQL["previous_run"] = "SELECT event_id, event_id % 5 AS records FROM events WHERE event_id % 5 > 0 AND event_id % 3 <> 0 ORDER BY ts DESC LIMIT 1"
+SQL["capture_match"] = """WITH k AS (SELECT 's' || event_id AS state, CAST(user_id % 97 AS VARCHAR) AS base, CASE WHEN event_id % 4 > 0 THEN event_id % 4 * 7 END AS w, event_id AS pos FROM events),
+b AS (SELECT base, arg_max(state, (coalesce(w, 0), -pos)) AS state, max(coalesce(w, 0)) AS top FROM k GROUP BY base), n AS (SELECT DISTINCT CAST(user_id % 101 AS VARCHAR) AS base FROM events)
+SELECT 'n' || n.base AS name, n.base, b.state, nullif(b.top, 0) AS "window" FROM n LEFT JOIN b USING (base)"""
+SQL["company_split"] = COMPANIES + " SELECT website_host IS NOT NULL AS has_website, count(*) AS companies, CAST(sum(posting_count) AS BIGINT) AS postings, count_if(distance_miles IS NULL) AS without_distance FROM co GROUP BY 1"
+SQL["flag_reliability"] = SCREENED + f"""SELECT count(*) AS postings, count_if({_FLAG}) AS flagged, count_if({_FLAG} AND NOT {_MANAGES}) AS uncorroborated, count_if({_FLAG} AND NOT {_MANAGES} AND {_BACKEND}) AS uncorroborated_backend,
+  count_if({level('raw_title')} <> '') AS leveled_titles, count_if({level('raw_title')} <> '' AND {senior('raw_title')} AND NOT coalesce(seniority_level = 'Senior Level', false)) AS senior_title_only,
+  count_if({level('raw_title')} <> '' AND NOT {senior('raw_title')} AND coalesce(seniority_level = 'Senior Level', false)) AS senior_field_only FROM v"""
+
 # --- reports
 ESC = ESCAPED.format
 
