@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hosts import normalize_host
 from ..functions.keys import fallback_key
+from ..tables import spread
 
 
 def pick(by: str, values: list[str | None]) -> str:
@@ -87,7 +88,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived rows as they are, with lists as strings."""
-    return spark.sql(POSTINGS, orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer"))
+    return spark.sql(POSTINGS, orders=spread(table(spark, sf_dir, "orders")), customer=table(spark, sf_dir, "customer"))
 
 
 def split_list(name: str):

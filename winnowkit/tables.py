@@ -73,6 +73,12 @@ def discard(*tables: DataFrame) -> None:
             delete(t.sparkSession, folder)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out to as many tasks as there are cores, where its files give fewer; any larger table stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def small(df: DataFrame, weight: Column | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
     """A settled table of keys, marked for broadcast if its rows (or their weights) are counted and few enough."""
     n = df.count() if weight is None else df.agg(F.sum(weight)).first()[0] or 0
