@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -13,6 +13,7 @@ from ..functions import guards as g
 from ..functions.careers import careers_link
 from ..functions.hosts import ends_with_any, host_url, normalize_host
 from ..functions.keys import newest_first, tier_rank
+from .dedup import first_members
 from .graph import durable
 
 
@@ -143,10 +144,8 @@ def _sample_titles(kept: DataFrame, n: int = fixed.SAMPLE_TITLES) -> DataFrame:
         (F.col("category") != fixed.SOFTWARE_CATEGORY).alias("other"), newest_key_plain(F.coalesce(F.col("published"), F.lit(""))).alias("d"), F.col("ord")
     )
     best = rows.groupBy("key", "title").agg(F.min(order).alias("o"))
-    first = Window.partitionBy("key").orderBy("o")
-    top = best.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= n)
-    out = top.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("o", "title"))).alias("t"))
-    return out.select("key", F.transform("t", lambda x: x["title"]).alias("sample_titles"))
+    out = first_members(best, ["key"], "o", n)
+    return out.select("key", F.transform("members", lambda x: x["title"]).alias("sample_titles"))
 
 
 def newest_key_plain(date: Column) -> Column:

@@ -14,19 +14,30 @@ def land(rows: DataFrame, pages: DataFrame | None = None, stop_after: int = fixe
     A search stops at its first page without records, or at the second page in a row that brought
     nothing new to it. Records without a key always count as new. ``pages`` (search, page) names
     pages that came back, empty ones too; without it, the pages are those of the records. No page
-    after number ``max_pages`` is read.
+    after number ``max_pages`` is read. The place (search, page, pos) tells a record: what is first of
+    its kind is found by minima, which combine map-side, and brought back by its place, so that
+    a key with very many records is no one task's burden.
     """
     if stop_after != 2:
         raise ValueError("the stop rule looks at two pages in a row")
     if max_pages is not None:
         rows, pages = rows.where(F.col("page") <= max_pages), None if pages is None else pages.where(F.col("page") <= max_pages)
     keyless = F.col("key").isNull()
-    own = Window.partitionBy("search", F.when(keyless, F.monotonically_increasing_id()), "key").orderBy("page", "pos")
-    marked = rows.withColumn("is_new", keyless | (F.row_number().over(own) == 1))
+    marked = _mark_first(rows, ["search", "key"], "_own").withColumn("is_new", keyless | F.col("_own")).drop("_own")
     stops = _stops(marked, pages).select("search", "stop_page")
     kept = marked.join(stops, "search").where(F.col("page") <= F.col("stop_page"))
-    run = Window.partitionBy(F.when(keyless, F.monotonically_increasing_id()), "key").orderBy("search", "page", "pos")
-    return kept.withColumn("written", F.col("is_new") & (keyless | (F.row_number().over(run) == 1)))
+    return _mark_first(kept, ["key"], "_run").withColumn("written", F.col("is_new") & (keyless | F.col("_run"))).drop("_run")
+
+
+def _mark_first(rows: DataFrame, by: list[str], name: str) -> DataFrame:
+    """``rows`` with a flag: whether the record is the first, by place, with its ``by`` and a key."""
+    place = ["search", "page", "pos"]
+    first = rows.where(F.col("key").isNotNull()).groupBy(*by).agg(F.min(F.struct(*place)).alias("f"))
+    first = first.select(*[F.col(f"f.{c}").alias(f"_f_{c}") for c in place])
+    same = F.lit(True)
+    for c in place:
+        same = same & (rows[c] == first[f"_f_{c}"])
+    return rows.join(first, same, "left").withColumn(name, F.col("_f_pos").isNotNull()).drop(*[f"_f_{c}" for c in place])
 
 
 def _counts(marked: DataFrame, pages: DataFrame | None) -> DataFrame:
