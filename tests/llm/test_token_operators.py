@@ -66,6 +66,19 @@ def test_numpy_rounds_and_queue():
         assert coder.merge_long(word).tolist() == coder.merge_words([word])[0].tolist()
 
 
+def test_decoding_is_that_of_the_library():
+    """Ids in any order too: bytes that make no character, cut characters, special tokens side by side."""
+    name = "byte_bpe_50k.json"
+    coder, tok = bpe.NumpyBPE(tokenizer_path(name)), library(name)
+    ids = ids_of(name, ["日本語 😀 é ñ ٣", "plain words", "<|endoftext|>x"])
+    cases = [x[i:j] for x in ids for i in range(len(x)) for j in range(i, len(x) + 1)]
+    cases += [[RND.randrange(coder.size) for _ in range(RND.randint(1, 12))] for _ in range(300)]
+    single = [i for i in range(coder.size) if len(coder.bytes_of[i]) == 1 and coder.bytes_of[i][0] >= 128]
+    cases += [[RND.choice(single) for _ in range(RND.randint(1, 8))] for _ in range(500)]
+    for case in cases:
+        assert coder.decode(np.array(case, np.int64)) == tok.decode(case, skip_special_tokens=False), case
+
+
 def test_bpe_query_shape(table):
     want = dict(enumerate(ids_of("byte_bpe_50k.json")))
     got = bpe.round_trip_digests(table).collect()
