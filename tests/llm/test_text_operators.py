@@ -217,7 +217,7 @@ def license_cases():
         ("BSD-3-Clause", bsd), ("Apache-2.0", f"// Copyright 2020 The Authors\n//\n{comment(apache_header, '//')}\n{code}"),
         ("Apache-2.0", "/*\n" + comment("\n".join(textwrap.wrap(apache_header, 70)), " *") + "\n */" + code), ("GPL-3.0", comment("\n".join(textwrap.wrap(licenses.FORMS["GPL-3.0"][-1], 60)), "#") + "\nimport x" + code),
         ("MIT", "# SPDX-License-Identifier: MIT\nimport x" + code), ("Apache-2.0", "// SPDX-License-Identifier: Apache-2.0" + code), ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"),
-        ("MIT", "MIT License"), ("Apache-2.0", "Apache License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("MPL-2.0", "Mozilla Public License Version 2.0"), ("MIT", "// Licensed under the MIT license."),
+        ("MIT", "MIT License"), ("MIT", "The MIT License (MIT)"), ("Apache-2.0", "Apache License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("MPL-2.0", "Mozilla Public License Version 2.0"), ("MIT", "// Licensed under the MIT license."),
         (None, code), (None, "the software is provided to any person"), (None, "All rights reserved. This license may not be used."),
     ]
 

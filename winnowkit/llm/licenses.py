@@ -65,7 +65,7 @@ FORMS = {
     "ISC": ["ISC License", "Licensed under the ISC License"],
     "LGPL-2.1": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", "This work is licensed under the GNU Lesser General Public License, version 2.1"],
     "LGPL-3.0": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "This work is licensed under the GNU Lesser General Public License, version 3"],
-    "MIT": ["MIT License", "The MIT License (MIT)", "Released under the MIT License", "Licensed under the MIT License"],
+    "MIT": ["MIT License", "Released under the MIT License", "Licensed under the MIT License"],
     "MPL-2.0": [
         "Mozilla Public License Version 2.0", "This work is subject to the terms of the Mozilla Public License, version 2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
