@@ -17,14 +17,23 @@ from pyspark.sql import functions as F
 
 #: At most so many rows of keys are broadcast, counted first: some 50 MB as a hash table.
 BROADCAST_ROWS = 500_000
+#: Bytes of a batch that goes to a Python worker.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def on_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, whatever folder they start in."""
+    """Let Python workers import this package from where the driver has it, whatever folder they start in.
+
+    Batches on their way to a worker are limited by their bytes as well as their rows, for texts can
+    be long; a limit that the session has of its own stays.
+    """
     root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    if spark.conf.get(_BATCH) == "67108864b":  # Spark's own default
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
