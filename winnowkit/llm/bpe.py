@@ -25,12 +25,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .tokens import LONGEST_KEPT, PIECES_KEPT, WORDS_KEPT, byte_alphabet, split_pieces, sub_batches, tokenizer_path
+from .store import on_workers
+from .tokens import LONGEST_KEPT, PIECES_KEPT, byte_alphabet, split_pieces, sub_batches, tokenizer_path
 
 #: The split pattern of byte-level vocabularies. White space and letters as Unicode has them.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
 LONG = 4096
+WORDS_KEPT = 800_000
 NEVER = np.int32(2**31 - 1)
 
 
@@ -188,6 +190,7 @@ def coder(path: str) -> NumpyBPE:
 
 def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids, decoded): the ids of each text and the text they decode to."""
+    on_workers(docs.sparkSession)
     rows = docs.select(key, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,6 +210,7 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text:
 
 def round_trip_digests(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256), made in the workers so that no ids travel."""
+    on_workers(docs.sparkSession)
     rows = docs.select(key, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import on_workers
+
 UNKNOWN = "und"
 _PLAIN_LETTER = re.compile("[A-Za-z]")
 #: Bytes of lower-cased text that are kept: a-z and all of multi-byte characters.
@@ -121,6 +123,7 @@ def held_out(key: Column) -> Column:
 
 def sample_windows(docs: DataFrame, key: str, text: str, label: str, s: Settings) -> list[tuple[int, str, bytes]]:
     """(part, language, normalised window) from the rows that may be learned from."""
+    on_workers(docs.sparkSession)
     ours = docs.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(label).cast("string").alias("l"))
     ours = ours.where(F.col("k").isNotNull() & F.col("l").isNotNull() & ~held_out(F.col("k")))
     counts = ours.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(s.most_languages)
@@ -209,6 +212,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """(key, held_out, lang_pred, score, rejected), and the columns of ``carry`` as they are."""
+    on_workers(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages numbers, whatever the data
     carry = carry or []
     rows = docs.select(F.col(text).alias("__wk_text"), F.col(key).alias("__wk_key"), held_out(F.col(key)).alias("__wk_out"), *carry)

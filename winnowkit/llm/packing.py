@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .store import on_workers
 from .tokens import library_encoder, sub_batches, tokenizer_path
 
 SEQUENCE = 1024
@@ -66,6 +67,7 @@ def pack(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: st
 
     ``sequence_id`` is unique: the partition in the high 32 bits, a running number in the low ones.
     """
+    on_workers(docs.sparkSession)
     rows = docs.select(key, text)
     key_type = rows.schema[0].dataType.simpleString()
 
