@@ -118,6 +118,7 @@ def pack(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: st
                             pack_rest()
                 yield from flush()
         pack_rest()
+        enc.forget()
         if keys:
             yield from flush()
 

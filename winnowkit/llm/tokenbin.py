@@ -199,6 +199,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, key: str
                     writer = _ShardWriter(stream)
                 for k, raw in zip(batch.column(0).slice(at, len(texts)).to_pylist(), enc.encode(texts), strict=True):
                     writer.add(k, np.append(np.frombuffer(raw, enc.dtype), enc.dtype.type(end_id)))
+        enc.forget()
         if writer is not None:
             writer.close()
             stream.close()

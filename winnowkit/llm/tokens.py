@@ -139,6 +139,11 @@ class LibraryEncoder:
         self.later: dict[str, bytes] = {}
         self.words = _Words(self._word)
 
+    def forget(self) -> None:
+        """Empty the tables: a worker outlives its task, and what it does next needs the memory."""
+        for table in (self.words, self.first, self.later):
+            table.clear()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
         for _, run in sub_batches(texts):
@@ -215,7 +220,7 @@ _ENCODERS: dict[str, LibraryEncoder] = {}
 
 
 def library_encoder(path: str) -> LibraryEncoder:
-    """One encoder a Python worker and file: workers are reused, so its tables outlive a task."""
+    """One encoder a Python worker and file: workers are reused, so the file is read once."""
     if path not in _ENCODERS:
         _ENCODERS[path] = LibraryEncoder(path)
     return _ENCODERS[path]
