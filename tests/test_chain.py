@@ -78,7 +78,8 @@ def test_from_landed_pages_to_the_pages(spark, home, capsys):
     code, report, _ = run(capsys, "scrape-report", raw, home / "raw" / "meta.json")
     assert code == 0 and report["reported"] == {"records": 80, "companies": 14} and report["verdict"] == "thin" and report["records"] == 24 and report["days"][0]["bar"].startswith("#")
 
-    code, meta, _ = run(capsys, "normalize", raw, home / "n")
+    (home / "raw-none").mkdir()
+    code, meta, _ = run(capsys, "normalize", home / "r*" / "records", home / "n")
     assert code == 0 and meta["postings"] == 24 and not meta["overridden"]
     flat = spark.read.parquet(str(home / "n" / "postings")).orderBy("ord").collect()
     assert [(r.published_at, r.company) for r in flat] == sorted(((r.published_at, r.company) for r in flat), key=lambda x: ([-ord(c) for c in x[0]], x[1]))
@@ -152,7 +153,7 @@ def test_exit_codes(spark, home, capsys):
         assert code == 1 and said in err, row
     (home / "broken.jsonl").write_text('{"a": 1}\n[2]\n')
     assert run(capsys, "normalize", home / "broken.jsonl", home / "z")[0] == 1
-    assert run(capsys, "normalize", home / "none.jsonl", home / "z")[0] == 2
+    assert run(capsys, "normalize", home / "none.jsonl", home / "z")[0] == 2 == run(capsys, "normalize", home / "none*.jsonl", home / "z")[0]
     assert run(capsys, "rollup", home / "broken.jsonl", home / "z", "--config", home / "none.toml")[0] == 2
     (home / "c2.toml").write_text(TOML.split("[visit_logger]")[0])
     assert run(capsys, "filter", home, home / "z", "--config", home / "c2.toml")[0] == 2

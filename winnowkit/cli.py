@@ -1,6 +1,6 @@
 """Command line over the stages.
 
-Exit codes: 2 for bad configuration or missing input, 3 when the site turned the pages away, 1 for
+An input path may be a pattern: the most recently changed match is taken. Exit codes: 2 for bad configuration or missing input, 3 when the site turned the pages away, 1 for
 other failures.
 """
 
@@ -62,7 +62,11 @@ def run(spark, a: argparse.Namespace, config: Config) -> dict | list | int:
     from dataclasses import replace
 
     from .plans import diagnostics, stages
+    from .sources import jsonl
 
+    for name in ("pages", "capture", "records", "postings", "screened", "shortlist", "companies", "meta"):
+        if "*" in (given := getattr(a, name, None) or ""):
+            setattr(a, name, jsonl.newest(spark, given))
     log = getattr(a, "visit_log", None) or (str(config.visit_log) if config.visit_log else None)
     compress = config.compress and not getattr(a, "no_compress", False)
     if a.command == "land":
