@@ -3,8 +3,8 @@
 All words that are still to be encoded lie as symbols in one flat array. A round looks up every
 pair of neighbours by binary search over the sorted pair keys, takes the lowest rank of each
 word, merges all its places (left to right where they overlap), and sets finished words aside.
-Words come from the tokenizer's pattern; ids of frequent words and of the pieces between
-spaces are kept in bounded tables that only save time. A word of over ``LONG`` bytes goes
+Words come from the tokenizer's pattern; ids of frequent words, and for texts that aren't plain
+Latin of the pieces between spaces, are kept in bounded tables that only save time. A word of over ``LONG`` bytes goes
 through a priority queue instead, for the rounds of one such word would each scan all of it.
 
 Defined results: a null text is empty, with no ids and an empty decoding. Rows are independent,
@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .store import on_workers
-from .tokens import LONGEST_KEPT, PIECES_KEPT, byte_alphabet, split_pieces, sub_batches, tokenizer_path
+from .tokens import LONGEST_KEPT, PIECES_KEPT, Plain, byte_alphabet, byte_words, split_pieces, sub_batches, tokenizer_path
 
 #: The split pattern of byte-level vocabularies. White space and letters as Unicode has them.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -61,6 +61,7 @@ class NumpyBPE:
             self.bytes_of[i] = token.encode()
         self.name_of = [str(i) for i in range(self.size)]
         self.split = regex.compile(PATTERN)
+        self.plain = Plain("".join(t[0] for t in self.special))
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.pieces: dict[str, bytes] = {}
@@ -139,14 +140,7 @@ class NumpyBPE:
         if len(self.pieces) + len(need) > PIECES_KEPT:
             self.pieces.clear()
         split = {p: self.split.findall(p) for p in need if p not in self.pieces}
-        new = {w for ws in split.values() for w in ws if w not in self.words}
-        if len(self.words) + len(new) > WORDS_KEPT:
-            self.words.clear()
-            new = {w for ws in split.values() for w in ws}
-        coded = [(w, w.encode()) for w in new]
-        short = [x for x in coded if len(x[1]) <= LONG]
-        ids = dict(zip((w for w, _ in short), (a.tobytes() for a in self.merge_words([b for _, b in short])), strict=True))
-        ids |= {w: self.merge_long(b).tobytes() for w, b in coded if len(b) > LONG}
+        ids = self._new_words({w for ws in split.values() for w in ws})
         long = {}
         for p, ws in split.items():
             found = b"".join([ids[w] if w in ids else self.words[w] for w in ws])
@@ -154,7 +148,33 @@ class NumpyBPE:
         self.words.update((w, v) for w, v in ids.items() if len(w) <= LONGEST_KEPT)
         return long
 
+    def _new_words(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of those of the words that aren't in the table, merged all at once. A table that would grow too large is emptied first."""
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > WORDS_KEPT:
+            self.words.clear()
+            new = words
+        coded = [(w, w.encode()) for w in new]
+        short = [x for x in coded if len(x[1]) <= LONG]
+        ids = dict(zip((w for w, _ in short), (a.tobytes() for a in self.merge_words([b for _, b in short])), strict=True))
+        return ids | {w: self.merge_long(b).tobytes() for w, b in coded if len(b) > LONG}
+
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. Plain texts are split into words at once, the others by pieces and special tokens."""
+        plain = [self.plain(t) for t in texts]
+        split = [byte_words(t) for t, p in zip(texts, plain, strict=True) if p]
+        need: set[str] = set()
+        for ws in split:
+            need.update(ws)
+        ids = self._new_words(need)
+        long = {w: v for w, v in ids.items() if len(w) > LONGEST_KEPT}
+        self.words.update(ids if not long else {w: v for w, v in ids.items() if w not in long})
+        get = (lambda w: long[w] if w in long else self.words[w]) if long else self.words.__getitem__
+        found = iter([np.frombuffer(b"".join(map(get, ws)), self.dtype) for ws in split])
+        others = iter(self._encode_others([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [next(found) if p else next(others) for p in plain]
+
+    def _encode_others(self, texts: list[str]) -> list[np.ndarray]:
         parts: list[list[str]] = []  # texts between special tokens, as pieces with their space
         plan: list[list[int]] = []  # for each text: >= 0 a part, < 0 the special token -1 - id
         for t in texts:

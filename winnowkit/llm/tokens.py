@@ -90,6 +90,23 @@ def segments(text: str) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+class Plain:
+    """Tells texts of plain characters only, none of which is in ``firsts``, the first characters of special tokens."""
+
+    def __init__(self, firsts: str):
+        self.pattern = re.compile(rf"(?:(?![{re.escape(firsts)}]){_PLAIN})*" if firsts else f"(?:{_PLAIN})*")
+        self.ascii = bytes(b for b in (9, 10, 13, *range(32, 127)) if chr(b) not in firsts)
+
+    def __call__(self, text: str) -> bool:
+        rest = text.encode("utf-8", "surrogatepass").translate(None, self.ascii)  # what isn't plain ASCII
+        return not rest or self.pattern.fullmatch(rest.decode("utf-8", "surrogatepass")) is not None
+
+
+def byte_words(text: str) -> list[str]:
+    """The words of a plain text as byte-level vocabularies split it."""
+    return _BYTE_RULE.findall(text)
+
+
 class _Words(dict):
     """word -> ids as bytes, made when they are asked for; emptied when full, and long words aren't kept."""
 
@@ -120,10 +137,7 @@ class LibraryEncoder:
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         # A piece with the first character of a special token is left to the library.
-        firsts = "".join(t["content"][0] for t in spec["added_tokens"])
-        unlike = re.escape(firsts)
-        self.plain = re.compile(rf"(?:(?![{unlike}]){_PLAIN})*" if firsts else f"(?:{_PLAIN})*")
-        self.plain_bytes = bytes(b for b in (9, 10, 13, *range(32, 127)) if chr(b) not in firsts)
+        self.plain = Plain("".join(t["content"][0] for t in spec["added_tokens"]))
         pre = spec["pre_tokenizer"] or {}
         inner = pre.get("pretokenizers") or [{}]
         if pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and not spec["normalizer"]:
@@ -131,7 +145,7 @@ class LibraryEncoder:
         elif inner[0].get("pattern", {}).get("Regex") == _WORD_FILE_PATTERN:
             self.rule, self.lower = _WORD_RULE, True
         else:
-            self.rule, self.plain, self.plain_bytes = None, re.compile(r"(?!)"), b""
+            self.rule = None
         self.alphabet = {b: c for b, c in byte_alphabet().items() if chr(b) != c}
         self.space = self.alphabet[32]
         self.model = self.tok.model
@@ -152,8 +166,7 @@ class LibraryEncoder:
 
     def is_plain(self, text: str) -> bool:
         """Whether there are plain characters only, none of which begins a special token."""
-        rest = text.encode("utf-8", "surrogatepass").translate(None, self.plain_bytes)  # what isn't plain ASCII
-        return self.rule is not None and (not rest or self.plain.fullmatch(rest.decode("utf-8", "surrogatepass")) is not None)
+        return self.rule is not None and self.plain(text)
 
     def _encode_run(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = []
