@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact, langid, licenses, packing, quality, simhash, tokenbin, warc
+from . import bpe, chat, exact, interactions, langid, licenses, packing, quality, simhash, tokenbin, warc
 from .store import new_path, on_workers
 
 
@@ -241,6 +241,39 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.write_and_read(_table(spark, sf_dir, "documents"))
 
 
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, coalesce(CAST(source AS VARCHAR), '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), f AS (
+  SELECT d.doc_id, part, concat(
+      CASE WHEN len(w) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+      CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t) THEN 'C' END,
+      CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END) AS fails
+  FROM d
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), x AS (
+  SELECT part, fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM f LEFT JOIN l USING (doc_id)
+), c AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c), o AS (
+  SELECT a.c || b.c || e.c || g.c || h.c AS filter_order FROM c a, c b, c e, c g, c h
+  WHERE len(list_distinct([a.c, b.c, e.c, g.c, h.c])) = 5
+), y AS (
+  SELECT x.*, filter_order, coalesce(list_min(list_filter([1, 2, 3, 4, 5], lambda i: contains(fails, filter_order[i]))), 6) AS first FROM x, o
+), z AS (SELECT y.*, CAST(step AS INTEGER) AS step, filter_order[step] AS here FROM y, (SELECT unnest([1, 2, 3, 4, 5]) AS step) s),
+g AS (
+  SELECT part, filter_order, step, here, count(*) FILTER (first > step) AS kept, count(*) FILTER (first = step) AS removed,
+    count(*) FILTER (contains(fails, here) AND first < step) AS redundant, count(*) FILTER (fails = here) AS unique_fails,
+    count(*) FILTER (first = step AND good) AS good_lost, count(*) FILTER (first = step AND toxic) AS toxic_lost
+  FROM z GROUP BY ALL
+)
+SELECT * EXCLUDE (here), CAST(sum(removed) OVER (PARTITION BY part, here) AS BIGINT) AS shapley FROM g
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
@@ -256,6 +289,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_bpe": op9_bpe,
         "op10_token_files": op10_token_files,
+        "op13_filter_interactions": op13_filter_interactions,
     }
 
 
@@ -266,4 +300,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_scan": OP5_SQL,
         "op6_quality_rules": OP6_SQL,
         "op8_exact_dedup": OP8_SQL,
+        "op13_filter_interactions": OP13_SQL,
     }
