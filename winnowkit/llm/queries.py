@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact, interactions, langid, licenses, packing, quality, simhash, tokenbin, warc
+from . import bpe, chat, exact, interactions, langid, licenses, packing, quality, simhash, suffixes, tokenbin, warc
 from .store import new_path, on_workers
 
 
@@ -241,6 +241,32 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.write_and_read(_table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP11_SQL = rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL
+), t AS MATERIALIZED (
+  SELECT DISTINCT item, least(10, len(w)) AS n, w[i:i + least(10, len(w)) - 1] AS win
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
+), p AS (
+  SELECT r, i, n, w[i:i + n - 1] AS win FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM t) WHERE len(w) >= n)
+), m AS MATERIALIZED (SELECT r, i, p.n, item FROM p JOIN t USING (n, win)),
+hit AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS x FROM (SELECT DISTINCT r, i, n FROM m)) GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
+"""
+
+
 def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -289,6 +315,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_bpe": op9_bpe,
         "op10_token_files": op10_token_files,
+        "op11_decontamination": op11_decontamination,
         "op13_filter_interactions": op13_filter_interactions,
     }
 
@@ -300,5 +327,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_scan": OP5_SQL,
         "op6_quality_rules": OP6_SQL,
         "op8_exact_dedup": OP8_SQL,
+        "op11_decontamination": OP11_SQL,
         "op13_filter_interactions": OP13_SQL,
     }
