@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact, interactions, langid, licenses, packing, quality, simhash, suffixes, tokenbin, warc
+from . import bpe, chat, exact, interactions, langid, licenses, negatives, packing, quality, simhash, suffixes, tokenbin, warc
 from .store import new_path, on_workers
 
 
@@ -267,6 +267,33 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 """
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=label)
+
+
+OP12_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS MATERIALIZED (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
+    CAST(coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: coalesce(z[1] * z[2], 0))), 0) AS BIGINT) AS score
+  FROM v a, v b WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT ar, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) AS n
+  FROM s WHERE same AND r <> ar QUALIFY n <= 5
+), g AS (
+  SELECT p.anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.ar, p.n ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.ar = p.ar AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score QUALIFY rank <= 3
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM g
+"""
+
+
 def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -316,6 +343,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_bpe": op9_bpe,
         "op10_token_files": op10_token_files,
         "op11_decontamination": op11_decontamination,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_filter_interactions": op13_filter_interactions,
     }
 
@@ -328,5 +356,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_quality_rules": OP6_SQL,
         "op8_exact_dedup": OP8_SQL,
         "op11_decontamination": OP11_SQL,
+        "op12_hard_negatives": OP12_SQL,
         "op13_filter_interactions": OP13_SQL,
     }
