@@ -126,10 +126,12 @@ def test_exclusive_percentile(spark):
     assert dedup.exclusive_percentile(spark.createDataFrame([(None,)], "v double"), "v") == (None, 0)
 
 
-def test_greedy_groups(spark):
+@pytest.mark.parametrize(("most", "heads"), [(1024, 32), (6, 3)])
+def test_greedy_groups(spark, most, heads):
     rnd = random.Random(2)
-    rows = [(i, rnd.choice("xy"), " ".join(rnd.sample("abcdefgh", rnd.randint(0, 5))), rnd.choice(["sr", ""])) for i in range(120)]
-    got = {r.ord: r.anchor for r in dedup.greedy_groups(spark.createDataFrame(rows, "ord bigint, g string, t string, l string"), ["g"], "t", F.col("l"), 0.5).collect()}
+    rows = [(i, rnd.choice("xy"), " ".join(rnd.sample("abcdefgh", rnd.randint(0, 5))), rnd.choice(["sr", ""])) for i in range(160)]
+    df = spark.createDataFrame(rows, "ord bigint, g string, t string, l string").repartition(3)
+    got = {r.ord: r.anchor for r in dedup.greedy_groups(df, ["g"], "t", F.col("l"), 0.5, most=most, heads=heads).collect()}
     anchors, want = {}, {}
     for i, g, t, level in rows:
         w = set(t.split())
@@ -140,6 +142,24 @@ def test_greedy_groups(spark):
     assert got == want
 
 
+def test_a_hundred_thousand_unlike_sets_of_one_key(spark):
+    """Families of five sets of ten tokens; a family's first is like the next three of it, and its fifth like none."""
+    n = 100_000
+    own = lambda family, changed: F.concat_ws(" ", *[F.concat(F.lit(f"t{j}x" if j >= 2 * changed else f"c{changed}y{j}x"), family.cast("string")) for j in range(10)])
+    family, nth = F.floor(F.col("id") / 5), F.col("id") % 5
+    text = F.when(nth == 0, own(family, 0)).when(nth == 4, own(family, 4)).otherwise(own(family, 1))
+    rows = spark.range(n).select(F.col("id").alias("ord"), F.lit("k").alias("g"), F.concat_ws(" ", text, F.concat(F.lit("u"), (F.col("id") % 7).cast("string"))).alias("t"))
+    got = dedup.greedy_groups(rows, ["g"], "t", F.lit(""), 0.5)
+    want = F.when((F.col("ord") % 5).between(1, 3), F.floor(F.col("ord") / 5) * 5).otherwise(F.col("ord"))
+    assert got.count() == n and got.where(F.col("anchor") != want).count() == 0
+
+
+def test_thresholds_at_the_ends(spark):
+    sets = spark.createDataFrame([("g", 3, [1, 2]), ("g", 1, [5]), ("h", 7, [9])], "g string, id bigint, w array<bigint>")
+    assert {tuple(r) for r in dedup.anchors_by_rounds(sets, 0.0).collect()} == {(3, 1), (1, 1), (7, 7)}
+    assert {tuple(r) for r in dedup.anchors_by_rounds(sets, 1.5).collect()} == {(3, 3), (1, 1), (7, 7)}
+
+
 def test_merge_keeps_the_best_listing(spark):
     rows = posting_rows(spark, [{"object_id": "a", "source": "adhoc", "published_at": "2024-03-01", "apply_url": "u1"}, {"object_id": "b", "published_at": "2024-01-01", "apply_url": "u2"}, {"object_id": "c", "published_at": "2024-02-01", "apply_url": "u1"}])
     (r,) = dedup.merge(rows.withColumn("cluster_key", F.lit("k")), "cluster_key").collect()

@@ -13,8 +13,10 @@ from ..functions.keys import newest_first
 from ..functions.text import jaccard, level_signature, strip, tokens
 from ..tables import settle
 
-#: Token sets of a group that one task folds at a time.
-FOLD = 4096
+#: A group of so many token sets is folded by one task; a larger one is worked through in rounds.
+FOLD = 1024
+#: First sets of each token's list with which the others of the list are compared in a round.
+HEADS = 32
 #: Groups are cut down to their first members in two steps, so that a hot group is no one task's burden.
 SALTS = 32
 
@@ -110,39 +112,105 @@ def _similar_from(a: frozenset, b: frozenset, threshold: float) -> bool:
 
 
 def _fold(threshold: float):
-    """Stream (g, kind, id, w) sorted by group, kind, id; kind 0 are anchors, 1 rows that may become some, 2 rows that may not."""
+    """Stream (g, id, w) sorted by group and id: (id, anchor)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, anchors = None, []
         for batch in batches:
             out = []
-            for g, kind, i, w in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for g, i, w in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if g != group:
                     group, anchors = g, []
                 tokens = frozenset(w)
-                found = None if kind == 0 else next((a for a, t in anchors if _similar_from(tokens, t, threshold)), None)
-                if kind == 0 or kind == 1 and found is None:
+                found = next((a for a, t in anchors if _similar_from(tokens, t, threshold)), None)
+                if found is None:
                     anchors.append((i, tokens))
-                    found = i
-                if kind:
-                    out.append((i, found))
+                out.append((i, i if found is None else found))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["id", "anchor"])
 
     return run
 
 
-def greedy_groups(rows: DataFrame, group: list[str], text: str, level: Column, threshold: float, order: str = "ord", most: int = FOLD) -> DataFrame:
+def _without(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``column`` isn't an id of ``ids``."""
+    return rows.join(ids.select(F.col("id").alias("_gone")), F.col(column) == F.col("_gone"), "left_anti")
+
+
+def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """(g, token, id, n, k): the rarest tokens of each set of n; of two similar sets these have one in common. k is their number."""
+    each = sets.select("g", "id", F.size("w").alias("n"), F.explode("w").alias("token"))
+    counts = each.groupBy(F.col("g").alias("_g2"), F.col("token").alias("_t2")).agg(F.count(F.lit(1)).alias("df"))
+    each = each.join(counts, (F.col("g") == F.col("_g2")) & (F.col("token") == F.col("_t2")))
+    own = each.groupBy("g", "id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))  # the tokens of one set
+    k = (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int")
+    return own.select("g", "id", "n", k.alias("k"), F.explode(F.slice("t", 1, k)).alias("t")).select("g", "t.token", "id", "n", "k")
+
+
+def _similar_pairs(sets: DataFrame, posts: DataFrame, earlier: DataFrame, threshold: float) -> DataFrame:
+    """(y, x): sets x of ``posts`` with the similar earlier sets y of ``earlier``."""
+    firsts = earlier.select(F.col("g").alias("_g"), F.col("token").alias("_t"), F.col("id").alias("y"), F.col("n").alias("m"))
+    met = posts.join(firsts, (F.col("g") == F.col("_g")) & (F.col("token") == F.col("_t")) & (F.col("y") < F.col("id")))
+    met = met.where(F.least("n", "m") >= F.greatest("n", "m") * threshold - 1e-9).select("y", F.col("id").alias("x")).distinct()
+    words = lambda name: sets.select(F.col("id").alias(f"_{name}"), F.col("w").alias(f"w_{name}"))
+    met = met.join(words("x"), F.col("x") == F.col("_x")).join(words("y"), F.col("y") == F.col("_y"))
+    both = F.size(F.array_intersect("w_x", "w_y"))
+    return met.where(both / (F.size("w_x") + F.size("w_y") - both) >= threshold).select("y", "x")
+
+
+def anchors_by_rounds(sets: DataFrame, threshold: float, heads: int = HEADS) -> DataFrame:
+    """(id, anchor) for sets (g, id, w) with unique ids: the first earlier anchor of the group that is similar, else the set itself.
+
+    A set is an anchor if no earlier anchor is similar. In a round each set is compared with the first
+    ``heads`` sets of the lists of its rarest tokens. A set that is among those in all of its lists has been compared with
+    all that come before it; if none of the undecided ones is similar it is an anchor, and the later ones that
+    are similar to it are none. This goes on until nothing more follows, then
+    the undecided ones go through another round. So a run of similar sets falls to its first one at once, unlike sets
+    are all decided together, and comparisons stay within ``heads`` times the tokens. At last each set that is no
+    anchor takes the first similar one.
+    """
+    if threshold > 1:
+        return sets.select("id", F.col("id").alias("anchor"))
+    if threshold <= 0:
+        first = sets.groupBy(F.col("g").alias("_g")).agg(F.min("id").alias("anchor"))
+        return sets.join(first, F.col("g") == F.col("_g")).select("id", "anchor")
+    posts = settle(_prefixes(sets, threshold), "prefixes")
+    alive, anchors = posts, None
+    while True:
+        nth = F.row_number().over(Window.partitionBy("g", "token").orderBy("id"))
+        head = settle(alive.withColumn("_n", nth).where(F.col("_n") <= heads).drop("_n"), "heads")
+        pairs = settle(_similar_pairs(sets, alive, head, threshold), "similar")
+        ready = settle(head.groupBy("id", "k").agg(F.count(F.lit(1)).alias("c")).where("c = k").select("id"), "ready")
+        gone = None
+        while True:
+            new = settle(_without(ready, "id", pairs.select(F.col("x").alias("id"))), "anchors")
+            if new.isEmpty():
+                break
+            out = settle(pairs.join(new.select(F.col("id").alias("_a")), F.col("y") == F.col("_a"), "left_semi").select(F.col("x").alias("id")).distinct(), "similar-to-anchors")
+            anchors = new if anchors is None else anchors.union(new)
+            decided = new.union(out)
+            gone = decided if gone is None else gone.union(decided)
+            pairs = settle(_without(_without(pairs, "x", out), "y", out), "similar")
+            ready = settle(_without(ready, "id", decided), "ready")
+        alive = settle(_without(alive, "id", gone), "undecided")
+        if alive.isEmpty():
+            break
+    anchors = settle(anchors, "all-anchors")
+    others = _without(posts, "id", anchors)
+    firsts = posts.join(anchors.select(F.col("id").alias("_a")), F.col("id") == F.col("_a"), "left_semi")
+    joined = _similar_pairs(sets, others, firsts, threshold).groupBy(F.col("x").alias("id")).agg(F.min("y").alias("anchor"))
+    return joined.union(anchors.select("id", F.col("id").alias("anchor")))
+
+
+def greedy_groups(rows: DataFrame, group: list[str], text: str, level: Column, threshold: float, order: str = "ord", most: int = FOLD, heads: int = HEADS) -> DataFrame:
     """(order, anchor): the first member of the subgroup that each row belongs to.
 
     In order, a row joins the first subgroup of its group whose first member has its level and a
     similar text; else it starts one. Blank texts stay alone. Levels never mix, so they split
-    the groups; rows with the same tokens always share their fate, so each token set enters the
-    fold once, as the hashes of its tokens.
+    the groups; rows with the same tokens always share their fate, so each token set enters
+    once, as the hashes of its tokens.
 
-    A task folds a group as a stream and holds its anchors. Of a group of over ``most`` sets only about
-    the first ``most`` are folded; the others are compared with the anchors this gave in as many tasks
-    as they need, and those that join none go through another round. That gives the same anchors: a
-    row's is the first similar one, and an anchor of an earlier round comes first.
+    A task folds groups of up to ``most`` sets as a stream and holds the anchors of one. Larger ones are
+    worked through by ``anchors_by_rounds``, all of them together, and no task holds any of those.
     """
     by = [*group, "_level"]
     keyed = rows.select(*group, F.col(order).cast("bigint").alias("_ord"), level.alias("_level"), tokens(F.col(text)).alias("_w"), (F.coalesce(strip(F.col(text)), F.lit("")) == "").alias("_blank"))
@@ -154,47 +222,18 @@ def greedy_groups(rows: DataFrame, group: list[str], text: str, level: Column, t
     alone = keyed.where(lonely).select(F.col("_ord").alias(order), F.col("_ord").alias("anchor"))
     live = keyed.where(~lonely).withColumn("_set", F.xxhash64("_w"))
     sets = live.groupBy("_g", "_set").agg(F.min("_ord").alias("id"), F.first("_w").alias("w"))
-    pending, found = settle(sets.select("_g", "_set", "id", "w"), "sets"), None
-    every = pending
-    while True:
-        sizes = pending.groupBy("_g").agg(F.count(F.lit(1)).alias("n"))
-        large = settle(sizes.where(F.col("n") > most).withColumnRenamed("_g", "_lg"), "large")
-        if large.isEmpty():
-            head, rest = pending.withColumn("cut", F.lit(None).cast("bigint")), None
-        else:
-            cut = _cuts(pending, large, most)
-            marked = settle(pending.join(cut, F.col("_g") == F.col("_cg"), "left").drop("_cg"), "marked")
-            head, rest = marked.where("cut is null or id <= cut"), marked.where("id > cut").select("_g", "_set", "id", "w")
-        folding = head.select("_g", F.lit(1).alias("kind"), "id", "w").repartition("_g").sortWithinPartitions("_g", "id")
-        done = settle(folding.mapInArrow(_fold(threshold), "id bigint, anchor bigint"), "folded")
-        found = done if found is None else found.union(done)
-        if rest is None:
-            break
-        anchors = head.where("cut is not null").join(done.where("id = anchor").select("anchor"), F.col("id") == F.col("anchor"), "left_semi")
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        dealt = anchors.select("_g", F.lit(0).alias("kind"), "id", "w", salts.alias("salt")).union(
-            rest.select("_g", F.lit(2).alias("kind"), "id", "w", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
-        )
-        dealt = dealt.select(F.concat_ws(" ", F.col("salt").cast("string"), "_g").alias("_g"), "kind", "id", "w")
-        dealt = dealt.repartition("_g").sortWithinPartitions("_g", "kind", "id")
-        joined = settle(dealt.mapInArrow(_fold(threshold), "id bigint, anchor bigint"), "joined")
-        found = found.union(joined.where("anchor is not null"))
-        open_ = joined.where("anchor is null").select(F.col("id").alias("_id"))
-        pending = settle(rest.join(open_, F.col("id") == F.col("_id"), "left_semi"), "sets")
-    anchor_of = every.select("_g", "_set", F.col("id").alias("_id")).join(found, F.col("_id") == F.col("id")).select(F.col("_g").alias("_fg"), F.col("_set").alias("_fs"), "anchor")
+    sets = settle(sets.select(F.col("_g").alias("g"), "_set", "id", "w"), "sets")
+    large = settle(sets.groupBy(F.col("g").alias("_lg")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most), "large")
+    is_large = F.col("g") == F.col("_lg")
+    few = sets.join(large, is_large, "left_anti").select("g", "id", "w").repartition("g").sortWithinPartitions("g", "id")
+    found = few.mapInArrow(_fold(threshold), "id bigint, anchor bigint")
+    if not large.isEmpty():
+        found = found.union(anchors_by_rounds(settle(sets.join(large, is_large, "left_semi").select("g", "id", "w"), "large-sets"), threshold, heads))
+    anchor_of = sets.select("g", "_set", F.col("id").alias("_id")).join(found, F.col("_id") == F.col("id")).select(F.col("g").alias("_fg"), F.col("_set").alias("_fs"), "anchor")
     placed = live.join(settle(anchor_of, "anchors"), (F.col("_g") == F.col("_fg")) & (F.col("_set") == F.col("_fs")))
     return placed.select(F.col("_ord").alias(order), "anchor").union(alone)
 
 
-def _cuts(pending: DataFrame, large: DataFrame, most: int) -> DataFrame:
-    """(_cg, cut): for each large group an id with about ``most`` ids up to it, by a sketch of bounded size."""
-    ids = pending.join(large, F.col("_g") == F.col("_lg")).select("_g", "id")
-    shares = F.array(*[F.lit(2.0**-k) for k in range(1, 31)])
-    found = ids.groupBy(F.col("_g").alias("_cg")).agg(F.percentile_approx("id", shares, 2000).alias("q"), F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
-    k = F.greatest(F.lit(1), F.least(F.lit(30), F.ceil(F.log2(F.col("n") / F.lit(most))).cast("int")))
-    return found.select("_cg", F.greatest(F.element_at("q", k), F.col("low")).alias("cut"))
-
-
 def representative_order() -> Column:
     """Which listing of a group survives: an employer's own before an aggregator's, newest, most text, first."""
     return F.struct(

@@ -10,23 +10,23 @@ its keys from then on; a surfaced one that finds none makes an entry. An entry k
 object id, the best band it was ever shown at, and the union of its keys. Of two entries
 with the same object id the one put last stays.
 
-That order only matters among postings and entries that share keys, so each connected set of those
-is worked through by itself, as a stream of its rows in one pass. What a task holds are
-the entries and keys of one set; entries that no posting's key leads to stay as they are.
+A run is merged without going through it posting by posting. Once a posting has touched a key, that key has an
+owner for good, so whether a posting makes an entry, and else by which key it finds one, follows from
+the first touch of each key. Whose entry that is was settled by an earlier posting that touched
+the key: such references are followed to their ends, twice as far in each round. Only a key that entries of several names
+hold can change hands in between; its owner as of a posting is the holder that was put last before,
+found on sorted timelines, and this is repeated until nothing moves. Each repetition settles at
+least the earliest posting that was wrong. No task holds a connected set or all rows of a key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import fixed
 from ..functions.keys import band_rank, match_keys, posting_key
-from ..tables import discard, settle
-from .graph import components
+from ..tables import settle
+from .timeline import latest_before, number
 from .visited import applied_companies
 
 ENTRY_DDL = (
@@ -111,91 +111,115 @@ def label_counts(store: DataFrame) -> DataFrame:
     return store.agg(F.count_if("opened").alias("opened"), F.count_if("applied").alias("applied"), F.count_if("company_applied").alias("company_applied"))
 
 
-def _linked(rows: DataFrame) -> DataFrame:
-    """``rows`` (row, keys) with root: the same for all rows that keys connect."""
-    nodes = settle(rows.select("row", F.explode(F.transform("keys", lambda k: F.xxhash64(k))).alias("node")), "nodes")
-    first = nodes.groupBy("row").agg(F.min("node").alias("low"))
-    links = nodes.join(first, "row").where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b"))
-    found = components(links)
-    placed = first.join(found, F.col("low") == F.col("node"), "left").select("row", F.coalesce("root", "low").alias("root"))
-    return rows.join(settle(placed, "sets"), "row")
-
-
-class _Set:
-    """The entries of one connected set while its rows are worked through, with the owner of each key."""
-
-    def __init__(self):
-        self.entries: dict[str, dict] = {}
-        self.owner: dict[str, str] = {}
-
-    def put(self, entry: dict) -> None:
-        self.entries.pop(entry["object_id"], None)
-        self.entries[entry["object_id"]] = entry
-        for key in entry["keys"]:
-            self.owner[key] = entry["object_id"]
-
-    def work(self, row: dict, today: str) -> None:
-        if row["phase"] == 0:
-            self.put(row)
-            return
-        held = next((self.owner[k] for k in row["keys"] if k in self.owner), None)
-        if held is None:
-            if row["phase"] == 1:
-                self.put(row | {"first_surfaced": today, "last_surfaced": today, "surfaced_count": 1, "opened": False, "applied": False, "company_applied": False})
-            return
-        old = self.entries[held]
-        new = old | {"keys": sorted({*old["keys"], *row["keys"]}), "put_seq": row["put_seq"]}
-        if row["phase"] == 1:
-            rank = lambda band: fixed.BAND_RANKS.get(band, 0)
-            new |= {"band": max(old["band"], row["band"], key=rank), "last_surfaced": today, "surfaced_count": old["surfaced_count"] + 1}
-        self.put(new)
+def _follow(pointers: DataFrame) -> DataFrame:
+    """(t, name) of ``pointers`` (t, name, prior): where the name is missing it is that of the posting ``prior``, which is an earlier one."""
+    while True:
+        open_ = pointers.where("name is null")
+        if open_.isEmpty():
+            return pointers.select("t", "name")
+        via = pointers.select(F.col("t").alias("_t"), F.col("name").alias("_name"), F.col("prior").alias("_prior"))
+        moved = open_.join(via, F.col("prior") == F.col("_t")).select("t", F.col("_name").alias("name"), F.col("_prior").alias("prior"))
+        pointers = settle(pointers.where("name is not null").union(moved), "pointers")
+
+
+def _started(named: DataFrame, starts: DataFrame) -> DataFrame:
+    """``named`` (t, name) with start: when the entry that has the name at t was made; 0 for the store's."""
+    several = starts.groupBy(F.col("name").alias("_n")).agg(F.count(F.lit(1)).alias("n"), F.min("start").alias("_s"))
+    found = named.join(several, F.col("name") == F.col("_n"))
+    once = found.where("n = 1").select("t", "name", F.col("_s").alias("start"))
+    if several.where("n > 1").isEmpty():
+        return once
+    again = latest_before(found.where("n > 1").select(F.col("name").alias("k"), "t"), starts.select(F.col("name").alias("k"), F.col("start").alias("t")), inclusive=True)
+    return once.union(again.select("t", F.col("k").alias("name"), F.col("mark").alias("start")))
+
+
+def resolve(events: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(t, name, start) of each posting of ``events`` (t, object_id, keys): the entry that it makes or finds, by its object id and the
+    t at which it was made, 0 for the store's; and (name, start) of all entries of those names."""
+    touch = settle(events.select("t", F.explode("keys").alias("key")), "touches")
+    first = touch.groupBy("key").agg(F.min("t").alias("first"))
+    info = settle(first.join(owners(store), "key", "left"), "keys")
+    held = touch.join(info, "key").where("owner is not null or first < t")
+    looked = held.groupBy("t").agg(F.min(F.struct("key", "owner", "first")).alias("x"))
+    begun = events.select("t", "object_id").join(looked.withColumnRenamed("t", "_t"), F.col("t") == F.col("_t"), "left")
+    begun = settle(
+        begun.select(
+            "t", F.col("x.key").alias("key"), F.when(F.col("x").isNull(), F.col("object_id")).otherwise(F.col("x.owner")).alias("name"),
+            F.when(F.col("x.owner").isNull(), F.col("x.first")).alias("prior"), F.col("x.owner").alias("owner"),
+        ),
+        "begun",
+    )
+    made = begun.where("key is null").select("name", F.col("t").alias("start"))
+    old = store.select(F.col("object_id").alias("name"), F.lit(0).cast("bigint").alias("start")).distinct()
+    live = _live(store).select(F.explode("keys").alias("key"), F.col("object_id").alias("name"), F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("since"))
+    live = settle(live.join(first.select(F.col("key").alias("_key")), F.col("key") == F.col("_key"), "left_semi"), "holds-before")
+    named = _follow(begun.select("t", "name", "prior"))
+    while True:
+        used = named.select(F.col("name").alias("_used")).distinct()
+        starts = settle(made.union(old.join(used, F.col("name") == F.col("_used"), "left_semi")), "starts-of")
+        placed = settle(_started(named, starts), "placed")
+        holds = settle(touch.join(placed, "t").groupBy("key", "name", "start").agg(F.min("t").alias("since")), "holds")
+        names = holds.union(live).select("key", "name").union(info.where("owner is not null").select("key", "owner"))
+        hot = settle(names.groupBy("key").agg(F.min("name").alias("a"), F.max("name").alias("b")).where("a <> b").select(F.col("key").alias("_key")), "contested")
+        asks = settle(begun.join(hot, F.col("key") == F.col("_key"), "left_semi").select("t", "key"), "asks")
+        if asks.isEmpty():
+            return placed, starts
+        among = holds.union(live).join(hot, F.col("key") == F.col("_key"), "left_semi").select(F.col("key").alias("_k"), "name", "start", "since")
+        asked = asks.join(among, (F.col("key") == F.col("_k")) & (F.col("since") < F.col("t")))
+        entry = F.struct("name", "start").alias("k")
+        found = latest_before(asked.select(entry, "t"), placed.select(entry, "t")).groupBy(F.col("t").alias("_t")).agg(F.max("mark").alias("mark"))
+        moved = begun.join(found, F.col("t") == F.col("_t"), "left").select(
+            "t", F.when(F.col("key").isNull(), F.col("name")).when(F.col("mark").isNull(), F.col("owner")).alias("name"),
+            F.when(F.col("key").isNotNull(), F.coalesce("mark", F.when(F.col("owner").isNull(), F.col("prior")))).alias("prior"),
+        )
+        now = _follow(settle(moved, "pointers"))
+        if now.join(named.select(F.col("t").alias("_t"), F.col("name").alias("_name")), F.col("t") == F.col("_t")).where("name <> _name").isEmpty():
+            return placed, starts
+        named = now
+
+
+def _live(store: DataFrame) -> DataFrame:
+    """Of entries with the same object id, the one put last."""
+    return store.groupBy("object_id").agg(F.max_by(F.struct(*store.columns), F.struct(*PUT_ORDER)).alias("e")).select("e.*")
 
 
 def merge(store: DataFrame, classified: DataFrame, today: str) -> DataFrame:
     """The next version of the store."""
     columns = [c.split(" ")[0] for c in ENTRY_DDL.split(", ")]
-    marked = lambda keys: F.concat(keys, F.array(F.concat(F.lit("oid:"), F.col("object_id"))))
-    top, wide = store.agg(F.coalesce(F.max("put_seq"), F.lit(0))).first()[0], 1 << 40
+    top = store.agg(F.coalesce(F.max("put_seq"), F.lit(0))).first()[0]
     late = F.col("action") == "suppressed"
-    phase = F.when(late, 2).otherwise(1)
     events = classified.select(
-        phase.alias("phase"), F.coalesce("object_id", F.lit("")).alias("object_id"), "keys", "band",
-        *[F.lit(None).cast(k).alias(c) for c, k in (("first_surfaced", "string"), ("last_surfaced", "string"), ("surfaced_count", "bigint"), ("opened", "boolean"), ("applied", "boolean"), ("company_applied", "boolean"))],
+        F.when(late, 2).otherwise(1).alias("phase"), "ord", F.coalesce("object_id", F.lit("")).alias("object_id"), "keys", "band",
         F.coalesce(F.nullif("raw_title", F.lit("")), "title").alias("title"), "company", F.coalesce("company_host", F.lit("")).alias("company_host"),
-        (F.lit(top + 1) + F.col("ord") + (phase - 1) * F.lit(wide)).alias("put_seq"),
     )
-    events = settle(events.withColumn("row", F.struct("put_seq", "object_id").cast("string")), "events")
-    # Only entries that hold a key, or have the id, of some posting of the run take part.
-    asked = events.select(F.explode(marked(F.col("keys"))).alias("asked")).distinct()
-    held = store.select("object_id", F.explode(marked(F.col("keys"))).alias("key"))
-    touched = settle(held.join(asked, F.col("key") == F.col("asked")).groupBy("object_id").agg(F.collect_set("key").alias("shared")).withColumnRenamed("object_id", "of"), "touched")
-    old = store.join(touched, F.col("object_id") == F.col("of")).withColumn("phase", F.lit(0)).withColumn("row", F.concat(F.lit("old "), F.col("object_id")))
-    linked = _linked(old.select("row", F.col("shared").alias("keys")).union(events.select("row", marked(F.col("keys")))))
-    rows = old.select("phase", "row", *columns).unionByName(events.select("phase", "row", *columns)).join(linked.select("row", "root"), "row")
-    order: list[Column] = [F.col("root"), F.col("phase"), *[F.when(F.col("phase") == 0, F.col(c)) for c in PUT_ORDER[:2]], F.col("put_seq")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        root, state, out = None, _Set(), []
-        entries = lambda: out.extend(state.entries.values())
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["root"] != root:
-                    entries()
-                    root, state = row["root"], _Set()
-                state.work(row, today)
-            if len(out) >= 4096:
-                yield pa.RecordBatch.from_pylist([{c: e[c] for c in columns} for e in out], schema)
-                out = []
-        entries()
-        yield pa.RecordBatch.from_pylist([{c: e[c] for c in columns} for e in out], schema)
-
-    kinds = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
-    schema = pa.schema([(c.split(" ")[0], kinds[c.split(" ")[1]]) for c in ENTRY_DDL.split(", ")])
-    dealt = rows.select("root", "phase", *columns).repartition("root").sortWithinPartitions(*order)
-    made = settle(dealt.mapInArrow(run, ENTRY_DDL), "entries")
-    out = store.join(touched.select("of"), F.col("object_id") == F.col("of"), "left_anti").select(*columns).unionByName(made)
-    discard(events)
-    return out
+    events = settle(number(events, [F.col("phase"), F.col("ord"), F.col("object_id")]).withColumnRenamed("n", "t"), "events")
+    placed, starts = resolve(events, store)
+    # What stays of a name is its last entry.
+    last = settle(starts.groupBy(F.col("name").alias("_n")).agg(F.max("start").alias("_s")), "last")
+    live = settle(placed.join(last, (F.col("name") == F.col("_n")) & (F.col("start") == F.col("_s"))).select("t", "name", "start").join(events.drop("ord"), "t"), "work")
+    taught = live.select("name", F.explode("keys").alias("key"))
+    shown = F.col("phase") == 1
+    work = live.groupBy("name").agg(
+        F.max("t").alias("put"), F.count_if(shown).alias("shown"), F.max_by(F.struct("band", band_rank(F.col("band")).alias("rank")), F.when(shown, F.struct(band_rank(F.col("band")), -F.col("t")))).alias("best"),
+    )
+    text, flag, none = F.lit(None).cast("string"), F.lit(False), F.array().cast("array<string>")
+    new = live.where("t = start").select(
+        "name", "object_id", none.alias("keys"), "band", F.lit(today).alias("first_surfaced"), text.alias("last_surfaced"), F.lit(0).cast("bigint").alias("surfaced_count"),
+        *[flag.alias(c) for c in ("opened", "applied", "company_applied")], "title", "company", "company_host", F.col("t").alias("put_seq"),
+    )
+    kept = _live(store).join(last.where("_s = 0"), F.col("object_id") == F.col("_n")).select(F.col("object_id").alias("name"), *columns)
+    base = settle(new.union(kept), "bases")
+    keys = taught.union(base.select("name", F.explode("keys"))).distinct().groupBy(F.col("name").alias("_k")).agg(F.array_sort(F.collect_list("key")).alias("all"))
+    out = base.join(work.withColumnRenamed("name", "_w"), F.col("name") == F.col("_w")).join(keys, F.col("name") == F.col("_k"), "left")
+    better = F.col("best.rank") > band_rank(F.col("band"))
+    changed = {
+        "keys": F.coalesce("all", none), "band": F.when(better, F.col("best.band")).otherwise(F.col("band")), "last_surfaced": F.when(F.col("shown") > 0, F.lit(today)).otherwise(F.col("last_surfaced")),
+        "surfaced_count": F.col("surfaced_count") + F.col("shown"), "put_seq": F.lit(top) + F.col("put"),
+    }
+    made = settle(out.withColumns(changed).select(*columns), "entries")
+    if not store.groupBy("object_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():  # only a store that was written elsewhere
+        store = _live(store)
+    return store.join(last.select("_n"), F.col("object_id") == F.col("_n"), "left_anti").select(*columns).unionByName(made)
 
 
 def in_order(store: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import careers, geo, guards, hosts, keys, text
-from ..operators import capture, dedup, rollup, rules, scrape, seen, visited
+from ..operators import capture, dedup, rollup, rules, scrape, seen, timeline, visited
 from ..operators.graph import durable
 from ..sources import pages as page_source
 from . import base, diagnostics, reports
@@ -249,7 +249,7 @@ def postings_order(spark: SparkSession, sf: str) -> DataFrame:
     """The places of the survivors in the order in which postings are written."""
     kept = dedup.deduplicate(durable(postings(spark, sf)), 0.6)[0].select("object_id", "published_at", "company", "title", "place")
     order = [keys.newest_first(F.col("published_at")), F.col("company"), F.col("title"), F.col("place")]
-    return reports.number(kept, order).select("n", "object_id")
+    return timeline.number(kept, order).select("n", "object_id")
 
 
 def cluster_merge(spark: SparkSession, sf: str) -> DataFrame:
@@ -341,7 +341,7 @@ def diff_counters(spark: SparkSession, sf: str) -> DataFrame:
 def shortlist_order(spark: SparkSession, sf: str) -> DataFrame:
     """The places of the postings that are shown, in the order in which a shortlist is written."""
     shown = seen.shortlist(seen.classify(_screened_table(spark, sf), _store(spark, sf)))
-    return reports.number(shown.select("ord", "band", "comp_max", "company"), rules.shortlist_order()).select("n", "ord")
+    return timeline.number(shown.select("ord", "band", "comp_max", "company"), rules.shortlist_order()).select("n", "ord")
 
 
 def store_merge(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,6 +13,7 @@ from ..functions.careers import careers_link, entry_url, search_link
 from ..functions.keys import posting_key
 from ..functions.text import dollars, html_escape, strip
 from ..operators.rules import shortlist_order
+from ..operators.timeline import number
 from ..operators.visited import applied_companies
 from ..tables import settle
 
@@ -108,20 +109,6 @@ def shortlist_rows(screened: DataFrame, applied_hosts: DataFrame, bands: tuple[s
     return numbered.select("n", F.concat(F.lit('<tr class="'), html_escape(F.col("band")), F.lit('">'), cells, F.lit("</tr>")).alias("row"))
 
 
-def number(rows: DataFrame, order: list[Column]) -> DataFrame:
-    """Rows numbered from 1 in order. Ranges of rows are sorted in tasks of their own; their sizes give the numbers."""
-    row = F.monotonically_increasing_id()
-    mask = F.lit((1 << 33) - 1)
-    ranges = rows.orderBy(*order).withColumns({"_range": F.shiftright(row, 33), "_row": row.bitwiseAND(mask)})
-    ranges = settle(ranges, "sorted")
-    sizes, start, starts = sorted(tuple(r) for r in ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()), 1, []  # a row a task
-    for at, n in sizes:
-        starts.append((at, start))
-        start += n
-    begun = rows.sparkSession.createDataFrame(starts, "_at bigint, _start bigint")
-    return ranges.join(F.broadcast(begun), F.col("_range") == F.col("_at")).withColumn("n", F.col("_start") + F.col("_row")).drop("_range", "_row", "_at", "_start")
-
-
 def company_rows(companies: DataFrame) -> DataFrame:
     """(n, row): nearest first, unknown distances last, ties in input order."""
     numbered = number(companies, [F.col("distance_miles").asc_nulls_last(), F.col("ord").asc()])
