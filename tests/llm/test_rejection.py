@@ -73,3 +73,15 @@ def test_calibration_windows_are_rejected_at_the_stated_rate():
         p = np.array([langid.softmax(m[0] / model.temperature).max() for m in measured])
         out = (p < model.least) | (np.array([m[1] for m in measured]) > model.most)
         assert out.mean() <= rate + 1 / len(held)
+
+
+def test_windows_of_texts_without_spaces_are_bounded(spark):
+    """The driver gets a bounded number of bytes a sampled row, in whole characters; rows that repeat give one pair."""
+    texts = ["日本語の文" * 40_000, "a" * 300_000, "ascii words " * 50_000, "短", "ééé" * 9]
+    rows = [(f"k{i}", texts[i % 5], "xy"[i % 2]) for i in range(60)] + [("hot", texts[0], "x")] * 200
+    s = langid.Settings()
+    got = langid.sample_windows(spark.createDataFrame(rows, "k string, t string, l string"), "k", "t", "l", s)
+    assert 60 < len(got) <= 2 * 61 and max(len(w) for _, _, w in got) <= s.long_window * s.word_bytes + 2
+    assert all(w.decode().strip() for _, _, w in got)
+    few = langid.sample_windows(spark.createDataFrame(rows, "k string, t string, l string"), "k", "t", "l", langid.Settings(sample_rows=10))
+    assert len(few) < len(got) / 2

@@ -210,6 +210,7 @@ def comment(text, mark):
 def license_cases():
     apache_header = licenses.FORMS["Apache-2.0"][-1]
     bsd = full("BSD-3-Clause").replace("the copyright holder nor the names of its", "Acme Corp nor the names of its").replace("Copyright (c)", "Copyright (c) 2019, Acme Corp\nAll rights reserved.")
+    gpl = "Copyright (C) 2024 Jane Roe\n\n" + "\n\n".join("\n".join(textwrap.wrap(x, 66)) for x in re.split(r"(?<=later version\.) |(?<=more details\.) ", licenses.FORMS["GPL-3.0"][-2]))
     code = "\npackage main\n\nimport os\nfunc main() { run(os.Args) }\n" * 20
     return [
         *[(name, full(name)) for name in ("MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "ISC", "CC0-1.0", "Unlicense", "BSD-2-Clause", "BSD-3-Clause")],
@@ -218,6 +219,13 @@ def license_cases():
         ("Apache-2.0", "/*\n" + comment("\n".join(textwrap.wrap(apache_header, 70)), " *") + "\n */" + code), ("GPL-3.0", comment("\n".join(textwrap.wrap(licenses.FORMS["GPL-3.0"][-1], 60)), "#") + "\nimport x" + code),
         ("MIT", "# SPDX-License-Identifier: MIT\nimport x" + code), ("Apache-2.0", "// SPDX-License-Identifier: Apache-2.0" + code), ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"),
         ("MIT", "MIT License"), ("MIT", "The MIT License (MIT)"), ("Apache-2.0", "Apache License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("MPL-2.0", "Mozilla Public License Version 2.0"), ("MIT", "// Licensed under the MIT license."),
+        *[("GPL-3.0", comment(gpl, mark) + "\nimport x" + code) for mark in ("#", "//", " *", ";;")], ("GPL-3.0", "# Copyright 2020 Jane Roe\n#\n" + comment("\n".join(textwrap.wrap(licenses.FORMS["GPL-3.0"][-2], 70)), "#") + code),
+        ("LGPL-2.1", comment("\n".join(textwrap.wrap(licenses.FORMS["LGPL-2.1"][-1], 70)) + "\n\nThis library is distributed in the hope that it will be useful.", "#") + code),
+        ("AGPL-3.0", comment("\n".join(textwrap.wrap(licenses.FORMS["AGPL-3.0"][-1], 70)), "//") + code), ("Zlib", full("Zlib")), ("BSL-1.0", full("BSL-1.0")), ("EPL-2.0", comment("\n".join(textwrap.wrap(licenses.FORMS["EPL-2.0"][-1], 70)), " *") + code),
+        *[(name, f"# SPDX-License-Identifier: {name}{kind}" + code) for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "AGPL-3.0") for kind in ("-only", "-or-later", "")], ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+        ("MIT", "// Copyright (c) Foo Corporation. All rights reserved.\n// Licensed under the MIT license. See LICENSE file in the project root for full license information." + code),
+        ("Apache-2.0", "// Use of this source code is governed by the Apache 2.0 license that can be found in the LICENSE file." + code), ("BSD-3-Clause", "// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file." + code),
+        (None, "// Use of this source code is governed by the Acme license that can be found in the LICENSE file." + code), (None, "Licensed under the Acme License, Version 2.0"), (None, "SPDX-License-Identifier: Acme-1.0"),
         (None, code), (None, "the software is provided to any person"), (None, "All rights reserved. This license may not be used."),
     ]
 

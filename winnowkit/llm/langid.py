@@ -4,9 +4,11 @@ A text is lower-cased, everything but letters becomes one space, and each run of
 bytes is hashed to a row of an embedding table. The mean of the rows goes through a linear
 layer and a softmax. The table and the layer are trained together by stochastic gradient
 descent in numpy, on the driver, from windows of words out of a bounded sample of labelled rows:
-``sample_per_language`` rows of each of the ``most_languages`` most frequent labels, picked by a
-hash of the key, one long and one short window each (``long_window`` and 3 to ``short_window``
-words). Windows are cut in the executors, so a few MB reach the driver at any corpus size.
+``sample_per_language`` rows of each of the ``most_languages`` most frequent labels, but no more than about
+``sample_rows`` in all, picked by a hash of key and text, one long and one short window each (``long_window`` and 3 to
+``short_window`` words, and ``word_bytes`` bytes a word on average, for some texts have no spaces). Rows that repeat
+key and text give one pair of windows. Windows are cut in the executors, so the driver gets at most some
+1,200 bytes a sampled row, whatever the texts are.
 
 A fifth of the sampled rows is held back to calibrate. It sets the temperature of the softmax and
 two limits that a prediction is rejected beyond, each so that half of ``error_rate`` of the
@@ -32,7 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import on_workers
@@ -51,6 +53,8 @@ class Settings:
     sample_per_language: int = 1500
     long_window: int = 40
     short_window: int = 8
+    word_bytes: int = 24
+    sample_rows: int = 100_000
     epochs: int = 6
     batch: int = 64
     rate: float = 20.0
@@ -121,15 +125,33 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def cut_window(words: list[bytes], most: int, word_bytes: int, rnd: np.random.Generator) -> bytes:
+    """``most`` words side by side; of longer ones than ``word_bytes`` on average a stretch of whole characters."""
+    at = int(rnd.integers(0, max(1, len(words) - most + 1)))
+    found = b" ".join(words[at : at + most])
+    size = most * word_bytes
+    if len(found) > size:
+        at = int(rnd.integers(0, len(found) - size + 1))
+        inside = lambda i: i < len(found) and found[i] & 0xC0 == 0x80
+        while inside(at):
+            at += 1
+        end = at + size
+        while inside(end):
+            end -= 1
+        found = found[at:end].strip()
+    return b" " + found + b" "
+
+
 def sample_windows(docs: DataFrame, key: str, text: str, label: str, s: Settings) -> list[tuple[int, str, bytes]]:
     """(part, language, normalised window) from the rows that may be learned from."""
     on_workers(docs.sparkSession)
     ours = docs.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(label).cast("string").alias("l"))
     ours = ours.where(F.col("k").isNotNull() & F.col("l").isNotNull() & ~held_out(F.col("k")))
     counts = ours.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(s.most_languages)
-    scale = 1 << 30
-    shares = F.broadcast(counts.select(F.col("l").alias("of"), (F.lit(float(scale * s.sample_per_language)) / F.col("n")).alias("share")))  # a row a language
-    place = F.pmod(F.xxhash64("k", F.lit(s.seed)), F.lit(scale))
+    scale = 1 << 40
+    of_each = F.least(F.lit(float(s.sample_per_language)), F.lit(float(s.sample_rows)) / F.count(F.lit(1)).over(Window.partitionBy()))
+    shares = F.broadcast(counts.select(F.col("l").alias("of"), (of_each * scale / F.col("n")).alias("share")))  # a row a language
+    place = F.pmod(F.xxhash64("k", "t", F.lit(s.seed)), F.lit(scale))
     chosen = ours.join(shares, F.col("l") == F.col("of")).where(place < F.col("share"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,13 +163,12 @@ def sample_windows(docs: DataFrame, key: str, text: str, label: str, s: Settings
                 words = normal_bytes(t).split()
                 rnd = np.random.default_rng([s.seed, *k.encode()])
                 for most in (s.long_window, int(rnd.integers(3, s.short_window + 1))):
-                    at = int(rnd.integers(0, max(1, len(words) - most + 1)))
                     part.append(int(rnd.integers(0, 1 << 30)) if most == s.long_window else part[-1])
                     lang.append(label_)
-                    window.append(b" " + b" ".join(words[at : at + most]) + b" ")
+                    window.append(cut_window(words, most, s.word_bytes, rnd))
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(lang, pa.string()), pa.array(window, pa.binary())], ["part", "lang", "window"])
 
-    rows = chosen.select("k", "t", "l").mapInArrow(cut, "part bigint, lang string, window binary").collect()
+    rows = chosen.select("k", "t", "l").mapInArrow(cut, "part bigint, lang string, window binary").distinct().collect()
     return sorted((r["part"], r["lang"], bytes(r["window"])) for r in rows)
 
 

@@ -2,10 +2,11 @@
 
 Parts of each text are compared with templates: full licence texts (``license_texts``) and the
 forms in which headers, titles and notices name a license. The parts are the whole text, its
-header (the comment lines that it begins with), its blocks (what lies between empty lines) and
-its single lines. Terms are weighted by their document frequency in the whole corpus; a term that
+header (the comment lines that it begins with), its blocks (what lies between lines that are empty but for a
+comment sign) and its single lines. Terms are weighted by their document frequency in the whole corpus; a term that
 no template has weighs as much as one that no document has. The best part of a text decides, if
-its cosine is ``min_score`` or more. A text that finds no license of its own takes that of the
+its cosine is ``min_score`` or more; a form counts only where the words that name its license stand in the part
+too, for forms of different licenses may differ in those alone. A text that finds no license of its own takes that of the
 nearest ancestor directory (its own first) whose licence file has one, by equi-joins on
 directory paths.
 
@@ -37,10 +38,19 @@ from pyspark.sql import functions as F
 from .store import settle
 from .textnorm import lower_ascii
 
+#: The words of a form without which it isn't about that license.
+NAMES = [
+    "affero", "apache", "boost", "bsd", "bsd-style", "by", "by-nc", "by-sa", "cc", "cc0", "creative", "eclipse", "gnu", "isc", "lesser", "mit", "mit-style", "mozilla", "unlicense", "zlib",
+]
 #: The forms in which headers, titles and notices name a license.
 FORMS = {
+    "AGPL-3.0": [
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007", "GNU Affero General Public License, version 3", "This work is licensed under the GNU Affero General Public License, version 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
     "Apache-2.0": [
         "Apache License, Version 2.0", "Apache License 2.0", "Licensed under the Apache License, Version 2.0", "Released under the Apache License 2.0",
+        "Use of this source code is governed by the Apache 2.0 license that can be found in the LICENSE file.", "Licensed under the Apache License 2.0. See LICENSE file in the project root for full license information.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     ],
     "BSD-2-Clause": ["BSD 2-Clause License", "Licensed under the BSD 2-Clause License", "Redistribution and use are permitted under the BSD 2-Clause License"],
@@ -48,12 +58,18 @@ FORMS = {
         "BSD 3-Clause License", "Licensed under the BSD 3-Clause License", "Redistribution and use are permitted under the BSD 3-Clause License",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
     ],
+    "BSL-1.0": ["Boost Software License - Version 1.0 - August 17th, 2003", "Distributed under the Boost Software License, Version 1.0.", "Use, modification and distribution are subject to the Boost Software License, Version 1.0."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0", "Creative Commons Attribution 4.0 International", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
     "CC-BY-NC-4.0": [
         "Licensed under CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
     ],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"],
     "CC0-1.0": ["CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal Public Domain Dedication"],
+    "EPL-2.0": [
+        "Eclipse Public License - v 2.0", "Eclipse Public License, version 2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which accompanies this distribution, and is available at https://www.eclipse.org/legal/epl-2.0",
+    ],
     "GPL-2.0": [
         "GNU General Public License, version 2", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991", "This work is licensed under the GNU General Public License, version 2",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
@@ -61,20 +77,33 @@ FORMS = {
     "GPL-3.0": [
         "GNU General Public License, version 3", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "This work is licensed under the GNU General Public License, version 3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
+        "This file is licensed under the GNU General Public License, version 3 only.",
     ],
     "ISC": ["ISC License", "Licensed under the ISC License"],
-    "LGPL-2.1": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", "This work is licensed under the GNU Lesser General Public License, version 2.1"],
-    "LGPL-3.0": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "This work is licensed under the GNU Lesser General Public License, version 3"],
-    "MIT": ["MIT License", "Released under the MIT License", "Licensed under the MIT License"],
+    "LGPL-2.1": [
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", "This work is licensed under the GNU Lesser General Public License, version 2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-3.0": [
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "This work is licensed under the GNU Lesser General Public License, version 3",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "MIT": [
+        "MIT License", "Released under the MIT License", "Licensed under the MIT License", "Licensed under the MIT license. See LICENSE file in the project root for full license information.",
+        "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file.", "Use of this source code is governed by the MIT license that can be found in the LICENSE file.",
+    ],
     "MPL-2.0": [
         "Mozilla Public License Version 2.0", "This work is subject to the terms of the Mozilla Public License, version 2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ],
     "Unlicense": ["The Unlicense", "This is free and unencumbered software released into the public domain"],
+    "Zlib": ["zlib License", "Licensed under the zlib License", "Released under the zlib license"],
 }
 TERM = r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"
 COMMENT = r"^[ \t\r]*(//|#|/?\*|--|;|%|<!--|\"\"\"|\z)"
-EMPTY_LINES = r"\n[ \t\r]*\n"
+#: Also lines of a comment sign alone.
+EMPTY_LINES = r"\n[ \t\r]*(?:/?\*+/?|//+|#+|--+|;+|%+)?[ \t\r]*\n"
 MIN_SCORE = 0.75
 LICENSE_FILES = r"(^|/)(LICENSE|LICENCE|COPYING)(\.[a-z]+)?$"
 
@@ -83,7 +112,16 @@ def templates() -> list[tuple[str, str]]:
     """(license, text) of every template: full texts, forms, and SPDX lines."""
     full = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
     forms = [(name, form) for name, listed in FORMS.items() for form in listed]
-    return sorted(full + forms + [(name, f"SPDX-License-Identifier: {name}") for name in FORMS])
+    spdx = [(name, f"SPDX-License-Identifier: {name}{kind}") for name in FORMS for kind in (("", "-only", "-or-later") if "GPL" in name else ("",))]
+    return sorted(full + forms + spdx)
+
+
+def needed(template: tuple[str, str]) -> list[str]:
+    """Terms that a part must have to be compared with a form or an SPDX line: those that name the license. A full text needs none."""
+    name, text = template
+    if text not in FORMS.get(name, ()) and not text.startswith("SPDX-"):
+        return []
+    return sorted({t for t in re.findall(TERM, text.lower()) if t in NAMES or t.startswith(name.lower())})
 
 
 def terms(text: Column) -> Column:
@@ -156,13 +194,14 @@ def own_licenses(files: DataFrame, carry: dict[str, Column], text: str, listed:
     read = settle(read.select(*carry, "row", likely.alias("parts")), "license-parts")
 
     weights = F.broadcast(spark.createDataFrame(sorted(idf.items()), "term string, idf double"))
-    rows = [(t, i, listed[i][0], w) for i, vector in enumerate(unit) for t, w in sorted(vector.items())]
-    vectors = F.broadcast(spark.createDataFrame(rows, "term string, template int, license string, tw double"))
+    names = [needed(x) for x in listed]
+    rows = [(t, i, listed[i][0], w, int(t in names[i]), len(names[i])) for i, vector in enumerate(unit) for t, w in sorted(vector.items())]
+    vectors = F.broadcast(spark.createDataFrame(rows, "term string, template int, license string, tw double, needed int, of int"))
     each = read.where(F.size("parts") > 0).select("row", F.posexplode("parts").alias("part", "x"))
     counted = each.select("row", "part", F.explode(terms(F.col("x"))).alias("term")).groupBy("row", "part", "term").agg(F.count(F.lit(1)).alias("tf"))
     valued = settle(counted.join(weights, "term", "left").select("row", "part", "term", (F.col("tf") * F.coalesce("idf", F.lit(other))).alias("w")), "license-terms")
     norms = valued.groupBy("row", "part").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = valued.join(vectors, "term").groupBy("row", "part", "template", "license").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    dots = valued.join(vectors, "term").groupBy("row", "part", "template", "license", "of").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"), F.sum("needed").alias("has")).where("has = of")
     scored = dots.join(norms, ["row", "part"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= min_score)
     best = scored.groupBy(F.col("row").alias("hit")).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("license").alias("l"))).alias("b"))
     best = best.select("hit", F.col("b.l").alias("own"), (-F.col("b.s")).alias("own_score"))

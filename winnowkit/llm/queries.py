@@ -132,7 +132,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUOTE = lambda x: "'" + x.replace("'", "''") + "'"
-_TEMPLATE_ROWS = ", ".join(f"({_QUOTE(name)}, {_QUOTE(x)})" for name, x in licenses.templates())
+_TEMPLATE_ROWS = ", ".join(f"({_QUOTE(x[0])}, {_QUOTE(x[1])}, {licenses.needed(x)}::VARCHAR[])" for x in licenses.templates())
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 OP5_SQL = rf"""
 WITH f AS MATERIALIZED (
@@ -140,13 +140,13 @@ WITH f AS MATERIALIZED (
 ), d AS (
   SELECT r, doc_id, t, CASE WHEN doc_id % 500 < 20 THEN top ELSE low END AS dir, top, low, doc_id % 500 < 20 OR doc_id % 25 < 5 AS licence_file, string_split(t, chr(10)) AS lines FROM f
 ), n AS (
-  SELECT license, i, unnest(regexp_extract_all({_LOWER.format("x")}, '{licenses.TERM}')) AS term
-  FROM (SELECT license, x, row_number() OVER (ORDER BY license, x) AS i FROM (VALUES {_TEMPLATE_ROWS}) v(license, x))
-), nt AS (SELECT license, i, term, count(*) AS tf FROM n GROUP BY ALL),
+  SELECT license, i, names, unnest(regexp_extract_all({_LOWER.format("x")}, '{licenses.TERM}')) AS term
+  FROM (SELECT license, x, names, row_number() OVER (ORDER BY license, x) AS i FROM (VALUES {_TEMPLATE_ROWS}) v(license, x, names))
+), nt AS (SELECT license, i, names, term, count(*) AS tf FROM n GROUP BY ALL),
 tot AS (SELECT count(*) AS n FROM d),
 df AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT r, unnest(regexp_extract_all({_LOWER.format("t")}, '{licenses.TERM}')) AS term FROM d) GROUP BY term),
 idf AS MATERIALIZED (SELECT DISTINCT nt.term, ln((tot.n + 1) / (coalesce(df.df, 0) + 1)) + 1 AS idf FROM nt LEFT JOIN df USING (term), tot),
-tw AS MATERIALIZED (SELECT license, i, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY i)) AS tw FROM nt JOIN idf USING (term)),
+tw AS MATERIALIZED (SELECT license, i, names, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY i)) AS tw FROM nt JOIN idf USING (term)),
 pt AS (
   SELECT r, unnest(list_distinct(list_concat([t, array_to_string(lines[:greatest(coalesce(list_position(list_transform(lines, lambda l: regexp_matches(l, '{licenses.COMMENT}')), false), 0) - 1, 0)], chr(10))],
     regexp_split_to_array(t, '{licenses.EMPTY_LINES}'), lines))) AS part FROM d
@@ -155,7 +155,8 @@ pt AS (
 ), cw AS MATERIALIZED (SELECT r, part, term, tf * coalesce(idf, ln(tot.n + 1) + 1) AS w FROM ct LEFT JOIN idf USING (term), tot),
 norm AS (SELECT r, part, sqrt(sum(w * w)) AS norm FROM cw GROUP BY r, part),
 s AS (
-  SELECT r, license, round(sum(w * tw) / any_value(norm), 6) AS score FROM cw JOIN tw USING (term) JOIN norm USING (r, part) GROUP BY r, part, i, license
+  SELECT r, license, round(sum(w * tw) / any_value(norm), 6) AS score FROM cw JOIN tw USING (term) JOIN norm USING (r, part) GROUP BY r, part, i, license, names
+  HAVING count(*) FILTER (list_contains(names, term)) = len(names)
 ), own AS (SELECT r, arg_min(license, (-score, license)) AS own, max(score) AS own_score FROM s WHERE score >= {licenses.MIN_SCORE} GROUP BY r),
 o AS (SELECT d.r, doc_id, dir, top, low, licence_file, own, own_score FROM d LEFT JOIN own USING (r)),
 ld AS (SELECT dir AS at, min((own, own_score)) AS f FROM o WHERE licence_file AND own IS NOT NULL GROUP BY dir)
