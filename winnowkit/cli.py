@@ -16,6 +16,7 @@ from .sources.config import Config, ConfigError, load
 #: command: (arguments, tables that its configuration must have)
 COMMANDS: dict[str, tuple[list[str], tuple[str, ...]]] = {
     "land": (["pages", "out"], ()),
+    "scrape": (["site", "out"], ("search",)),
     "import": (["capture", "out"], ("search",)),
     "urls": (["site"], ("search",)),
     "normalize": (["records", "out"], ()),
@@ -49,9 +50,9 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--comp-floor", type=int)
         if name == "render-shortlist":
             s.add_argument("--band", action="append")
-        if name in ("land", "import"):
+        if name in ("land", "import", "scrape"):
             s.add_argument("--no-compress", action="store_true")
-        if name == "land":
+        if name in ("land", "scrape"):
             s.add_argument("--max-pages", type=int)
         if name == "import":
             s.add_argument("--previous-runs")
@@ -62,7 +63,7 @@ def run(spark, a: argparse.Namespace, config: Config) -> dict | list | int:
     from dataclasses import replace
 
     from .plans import diagnostics, stages
-    from .sources import jsonl
+    from .sources import fetch, jsonl
 
     for name in ("pages", "capture", "records", "postings", "screened", "shortlist", "companies", "meta"):
         if "*" in (given := getattr(a, name, None) or ""):
@@ -72,6 +73,10 @@ def run(spark, a: argparse.Namespace, config: Config) -> dict | list | int:
     if a.command == "land":
         pages = diagnostics.landed_pages(spark, a.pages)
         return stages.land(spark, pages, a.out, compress, a.max_pages or config.max_pages)
+    if a.command == "scrape":
+        found, most = config.searches(), a.max_pages or config.max_pages
+        received = fetch.fetch(spark, [s.state for s in found], base_url=a.site, max_pages=most, pause=config.delay_seconds)
+        return stages.land(spark, received, a.out, compress, most, [s.name for s in found])
     if a.command == "import":
         return stages.import_capture(spark, a.capture, config.searches(), a.out, compress, a.previous_runs)
     if a.command == "normalize":

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 
 
-def land(rows: DataFrame, pages: DataFrame | None = None, stop_after: int = fixed.EMPTY_PAGES_TO_STOP, max_pages: int | None = None) -> DataFrame:
+def land(rows: DataFrame, pages: DataFrame | None = None, max_pages: int | None = None) -> DataFrame:
     """Records (search, page, pos, key) with is_new (to its search), stop_page and written (first of the run).
 
     A search stops at its first page without records, or at the second page in a row that brought
@@ -18,8 +18,6 @@ def land(rows: DataFrame, pages: DataFrame | None = None, stop_after: int = fixe
     its kind is found by minima, which combine map-side, and brought back by its place, so that
     a key with very many records is no one task's burden.
     """
-    if stop_after != 2:
-        raise ValueError("the stop rule looks at two pages in a row")
     if max_pages is not None:
         rows, pages = rows.where(F.col("page") <= max_pages), None if pages is None else pages.where(F.col("page") <= max_pages)
     keyless = F.col("key").isNull()

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import record_key
-from ..operators import capture, postings, rollup, visited
+from ..operators import capture, postings, rollup, scrape, visited
+from ..operators.graph import durable
 from ..operators.postings import COLUMNS
 from ..plans import diagnostics
-from ..sources import captures, jsonl, pages, visitlog
+from ..sources import captures, fetch, jsonl, pages, visitlog
 from ..tables import new_path
 from .base import raw_postings, table
 from .queries import OPTIONS
@@ -136,3 +137,23 @@ def visit_log(spark: SparkSession, sf: str) -> DataFrame:
     c.agg(F.concat(F.lit("{"), F.array_join(F.collect_list(entry), ","), F.lit("}")).alias("value")).coalesce(1).write.text(path)
     log = visitlog.read(spark, f"{path}/part-*")
     return visited.split_log(log).groupBy("kind", "host", "applied").agg(F.count(F.lit(1)).alias("n"))
+
+
+BLOCK_PAGES = 200
+
+
+def connector_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The page counts of three searches whose pages are read through the data source, from files of landed pages."""
+    key = F.when(F.col("event_id") % 41 != 0, F.concat_ws("-", F.col("user_id").cast("string"), F.col("event_type")))
+    item = F.to_json(F.struct(key.alias("objectID"), F.col("event_id").alias("nth")))  # no objectID where there is no key
+    e = table(spark, sf, "events").select((F.col("event_id") % 3).cast("int").alias("search"), F.floor(F.col("event_id") / 150).alias("page"), "event_id", item.alias("item"))
+    items = e.groupBy("search", "page").agg(F.array_sort(F.collect_list(F.struct("event_id", "item"))).alias("i"))  # fifty a page
+    payload = F.concat(F.lit('{"pageProps":{"ssrHits":['), F.array_join(F.transform("i", lambda x: x["item"]), ","), F.lit("]}}"))
+    folder = new_path(spark, "landed-pages")
+    block = F.floor(F.col("page") / BLOCK_PAGES).alias("block")
+    items.select("search", block, "page", payload.alias("payload")).repartition("search", "block").write.partitionBy("search", "block").json(folder)
+    searches = [{"search": i} for i in range(3)]
+    read = durable(fetch.fetch(spark, searches, f"{fetch.__name__}:from_files", folder=folder, block_pages=BLOCK_PAGES, max_pages=1 << 40))
+    pages.check(read)
+    found = pages.records(read.select("search", "page", "payload")).withColumn("key", record_key(F.col("record")))
+    return scrape.page_counts(durable(scrape.land(found.drop("record"), read)))

@@ -575,3 +575,5 @@ SELECT '{"dateFetchedPastNDays":' || s || ',"q":"s' || s || '"}' AS state, count
   array_to_string(list_filter(range(0, max(page) + 1), lambda v: NOT list_contains(list(page), v)), ',') AS missing FROM l GROUP BY s"""
 SQL["visit_log"] = """SELECT CASE c_custkey % 10 WHEN 0 THEN 'posting' WHEN 1 THEN 'unusable' ELSE 'company' END AS kind,
   CASE WHEN c_custkey % 10 > 1 THEN lower(replace(c_name, '#', '-')) || '.example.com' END AS host, c_custkey % 5 = 0 AS applied, count(*) AS n FROM customer GROUP BY ALL"""
+
+SQL["connector_pages"] = SQL["page_counts"]

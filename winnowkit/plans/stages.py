@@ -59,18 +59,19 @@ def land(spark: SparkSession, result_pages: DataFrame, out: str, compress: bool
     """Landed pages (search, page, payload, build_id; payload is JSON text) to records, one for each key.
 
     ``searches`` names the numbers in ``search``. A run without records keeps only its sidecar, so that
-    later stages don't take it for a day without postings. A page that the site turned away or
-    that breaks its format ends the run with an error in the sidecar.
+    later stages don't take it for a day without postings. A search ends before a page that the site turned
+    away or that breaks its format. What came before it and what the other searches have is landed; then
+    the run ends with the error of the first such page, which the sidecar has too.
     """
     meta = {"started_at": datetime.now(UTC).isoformat(), "max_pages": max_pages, "compressed": compress, **(extra or {})}
-    try:
-        pages.check(result_pages)
-        read = durable(result_pages.select("search", "page", "payload", "build_id").where(F.col("page") <= max_pages))
-        found = pages.records(read).withColumn("key", record_key(F.col("record")))
-        landed = durable(scrape.land(found.drop("build_id"), read, max_pages=max_pages))
-    except pages.PageError as e:
-        _sidecar(spark, f"{out}/meta.json", meta | {"records": 0, "jobs_file": None, "stop_reason": "error", "error": str(e)})
-        raise
+    received = durable(result_pages.where(F.col("page") <= max_pages))
+    wrong = durable(pages.problems(received).groupBy("search").agg(F.min(F.struct("page", "wrong")).alias("w")).select("search", "w.*"))  # a row a search
+    broken = {r["search"]: pages.error_of(*r) for r in wrong.orderBy("search").collect()}
+    cut = wrong.select(F.col("search").alias("_s"), F.col("page").alias("_p"))
+    read = received.select("search", "page", "payload", "build_id").join(F.broadcast(cut), F.col("search") == F.col("_s"), "left")
+    read = durable(read.where("_p is null or page < _p").drop("_s", "_p"))
+    found = pages.records(read).withColumn("key", record_key(F.col("record")))
+    landed = durable(scrape.land(found.drop("build_id"), read, max_pages=max_pages))
     name = lambda i: searches[i] if searches else str(i)
     results = {r["search"]: r.asDict() for r in scrape.search_results(landed, read, max_pages).collect()}  # a row a search
     for r in scrape.search_counts(landed).collect():
@@ -81,6 +82,8 @@ def land(spark: SparkSession, result_pages: DataFrame, out: str, compress: bool
     builds = read.where(F.coalesce("build_id", F.lit("")) != "").groupBy("search").agg(F.collect_set("build_id").alias("b"))
     for r in builds.collect():
         results[r["search"]]["build_ids"] = sorted(r["b"])
+    for i, e in broken.items():
+        results[i] = results.get(i, {"search": i, "pages_fetched": 0}) | {"stop_reason": "error", "error": str(e)}
     listed = [{"name": name(i), **results[i]} for i in sorted(results)]
     meta |= {
         "searches": listed, "stop_reason": scrape.stop_reason([(s["name"], s["stop_reason"]) for s in listed]),
@@ -93,7 +96,12 @@ def land(spark: SparkSession, result_pages: DataFrame, out: str, compress: bool
         lines = written.orderBy("search", "page", "pos").select(F.to_json("record").alias("value"))
         (lines.write.option("compression", "gzip") if compress else lines.write).text(f"{out}/records")
     keyless = written.where("key is null").count()
-    return _sidecar(spark, f"{out}/meta.json", meta | {"finished_at": datetime.now(UTC).isoformat(), "records": n, "unique_records": n - keyless, "keyless_records": keyless, "jobs_file": "records" if n else None})
+    first = next(iter(broken.values()), None)
+    meta |= {"finished_at": datetime.now(UTC).isoformat(), "records": n, "unique_records": n - keyless, "keyless_records": keyless, "jobs_file": "records" if n else None}
+    meta = _sidecar(spark, f"{out}/meta.json", meta | ({"error": str(first)} if first else {}))
+    if first:
+        raise first
+    return meta
 
 
 def import_capture(spark: SparkSession, path: str, searches: list[Search], out: str, compress: bool = True, previous_runs: str | None = None) -> dict:

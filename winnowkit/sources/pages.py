@@ -24,14 +24,15 @@ class BadPage(PageError):
     """A page came, but not in the expected shape."""
 
 
-def check(pages: DataFrame) -> None:
-    """Raise the error of the first page that can't be read. ``pages`` has payload, and may have status and mitigated as they were received."""
+def problems(pages: DataFrame) -> DataFrame:
+    """(search, page, wrong) of the pages that can't be read. ``pages`` has payload, and may have status, mitigated and problem as they were received."""
     has = lambda c, kind: F.col(c) if c in pages.columns else F.lit(None).cast(kind)
     status, v = F.coalesce(has("status", "int"), F.lit(200)), F.try_parse_json("payload")
     props = F.try_variant_get(v, "$.pageProps", "variant")
     shape = lambda x: F.coalesce(F.schema_of_variant(x), F.lit(""))
     wrong = (
         F.when((status == 403) & (has("mitigated", "string") == "challenge"), "blocked: a challenge (403)")
+        .when(has("problem", "string").isNotNull(), F.concat(F.lit("bad: "), has("problem", "string")))
         .when(status == 404, "stale: the build id was refused")
         .when(status != 200, F.concat(F.lit("bad: HTTP "), status.cast("string")))
         .when(v.isNull(), "stale: the response isn't JSON")
@@ -39,10 +40,19 @@ def check(pages: DataFrame) -> None:
         .when(props.isNotNull() & ~F.startswith(shape(props), F.lit("OBJECT")), "bad: the payload has no usable pageProps")
         .when(F.try_variant_get(props, f"$.{fixed.REDIRECT_FIELD}", "variant").isNotNull(), "stale: the page was redirected")
     )
-    bad = pages.select("search", "page", wrong.alias("wrong")).where("wrong is not null").orderBy("search", "page").first()
+    return pages.select("search", "page", wrong.alias("wrong")).where("wrong is not null")
+
+
+def error_of(search: object, page: int, wrong: str) -> PageError:
+    kind, _, what = wrong.partition(": ")
+    return {"blocked": Blocked, "stale": StaleBuild, "bad": BadPage}[kind](f"search {search}, page {page}: {what}")
+
+
+def check(pages: DataFrame) -> None:
+    """Raise the error of the first page that can't be read."""
+    bad = problems(pages).orderBy("search", "page").first()
     if bad is not None:
-        kind, _, what = bad["wrong"].partition(": ")
-        raise {"blocked": Blocked, "stale": StaleBuild, "bad": BadPage}[kind](f"search {bad['search']}, page {bad['page']}: {what}")
+        raise error_of(*bad)
 
 
 def embedded(html: Column, begin: str, end: str) -> Column:
