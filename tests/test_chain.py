@@ -112,7 +112,9 @@ def test_from_landed_pages_to_the_pages(spark, home, capsys):
     code, report, _ = run(capsys, "funnel", raw, "--config", home / "c.toml")
     assert code == 0 and report["records"] == 24 and report["rejected"] == 3 and report["near_misses"] == 1
     code, report, _ = run(capsys, "key-report", raw)
-    assert code == 0 and report[2]["key"] == "fallback_key"
+    assert code == 0 and (report["records"], report["with_key"], report["truth"]["groups"]) == (24, 0, 0) and report["threshold"] == 0.44
+    assert [c["key"] for c in report["candidates"]][:2] == ["company, title", "company, title, cities"] and {s["keyed"] for s in report["skew"]} == {False}
+    assert 0 < len(report["worst"]) <= 6 and all(w["similarity"] < 0.44 and w["n"] > 1 for w in report["worst"])
 
 
 def capture_file(home, **over):
@@ -147,7 +149,7 @@ def test_exit_codes(spark, home, capsys):
     code, _, err = run(capsys, "land", bad(landed([record(1)]), {"search": 0, "page": 1, "status": 403, "mitigated": "challenge"}), home / "x")
     assert code == 3 and "challenge" in err
     meta = json.loads((home / "x" / "meta.json").read_text())
-    assert meta["error"] and meta["jobs_file"] is None and not (home / "x" / "records").exists()
+    assert meta["error"] and meta["records"] == 1 and (home / "x" / "records").exists()  # what came before the bad page
     for row, said in (({"status": 404}, "refused"), ({"status": 500}, "HTTP 500"), ({"payload": {"pageProps": {"__N_REDIRECT": "/"}}}, "redirected"), ({"payload": [1]}, "isn't an object"), ({"payload": {"pageProps": 3}}, "no usable pageProps"), ({"payload": None}, "isn't JSON")):
         code, _, err = run(capsys, "land", bad({"search": 0, "page": 0, "payload": {}} | row), home / "y")
         assert code == 1 and said in err, row

@@ -63,36 +63,39 @@ def _nth(v: DataFrame, nth: int) -> float:
         v = v.where(bucket == b)
 
 
-def exclusive_percentile(values: DataFrame, column: str, percent: int = fixed.CALIBRATION_PERCENTILE) -> tuple[float | None, int]:
-    """(value, n): the percentile by exclusive interpolation, exact at any size.
+def exclusive_quantiles(values: DataFrame, column: str, percents: list[int]) -> tuple[list[float] | None, int]:
+    """(values, n): the percentiles by exclusive interpolation, exact at any size; None of no values, the value itself of one.
 
-    A histogram of at most 4,097 rows tells in which narrow ranges the two order statistics lie;
+    One histogram of at most 4,097 rows tells in which narrow ranges all the order statistics lie;
     those are divided again until one value is left.
     """
     v = values.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
     low, high, n = v.agg(F.min("v"), F.max("v"), F.count(F.lit(1))).first()
-    if not n:
-        return None, 0
-    if n == 1:
-        return low, 1
+    if n < 2:
+        return ([low] * len(percents) if n else None), n
     width = (high - low) / 4096 or 1.0
     bucket = F.floor((F.col("v") - F.lit(low)) / F.lit(width))
     histogram = sorted(tuple(r) for r in v.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
-    at = percent * (n + 1)
-    j = min(max(at // 100, 1), n - 1)
-    found = {}
-    for rank in (j, j + 1):
+    places = {}
+    for percent in percents:
+        at = percent * (n + 1)
+        j = min(max(at // 100, 1), n - 1)
+        places[percent] = (j, at - 100 * j)
+    value = {}
+    for rank in {r for j, _ in places.values() for r in (j, j + 1)}:
         before = 0
         for b, size in histogram:
             if before + size >= rank:
-                found[rank] = (b, rank - before)
+                value[rank] = _nth(v.where(bucket == b), rank - before)
                 break
             before += size
-    value = {}
-    for rank, (b, nth) in found.items():
-        value[rank] = _nth(v.where(bucket == b), nth)
-    rest = at - 100 * j
-    return (value[j] * (100 - rest) + value[j + 1] * rest) / 100, n
+    return [(value[j] * (100 - rest) + value[j + 1] * rest) / 100 for j, rest in places.values()], n
+
+
+def exclusive_percentile(values: DataFrame, column: str, percent: int = fixed.CALIBRATION_PERCENTILE) -> tuple[float | None, int]:
+    """(value, n) of one percentile."""
+    found, n = exclusive_quantiles(values, column, [percent])
+    return (found[0] if found else None), n
 
 
 def calibrate(postings: DataFrame, group: str = "cluster_key", text: str = "requirements", order: str = "ord") -> tuple[float, int]:
@@ -318,3 +321,30 @@ def compare_keys(rows: DataFrame, keys: list[str], text: str, threshold: float)
     return out
 
 
+
+
+def truth(rows: DataFrame, key: str = "cluster_key", text: str = "requirements") -> dict:
+    """How alike the members of the vendor's own groups are: groups, mean, min, max and quartiles (of four groups or more) of their similarity."""
+    scored = settle(mean_similarity(rows.where(F.col(key).isNotNull()), key, text).where("similarity is not null"), "scored")
+    groups = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").count()
+    mean, low, high, n = scored.agg(F.avg("similarity"), F.min("similarity"), F.max("similarity"), F.count(F.lit(1))).first()
+    quartiles = exclusive_quantiles(scored, "similarity", [25, 50, 75])[0] if n > 3 else None
+    return {"groups": groups, "scored": n, "mean": mean, "min": low, "max": high, "quartiles": quartiles}
+
+
+def keyed_skew(rows: DataFrame, columns: list[str], key: str = "cluster_key", most: int = 4) -> DataFrame:
+    """(keyed, field, value, n, nth): the ``most`` frequent values of each column among rows with the key and without it."""
+    each = rows.select(F.col(key).isNotNull().alias("keyed"), F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns])).alias("x"))
+    counts = each.groupBy("keyed", "x.field", "x.value").agg(F.count(F.lit(1)).alias("n"))
+    nth = F.row_number().over(Window.partitionBy("keyed", "field").orderBy(F.desc("n"), "value"))  # each task keeps its first few
+    return counts.withColumn("nth", nth).where(F.col("nth") <= most)
+
+
+def worst_merges(rows: DataFrame, key: str, text: str, threshold: float, most: int, varies: list[str]) -> DataFrame:
+    """(key, similarity, n, distinct values of each of ``varies``): the ``most`` groups whose texts are least alike, of those below the threshold."""
+    keyed = rows.where(F.col(key).isNotNull())
+    scored = mean_similarity(keyed, key, text).where(F.col("similarity") < threshold)
+    worst = settle(scored.orderBy(F.round("similarity", 9), key).limit(most), "worst")  # a bounded list, cut in each task
+    members = keyed.join(F.broadcast(worst.withColumnRenamed(key, "_k")), F.col(key) == F.col("_k"))
+    counts = [F.count_distinct(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in varies]
+    return members.groupBy(key, "similarity").agg(F.count(F.lit(1)).alias("n"), *counts)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
+from ..tables import settle
 from ..functions import guards as g
 from ..functions.hosts import normalize_host
 from ..functions.keys import fallback_key
@@ -95,6 +96,47 @@ def project(records: DataFrame, variant: str = "record") -> DataFrame:
     return flat.select("ord", *COLUMNS)
 
 
+#: The objects of a record whose fields are told one by one.
+OBJECTS = ("job_information", "enriched_company_data", "v5_processed_job_data")
+#: What the projection reads, and the kinds that it takes.
+READ_FIELDS = {
+    **dict.fromkeys(("objectID", "id", "liberal_dedup_cluster", "source", "apply_url"), "string"), "is_expired": "boolean", **dict.fromkeys(OBJECTS, "object"),
+    "job_information.job_title_raw": "string", "job_information.title": "string", "enriched_company_data.name": "string", "enriched_company_data.homepage_uri": "string",
+    **{f"v5_processed_job_data.{c}": "string" for c in (
+        "core_job_title", "company_name", "job_category", "seniority_level", "role_type", "position_employer_type", "workplace_type", "listed_compensation_frequency",
+        "security_clearance", "requirements_summary", "air_travel_requirement", "estimated_publish_date",
+    )},
+    **{f"v5_processed_job_data.{c}": "number" for c in ("min_industry_and_role_yoe", "yearly_min_compensation", "yearly_max_compensation")},
+    "v5_processed_job_data.is_compensation_transparent": "boolean",
+    **{f"v5_processed_job_data.{c}": "array" for c in ("workplace_cities", "commitment", "licenses_or_certifications", "technical_tools")},
+}
+
+
+def field_kinds(records: DataFrame, variant: str = "record") -> DataFrame:
+    """(path, kind, n): in how many raw records each field, of the record and of its three objects, is of which kind. Counts combine map-side."""
+    v = F.col(variant)
+    fields = lambda x, at: F.transform(F.map_entries(F.try_variant_get(x, "$", "map<string,variant>")), lambda e: F.struct(F.concat(F.lit(at), e["key"]).alias("path"), e["value"].alias("v")))
+    none = F.array().cast("array<struct<path:string,v:variant>>")
+    inner = [F.coalesce(fields(F.try_variant_get(v, f"$.{o}", "variant"), f"{o}."), none) for o in OBJECTS]
+    each = records.select(F.explode(F.concat(F.coalesce(fields(v, ""), none), *inner)).alias("x")).select("x.path", F.lower(F.coalesce(F.schema_of_variant("x.v"), F.lit("void"))).alias("k"))
+    kind = (
+        F.when(F.rlike("k", F.lit("^(bigint|double|float|decimal)")), "number").when(F.startswith("k", F.lit("array")), "array").when(F.startswith("k", F.lit("object")), "object")
+        .when(F.col("k") == "void", "null").otherwise(F.col("k"))
+    )
+    return each.groupBy("path", kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def drift(records: DataFrame, variant: str = "record") -> DataFrame:
+    """(path, kind, n, state) of what differs from what the projection reads: new fields, fields of another kind than it takes (retyped), and those that no
+    record has (lost, with the kind that is read). Nulls are no drift."""
+    read = F.broadcast(records.sparkSession.createDataFrame(list(READ_FIELDS.items()), "read string, takes string"))
+    found = settle(field_kinds(records, variant), "fields")  # a row a field and kind
+    state = F.when(F.col("read").isNull(), "new").when(F.col("kind") != F.col("takes"), "retyped")
+    seen = found.join(read, F.col("path") == F.col("read"), "left").where("kind <> 'null'").select("path", "kind", "n", state.alias("state")).where("state is not null")
+    lost = read.join(found.select("path").distinct(), F.col("read") == F.col("path"), "left_anti")
+    return seen.union(lost.select("read", "takes", F.lit(0).cast("bigint"), F.lit("lost")))
+
+
 def normalize_counters(postings: DataFrame) -> DataFrame:
     """One row: postings, share with a vendor key, implausible pay, blank requirements."""
     return postings.agg(

@@ -117,3 +117,19 @@ def union_searches(parts: list[DataFrame], key: str) -> DataFrame:
 def previous_runs(metas: DataFrame) -> DataFrame:
     """The latest run that has records and no error."""
     return metas.where((F.col("records") > 0) & F.col("error").isNull()).agg(F.max_by(F.struct(*metas.columns), "finished_at").alias("m")).select("m.*")
+
+
+def uncovered(runs: DataFrame) -> DataFrame:
+    """(search, day, closing_window): days that no run of a search covers, and the window in days with which its latest run would have closed the whole gap.
+
+    ``runs`` is (search, finished: date, window: days); a run covers the days from finished - window on. Days before the first
+    covered one are no gap. Of runs that begin on the same day the one that reaches farthest counts, so that a search has
+    at most a row a day before it is put in order.
+    """
+    spans = runs.where(F.col("finished").isNotNull() & (F.col("window") >= 0)).select("search", F.date_sub("finished", F.col("window").cast("int")).alias("begin"), "finished")
+    spans = spans.groupBy("search", "begin").agg(F.max("finished").alias("end"))
+    order = Window.partitionBy("search").orderBy("begin")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    latest = F.max("end").over(Window.partitionBy("search"))
+    gaps = spans.select("search", F.date_add(before, 1).alias("first"), F.date_sub("begin", 1).alias("last"), latest.alias("latest")).where("first <= last")
+    return gaps.select("search", F.explode(F.sequence("first", "last")).alias("day"), F.datediff("latest", F.col("first")).alias("closing_window"))

@@ -14,6 +14,7 @@ from .. import fixed
 from ..functions import guards as g
 from ..functions.hosts import normalize_host
 from ..functions.keys import own_id
+from ..functions.text import squeeze
 from ..operators import dedup, postings, rules
 from ..operators.graph import durable
 from ..sources import jsonl
@@ -88,12 +89,32 @@ def scrape_report(spark: SparkSession, records_path: str, meta_path: str) -> dic
     }
 
 
-def key_report(spark: SparkSession, records_path: str) -> list:
-    """How candidate keys group the records, and whether what they group looks alike."""
-    flat = durable(postings.project(jsonl.read(spark, records_path)))
+CANDIDATES = {"company, title": [], "company, title, cities": ["cities"], "company, title, cities, source": ["cities", "source"], "company, title, cities, day": ["cities", "day"]}
+
+
+def candidate_rows(flat: DataFrame) -> DataFrame:
+    """Flat postings with a column for each candidate key, from the loosest to the tightest."""
+    day = F.substring(F.coalesce("published_at", F.lit("")), 1, 10)
+    more = {"cities": F.array_join(F.array_sort("cities"), ","), "source": F.coalesce("source", F.lit("")), "day": day}
+    base = [F.col("company"), squeeze(F.col("title"))]
+    return flat.withColumns({name: F.concat_ws("|", *base, *[more[c] for c in rest]) for name, rest in CANDIDATES.items()} | {"day": day})
+
+
+def key_report(spark: SparkSession, records_path: str, examples: int = 6) -> dict:
+    """What the vendor's duplicates look like, how records with its key differ from those without, how candidate keys
+    group the latter and whether what they group looks alike, and the worst merges of the loosest one."""
+    flat = durable(candidate_rows(postings.project(jsonl.read(spark, records_path))))
     threshold, groups = dedup.calibrate(flat)
-    found = dedup.compare_keys(flat, ["cluster_key", "fallback_key", "company"], "requirements", threshold)
-    return [{"threshold": threshold, "calibrated_on": groups}] + [r.asDict() for r in found.collect()]
+    without = flat.where("cluster_key is null")
+    listed = lambda df, *by: [r.asDict() for r in df.orderBy(*by).collect()]
+    n, keyed = flat.count(), flat.where("cluster_key is not null").count()
+    loosest = next(iter(CANDIDATES))
+    return {
+        "records": n, "with_key": keyed, "without_key": n - keyed, "truth": dedup.truth(flat), "threshold": threshold, "calibrated_on": groups,
+        "skew": listed(dedup.keyed_skew(flat, ["source", "job_category"]), "keyed", "field", "nth"),
+        "candidates": [r.asDict() for r in dedup.compare_keys(without, list(CANDIDATES), "requirements", threshold).collect()],
+        "worst": listed(dedup.worst_merges(without, loosest, "requirements", threshold, examples, ["source", "cities", "day"]), "similarity", loosest),
+    }
 
 
 def first_of_each(rows: DataFrame, key: Column) -> DataFrame:

@@ -108,6 +108,12 @@ def previous_run(spark: SparkSession, sf: str) -> DataFrame:
     return scrape.previous_runs(metas).select("event_id", "records")
 
 
+def run_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """The days that no run of a search covers, with events as runs whose windows are up to four days long."""
+    e = table(spark, sf, "events")
+    return scrape.uncovered(e.select(F.col("user_id").alias("search"), F.to_date("ts").alias("finished"), (F.col("event_id") % 5).alias("window")))
+
+
 def capture_match(spark: SparkSession, sf: str) -> DataFrame:
     """Searches with the captures that serve them, by users' events: the widest window, then the first."""
     e = table(spark, sf, "events")
@@ -262,6 +268,27 @@ def candidate_keys(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.compare_keys(p, ["cluster_key", "fallback_key", "company"], "requirements", 0.44)
 
 
+def truth_similarity(spark: SparkSession, sf: str) -> DataFrame:
+    """How alike the vendor's own duplicates are, with the quartiles."""
+    found = dedup.truth(durable(postings(spark, sf)))
+    figures = [found[c] for c in ("mean", "min", "max")] + (found["quartiles"] or [None] * 3)
+    names = ("mean", "low", "high", "q1", "q2", "q3")
+    return spark.createDataFrame([(found["groups"], found["scored"], *figures)], "groups bigint, scored bigint, " + ", ".join(f"{c} double" for c in names)).select(
+        "groups", "scored", *[F.round(c, 9).alias(c) for c in names]
+    )
+
+
+def key_skew(spark: SparkSession, sf: str) -> DataFrame:
+    """The frequent sources and categories of postings with the vendor's key and without it."""
+    return dedup.keyed_skew(postings(spark, sf), ["source", "job_category"])
+
+
+def worst_merges(spark: SparkSession, sf: str) -> DataFrame:
+    """The groups of a loose key whose texts are least alike."""
+    found = dedup.worst_merges(durable(postings(spark, sf)), "company", "requirements", 0.44, 6, ["source", "cities", "published_at"])
+    return found.select("company", F.round("similarity", 9).alias("similarity"), "n", "source", "cities", "published_at")
+
+
 def key_structure(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.key_structure(postings(spark, sf), "cluster_key")
 

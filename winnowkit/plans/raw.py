@@ -93,6 +93,11 @@ def raw_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return diagnostics.coverage(_records(spark, sf))
 
 
+def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """What the fields of a raw run differ in from those that the projection reads."""
+    return postings.drift(_records(spark, sf))
+
+
 def page_records(spark: SparkSession, sf: str) -> DataFrame:
     """Records out of result pages, wherever they stand in the payload."""
     found = pages.records(_pages(spark, sf))

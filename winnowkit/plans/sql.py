@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .. import fixed
+from ..operators.postings import OBJECTS, READ_FIELDS
 from .base import SQL as P
 from .raw import LINE, PAYLOAD
 
@@ -131,6 +132,12 @@ w AS (SELECT *, is_new AND (key IS NULL OR row_number() OVER (PARTITION BY key O
 SQL["page_counts"] = LANDED + "SELECT search, page, count(*) AS received, count_if(is_new) AS new, count_if(written) AS written FROM w GROUP BY search, page"
 SQL["search_counts"] = LANDED + """SELECT search, max(stop_page) AS stop_page, count(*) AS received, count_if(is_new) AS unique_records,
   count_if(is_new AND NOT written) AS overlap, count_if(key IS NULL) AS keyless FROM w GROUP BY search"""
+SQL["run_gaps"] = """WITH s AS (
+  SELECT user_id AS search, CAST(ts AS DATE) - CAST(event_id % 5 AS INT) AS b, max(CAST(ts AS DATE)) AS e FROM events GROUP BY ALL
+), g AS (
+  SELECT search, max(e) OVER (PARTITION BY search ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 AS f, b - 1 AS l, max(e) OVER (PARTITION BY search) AS latest FROM s
+)
+SELECT search, CAST(unnest(generate_series(f, l, INTERVAL 1 DAY)) AS DATE) AS day, CAST(latest - f AS INT) AS closing_window FROM g WHERE f <= l"""
 SQL["search_union"] = "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN 0 WHEN o_orderkey % 3 = 0 THEN 1 ELSE 2 END AS search FROM orders"
 LATEST = """
 WITH latest AS (
@@ -246,6 +253,17 @@ SQL["candidate_keys"] = Q + similar("cluster_key") + similar("fallback_key") + s
 FROM (SELECT {k} AS g, count(*) AS n FROM q WHERE {k} IS NOT NULL GROUP BY 1 HAVING count(*) > 1) LEFT JOIN si_{k} USING (g)"""
     for i, k in enumerate(["cluster_key", "fallback_key", "company"])
 )
+_QUARTILES = ", ".join(
+    f"round((l[{j}] * (100 - ({q} * (n + 1) - 100 * {j})) + l[{j} + 1] * ({q} * (n + 1) - 100 * {j})) / 100, 9) AS q{q // 25}"
+    for q in (25, 50, 75) for j in [f"CAST(greatest(least(({q} * (n + 1)) // 100, n - 1), 1) AS INT)"]
+)
+SQL["truth_similarity"] = Q + similar("cluster_key") + f""", o AS (SELECT list(similarity ORDER BY similarity) AS l, count(similarity) AS n, avg(similarity) AS m FROM si_cluster_key)
+SELECT (SELECT count(*) FROM (SELECT 1 FROM q WHERE cluster_key IS NOT NULL GROUP BY cluster_key HAVING count(*) > 1)) AS groups, n AS scored,
+  round(m, 9) AS mean, round(l[1], 9) AS low, round(l[-1], 9) AS high, {_QUARTILES} FROM o"""
+SQL["key_skew"] = P + """, x AS (SELECT cluster_key IS NOT NULL AS keyed, unnest([{'field': 'source', 'value': source}, {'field': 'job_category', 'value': job_category}], recursive := true) FROM p)
+SELECT keyed, field, value, count(*) AS n, CAST(row_number() OVER (PARTITION BY keyed, field ORDER BY count(*) DESC, value NULLS FIRST) AS INT) AS nth FROM x GROUP BY keyed, field, value QUALIFY nth <= 4"""
+SQL["worst_merges"] = Q + similar("company") + """, w AS (SELECT g, round(similarity, 9) AS similarity FROM si_company WHERE similarity < 0.44 ORDER BY 2, g LIMIT 6)
+SELECT company, similarity, count(*) AS n, count(DISTINCT source) AS source, count(DISTINCT cities) AS cities, count(DISTINCT published_at) AS published_at FROM q JOIN w ON g = company GROUP BY company, similarity"""
 SQL["key_structure"] = P + """ SELECT CAST(sum(n) AS BIGINT) AS present, count(*) AS distinct_keys, count_if(n > 1) AS multi, CAST(sum(n - 1) AS BIGINT) AS merged
 FROM (SELECT cluster_key, count(*) AS n FROM p WHERE cluster_key IS NOT NULL GROUP BY 1)"""
 
@@ -576,4 +594,12 @@ SELECT '{"dateFetchedPastNDays":' || s || ',"q":"s' || s || '"}' AS state, count
 SQL["visit_log"] = """SELECT CASE c_custkey % 10 WHEN 0 THEN 'posting' WHEN 1 THEN 'unusable' ELSE 'company' END AS kind,
   CASE WHEN c_custkey % 10 > 1 THEN lower(replace(c_name, '#', '-')) || '.example.com' END AS host, c_custkey % 5 = 0 AS applied, count(*) AS n FROM customer GROUP BY ALL"""
 
+SQL["schema_drift"] = RAW + """, f AS (SELECT unnest(json_keys(j)) AS path, '' AS o, j FROM raw """ + " ".join(
+    f"UNION ALL SELECT unnest(json_keys(json_extract(j, '$.{o}'))), '{o}.', json_extract(j, '$.{o}') FROM raw WHERE json_type(j, '$.{o}') = 'OBJECT'" for o in OBJECTS
+) + f"""), k AS (
+  SELECT o || path AS path, CASE json_type(j, '$."' || path || '"') WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' WHEN 'NULL' THEN 'null' ELSE 'number' END AS kind, count(*) AS n
+  FROM f GROUP BY ALL
+), e AS (SELECT * FROM (VALUES {", ".join(f"('{p}', '{kind}')" for p, kind in READ_FIELDS.items())}) v(path, takes))
+SELECT path, kind, n, CASE WHEN takes IS NULL THEN 'new' ELSE 'retyped' END AS state FROM k LEFT JOIN e USING (path) WHERE kind <> 'null' AND (takes IS NULL OR kind <> takes)
+UNION ALL SELECT path, takes, 0, 'lost' FROM e WHERE path NOT IN (SELECT path FROM k)"""
 SQL["connector_pages"] = SQL["page_counts"]

@@ -8,9 +8,12 @@ Tables are written in the order that the next stage takes as its input order (``
 from __future__ import annotations
 
 import json
+import os
+import uuid
 from datetime import UTC, datetime
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +23,7 @@ from ..operators import capture, dedup, postings, rollup, rules, scrape, seen, v
 from ..operators.graph import durable
 from ..sources import captures, jsonl, pages, visitlog
 from ..sources.config import Config, ConfigError, Search
-from ..tables import hadoop
+from ..tables import delete, hadoop, scoped
 from . import reports
 
 
@@ -55,6 +58,7 @@ def in_order(df: DataFrame, *by: Column) -> DataFrame:
     return df.orderBy(*by).withColumn("ord", F.monotonically_increasing_id())
 
 
+@scoped
 def land(spark: SparkSession, result_pages: DataFrame, out: str, compress: bool = True, max_pages: int = 500, searches: list[str] | None = None, extra: dict | None = None) -> dict:
     """Landed pages (search, page, payload, build_id; payload is JSON text) to records, one for each key.
 
@@ -104,6 +108,7 @@ def land(spark: SparkSession, result_pages: DataFrame, out: str, compress: bool
     return meta
 
 
+@scoped
 def import_capture(spark: SparkSession, path: str, searches: list[Search], out: str, compress: bool = True, previous_runs: str | None = None) -> dict:
     """A raw run from pages that a browser captured, in place of fetched ones.
 
@@ -150,6 +155,7 @@ def last_run(spark: SparkSession, pattern: str) -> str | None:
     return best["finished_at"] if best else None
 
 
+@scoped
 def normalize(spark: SparkSession, records_path: str, out: str, similarity: float | None = None) -> dict:
     flat = durable(postings.project(jsonl.read(spark, records_path)))
     calibrated, groups = dedup.calibrate(flat)
@@ -160,6 +166,7 @@ def normalize(spark: SparkSession, records_path: str, out: str, similarity: floa
     return _sidecar(spark, f"{out}/meta.json", counts | {"threshold": threshold, "calibrated": calibrated, "overridden": similarity is not None, "calibrated_on": groups})
 
 
+@scoped
 def screen(spark: SparkSession, postings_path: str, out: str, config: Config = Config()) -> dict:
     settings = rules.Screen(config.comp_floor, config.comp_min_floor, config.wide_geography_cities, config.blocked_companies)
     done = durable(rules.screen(postings.conform(spark.read.parquet(postings_path)), settings))
@@ -168,49 +175,85 @@ def screen(spark: SparkSession, postings_path: str, out: str, config: Config = C
     return _sidecar(spark, f"{out}/meta.json", _one(rules.funnel(done)) | reasons | {"sole_reasons": _by(rules.sole_reason_counts(done), "reason")})
 
 
+def _log(spark: SparkSession, store_dir: str) -> list[str]:
+    fs, p = hadoop(spark, f"{store_dir}/commits")
+    return sorted(x.getPath().getName() for x in fs.listStatus(p) if x.getPath().getName().isdigit()) if fs.exists(p) else []
+
+
+def head(spark: SparkSession, store_dir: str) -> tuple[int, str | None]:
+    """(number, version): the last commit of the store, and the version that it names; (0, None) of a new one."""
+    names = _log(spark, store_dir)
+    return (int(names[-1]), _read_text(spark, f"{store_dir}/commits/{names[-1]}").strip()) if names else (0, None)
+
+
 def current_version(spark: SparkSession, store_dir: str) -> str | None:
-    """The name of the store's version that counts: the one that its pointer names."""
-    return (_read_text(spark, f"{store_dir}/CURRENT") or "").strip() or None
+    """The name of the store's version that counts."""
+    return head(spark, store_dir)[1]
 
 
-def _point_to(spark: SparkSession, store_dir: str, version: str) -> None:
-    """Move the pointer by one rename, so a reader finds the old version or the new one."""
-    _write_text(spark, f"{store_dir}/CURRENT.new", version + "\n")
+def commit(spark: SparkSession, store_dir: str, after: int, version: str) -> bool:
+    """Make ``version`` the commit behind number ``after``; False if another writer was first.
+
+    The commit is written whole under a name of its own, then given its number by a rename (on a local disk a link)
+    that fails where the number is taken, so of several writers one gets it and no reader sees half of it.
+    """
+    made, place = f"{store_dir}/commits/.{version}", f"{store_dir}/commits/{after + 1:010}"
+    _write_text(spark, made, version + "\n")
     jvm = spark.sparkContext._jvm
-    paths = jvm.org.apache.hadoop.fs.Path(f"{store_dir}/CURRENT.new"), jvm.org.apache.hadoop.fs.Path(f"{store_dir}/CURRENT")
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(paths[0].toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(*paths, options)
-
-
-def diff(spark: SparkSession, screened_path: str, store_dir: str, out: str, today: str, visit_log: str | None = None, dry_run: bool = False) -> dict:
-    """The shortlist, and the next version of the store. The pointer to it moves last of all: a run that dies before leaves the old version, and can be run again."""
-    current = current_version(spark, store_dir)
-    store = durable(spark.read.parquet(f"{store_dir}/{current}") if current else seen.empty_store(spark))
-    labels = {}
-    if visit_log:
-        log = visitlog.read(spark, visit_log)
-        store = durable(seen.label(store, visitlog.opened_postings(log), visitlog.applied_hosts(log)))
-        labels = _one(seen.label_counts(store))
-    judged = durable(seen.classify(spark.read.parquet(screened_path), store))
-    in_order(seen.shortlist(judged), *rules.shortlist_order()).write.mode("overwrite").parquet(f"{out}/shortlist")
-    after, version = store, f"v{datetime.now(UTC):%Y%m%d%H%M%S%f}"
-    if not dry_run:
-        after = durable(seen.merge(store, judged, today))
-        seen.in_order(after).write.mode("errorifexists").parquet(f"{store_dir}/{version}")
-    actions = {"new": 0, "promoted": 0, "suppressed": 0} | _by(judged.groupBy("action").agg(F.count(F.lit(1)).alias("n")), "action")
-    bands = _by(seen.shortlist(judged).groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band")
-    meta = _sidecar(spark, f"{out}/meta.json", actions | labels | {"bands": bands, "dry_run": dry_run, "store_entries_before": store.count(), "store_entries_after": after.count()})
-    if not dry_run:
-        _point_to(spark, store_dir, version)
-    return meta
+    source, target = jvm.org.apache.hadoop.fs.Path(made), jvm.org.apache.hadoop.fs.Path(place)
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        if fs.getUri().getScheme() == "file":
+            os.link(source.toUri().getPath(), target.toUri().getPath())
+        else:
+            files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+            files.rename(source, target, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        return True
+    except FileExistsError:
+        return False
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        fs.delete(source, False)
+
+
+@scoped
+def diff(spark: SparkSession, screened_path: str, store_dir: str, out: str, today: str, visit_log: str | None = None, dry_run: bool = False, attempts: int = 10) -> dict:
+    """The shortlist, and the next version of the store.
+
+    The commit comes last of all: a run that dies before leaves the old version, and can be run again. A run that finds
+    that another one has committed since it read the store starts over from the new version, so both runs' entries stay.
+    """
+    for _ in range(attempts):
+        number, current = head(spark, store_dir)
+        store = durable(spark.read.parquet(f"{store_dir}/{current}") if current else seen.empty_store(spark))
+        labels = {}
+        if visit_log:
+            log = visitlog.read(spark, visit_log)
+            store = durable(seen.label(store, visitlog.opened_postings(log), visitlog.applied_hosts(log)))
+            labels = _one(seen.label_counts(store))
+        judged = durable(seen.classify(spark.read.parquet(screened_path), store))
+        in_order(seen.shortlist(judged), *rules.shortlist_order()).write.mode("overwrite").parquet(f"{out}/shortlist")
+        after, version = store, f"v{datetime.now(UTC):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        if not dry_run:
+            after = durable(seen.merge(store, judged, today))
+            seen.in_order(after).write.mode("errorifexists").parquet(f"{store_dir}/{version}")
+        actions = {"new": 0, "promoted": 0, "suppressed": 0} | _by(judged.groupBy("action").agg(F.count(F.lit(1)).alias("n")), "action")
+        bands = _by(seen.shortlist(judged).groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band")
+        meta = _sidecar(spark, f"{out}/meta.json", actions | labels | {"bands": bands, "dry_run": dry_run, "store_entries_before": store.count(), "store_entries_after": after.count()})
+        if dry_run or commit(spark, store_dir, number, version):
+            return meta
+        delete(spark, f"{store_dir}/{version}")
+    raise RuntimeError(f"{store_dir}: other runs committed first, {attempts} times")
 
 
 def rollup_options(config: Config) -> rollup.Rollup:
     return rollup.Rollup(config.home_lat, config.home_lon, config.radius_miles, config.excluded_states, config.excluded_sources, config.excluded_domains)
 
 
+@scoped
 def company_rollup(spark: SparkSession, records_path: str, out: str, config: Config) -> dict:
     rows = durable(rollup.judged(rollup.company_inputs(jsonl.read(spark, records_path)), rollup_options(config)))
     found = durable(rollup.companies(rows))
@@ -221,6 +264,7 @@ def company_rollup(spark: SparkSession, records_path: str, out: str, config: Con
     return _sidecar(spark, f"{out}/meta.json", counts | {"ambiguous": rollup.ambiguous(found).count()})
 
 
+@scoped
 def company_filter(spark: SparkSession, companies_path: str, visit_log: str, out: str) -> dict:
     """Companies that the log doesn't have; those without a website, beside the input, pass through."""
     found, log = spark.read.parquet(companies_path), visitlog.read(spark, visit_log)
@@ -236,12 +280,14 @@ def company_filter(spark: SparkSession, companies_path: str, visit_log: str, out
     return _sidecar(spark, f"{out}/meta.json", _one(visited.filter_counters(found, log)) | {"log": kinds, "excluded_sample": sample, "passthrough_no_website": passed})
 
 
+@scoped
 def render_companies(spark: SparkSession, companies_path: str, page: str, title: str = "Companies to visit", note: str = "") -> int:
     """Write the page; the number of its rows."""
     rows = reports.company_rows(spark.read.parquet(companies_path))
     return reports.write_page(rows, reports.COMPANY_HEADERS, title, page, "{n} companies, nearest first.", note)
 
 
+@scoped
 def render_shortlist(spark: SparkSession, shortlist_path: str, page: str, title: str = "Job shortlist", visit_log: str | None = None, bands: tuple[str, ...] = ("strong", "possible"), note: str = "") -> int:
     """Write the page; the number of its rows. A visit log that can't be read costs its marks, not the page."""
     hosts = spark.createDataFrame([], "host string")

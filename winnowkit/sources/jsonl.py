@@ -21,13 +21,11 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     isn't its file's last has the full split size and so a task of its own, and a line has more
     than no bytes, so the numbers rise with the lines whatever the sizes and the parallelism.
     """
-    found = spark.read.text(path)
-    files = sorted(found.inputFiles())
+    files = sorted(spark.read.text(path).inputFiles())
+    if len(files) > 1 << (63 - _PLACE_BITS):
+        raise ValueError(f"{len(files)} files are more than one order can number: read them in parts")
     plain = lambda c: F.regexp_replace(c, r"^(\w+):/+", "$1:/")
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    lines = found.select(
-        (F.col("_metadata.file_block_start") + row).alias("place"), F.col("value").alias("line"), F.col("_metadata.file_path").alias("file")
-    )
+    lines = _placed(spark, path).select((F.col("start") + F.col("row")).alias("place"), "line", "file")
     lines = lines.where(F.regexp_replace("line", r"(?U)^\s+|\s+$", "") != "")
     ranks = spark.createDataFrame(list(enumerate(files)), "rank bigint, path string").select("rank", plain(F.col("path")).alias("path"))
     ranked = lines.join(F.broadcast(ranks), plain(F.col("file")) == F.col("path"))  # a row a file
@@ -35,6 +33,26 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     return ranked.select(number.alias("ord"), "line", "file", F.try_parse_json("line").alias("record"))
 
 
+def _placed(spark: SparkSession, path: str) -> DataFrame:
+    """(file, start, row, line) of all lines: where the split begins, and the number in the task."""
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), row.alias("row"), F.col("value").alias("line"))
+
+
+def line_number(spark: SparkSession, path: str, file: str, place: int) -> int:
+    """The number from 1, blank lines counted, of the line of ``file`` at a place (``ord`` without the file's rank).
+
+    The lines of the file are counted by split, a row a split; those of the splits before are added up.
+    """
+    splits = _placed(spark, path).where(F.col("file") == file).groupBy("start").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).orderBy("start").collect()
+    before = 0
+    for s in splits:
+        if s["start"] + s["first"] <= place < s["start"] + s["first"] + s["n"]:
+            return before + place - s["start"] - s["first"] + 1
+        before += s["n"]
+    raise ValueError(f"{file} has no line at {place}")
+
+
 def malformed(records: DataFrame) -> DataFrame:
     """Lines that aren't JSON objects: those that don't parse, and other values."""
     return records.where(F.col("record").isNull() | ~F.startswith(F.schema_of_variant("record"), F.lit("OBJECT"))).select("file", "ord", "line")
@@ -45,7 +63,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     found = scan(spark, path)
     bad = malformed(found).orderBy("ord").first()
     if bad is not None:
-        raise BadRecord(f"{bad['file']}: not a JSON object: {bad['line'][:160]}")
+        number = line_number(spark, path, bad["file"], bad["ord"] & ((1 << _PLACE_BITS) - 1))
+        raise BadRecord(f"{bad['file']}, line {number}: not a JSON object: {bad['line'][:160]}")
     return found
 
 

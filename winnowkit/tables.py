@@ -9,7 +9,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,12 +64,40 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
 
 
+_local = threading.local()  # a stream's batches run in a thread of their own
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """What is settled inside is deleted at its end. What it returns must be written or collected by then."""
+    outer, _local.paths = getattr(_local, "paths", None), []
+    try:
+        yield
+    finally:
+        made, _local.paths = _local.paths, outer
+        for path in made:
+            delete(spark, path)
+
+
+def scoped(stage):
+    """A stage (spark, ...) whose intermediate tables go when it ends, well or not."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, *args, **kw):
+        with scope(spark):
+            return stage(spark, *args, **kw)
+
+    return run
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses; it is deleted when the JVM ends."""
+    """A path in the shared folder that nothing else uses; it is deleted when the scope or else the JVM ends."""
     on_workers(spark)
     path = f"{shared_dir(spark)}/winnow-{uuid.uuid4().hex}-{name}"
     fs, p = hadoop(spark, path)
     fs.deleteOnExit(p)
+    if getattr(_local, "paths", None) is not None:
+        _local.paths.append(path)
     return path
 
 
