@@ -132,15 +132,16 @@ def capture_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def visit_log(spark: SparkSession, sf: str) -> DataFrame:
-    """The visit log from its file: hosts, postings and unusable keys."""
+    """The visit log from its files, of up to 1,000 entries each: hosts, postings and unusable keys."""
     c = table(spark, sf, "customer")
     key = F.when(F.col("c_custkey") % 10 == 0, F.concat(F.lit("job:O"), F.col("c_custkey").cast("string"))).when(F.col("c_custkey") % 10 == 1, F.concat(F.lit("local"), F.col("c_custkey").cast("string")))
     key = key.otherwise(F.concat(F.lit("https://WWW."), F.replace("c_name", F.lit("#"), F.lit("-")), F.lit(".example.com/")))
     mark = F.element_at(F.array(*[F.lit(x) for x in ('{"date":"2024-01-01","r":true}', '{"date":"2024-01-02","r":"true"}', '{"r":false}', '"seen"', "null")]), (F.col("c_custkey") % 5 + 1).cast("int"))
     entry = F.concat(F.lit('"'), key, F.lit('":'), mark)
     path = new_path(spark, "visits")
-    c.agg(F.concat(F.lit("{"), F.array_join(F.collect_list(entry), ","), F.lit("}")).alias("value")).coalesce(1).write.text(path)
-    log = visitlog.read(spark, f"{path}/part-*")
+    files = c.groupBy(F.floor(F.col("c_custkey") / 1000).alias("file")).agg(F.concat(F.lit("{"), F.array_join(F.collect_list(entry), ","), F.lit("}")).alias("value"))
+    files.write.partitionBy("file").text(path)
+    log = visitlog.read(spark, f"{path}/file=*")
     return visited.split_log(log).groupBy("kind", "host", "applied").agg(F.count(F.lit(1)).alias("n"))
 
 
