@@ -2,13 +2,6 @@
 
 from __future__ import annotations
 
-from ..tables import BROADCAST_ROWS, delete, discard, drop_matches, new_path, on_workers, settle, shared_dir, small
+from ..tables import BROADCAST_ROWS, delete, discard, drop_matches, file_system, new_path, on_workers, settle, shared_dir, small
 
 __all__ = ["BROADCAST_ROWS", "delete", "discard", "drop_matches", "file_system", "new_path", "on_workers", "settle", "shared_dir", "small"]
-
-
-def file_system(uri: str):
-    """(Arrow's file system of a URI or local path, the path in it)."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
