@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import careers, geo, guards, hosts, keys, text
+from ..functions import careers, geo, guards, hosts, keys, registered, text
 from ..operators import capture, dedup, rollup, rules, scrape, seen, timeline, visited
 from ..operators.graph import durable
 from ..sources import pages as page_source
@@ -53,6 +53,15 @@ def careers_tiers(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("ord", F.col("link.url").alias("careers_url"), F.col("link.tier").alias("tier"), careers.entry_url(F.col("link.url"), F.col("homepage")).alias("entry_url"))
 
 
+def sql_careers(spark: SparkSession, sf: str) -> DataFrame:
+    """``careers_tiers`` in SQL alone, by the registered functions."""
+    registered.register(spark)
+    return spark.sql(
+        "SELECT ord, link.url AS careers_url, link.tier AS tier, wk_careers_entry(link.url, homepage) AS entry_url FROM (SELECT ord, homepage, wk_careers_link(apply_url, source) AS link FROM {p})",
+        p=raw_postings(spark, sf),
+    )
+
+
 def level_signatures(spark: SparkSession, sf: str) -> DataFrame:
     return raw_postings(spark, sf).select("ord", text.level_signature(F.col("raw_title")).alias("level"), rules.senior_title(F.col("raw_title")).alias("senior"))
 

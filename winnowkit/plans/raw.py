@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import registered
 from ..functions.keys import record_key
 from ..operators import capture, postings, rollup, scrape, visited
 from ..operators.graph import durable
@@ -104,6 +105,14 @@ def page_records(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("search", "page", "pos", record_key(F.col("record")).alias("key"))
 
 
+def sql_page_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """``page_records`` in SQL alone, by the registered table function."""
+    registered.register(spark)
+    return spark.sql(
+        "SELECT search, page, pos, wk_record_key_of(record) AS key FROM {pages}, LATERAL wk_page_rows(payload) WHERE startswith(schema_of_variant(record), 'OBJECT')", pages=_pages(spark, sf)
+    )
+
+
 def page_totals(spark: SparkSession, sf: str) -> DataFrame:
     """What the pages report as totals."""
     found = _pages(spark, sf).select("search", "page", F.explode(pages.reported_totals(F.col("payload"))).alias("name", "value"))

@@ -603,3 +603,7 @@ SQL["schema_drift"] = RAW + """, f AS (SELECT unnest(json_keys(j)) AS path, '' A
 SELECT path, kind, n, CASE WHEN takes IS NULL THEN 'new' ELSE 'retyped' END AS state FROM k LEFT JOIN e USING (path) WHERE kind <> 'null' AND (takes IS NULL OR kind <> takes)
 UNION ALL SELECT path, takes, 0, 'lost' FROM e WHERE path NOT IN (SELECT path FROM k)"""
 SQL["connector_pages"] = SQL["page_counts"]
+
+# The same rows in SQL alone, by the registered functions.
+SQL["sql_careers"] = SQL["careers_tiers"]
+SQL["sql_page_rows"] = SQL["page_records"]

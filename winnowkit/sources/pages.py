@@ -55,10 +55,11 @@ def check(pages: DataFrame) -> None:
         raise error_of(*bad)
 
 
-def embedded(html: Column, begin: str, end: str) -> Column:
+def embedded(html: Column, begin: str | Column, end: str | Column) -> Column:
     """The text between the first ``begin`` and the next ``end``; null without both."""
+    begin, end = F.lit(begin), F.lit(end)
     at = F.instr(html, begin)
-    rest = F.substring(html, at + len(begin), F.length(html))
+    rest = F.substring(html, at + F.length(begin), F.length(html))
     return F.when((at > 0) & (F.instr(rest, end) > 0), F.substring(rest, F.lit(1), F.instr(rest, end) - 1))
 
 
@@ -96,15 +97,9 @@ def _first_in_text(text: Column, names: Column) -> Column:
     return F.get(F.filter(keys, lambda k: F.array_contains(names, k)), F.lit(0))
 
 
-def records(pages: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row a record: the columns of ``pages``, pos and record (VARIANT). ``payload`` is JSON text.
-
-    ``ssrHits`` if that is a list, even an empty one; else the first list, in the order of the
-    text, whose first item is an object with an id. They stand in ``pageProps``, or in the payload
-    itself where it has none. Only objects are records. A payload whose ``pageProps`` is no object
-    has no shape to read and fails the query.
-    """
-    text, props = F.col(payload), _props(F.col(payload))
+def record_list(text: Column) -> Column:
+    """The records of a payload as an array of VARIANT, by the rules of ``records``; items that are no objects are left in."""
+    props = _props(text)
     is_object = F.coalesce(F.startswith(F.schema_of_variant(props), F.lit("OBJECT")), F.lit(False))
     usable = F.when(is_object, F.lit(True)).otherwise(F.raise_error(F.lit("a payload has no usable pageProps")).cast("boolean"))
     hits = F.try_variant_get(props, "$.ssrHits", "array<variant>")
@@ -115,8 +110,19 @@ def records(pages: DataFrame, payload: str = "payload") -> DataFrame:
     names = F.transform(F.filter(entries, lambda e: F.coalesce(has_id(first(e)), F.lit(False))), lambda e: e["key"])
     chosen = _first_in_text(text, names)
     fallback = F.get(F.transform(F.filter(entries, lambda e: e["key"] == chosen), lambda e: F.try_variant_get(e["value"], "$", "array<variant>")), F.lit(0))
+    return F.when(usable, F.coalesce(hits, fallback))
+
+
+def records(pages: DataFrame, payload: str = "payload") -> DataFrame:
+    """One row a record: the columns of ``pages``, pos and record (VARIANT). ``payload`` is JSON text.
+
+    ``ssrHits`` if that is a list, even an empty one; else the first list, in the order of the
+    text, whose first item is an object with an id. They stand in ``pageProps``, or in the payload
+    itself where it has none. Only objects are records. A payload whose ``pageProps`` is no object
+    has no shape to read and fails the query.
+    """
     others = [c for c in pages.columns if c != payload]
-    found = pages.where(usable).select(*others, F.posexplode(F.coalesce(hits, fallback)).alias("pos", "record"))
+    found = pages.select(*others, F.posexplode(record_list(F.col(payload))).alias("pos", "record"))
     return found.where(F.startswith(F.schema_of_variant("record"), F.lit("OBJECT")))
 
 
