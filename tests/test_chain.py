@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from winnowkit import cli
 from winnowkit.operators import capture, scrape
-from winnowkit.plans import diagnostics, stages
+from winnowkit.plans import diagnostics, stages, summaries
 from winnowkit.sources import captures, config, jsonl, pages, visitlog
 
 TOML = """
@@ -55,7 +55,11 @@ def home(tmp_path):
 def run(capsys, *argv):
     code = cli.main([str(a) for a in argv])
     out, err = capsys.readouterr()
-    return code, json.loads(out) if code == 0 and out[:1] in "{[" else out, err
+    told = json.loads(out) if code == 0 and out[:1] in "{[" else out
+    if code == 0 and argv[0] != "urls":  # each command's result has a summary too
+        said = summaries.lines(argv[0], told if isinstance(told, (dict, list)) else int(told))
+        assert said and all(isinstance(line, str) and line.strip() for line in said)
+    return code, told, err
 
 
 def landed(records, search=0, page=0, **more):
@@ -117,6 +121,29 @@ def test_from_landed_pages_to_the_pages(spark, home, capsys):
     assert 0 < len(report["worst"]) <= 6 and all(w["similarity"] < 0.44 and w["n"] > 1 for w in report["worst"])
 
 
+def test_summaries_say_what_a_stage_did(spark, home, capsys):
+    code = cli.main(["--format", "text", "land", str(write_lines(home / "p.jsonl", [landed([record(1)]), landed([record(2)], 0, 1)])), str(home / "raw"), "--config", str(home / "c.toml"), "--max-pages", "1"])
+    out = capsys.readouterr().out.splitlines()
+    assert code == 0 and out[0] == "2 records over 2 pages, 2 with a key" and "  reported ssrTotalCount = 40" in out and any("page limit" in line for line in out)
+    bands = {"screened": 8, "strong": 1, "possible": 3, "rejected": 4, "near_misses": 1, "reject_reasons": {"b": 1, "a": 1, "c": 4}, "demote_reasons": {}, "sole_reasons": {}}
+    said = summaries.lines("screen", bands)
+    assert said[1].split() == ["strong", "1", "12.5", "%"] and [line.split()[0] for line in said[-3:]] == ["c", "a", "b"] and "demoted for:" not in said
+    assert summaries.lines("screen", bands | {"strong": 0, "possible": 0})[-1] == "warning: every posting was rejected"
+    none = {"screened": 0, "strong": 0, "possible": 0, "rejected": 0, "near_misses": 0, "reject_reasons": {}, "demote_reasons": {}, "sole_reasons": {}}
+    assert "warning" not in " ".join(summaries.lines("screen", none))
+    assert summaries.lines("render-companies", 1200) == ["1,200 rows"]
+
+
+def test_suffix_and_codec_agree(spark, tmp_path):
+    d = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
+    assert [jsonl.agreed(p, c) for p in ("x.jsonl", "x.jsonl.gz", "x.jsonl.gz/") for c in (True, False)] == ["x.jsonl.gz", "x.jsonl"] * 3
+    for name, compress, made in (("a.jsonl", None, "a.jsonl"), ("b.jsonl.gz", None, "b.jsonl.gz"), ("c.jsonl", True, "c.jsonl.gz"), ("d.jsonl.gz", False, "d.jsonl")):
+        path = jsonl.write(d, str(tmp_path / name), compress)
+        parts = [p.name for p in (tmp_path / made).iterdir() if p.name.startswith("part-")]
+        assert path == str(tmp_path / made) and parts and all(p.endswith(".json.gz" if made.endswith(".gz") else ".json") for p in parts)
+        assert [r.line for r in jsonl.read(spark, path).orderBy("ord").collect()] == ['{"a":1,"b":null}', '{"a":2,"b":"x"}']
+
+
 def capture_file(home, **over):
     state = {"dateFetchedPastNDays": 2, "q": "x"}
     entry = lambda state, page, at, records: {"searchState": state, "page": page, "captured_at": at, "payload": {"pageProps": {"ssrHits": records}}}

@@ -34,6 +34,7 @@ COMMANDS: dict[str, tuple[list[str], tuple[str, ...]]] = {
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="winnowkit")
+    p.add_argument("--format", choices=("json", "text"), default="json", help="what is printed at the end: the sidecar, or a summary to read")
     sub = p.add_subparsers(dest="command", required=True)
     for name, (args, need) in COMMANDS.items():
         s = sub.add_parser(name)
@@ -118,6 +119,7 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.errors import AnalysisException, PySparkException
     from pyspark.sql import SparkSession
 
+    from .plans import summaries
     from .sources.captures import BadCapture
     from .sources.pages import Blocked
     from .sources.visitlog import BadVisitLog
@@ -134,7 +136,7 @@ def main(argv: list[str] | None = None) -> int:
     except (ValueError, PySparkException) as e:
         print(e, file=sys.stderr)
         return 1
-    print(json.dumps(told, indent=2, ensure_ascii=False, default=str))
+    print("\n".join(summaries.lines(a.command, told)) if a.format == "text" else json.dumps(told, indent=2, ensure_ascii=False, default=str))
     return 0
 
 

@@ -68,10 +68,21 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return found
 
 
-def write(df: DataFrame, path: str, compress: bool = True, mode: str = "errorifexists") -> None:
-    """One compact JSON object a line, nulls kept."""
-    writer = df.write.mode(mode).option("ignoreNullFields", "false")
-    (writer.option("compression", "gzip") if compress else writer).json(path)
+def agreed(path: str, compress: bool) -> str:
+    """``path`` with the codec's suffix if ``compress``, without it if not; a path that agrees stays as it is."""
+    bare = path.rstrip("/").removesuffix(".gz")
+    return f"{bare}.gz" if compress else bare
+
+
+def write(df: DataFrame, path: str, compress: bool | None = None, mode: str = "errorifexists") -> str:
+    """One compact JSON object a line, nulls kept; the path written, whose suffix and codec agree.
+
+    Without ``compress`` the path's suffix tells; with it, it tells and the path follows.
+    """
+    path = agreed(path, path.rstrip("/").endswith(".gz") if compress is None else compress)
+    codec = "gzip" if path.endswith(".gz") else "uncompressed"
+    df.write.mode(mode).option("ignoreNullFields", "false").option("compression", codec).json(path)
+    return path
 
 
 def newest(spark: SparkSession, pattern: str, missing_ok: bool = False) -> str | None:
