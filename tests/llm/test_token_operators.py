@@ -92,6 +92,14 @@ def test_bpe_query_shape(table):
     assert bpe.encode(table.limit(0)).collect() == [] == bpe.round_trip_digests(table.limit(0)).collect()
 
 
+def test_bpe_with_null_and_repeated_keys(spark):
+    rows = [(None, "one two", 1), (None, "one two", 1), (7, "one two", 1), (7, "three", 1), (7, None, 1)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens int").repartition(2)
+    ids = dict(zip(("one two", "three", ""), ids_of("byte_bpe_50k.json", ["one two", "three", ""]), strict=True))
+    want = sorted((str(k), len(ids[t or ""]), hashlib.sha256((t or "").encode()).hexdigest()) for k, t, _ in rows)
+    assert sorted((str(r.doc_id), r.n_tokens, r.decoded_sha256) for r in bpe.round_trip_digests(d).collect()) == want
+
+
 def test_packing(spark, table):
     want = {i: x + [0] for i, x in enumerate(ids_of("byte_bpe_50k.json"))}
     rows = packing.pack(table).collect()
