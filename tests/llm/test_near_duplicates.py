@@ -64,47 +64,6 @@ def test_components_are_those_of_all_pairs(spark, monkeypatch):
     assert jaccard.near_duplicates(d.limit(0)).collect() == []
 
 
-def test_a_passage_in_a_third_of_all_texts_is_spread(spark, monkeypatch):
-    """Terms of over CELL rows get cells, those of over CROWD rows a second term, and the components stay those of all pairs."""
-    rnd = random.Random(8)
-    word = lambda: f"w{rnd.randrange(2000)}"
-    passage = [word() for _ in range(60)]
-    made = [" ".join([*passage, *(word() for _ in range(i % 9))]) for i in range(120)]  # at most 8 words of their own
-    made += [" ".join([*passage[:40], *(word() for _ in range(12))]) for _ in range(40)]
-    made += [" ".join(word() for _ in range(rnd.choice((6, 40)))) for _ in range(320)]
-    rows = list(enumerate(made))
-    d = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
-    monkeypatch.setattr(jaccard, "CELL", 20)
-    monkeypatch.setattr(jaccard, "CHUNK", 500)
-    monkeypatch.setattr(jaccard, "CROWD", 15)
-    named = d.select(F.col("doc_id").alias("__wk_key"), F.col("text").alias("__wk_text"), F.xxhash64("text").alias("__wk_hash"))
-    for common in (3, 10_000):  # with the passage last in the order, and with no term known as common
-        monkeypatch.setattr(jaccard, "COMMON", common)
-        terms = jaccard._terms(jaccard._prefixes(named, 5, 80), 80)
-        most = lambda *by: terms.groupBy(*by).count().agg(F.max("count")).first()[0]  # noqa: E731, B023
-        if common == 3:
-            assert most("term") > 60 and most("term", "cell") < 40
-        assert sorted((r.doc_id, r.component_id) for r in jaccard.near_duplicates(d).collect()) == sorted(brute(rows))
-
-
-def test_rows_of_common_terms_are_counted_over_all_rows(spark, monkeypatch):
-    texts = [(i, f"a b c d e{' f g h i j' if i % 3 == 0 else ''} x{i}") for i in range(300)]
-    rows = spark.createDataFrame(texts, "k long, __wk_text string").repartition(4)
-    for chunk in (1 << 22, 50):
-        monkeypatch.setattr(jaccard, "CHUNK", chunk)
-        terms, n = jaccard.common_terms(rows)
-        found = dict(zip(terms.tolist(), n.tolist(), strict=True))
-        first = int(jaccard.shingle_set("a b c d e")[0])
-        assert list(terms) == sorted(terms)
-        if chunk > 50:
-            assert found[first] == 300 and len(found) == 6
-        else:  # some 40 chunks, each at most LOCAL - 1 rows short
-            assert 200 <= found[first] <= 300
-        monkeypatch.setattr(jaccard, "MOST", 16)
-        assert len(jaccard.common_terms(rows)[0]) <= 16
-        monkeypatch.undo()
-
-
 def test_stage_takes_out_copies_that_fingerprints_miss(spark, tmp_path):
     rnd = random.Random(5)
     rows = []
