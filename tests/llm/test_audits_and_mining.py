@@ -185,6 +185,16 @@ def test_negatives_are_those_of_all_pairs(spark, sizes):
     assert sorted(map(tuple, got)) == want and len(want) > 40
 
 
+def test_no_scores_are_stored_or_shuffled(spark, monkeypatch):
+    """What is written grows with the panels and the best rows, not with anchors times rows."""
+    made, write = {}, negatives.settle
+    monkeypatch.setattr(negatives, "settle", lambda df, name, *a: made.setdefault(name, write(df, name, *a)))
+    df = spark.createDataFrame(vectors(random.Random(8), 400, 6), NEG)
+    got = negatives.hard_negatives(df, F.col("id") % 50 == 0, sizes=(64, 2, 3, 2))
+    assert "binary" not in {t for d in made.values() for _, t in d.dtypes} and "BinaryType" not in got._jdf.queryExecution().analyzed().treeString()
+    assert got._jdf.queryExecution().executedPlan().toString().count("tile") == 0 and got.count() > 40
+
+
 def test_large_components_are_added_as_64_bits(spark):
     rnd = random.Random(6)
     rows = [(i, [rnd.randint(-9, 9) * 2.0**k for _ in range(4)], i % 2) for k in (0, 8, 18) for i in range(101)]

@@ -2,15 +2,15 @@
 
 The scores of all anchors with all rows are one matrix product, cut along both sides and along the
 dimensions, SUMMA-style. Rows are numbered densely and cut into panels of ``ROWS`` rows by ``CHUNK``
-dimensions, anchors into panels of ``ANCHORS`` by ``CHUNK``. The cells of a grid each get ``GRID`` panels of
-either side of one chunk by a shuffle, and multiply them pair by pair. The partial tiles are shuffled by their place and
-added as int64. A summed tile yields the best rows of each anchor's label, which reduce to its positives; then
-each tile yields the best rows of another label in each (anchor, positive) window, which reduce to the negatives.
-
-Partial tiles travel in 4 bytes a score where the largest component and the number of dimensions prove
-that they fit, else in 8. Summed tiles are a table in the shared folder, since the positives
-must be known before the windows. A task holds a few panels and tiles, whatever the number of rows or equal
-vectors; both reductions keep the best few of a task before they shuffle. Anchors against all rows are
+dimensions, anchors into panels of ``ANCHORS`` by ``CHUNK``. A shuffle brings ``GRID`` panels of either side to each
+cell of a grid, chunk by chunk; a cell multiplies them pair by pair and adds the partial tiles, as integers, in place. Its
+summed tile yields the best rows of each anchor's label, which a shuffle reduces to its positives. Then
+the product is formed again, and each tile yields the best rows of another label in each (anchor, positive) window,
+which reduce to the negatives.
+
+Only panels and best rows travel, and no score is stored: tiles are a matrix of anchors by rows, which outgrows any
+disk long before its panels do, so they are made twice instead. A cell holds one tile and the panels of one chunk,
+whatever the number of rows, dimensions or equal vectors. Anchors against all rows are
 quadratic where anchors are a share of the rows: that is the query set that is asked for, in blocks.
 
 Defined results: a row takes no part if its key, label or vector is null or a component is null or not finite. Where vectors
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import settle, small
+from .store import settle
 
 ROWS, ANCHORS, CHUNK, GRID = 1024, 256, 32, 4
 POSITIVES, NEGATIVES = 5, 3
@@ -58,10 +58,10 @@ def vectors(rows: DataFrame, key: Column, label: Column, vector: Column, scale:
     return d.where(whole).select("id", "label", F.transform("x", lambda c: F.floor(c * scale)).alias("v"))
 
 
-def _panels(rows: DataFrame, size: int, chunks: int, chunk: int) -> DataFrame:
+def _panels(rows: DataFrame, size: int, chunks: int, chunk: int, cell: str) -> DataFrame:
     """(block, k, ids, labels, ns, cells): ids, labels and row numbers come with the first chunk only."""
     part = F.slice("v", F.col("k") * chunk + 1, chunk)
-    part = F.concat(part, F.array_repeat(F.lit(0).cast("bigint"), chunk - F.size(part)))
+    part = F.concat(part, F.array_repeat(F.lit(0).cast("bigint"), chunk - F.size(part))).cast(f"array<{cell}>")
     each = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     each = each.select((F.col("n") / size).cast("bigint").alias("block"), "k", F.struct("n", "id", "label", "row", part.alias("part")).alias("r"))
     held = each.groupBy("block", "k").agg(F.sort_array(F.collect_list("r")).alias("r"))  # at most ``size`` rows of a chunk
@@ -69,100 +69,100 @@ def _panels(rows: DataFrame, size: int, chunks: int, chunk: int) -> DataFrame:
     return held.select("block", "k", first("id"), first("label"), first("row"), F.flatten(F.transform("r", lambda r: r["part"])).alias("cells"))
 
 
-def _best(scores: np.ndarray, fits: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of the first ``most`` that fit in each row of scores: highest score, then smallest id."""
-    at, col = np.nonzero(fits)
-    order = np.lexsort((ids[col], -scores[at, col], at))
-    at, col = at[order], col[order]
-    starts = np.searchsorted(at, at)
-    keep = np.arange(len(at)) - starts < most
-    return at[keep], col[keep]
+def _best(scores: np.ndarray, fits: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the first ``most`` that fit in each row of scores: highest score, then first column."""
+    least = np.iinfo(scores.dtype).min if scores.dtype.kind == "i" else -np.inf
+    left, rows, found = np.where(fits, scores, scores.dtype.type(least)), np.arange(len(scores)), []
+    for _ in range(min(most, scores.shape[1])):
+        col = left.argmax(axis=1)
+        there = rows[left[rows, col] > least]
+        found.append((there, col[there]))
+        left[rows, col] = least
+    return tuple(np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
 
 
 def _flat(column: pa.Array, i: int) -> np.ndarray:
     return column[i].values.to_numpy(zero_copy_only=False)
 
 
-def _multiply(chunk: int, exact: bool, wide: bool):
-    """Partial tiles of the pairs of panels that meet in a cell."""
-    kind, out = np.float64 if exact else np.int64, "<i8" if wide else "<i4"
+def _cells(batches: Iterator[pa.RecordBatch], chunk: int, kind: type) -> Iterator[tuple[list, list, np.ndarray, list]]:
+    """(anchors, rows, tile, positives) of each cell; anchors and rows are (ids, labels, row numbers) arrays, rows in the order of their ids.
+
+    A cell comes sorted: of each chunk the anchors' panels (side 0), then the rows' (1); at last, where they are known, the anchors' positives (2).
+    """
+    at, tile, held = None, None, None
+
+    def done():
+        (a, b), places = [[np.concatenate([m[block][x] for block in sorted(m)]) for x in range(3)] for m in held["meta"]], held["places"]
+        order = np.argsort(b[0], kind="stable")
+        total = np.concatenate([np.concatenate([tile[i, j] for j in places[1]], axis=1) for i in places[0]])[:, order]
+        return a, [x[order] for x in b], total, held["positives"]
+
+    for batch in batches:
+        ci, cj, ks, sides, blocks = (batch[c].to_pylist() for c in ("ci", "cj", "k", "side", "block"))
+        for x, place in enumerate(zip(ci, cj, strict=True)):
+            if place != at:
+                if at is not None and all(held["meta"]):
+                    yield done()
+                at, tile, held = place, {}, {"meta": ({}, {}), "places": ([], []), "positives": [], "k": None, "a": {}}
+            side, block, k = sides[x], blocks[x], ks[x]
+            if side == 2:
+                held["positives"].append((block, *(_flat(batch[c], x) for c in ("ids", "labels", "rows", "scores"))))
+                continue
+            if k == 0:
+                held["meta"][side][block] = [_flat(batch[c], x) for c in ("ids", "labels", "rows")]
+                held["places"][side].append(block)
+            if held["k"] != k:
+                held["k"], held["a"] = k, {}
+            panel = _flat(batch["cells"], x).astype(kind).reshape(-1, chunk)
+            if side == 0:
+                held["a"][block] = panel
+                continue
+            for i, a in held["a"].items():
+                partial = a @ panel.T
+                if (i, block) in tile:
+                    tile[i, block] += partial
+                else:
+                    tile[i, block] = partial
+    if at is not None and all(held["meta"]):
+        yield done()
+
+
+def _positives(chunk: int, kind: type, positives: int):
+    """The best rows of its anchors' labels in each cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a_cells, b_cells = batch["a_cells"], batch["b_cells"]
-            tiles = []
-            for i in range(batch.num_rows):
-                a, b = (_flat(c, i).astype(kind).reshape(-1, chunk) for c in (a_cells, b_cells))
-                tiles.append((a @ b.T).astype(np.int64).astype(out).tobytes())
-            names = [c for c in batch.schema.names if not c.endswith("cells")]
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], pa.array(tiles, pa.binary())], [*names, "tile"])
+        for (_, a_labels, a_rows), (b_ids, b_labels, b_rows), scores, _ in _cells(batches, chunk, kind):
+            at, col = _best(scores, (a_labels[:, None] == b_labels[None, :]) & (a_rows[:, None] != b_rows[None, :]), positives)
+            yield pa.RecordBatch.from_arrays([pa.array(a_rows[at]), pa.array(scores[at, col].astype(np.int64)), pa.array(b_ids[col])], ["a", "score", "id"])
 
     return run
 
 
-_META = "a_ids array<bigint>, a_labels array<bigint>, a_rows array<bigint>, b_ids array<bigint>, b_labels array<bigint>, b_rows array<bigint>"
-_TILE = f"i bigint, j bigint, k int, {_META}, tile binary"
-
-
-def _add(wide: bool, positives: int):
-    """Sums of the partial tiles, which come sorted by place, each with the best rows of its anchors' labels."""
-    kind = np.dtype("<i8" if wide else "<i4")
-
-    def done(i: int, j: int, meta: list[np.ndarray], tile: np.ndarray) -> pa.RecordBatch:
-        a_ids, a_labels, a_rows, b_ids, b_labels, b_rows = meta
-        scores = tile.reshape(len(a_ids), len(b_ids))
-        fits = (a_labels[:, None] == b_labels[None, :]) & (a_rows[:, None] != b_rows[None, :])
-        at, col = _best(scores, fits, b_ids, positives)
-        top = pa.StructArray.from_arrays([pa.array(at), pa.array(scores[at, col]), pa.array(b_ids[col])], ["a", "score", "id"])
-        lists = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (a_ids, a_labels, b_ids, b_labels)]
-        top = pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), top)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([i]), pa.array([j]), *lists, pa.array([scores.astype(kind).tobytes()], pa.binary()), top],
-            ["i", "j", "a_ids", "a_labels", "b_ids", "b_labels", "tile", "top"],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, total, meta = None, None, None
-        for batch in batches:
-            columns = [batch[c] for c in ("a_ids", "a_labels", "a_rows", "b_ids", "b_labels", "b_rows")]
-            for x, (i, j, k) in enumerate(zip(*(batch[c].to_pylist() for c in ("i", "j", "k")), strict=True)):
-                if (i, j) != at:
-                    if at is not None:
-                        yield done(*at, meta, total)
-                    at, total = (i, j), None
-                if k == 0:
-                    meta = [_flat(c, x) for c in columns]
-                part = np.frombuffer(batch["tile"][x].as_buffer(), kind).astype(np.int64)
-                total = part if total is None else total + part
-        if at is not None:
-            yield done(*at, meta, total)
-
-    return run
-
-
-def _windows(wide: bool, negatives: int, low: int, high: int):
-    """The best rows of another label in each (anchor, positive) window of a tile."""
-    kind = np.dtype("<i8" if wide else "<i4")
+def _windows(chunk: int, kind: type, negatives: int, low: int, high: int):
+    """The best rows of another label in each (anchor, positive) window of a cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x in range(batch.num_rows):
-                a_ids, a_labels, b_ids, b_labels, of, nth, pos, least = (_flat(batch[c], x) for c in ("a_ids", "a_labels", "b_ids", "b_labels", "p_a", "p_rank", "p_id", "p_score"))
-                scores = np.frombuffer(batch["tile"][x].as_buffer(), kind).astype(np.int64).reshape(len(a_ids), len(b_ids))
-                other = a_labels[:, None] != b_labels[None, :]
-                for p in np.unique(nth):
-                    rows = np.flatnonzero(nth == p)
-                    s, a = scores[of[rows]], of[rows]
-                    # low * positive <= 100 * score <= high * positive, in whole numbers that can't overflow
-                    first, last = -(-low * _wide(least[rows]) // 100), high * _wide(least[rows]) // 100
-                    fits = other[a] & (s >= first.astype(np.int64)[:, None]) & (s <= last.astype(np.int64)[:, None])
-                    at, col = _best(s, fits, b_ids, negatives)
-                    if len(at):
-                        r = rows[at]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(r), batch["i"][x].as_py())), *[pa.array(y) for y in (of[r], nth[r], a_ids[of[r]], pos[r], least[r], b_ids[col], s[at, col])]],
-                            ["i", "a", "p", "anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"],
-                        )
+        for (a_ids, a_labels, a_rows), (b_ids, b_labels, _), scores, held in _cells(batches, chunk, kind):
+            if not held:
+                continue
+            pos, nth, of, least = (np.concatenate([h[x] for h in held]) for x in (1, 2, 3, 4))
+            order = np.argsort(a_rows)
+            of = order[np.searchsorted(a_rows[order], of)]  # places of the anchors in the tile
+            other = a_labels[:, None] != b_labels[None, :]
+            for p in np.unique(nth):
+                rows = np.flatnonzero(nth == p)
+                s, a = scores[of[rows]], of[rows]
+                # low * positive <= 100 * score <= high * positive, in whole numbers that can't overflow
+                first, last = -(-low * _wide(least[rows]) // 100), high * _wide(least[rows]) // 100
+                fits = other[a] & (s >= first.astype(kind)[:, None]) & (s <= last.astype(kind)[:, None])
+                at, col = _best(s, fits, negatives)
+                if len(at):
+                    r = rows[at]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(y) for y in (a_rows[of[r]], nth[r], a_ids[of[r]], pos[r], least[r], b_ids[col], s[at, col].astype(np.int64))],
+                        ["a", "p", "anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"],
+                    )
 
     return run
 
@@ -189,33 +189,35 @@ def hard_negatives(
     bound = dims * largest * largest
     if bound >= 2.0**62:
         raise ValueError("components are so large that scores don't fit 64 bits")
-    wide, exact = bound >= 2.0**31 - 1, bound < 2.0**53
+    # Numbers in which every sum is exact, and the narrowest type that holds the components.
+    kind = np.float32 if bound < 2.0**24 else np.float64 if bound < 2.0**53 else np.int64
+    cell = next(name for name, bits in (("smallint", 15), ("int", 31), ("bigint", 63)) if largest < 2.0**bits)
     chunks = max(1, -(-dims // chunk))
-    b = _panels(all_rows.withColumn("row", F.col("n")), per_row, chunks, chunk)
     own = _numbered(all_rows.where(is_anchor).withColumnRenamed("n", "row"), "anchors")
-    a = _panels(own, per_anchor, chunks, chunk)
+    a = settle(_panels(own, per_anchor, chunks, chunk, cell), "anchor-panels")
+    b = settle(_panels(all_rows.withColumn("row", F.col("n")), per_row, chunks, chunk, cell), "row-panels")
+    cells_i, cells_j = -(-n_anchors // (per_anchor * grid)), -(-n // (per_row * grid))
 
-    def to_cells(panels: DataFrame, side: str, block: str, across: str, cells: int) -> DataFrame:
+    def to_cells(panels: DataFrame, side: int, block: str, across: str, cells: int, scores: str | None = None) -> DataFrame:
         """Each panel goes to all cells of its grid row or column."""
         out = panels.withColumn(f"c{block}", (F.col("block") / grid).cast("bigint")).withColumn(f"c{across}", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(cells - 1).cast("bigint"))))
-        return out.select(F.col("block").alias(block), "k", "ci", "cj", *[F.col(c).alias(f"{side}_{c}") for c in ("ids", "labels", "rows", "cells")])
-
-    cells_i, cells_j = -(-n_anchors // (per_anchor * grid)), -(-n // (per_row * grid))
-    met = to_cells(a, "a", "i", "j", cells_j).join(to_cells(b, "b", "j", "i", cells_i), ["ci", "cj", "k"])
-    partial = met.select("i", "j", "k", *[f"{s}_{c}" for s in "ab" for c in ("ids", "labels", "rows")], "a_cells", "b_cells").mapInArrow(_multiply(chunk, exact, wide), _TILE)
-    n_tiles = -(-n_anchors // per_anchor) * -(-n // per_row)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_tiles // 64)
-    placed = partial.repartition(tasks, "i", "j").sortWithinPartitions("i", "j", "k")
-    meta = "a_ids array<bigint>, a_labels array<bigint>, b_ids array<bigint>, b_labels array<bigint>"
-    tiles = settle(placed.mapInArrow(_add(wide, positives), f"i bigint, j bigint, {meta}, tile binary, top array<struct<a:bigint,score:bigint,id:bigint>>"), "tiles")
-
-    first = Window.partitionBy("i", "a").orderBy(F.desc("score"), "id")
-    top = tiles.select("i", F.inline("top")).withColumn("p", F.row_number().over(first)).where(F.col("p") <= positives)
-    held = top.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("a", "p", "id", "score"))).alias("t"))  # some rows an anchor of the block
-    of = [F.col("t")[c].cast("array<bigint>").alias(name) for c, name in (("a", "p_a"), ("p", "p_rank"), ("id", "p_id"), ("score", "p_score"))]
-    held = small(settle(held.select("i", *of), "positives"), F.size("p_a"))
-    schema = "i bigint, a bigint, p bigint, anchor_id bigint, positive_id bigint, positive_score bigint, negative_id bigint, negative_score bigint"
-    found = tiles.drop("top", "j").join(held, "i").mapInArrow(_windows(wide, negatives, low, high), schema)
-    ranked = Window.partitionBy("i", "a", "p").orderBy(F.desc("negative_score"), "negative_id")
+        return out.select("ci", "cj", "k", F.lit(side).alias("side"), "block", "ids", "labels", "rows", "cells", (F.col(scores) if scores else F.lit(None).cast("array<bigint>")).alias("scores"))
+
+    met = to_cells(a, 0, "i", "j", cells_j).union(to_cells(b, 1, "j", "i", cells_i))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), cells_i * cells_j // 4)
+    placed = lambda panels: panels.repartition(tasks, "ci", "cj").sortWithinPartitions("ci", "cj", "k", "side", "block")
+
+    first = Window.partitionBy("a").orderBy(F.desc("score"), "id")
+    top = placed(met).mapInArrow(_positives(chunk, kind, positives), "a bigint, score bigint, id bigint").withColumn("p", F.row_number().over(first)).where(F.col("p") <= positives)
+    # The rows of ``own`` are numbered as its panels are; top has them by their number among all rows.
+    place = own.select(F.col("row").alias("_row"), "n")
+    top = top.join(place, F.col("a") == F.col("_row")).select((F.col("n") / per_anchor).cast("bigint").alias("block"), F.col("id"), F.col("p").cast("bigint").alias("p"), "a", "score")
+    held = top.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("a", "p", "id", "score"))).alias("t"))  # some rows an anchor of the block
+    of = [F.col("t")[c].cast("array<bigint>").alias(name) for c, name in (("id", "ids"), ("p", "labels"), ("a", "rows"))]
+    held = settle(held.select("block", F.lit(chunks).alias("k"), *of, F.array().cast(f"array<{cell}>").alias("cells"), F.col("t")["score"].alias("s")), "positives")
+    known = to_cells(held, 2, "i", "j", cells_j, "s")
+    schema = "a bigint, p bigint, anchor_id bigint, positive_id bigint, positive_score bigint, negative_id bigint, negative_score bigint"
+    found = placed(met.union(known)).mapInArrow(_windows(chunk, kind, negatives, low, high), schema)
+    ranked = Window.partitionBy("a", "p").orderBy(F.desc("negative_score"), "negative_id")
     found = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= negatives)
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
