@@ -106,3 +106,13 @@ def test_a_long_chain_is_followed(spark):
 def test_nothing_to_merge(spark):
     entries = [entry("a", ["id:a"], 1)]
     assert merged(spark, entries, []) == run_model(entries, [], "d9")
+
+
+def test_many_asks_of_a_key_that_many_hold_stay_in_proportion(spark, monkeypatch):
+    """80 postings ask for a key that 80 entries hold: their timelines have some rows of either, not their product."""
+    entries = [entry(f"s{i}", ["cluster:a", f"id:s{i}"], i) for i in range(80)]
+    rows = [(i, f"n{i}", ["cluster:a", f"id:{'s' if i % 3 else 'n'}{i}"], "strong", "suppressed" if i % 5 == 0 else "promoted") for i in range(80)]
+    sizes, write = [], timeline.settle
+    monkeypatch.setattr(timeline, "settle", lambda df, name, *a: sizes.append(write(df, name, *a)) or sizes[-1])
+    assert merged(spark, entries, rows) == run_model(entries, rows, "d9")
+    assert max(t.count() for t in sizes) < 1000

@@ -15,7 +15,7 @@ owner for good, so whether a posting makes an entry, and else by which key it fi
 the first touch of each key. Whose entry that is was settled by an earlier posting that touched
 the key: such references are followed to their ends, twice as far in each round. Only a key that entries of several names
 hold can change hands in between; its owner as of a posting is the holder that was put last before,
-found on sorted timelines, and this is repeated until nothing moves. Each repetition settles at
+found on sorted timelines of the holders or of the key, and this is repeated until nothing moves. Each repetition settles at
 least the earliest posting that was wrong. No task holds a connected set or all rows of a key.
 """
 
@@ -133,6 +133,30 @@ def _started(named: DataFrame, starts: DataFrame) -> DataFrame:
     return once.union(again.select("t", F.col("k").alias("name"), F.col("mark").alias("start")))
 
 
+def _last_put(asks: DataFrame, holders: DataFrame, placed: DataFrame) -> DataFrame:
+    """(t, mark) of ``asks`` (t, key): the latest t of ``placed`` (t, name, start) before it at which an entry was put that held the key by then.
+
+    ``holders`` (key, name, start, since) tells since when. A key either asks each of its holders for its last put, or has the puts of all of
+    them on a timeline of its own, whichever makes fewer rows: a key with many asks and as many holders grows with their sum.
+    """
+    wanted = asks.groupBy(F.col("key").alias("_k")).agg(F.count(F.lit(1)).alias("asks"))
+    puts = placed.groupBy(F.col("name").alias("_n"), F.col("start").alias("_s")).agg(F.count(F.lit(1)).alias("puts"))
+    among = holders.join(wanted, F.col("key") == F.col("_k")).join(puts, (F.col("name") == F.col("_n")) & (F.col("start") == F.col("_s")))  # one that was never put owns nothing
+    among = settle(among.select("_k", "name", "start", "since", "asks", "puts"), "holders")
+    way = among.groupBy("_k").agg((F.sum("puts") < F.max("asks") * F.count(F.lit(1))).alias("line"))
+    way = settle(way.withColumnRenamed("_k", "_w"), "ways")
+    of = lambda line: way.where(F.col("line") == line)
+    # By holder: pairs of an ask and a holder.
+    each = asks.join(among.join(of(False), F.col("_k") == F.col("_w"), "left_semi"), (F.col("key") == F.col("_k")) & (F.col("since") < F.col("t")))
+    entry = F.struct("name", "start").alias("k")
+    found = latest_before(each.select(entry, "t"), placed.select(entry, "t")).groupBy("t").agg(F.max("mark").alias("mark"))
+    # By key: pairs of a holder and a put of it.
+    line = among.join(of(True), F.col("_k") == F.col("_w"), "left_semi").select("_k", F.col("name").alias("_n"), F.col("start").alias("_s"), "since")
+    marks = placed.join(line, (F.col("name") == F.col("_n")) & (F.col("start") == F.col("_s")) & (F.col("t") >= F.col("since"))).select(F.col("_k").alias("k"), "t").distinct()
+    asked = asks.join(of(True), F.col("key") == F.col("_w"), "left_semi").select(F.col("key").alias("k"), "t")
+    return found.union(latest_before(asked, marks).select("t", "mark"))
+
+
 def resolve(events: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(t, name, start) of each posting of ``events`` (t, object_id, keys): the entry that it makes or finds, by its object id and the
     t at which it was made, 0 for the store's; and (name, start) of all entries of those names."""
@@ -164,10 +188,7 @@ def resolve(events: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFrame]:
         asks = settle(begun.join(hot, F.col("key") == F.col("_key"), "left_semi").select("t", "key"), "asks")
         if asks.isEmpty():
             return placed, starts
-        among = holds.union(live).join(hot, F.col("key") == F.col("_key"), "left_semi").select(F.col("key").alias("_k"), "name", "start", "since")
-        asked = asks.join(among, (F.col("key") == F.col("_k")) & (F.col("since") < F.col("t")))
-        entry = F.struct("name", "start").alias("k")
-        found = latest_before(asked.select(entry, "t"), placed.select(entry, "t")).groupBy(F.col("t").alias("_t")).agg(F.max("mark").alias("mark"))
+        found = _last_put(asks, holds.union(live), placed).select(F.col("t").alias("_t"), "mark")
         moved = begun.join(found, F.col("t") == F.col("_t"), "left").select(
             "t", F.when(F.col("key").isNull(), F.col("name")).when(F.col("mark").isNull(), F.col("owner")).alias("name"),
             F.when(F.col("key").isNotNull(), F.coalesce("mark", F.when(F.col("owner").isNull(), F.col("prior")))).alias("prior"),
