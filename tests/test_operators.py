@@ -1,5 +1,6 @@
 """The operators on small tables: golden cases, odd values, and plain-Python models."""
 
+import re
 import random
 import statistics
 
@@ -276,3 +277,26 @@ def test_sequences_of_links_are_followed_to_their_end(spark):
     links = [(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (700, 700)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {i: 0 for i in range(201)} | {500: 500, 501: 500}
+
+
+def test_white_space_is_trimmed_without_a_pattern(spark):
+    """All of Unicode's white space, at both ends alone; a pattern that tries every place of a text took most of a record's time."""
+    from winnowkit.functions import text
+
+    spaces = [chr(i) for i in range(0x3100) if re.fullmatch(r"\s", chr(i)) and not 0x1C <= i <= 0x1F]
+    d = spark.createDataFrame([(c + "a" + c + c + "B" + c + "\n",) for c in spaces] + [("a b",), ("".join(spaces),), (None,)], "t string")
+    got = d.select("t", text.strip(F.col("t")).alias("s"), text.squeeze(F.col("t")).alias("q"))
+    rows = got.collect()
+    assert len(spaces) == 25 and [(r.s, r.q) for r in rows] == [(f"a{c}{c}B", "a b") for c in spaces] + [("a b", "a b"), ("", ""), (None, None)]
+    assert "regexp" not in d.select(text.strip(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_that_begin_with_a_brace_are_known_by_it(spark):
+    from winnowkit.sources import jsonl
+
+    lines = [' {"a":1}', "[1]", '"x"', "null", "{", "{} x", "x {}", "\t{}", "\x0b{}", "{a:1}", "﻿[]"]
+    d = spark.createDataFrame([("f", i, x) for i, x in enumerate(lines)], "file string, ord int, line string").withColumn("record", F.try_parse_json("line"))
+    whole = d.where(F.col("record").isNull() | ~F.startswith(F.schema_of_variant("record"), F.lit("OBJECT")))
+    bad = jsonl.malformed(d)
+    assert sorted(r.ord for r in bad.collect()) == sorted(r.ord for r in whole.collect())
+    assert "RLIKE" in bad._jdf.queryExecution().analyzed().toString().upper()

@@ -26,7 +26,7 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"{len(files)} files are more than one order can number: read them in parts")
     plain = lambda c: F.regexp_replace(c, r"^(\w+):/+", "$1:/")
     lines = _placed(spark, path).select((F.col("start") + F.col("row")).alias("place"), "line", "file")
-    lines = lines.where(F.regexp_replace("line", r"(?U)^\s+|\s+$", "") != "")
+    lines = lines.where(F.rlike("line", F.lit(r"(?U)\S")))
     ranks = spark.createDataFrame(list(enumerate(files)), "rank bigint, path string").select("rank", plain(F.col("path")).alias("path"))
     ranked = lines.join(F.broadcast(ranks), plain(F.col("file")) == F.col("path"))  # a row a file
     number = F.shiftleft(F.col("rank"), _PLACE_BITS) + F.col("place")
@@ -54,8 +54,9 @@ def line_number(spark: SparkSession, path: str, file: str, place: int) -> int:
 
 
 def malformed(records: DataFrame) -> DataFrame:
-    """Lines that aren't JSON objects: those that don't parse, and other values."""
-    return records.where(F.col("record").isNull() | ~F.startswith(F.schema_of_variant("record"), F.lit("OBJECT"))).select("file", "ord", "line")
+    """Lines that aren't JSON objects: those that don't parse, and other values. What parses and begins with a brace is one; of the others the type is asked for."""
+    other = ~F.rlike("line", F.lit(r"^[ \t\r\n]*\{")) & ~F.startswith(F.schema_of_variant("record"), F.lit("OBJECT"))
+    return records.where(F.col("record").isNull() | other).select("file", "ord", "line")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
