@@ -300,3 +300,19 @@ def test_lines_that_begin_with_a_brace_are_known_by_it(spark):
     bad = jsonl.malformed(d)
     assert sorted(r.ord for r in bad.collect()) == sorted(r.ord for r in whole.collect())
     assert "RLIKE" in bad._jdf.queryExecution().analyzed().toString().upper()
+
+
+def test_large_groups_write_no_pairs(spark, monkeypatch):
+    """What the rounds write is the sets that are left, however many share their tokens."""
+    rnd, n = random.Random(3), 120
+    sets = [("g", i, sorted(rnd.sample(range(40), 20))) for i in range(n)]
+    sizes, write = [], dedup.settle
+    monkeypatch.setattr(dedup, "settle", lambda df, name, *a: (out := write(df, name, *a), sizes.append((name, out.count())))[0])
+    got = {r.id: r.anchor for r in dedup.anchors_by_rounds(spark.createDataFrame(sets, "g string, id bigint, w array<bigint>"), 0.44, 40).collect()}
+    anchors, want = [], {}
+    for _, i, w in sets:
+        found = next((a for a, t in anchors if len(t & {*w}) / len(t | {*w}) >= 0.44), None)
+        want[i] = i if found is None else found
+        if found is None:
+            anchors.append((i, {*w}))
+    assert got == want and len(anchors) > 3 and max(size for _, size in sizes) <= n
