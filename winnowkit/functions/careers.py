@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from .hosts import host_url, normalize_host
-from .text import strip, url_quote
+from .text import once, strip, url_quote
 
 _URL = r"^([a-zA-Z][a-zA-Z0-9+.\-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 
@@ -18,7 +18,7 @@ def url_part(url: Column, which: int) -> Column:
 
 
 def _segments(path: Column) -> Column:
-    return F.filter(F.split(path, "/"), lambda p: p != "")
+    return F.array_remove(F.split(path, "/"), "")
 
 
 def _rebuilt(scheme: Column, net: Column, path: Column, query: Column | None = None) -> Column:
@@ -37,22 +37,22 @@ def _kept_query(query: Column, keep: list[str]) -> Column:
     return F.array_join(F.transform(pairs, lambda p: F.concat(url_quote(name(p)), F.lit("="), url_quote(value(p)))), "&")
 
 
-def _with(value: Column, use) -> Column:
-    """``use(value)``, with the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def careers_link(apply_url: Column, source: Column) -> Column:
     """struct<url, tier>: the page that lists the employer's postings, and how it was found."""
+    return once(link_parts(apply_url, source), link_of)
+
+
+def link_parts(apply_url: Column, source: Column) -> Column:
+    """What ``link_of`` reads of a URL and its source; of many rows, make it a column first, so that both are compiled."""
     trimmed = strip(apply_url)
-    parts = F.struct(
+    return F.struct(
         apply_url.alias("raw"), F.lower(url_part(trimmed, 1)).alias("scheme"), url_part(trimmed, 2).alias("net"), url_part(trimmed, 3).alias("path"),
         url_part(trimmed, 4).alias("query"), F.lower(strip(F.coalesce(source, F.lit("")))).alias("key"), _segments(url_part(trimmed, 3)).alias("segments"),
     )
-    return _with(parts, _link)
 
 
-def _link(p: Column) -> Column:
+def link_of(p: Column) -> Column:
+    """``careers_link`` of its parts."""
     scheme, net, path, key, segments = p["scheme"], p["net"], p["path"], p["key"], p["segments"]
     made = lambda url, tier: F.struct(url.cast("string").alias("url"), F.lit(tier).alias("tier"))
     as_posted = made(p["raw"], "posting")
@@ -89,7 +89,7 @@ def entry_url(careers_url: Column, company_host: Column) -> Column:
         own = (b["at"] == b["host"]) | F.endswith(b["at"], F.concat(F.lit("."), b["host"]))
         return F.when(b["host"].isNotNull(), F.when(own, b["url"]).otherwise(host_url(b["host"])))
 
-    return _with(both, choose)
+    return once(both, choose)
 
 
 def search_link(name: Column) -> Column:

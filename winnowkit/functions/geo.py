@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import fixed
-from .text import strip
+from .text import once, strip_plain
 
 PLACE = "array<struct<label:string,state:string,lat:double,lon:double,distance_miles:double>>"
 
@@ -19,8 +19,8 @@ def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
 
 def state_of(label: Column) -> Column:
     """The part before the last of three or more comma-separated parts."""
-    parts = F.filter(F.transform(F.split(label, ","), strip), lambda p: p != "")
-    return F.when(F.size(parts) >= 3, F.element_at(parts, F.size(parts) - 1))
+    parts = F.array_remove(F.transform(F.split(label, ","), strip_plain), "")
+    return once(parts, lambda p: F.when(F.size(p) >= 3, F.element_at(p, F.size(p) - 1)))
 
 
 def coordinate(value: Column) -> Column:
@@ -34,12 +34,13 @@ def places(labels: Column, points: Column) -> Column:
     A label without a point stays, without coordinates; a longitude of zero falls through to ``lng``.
     """
     zipped = F.arrays_zip(labels.alias("label"), points.alias("point"))
-    named = F.filter(zipped, lambda z: F.coalesce(strip(z["label"]), F.lit("")) != "")
+    trimmed = F.transform(zipped, lambda z: F.struct(strip_plain(z["label"]).alias("label"), z["point"].alias("point")))
+    named = F.filter(trimmed, lambda z: F.coalesce(z["label"], F.lit("")) != "")
     lon = lambda p: F.coalesce(F.nullif(p["lon"], F.lit(0.0)), p["lng"])
     return F.transform(
         named,
         lambda z: F.struct(
-            strip(z["label"]).alias("label"), state_of(strip(z["label"])).alias("state"),
+            z["label"].alias("label"), state_of(z["label"]).alias("state"),
             coordinate(z["point"]["lat"]).alias("lat"), coordinate(lon(z["point"])).alias("lon"),
         ),
     )
@@ -50,10 +51,7 @@ def near(found: Column, lat: float, lon: float, radius_miles: float, excluded_st
     out_of = [s.strip().lower() for s in excluded_states]
     allowed = F.filter(found, lambda p: ~F.coalesce(F.lower(p["state"]).isin(*out_of), F.lit(False))) if out_of else found
     miles = lambda p: haversine_miles(F.lit(lat), F.lit(lon), p["lat"], p["lon"])
-    measured = F.transform(
-        allowed, lambda p, i: F.struct(miles(p).isNull().alias("far"), F.coalesce(miles(p), F.lit(0.0)).alias("d"), i.alias("i"), p.alias("p"), miles(p).alias("distance_miles"))
-    )
-    inside = F.array_sort(F.filter(measured, lambda m: m["distance_miles"].isNull() | (m["distance_miles"] <= radius_miles)))
-    return F.transform(
-        inside, lambda m: F.struct(m["p"]["label"].alias("label"), m["p"]["state"].alias("state"), m["p"]["lat"].alias("lat"), m["p"]["lon"].alias("lon"), m["distance_miles"].alias("distance_miles"))
-    )
+    measured = F.transform(allowed, lambda p: F.struct(*[p[c].alias(c) for c in ("label", "state", "lat", "lon")], miles(p).alias("distance_miles")))
+    inside = F.filter(measured, lambda m: m["distance_miles"].isNull() | (m["distance_miles"] <= radius_miles))
+    placed = F.transform(inside, lambda m, i: F.struct(m["distance_miles"].isNull().alias("far"), F.coalesce(m["distance_miles"], F.lit(0.0)).alias("d"), i.alias("i"), m.alias("m")))
+    return F.transform(F.sort_array(placed), lambda x: x["m"])

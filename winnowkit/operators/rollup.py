@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions import geo
 from ..functions import guards as g
-from ..functions.careers import careers_link
+from ..functions.careers import link_of, link_parts
 from ..functions.hosts import ends_with_any, host_url, normalize_host
 from ..functions.keys import newest_first, tier_rank
+from ..tables import computed
 from .dedup import first_members
 from .graph import durable
 
@@ -53,11 +54,11 @@ def company_inputs(records: DataFrame, variant: str = "record") -> DataFrame:
 
 def judged(rows: DataFrame, options: Rollup) -> DataFrame:
     """``rows`` with host, nearby places, careers link, key and the one reason a row is dropped for, if any."""
-    rows = rows.withColumns({"host": normalize_host(F.col("homepage")), "_places": geo.places(F.col("labels"), F.col("points"))})
+    rows = rows.withColumns({"host": normalize_host(F.col("homepage")), "_places": geo.places(F.col("labels"), F.col("points")), "_link": link_parts(F.col("apply_url"), F.col("source"))})
     rows = rows.withColumns(
         {
             "places": geo.near(F.col("_places"), options.home_lat, options.home_lon, options.radius_miles, list(options.excluded_states)),
-            "careers": careers_link(F.col("apply_url"), F.col("source")),
+            "careers": link_of(F.col("_link")),
         }
     )
     sources = [s.strip().lower() for s in options.excluded_sources]
@@ -68,14 +69,15 @@ def judged(rows: DataFrame, options: Rollup) -> DataFrame:
         .when((F.size("_places") > 0) & (F.size("places") == 0), "no_qualifying_location")
         .when(F.col("host").isNull() & F.col("careers.url").isNull(), "unidentifiable")
     )
-    return rows.withColumns(
+    rows = rows.withColumns(
         {
             "key": F.coalesce("host", "careers.url"),
             "has_website": F.col("host").isNotNull(),
             "drop_reason": reason,
             "without_location": F.size("_places") == 0,
         }
-    ).drop("_places")
+    ).drop("_places", "_link")
+    return computed(rows, "drop_reason")
 
 
 def _earliest(value: Column) -> Column:
@@ -150,7 +152,7 @@ def _sample_titles(kept: DataFrame, n: int = fixed.SAMPLE_TITLES) -> DataFrame:
 
 def newest_key_plain(date: Column) -> Column:
     """Sorts later strings first and the empty one last, unlike ``newest_first``."""
-    return F.struct((date == "").alias("undated"), F.concat(newest_first(date), F.array(F.lit(1))).alias("k"))
+    return F.struct((date == "").alias("undated"), F.concat(newest_first(date), F.lit("G")).alias("k"))  # G is behind all digits of the key
 
 
 def drop_counts(rows: DataFrame) -> DataFrame:
