@@ -74,3 +74,52 @@ def test_a_large_table_has_more_tasks_than_cores(spark):
     d = spark.range(1000).coalesce(1)
     assert tables.spread(d).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert tables.spread(d, 10).rdd.getNumPartitions() == 100 and tables.spread(d, 10).count() == 1000
+
+
+def test_patterns_by_first_letter_are_found_in_the_same_texts():
+    import random
+
+    from winnowkit import fixed
+
+    assert text.by_first_letter(r"(a|b)c|ad|\bae|\baf|a?g|ah*") == r"(a|b)c|a(?:d|h*)|\ba(?:e|f)|a?g"
+    draw = random.Random(3)
+    patterns = [v for v in vars(fixed).values() if isinstance(v, str) and "|" in v]
+    words = [w for p in patterns for w in re.findall(r"[a-z+/&. 0-9]+", p)]
+    texts = ["".join(draw.choice([draw.choice(words), draw.choice(words)[:-1], " ", "-", "b", "s"]) for _ in range(4)) for _ in range(3000)]
+    for p in patterns:
+        grouped = text.by_first_letter(p)
+        found = [bool(re.search(p, t)) for t in texts]
+        assert found == [bool(re.search(grouped, t)) for t in texts] and any(found)
+
+
+def screened(spark):
+    from winnowkit.operators import postings, rules
+
+    rows = [
+        {"ord": 1, "object_id": "a", "title": "Backend Engineer", "raw_title": "Senior Backend Engineer", "tools": ["Python"], "commitment": ["Full Time"], "comp_max": 200000, "comp_min": 150000},
+        {"ord": 2, "object_id": "b", "title": "Data Analyst", "raw_title": "DATA ANALYST", "commitment": ["Full Time"], "role_type": "People Manager", "comp_max": 200000},
+        {"ord": 3, "object_id": "c", "title": "Web Developer", "raw_title": "x", "commitment": ["Full Time"]}, {"ord": 4, "object_id": "d", "title": "Team Lead", "raw_title": "", "commitment": [], "role_type": "People Manager"},
+        {"ord": 5, "object_id": "e", "title": "Clerk", "raw_title": "y", "tools": ["Solıdworks"], "requirements": "TOP ſecret", "commitment": ["Full Time"]},
+    ]
+    kinds = dict(c.strip().split(" ") for c in postings.POSTING_DDL.split(", "))
+    names = ["object_id", "title", "raw_title", "tools", "commitment", "comp_max", "comp_min", "role_type", "requirements"]
+    p = spark.createDataFrame([{c: r.get(c) for c in ["ord", *names]} for r in rows], "ord bigint, " + ", ".join(f"{c} {kinds[c]}" for c in names))
+    return rules.screen(postings.conform(p))
+
+
+def test_rules_run_once_a_posting(spark):
+    from winnowkit.operators import rules
+
+    s = screened(spark)
+    got = {r.ord: (r.band, r.reject_reasons, r.demote_reasons) for r in s.collect()}
+    assert got == {
+        1: ("strong", [], []), 2: ("possible", [], ["uncorroborated people-manager flag", "analyst/research title"]), 3: ("rejected", ["full-stack/frontend title"], []),
+        4: ("rejected", ["not full-time", "people manager"], []), 5: ("rejected", ["clearance in text", "non-software discipline"], []),
+    }
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    sole, shown = rules.sole_reason_counts(s), rules.surfaced(s)
+    assert {tuple(r) for r in sole.collect()} == {("full-stack/frontend title", 1)}
+    assert sorted(r.ord for r in shown.collect()) == [1, 2]
+    for d in (sole, shown):
+        assert not [c for c in filters(d) if "RLIKE" in c or "CASE" in c or "expired" in c]
+        assert plan(d).count("top secret") + plan(d).count("t(?:op secret") == 1

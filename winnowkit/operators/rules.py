@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions.hosts import ends_with_any
 from ..functions.text import folded, level_signature, says
+from ..tables import computed
 
 
 @dataclass(frozen=True)
@@ -67,7 +68,7 @@ REJECT: list[Rule] = [
     ("clearance in text", lambda s: says(F.col("_haystack"), fixed.CLEARANCE)),
     ("staffing placement", lambda s: F.col("employer_type") == "External Position"),
     ("people manager", lambda s: F.col("_manages")),
-    ("non-software discipline", lambda s: says(F.col("_tools"), fixed.NON_SOFTWARE_TOOLS) & ~F.col("_backend")),
+    ("non-software discipline", lambda s: ~F.col("_backend") & says(F.col("_tools"), fixed.NON_SOFTWARE_TOOLS)),
     ("full-stack/frontend title", lambda s: _titles(fixed.FRONTEND_TITLE)),
     ("blocked company", lambda s: F.lower("company").isin(*[c.strip().lower() for c in s.blocked_companies]) if s.blocked_companies else F.lit(False)),
     ("comp below floor", lambda s: F.col("comp_max") < s.comp_floor),
@@ -114,10 +115,14 @@ def screen(postings: DataFrame, settings: Screen = Screen()) -> DataFrame:
 
     A rejected posting lists no demotions. A near miss is one that only the pay floor rejects.
     """
-    out = with_signals(postings).withColumn("reject_reasons", reasons(REJECT, settings))
+    # Only a flagged posting is searched for what bears the flag out; each text is folded once.
+    out = postings.withColumns({name: SIGNALS[0][name]() for name in SIGNALS[0]})
+    out = out.withColumns({"_backend": SIGNALS[1]["_backend"](), "_manages": F.col("_flag") & (SIGNALS[1]["_manager_title"]() | says(folded(F.col("requirements")), fixed.MANAGEMENT_LANGUAGE))})
+    out = out.withColumn("reject_reasons", reasons(REJECT, settings))
     rejected, only_pay = F.size("reject_reasons") > 0, F.col("reject_reasons") == F.array(F.lit("comp below floor"))
     # Only what isn't rejected, or is for its pay alone, needs the rest of the rules.
     out = out.withColumn("_open", ~rejected | only_pay)
+    out = out.withColumns({name: F.when(F.col("_open"), SIGNALS[1][name]()) for name in ("_builds", "_level")})
     out = out.withColumn("_demoted", F.when(F.col("_open"), reasons(DEMOTE, settings)).otherwise(F.array().cast("array<string>")))
     out = out.withColumn("_strong", F.col("_open") & strong_case(settings, F.col("_demoted")))
     return out.withColumns(
@@ -129,6 +134,11 @@ def screen(postings: DataFrame, settings: Screen = Screen()) -> DataFrame:
     ).select(*postings.columns, "band", "reject_reasons", "demote_reasons", "near_miss")
 
 
+def surfaced(screened: DataFrame, bands: tuple[str, ...] = ("strong", "possible")) -> DataFrame:
+    """The screened postings of some bands; the filter reads the band and doesn't apply the rules again."""
+    return computed(screened, "band").where(F.col("band").isin(*bands))
+
+
 def reason_counts(screened: DataFrame, column: str = "reject_reasons") -> DataFrame:
     """(reason, n), most frequent first, ties by the first posting that has it.
 
@@ -140,8 +150,9 @@ def reason_counts(screened: DataFrame, column: str = "reject_reasons") -> DataFr
 
 
 def sole_reason_counts(screened: DataFrame) -> DataFrame:
-    lists = screened.groupBy(F.col("reject_reasons").alias("r")).agg(F.count(F.lit(1)).alias("n"))
-    return lists.where(F.size("r") == 1).groupBy(F.col("r")[0].alias("reason")).agg(F.sum("n").alias("n"))
+    # The size is aggregated, so that the filter stays behind the count and the rules run once a posting.
+    lists = screened.groupBy(F.col("reject_reasons").alias("r")).agg(F.count(F.lit(1)).alias("n"), F.max(F.size("reject_reasons")).alias("size"))
+    return lists.where("size = 1").groupBy(F.col("r")[0].alias("reason")).agg(F.sum("n").alias("n"))
 
 
 def funnel(screened: DataFrame, scraped: int | None = None) -> DataFrame:
