@@ -123,3 +123,18 @@ def test_rules_run_once_a_posting(spark):
     for d in (sole, shown):
         assert not [c for c in filters(d) if "RLIKE" in c or "CASE" in c or "expired" in c]
         assert plan(d).count("top secret") + plan(d).count("t(?:op secret") == 1
+
+
+def test_a_member_meets_no_more_than_the_first_pairs_ask_for(spark):
+    from itertools import combinations
+
+    from winnowkit.operators import dedup
+
+    members = {g: [(i, " ".join(f"w{(i * j + g) % 7}" for j in range(1, 4 + i % 3))) for i in range(n)] for g, n in enumerate((1, 2, 5, 6, 7, 9, 16, 17, 40))}
+    d = spark.createDataFrame([(g, 100 * g + i, t) for g, m in members.items() for i, t in m], "g int, ord bigint, t string")
+    for most in (15, 4, 1):
+        got = {r.g: r.similarity for r in dedup.mean_similarity(d, "g", "t", max_pairs=most).collect()}
+        for g, m in members.items():
+            sets = [set(t.split()) for _, t in m]
+            first = [len(a & b) / len(a | b) for a, b in list(combinations(sets, 2))[:most]]
+            assert got[g] is None if not first else abs(got[g] - sum(first) / len(first)) < 1e-12, (most, g)
