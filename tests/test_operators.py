@@ -155,6 +155,48 @@ def test_a_hundred_thousand_unlike_sets_of_one_key(spark):
     assert got.count() == n and got.where(F.col("anchor") != want).count() == 0
 
 
+def alike_and_unlike(n, seed):
+    """(id, tokens) of sets of 1 to some 400 tokens, frequent ones and rare ones, with near copies of earlier sets at all distances."""
+    rnd, sets = random.Random(seed), []
+    for i in range(n):
+        if sets and rnd.random() < 0.4:
+            w = set(rnd.choice(sets)[1])
+            w = {t for t in w if rnd.random() > rnd.choice([0, 0.1, 0.35])} | {rnd.randrange(50) for _ in range(rnd.randint(0, 1 + len(w) // 3))}
+        else:
+            w = {int(rnd.paretovariate(0.35)) % 4001 for _ in range(rnd.choice([1, 3, 20, 60, 120, 500]))}
+        sets.append((i, sorted(w or {7})))
+    return sets
+
+
+def greedily(sets, threshold):
+    anchors, out = [], {}
+    for i, w in sets:
+        w = set(w)
+        out[i] = next((a for a, x in anchors if len(w & x) / (len(w) + len(x) - len(w & x)) >= threshold), i)
+        if out[i] == i:
+            anchors.append((i, w))
+    return out
+
+
+@pytest.mark.parametrize(("threshold", "block", "room"), [(0.44, 1 << 15, 1 << 23), (0.44, 90, 1 << 23), (0.6, 1 << 15, 4000), (1.0, 150, 1 << 23), (0.05, 70, 1 << 23)])
+def test_anchors_of_long_and_short_sets(spark, threshold, block, room):
+    sets = {g: alike_and_unlike(400, seed) for g, seed in (("x", 1), ("y", 2))}
+    rows = [(g, 2 * i + (g == "y"), w) for g, s in sets.items() for i, w in s]
+    got = {r.id: r.anchor for r in dedup.anchors_by_rounds(spark.createDataFrame(rows, "g string, id bigint, w array<bigint>").repartition(3), threshold, block, room).collect()}
+    want = {2 * i + (g == "y"): 2 * a + (g == "y") for g, s in sets.items() for i, a in greedily(s, threshold).items()}
+    assert got == want
+
+
+def test_token_sets_are_written_once(spark, monkeypatch):
+    """A group that a task can hold is folded from the one table of token sets, whatever else has the same tokens."""
+    sets, written = alike_and_unlike(1500, 3), []
+    write = dedup.settle
+    monkeypatch.setattr(dedup, "settle", lambda df, name, *more: (written.append((name, [c for c, t in df.dtypes if t == "array<bigint>"])), write(df, name, *more))[1])
+    rows = spark.createDataFrame([(i, "k", " ".join(f"t{t}" for t in w)) for i, w in sets], "ord bigint, g string, t string")
+    got = {r.ord: r.anchor for r in dedup.greedy_groups(rows, ["g"], "t", F.lit(""), 0.44).collect()}
+    assert got == greedily(sets, 0.44) and [name for name, columns in written if columns] == ["token-sets"]
+
+
 def test_thresholds_at_the_ends(spark):
     sets = spark.createDataFrame([("g", 3, [1, 2]), ("g", 1, [5]), ("h", 7, [9])], "g string, id bigint, w array<bigint>")
     assert {tuple(r) for r in dedup.anchors_by_rounds(sets, 0.0).collect()} == {(3, 1), (1, 1), (7, 7)}
